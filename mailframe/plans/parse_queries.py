@@ -1 +1,54 @@
-"""Placeholder."""
+"""Parse queries (Q01, Q18): raw messages built from ``documents`` go through the parse stage."""
+
+from __future__ import annotations
+
+from pyspark.sql import functions as F
+
+from mailframe.functions import document as doc
+from mailframe.operators.documents import error_rows as error_rows_of
+from mailframe.operators.parse import RECURSION_ERROR, parse_messages
+from mailframe.plans.registry import register
+from mailframe.sources.raw import TOO_DEEP_EVERY, UNKNOWN_CHARSET_EVERY, raw_from_documents
+
+
+def _parsed(spark, sf_dir):
+    raw = raw_from_documents(spark, sf_dir)
+    return parse_messages(raw, keep=["message_id", "folder_uri"])
+
+
+@register("parse_round_trip", f"""
+SELECT CAST(doc_id AS VARCHAR) AS message_id,
+       'Über ' || CAST(doc_id AS VARCHAR) || ' (' || lang || ')' AS subject,
+       CASE WHEN doc_id % {UNKNOWN_CHARSET_EVERY} = 0 THEN NULL
+            ELSE regexp_replace(text, '<[^\\n\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]*?>', '', 'g') END AS text_content,
+       strftime(TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (doc_id) MINUTE, '%a, %d %b %Y %H:%M:%S') || ' +0000' AS date_header,
+       TIMESTAMP '2024-01-01 00:00:00' + INTERVAL (doc_id) MINUTE AS sent_date,
+       'sender' || CAST(doc_id % 50 AS VARCHAR) || '@example.com' AS from_email,
+       'Sénder ' || source AS from_personal,
+       CAST(2 AS INTEGER) AS n_to,
+       'r1@example.com' AS first_to
+FROM documents WHERE doc_id % {TOO_DEEP_EVERY} <> 0""")
+def parse_round_trip(spark, sf_dir):
+    """Q01 (S1, P1, P7, P12, P11): subject, stripped text, raw Date, sender and recipients of each message."""
+    p = _parsed(spark, sf_dir).filter(F.col("error").isNull())
+    return p.select(
+        "message_id",
+        "subject",
+        doc.strip_tags("text_content").alias("text_content"),
+        doc.selected_header("headers", "Date").alias("date_header"),
+        "sent_date",
+        F.col("from.email").alias("from_email"),
+        F.col("from.personal").alias("from_personal"),
+        F.size("to").alias("n_to"),
+        F.try_element_at("to", F.lit(1))["email"].alias("first_to"),
+    )
+
+
+@register("error_rows", f"""
+SELECT CAST(doc_id AS VARCHAR) AS message_id,
+       'imap://reader%40example.com@mail.example.com/' || lang AS folder_uri,
+       '{RECURSION_ERROR}' AS error_msg
+FROM documents WHERE doc_id % {TOO_DEEP_EVERY} = 0""")
+def error_rows(spark, sf_dir):
+    """Q18 (K8, P20): messages that failed to parse are recorded, the rest goes on."""
+    return error_rows_of(_parsed(spark, sf_dir))
