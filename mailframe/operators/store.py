@@ -110,9 +110,12 @@ class MailStore:
 
     # K3: the table exists once something is written; the schema is never altered.
     def exists(self) -> bool:
+        return self._path_exists(self.log_path)
+
+    def _path_exists(self, p: str) -> bool:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.log_path)
+        path = jvm.org.apache.hadoop.fs.Path(p)
         return path.getFileSystem(conf).exists(path)
 
     def append(self, log_rows: DataFrame) -> None:
@@ -154,10 +157,15 @@ class MailStore:
         )
 
     def state(self) -> DataFrame | None:
-        try:
-            st = self.spark.read.parquet(self.state_path)
-        except Exception:  # no state written yet
+        return self.state_before(None)
+
+    def state_before(self, version: int | None) -> DataFrame | None:
+        """Latest state row per folder among versions below ``version`` (all when None)."""
+        if not self._path_exists(self.state_path):
             return None
+        st = self.spark.read.parquet(self.state_path)
+        if version is not None:
+            st = st.filter(F.col("version") < version)
         return (
             st.groupBy("folder_uri")
             .agg(F.max_by(F.struct(*[c for c in st.columns if c != "folder_uri"]), F.col("version")).alias("_s"))
