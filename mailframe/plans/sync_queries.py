@@ -211,12 +211,15 @@ def pop_message_range(spark, sf_dir):
     return fx.pop_server(spark, sf_dir).select("folder_uri", "pop_id", "msg_num").filter(F.col("msg_num").between(100, 250))
 
 
-@register("store_after_poll", with_views("stored", "server") + """,
+_STORE_AFTER_POLL_SQL = with_views("stored", "server") + """,
 marks AS (SELECT folder_uri, max(uid) AS last_uid FROM stored GROUP BY folder_uri)
 SELECT CAST(s.uid AS VARCHAR) || '::' || s.folder_uri AS doc_id, s.folder_uri, s.uid, s.flaghashcode, s.received_date
 FROM server s LEFT JOIN marks m ON s.folder_uri = m.folder_uri
 WHERE s.uid > coalesce(m.last_uid, 0)
-   OR EXISTS (SELECT 1 FROM stored t WHERE t.folder_uri = s.folder_uri AND t.uid = s.uid)""")
+   OR EXISTS (SELECT 1 FROM stored t WHERE t.folder_uri = s.folder_uri AND t.uid = s.uid)"""
+
+
+@register("store_after_poll", _STORE_AFTER_POLL_SQL)
 def store_after_poll(spark, sf_dir):
     """Q16 (K1-K6, L4, L5, Y13): log = initial load of ``stored`` + one poll; result = current view."""
     cols = ["folder_uri", "uid", "flaghashcode", "received_date"]
@@ -225,7 +228,36 @@ def store_after_poll(spark, sf_dir):
     folders = listing.select("folder_uri").distinct().withColumn("uid_validity", F.lit(1).cast("bigint"))
     state = sync.folder_marks(stored).withColumn("uid_validity", F.lit(1).cast("bigint"))
     log0 = store.initial_load(stored, version=0)
-    view0 = store.current_view(log0)
+    # a log holding one initial load is its own current view: the stored rows
+    view0 = store.with_doc_id(stored)
     changes = sync.imap_poll(view0, listing, folders, state, version=1)
     log = store.union_log(log0, store.as_log(changes))
     return store.current_view(log).select("doc_id", *cols)
+
+
+@register("store_after_stream", _STORE_AFTER_POLL_SQL)
+def store_after_stream(spark, sf_dir):
+    """``stored`` then ``server`` land as two listing snapshots; two run-once polls
+    of the streaming job build the store; result = its current view (same as Q16)."""
+    import uuid
+
+    from mailframe.operators.store import MailStore
+    from mailframe.session import checkpoint_path
+    from mailframe.streaming.poll import LANDING_SCHEMA, start_poll
+
+    root = checkpoint_path(spark, f"store_after_stream-{uuid.uuid4().hex}")
+    landing = f"{root}/landing"
+    mail_store = MailStore(spark, f"{root}/store")
+
+    def snapshot(df):
+        rows = df.select("account", "folder_full_name", "folder_uri", "uid", "flaghashcode", "received_date")
+        markers = rows.select("account", "folder_full_name", "folder_uri").distinct()
+        full = rows.unionByName(markers, allowMissingColumns=True).withColumn("uid_validity", F.lit(1).cast("bigint"))
+        return full.select(*[F.col(f.name).cast(f.dataType) if f.name in full.columns
+                             else F.lit(None).cast(f.dataType).alias(f.name) for f in LANDING_SCHEMA.fields])
+
+    for i, df in enumerate((fx.stored(spark, sf_dir), fx.server(spark, sf_dir))):
+        snapshot(df).write.mode("append").parquet(landing)
+        q = start_poll(spark, landing, mail_store, once=True, checkpoint=f"{root}/ckpt", name=f"stream-{uuid.uuid4().hex[:8]}-{i}")
+        q.awaitTermination()
+    return mail_store.view().select("doc_id", "folder_uri", "uid", "flaghashcode", "received_date")
