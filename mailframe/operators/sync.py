@@ -224,42 +224,48 @@ def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state:
               version: int, switches: PollSwitches = PollSwitches()) -> DataFrame:
     """The whole IMAP poll as one union of typed change rows.
 
-    ``stored`` is the current view, ``listing`` the server rows (with payload
-    columns), ``folders`` the completely listed folders with their UID validity,
-    ``state`` the folder state.  Output: listing columns + ``op``, ``version``,
-    ``seq``; clears carry only ``folder_uri``.
+    ``stored`` is the current view (keys + flag hash are enough), ``listing`` the
+    server rows (with payload columns), ``folders`` the completely listed folders
+    with their UID validity, ``state`` the folder state.  Output: listing columns +
+    ``op``, ``version``, ``seq``; clears carry only ``folder_uri``.
+
+    The folder-level plan (mode, clear flag, old mark) is one small row per folder;
+    the listing and the store each join it once, then every branch is a filter on
+    ``mode``, and the two message-level joins run on (``folder_uri``, ``uid``).
     """
     listing = distinct_listing(listing)
-    plan = resync_plan(folders, state)
-    full_load = plan.filter(F.col("mode").isin(MODE_INITIAL, MODE_RESYNC)).select("folder_uri")
-    incremental = plan.filter(F.col("mode") == MODE_INCREMENTAL).select("folder_uri")
-    clears = plan.filter(F.col("clear_first"))
-    if not switches.delete_expunged:  # Y5 runs only when deletes are on
-        clears = clears.filter(F.col("mode") != MODE_VANISHED)
-    clears = clears.select("folder_uri")
-
+    marks = state.select("folder_uri", F.col("last_uid").alias("_mark"))
+    plan = resync_plan(folders, state).join(marks, "folder_uri", "left")
     cols = listing.columns
 
     def tag(df: DataFrame, op: str, seq: int) -> DataFrame:
         return df.select(*cols).withColumn("op", F.lit(op)).withColumn("version", F.lit(version).cast("bigint")) \
             .withColumn("seq", F.lit(seq))
 
-    parts = []
+    clears = plan.filter(F.col("clear_first"))
+    if not switches.delete_expunged:  # Y5 runs only when deletes are on
+        clears = clears.filter(F.col("mode") != MODE_VANISHED)
     clear_rows = clears.select(
         *[F.col("folder_uri") if c == "folder_uri" else F.lit(None).cast(listing.schema[c].dataType).alias(c) for c in cols]
     )
-    parts.append(tag(clear_rows, OP_CLEAR, SEQ_CLEAR))
+    parts = [tag(clear_rows, OP_CLEAR, SEQ_CLEAR)]
 
-    inc_listing = listing.join(incremental, "folder_uri", "left_semi")
-    inc_stored = stored.join(incremental, "folder_uri", "left_semi")
+    lst = listing.join(plan.select("folder_uri", "mode", "_mark"), "folder_uri", "inner")
+    inc_l = lst.filter(F.col("mode") == MODE_INCREMENTAL)
+    if switches.with_flag_sync or switches.delete_expunged:
+        sto = _non_null(stored, IMAP_KEY).join(
+            plan.filter(F.col("mode") == MODE_INCREMENTAL).select("folder_uri"), "folder_uri", "left_semi")
     if switches.with_flag_sync:
-        parts.append(tag(flag_changes(inc_listing, inc_stored), OP_UPSERT, SEQ_FLAGS))
-    new_inc = new_messages(inc_listing, state)
-    new_full = listing.join(full_load, "folder_uri", "left_semi")
-    parts.append(tag(new_inc.unionByName(new_full), OP_UPSERT, SEQ_NEW))
+        parts.append(tag(flag_changes(inc_l, sto), OP_UPSERT, SEQ_FLAGS))
+    new_rows = lst.filter(
+        F.col("mode").isin(MODE_INITIAL, MODE_RESYNC)
+        | ((F.col("mode") == MODE_INCREMENTAL) & (F.col("uid") > F.coalesce(F.col("_mark"), F.lit(0))))
+    )
+    parts.append(tag(new_rows, OP_UPSERT, SEQ_NEW))
     if switches.delete_expunged:
-        gone = expunged(inc_stored, listing, incremental)
-        gone = gone.select(*[F.col(c) if c in gone.columns else F.lit(None).cast(listing.schema[c].dataType).alias(c) for c in cols])
+        gone = sto.join(listing.select(*IMAP_KEY), IMAP_KEY, "left_anti")
+        gone = gone.select(*[F.col(c) if c in gone.columns else F.lit(None).cast(listing.schema[c].dataType).alias(c)
+                             for c in cols])
         parts.append(tag(gone, OP_DELETE, SEQ_DELETE))
     out = parts[0]
     for p in parts[1:]:

@@ -86,10 +86,19 @@ class PollJob:
         self.store = mail_store
         self.switches = switches
 
-    def _prior(self, version: int) -> tuple[DataFrame | None, DataFrame]:
+    def _prior(self, version: int, folders: DataFrame) -> tuple[DataFrame | None, DataFrame]:
+        """Store view and state as of the versions before ``version``.
+
+        The poll needs only keys and flag hashes of the polled folders, so the view
+        is built from those narrow log columns of those folders alone.
+        """
         if not self.store.exists():
             return None, _empty_state(self.spark)
-        log = self.store.log().filter(F.col("version") < version)
+        log = (
+            self.store.log().filter(F.col("version") < version)
+            .select("doc_id", "folder_uri", "uid", "flaghashcode", "op", "version", "seq")
+            .join(folders.select("folder_uri"), "folder_uri", "left_semi")
+        )
         state = self.store.state_before(version)
         return st.current_view(log), state if state is not None else _empty_state(self.spark)
 
@@ -103,11 +112,11 @@ class PollJob:
             )
             accounts = folders.select("account").distinct()
             listing = batch.filter(F.col("uid").isNotNull()).drop("uid_validity", "pop_id", "msg_num")
-            view, state = self._prior(version)
+            view, state = self._prior(version, folders)
             # only accounts listed in this batch can have vanished folders
             state = state.join(accounts, "account", "left_semi")
             if view is None:
-                view = listing.limit(0).withColumn("doc_id", F.lit(None).cast("string"))
+                view = listing.select("folder_uri", "uid", "flaghashcode").limit(0)
             changes = sync.imap_poll(view, listing, folders, state, version, self.switches)
             self.store.append(st.as_log(changes))
             written = self.store.log().filter(F.col("version") == version)
