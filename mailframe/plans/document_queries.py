@@ -402,3 +402,70 @@ def document_json(spark, sf_dir):
             F.lit(None).cast("string").alias("sentDate"),
         ).alias("json"),
     )
+
+
+def _conversation_parts_with_other(spark, sf_dir):
+    conv = read_table(spark, sf_dir, "conversations")
+    mime = (F.when(F.col("role") == "user", F.lit("text/plain"))
+            .when(F.col("role") == "assistant", F.lit("text/html"))
+            .otherwise(F.lit("text/x-system")))
+    return conv.select(F.col("conv_id").alias("message_id"), F.col("turn").alias("pos"), mime.alias("mime"), "text")
+
+
+_OTHER_SQL = """
+WITH c AS (
+  SELECT conv_id,
+         min(turn) FILTER (WHERE role NOT IN ('user', 'assistant')) AS o_pos,
+         arg_min(text, turn) FILTER (WHERE role NOT IN ('user', 'assistant')) AS o_text,
+         min(turn) FILTER (WHERE role = 'user' AND text IS NOT NULL) AS p_pos,
+         arg_min(text, turn) FILTER (WHERE role = 'user' AND text IS NOT NULL) AS p_text,
+         min(turn) FILTER (WHERE role = 'assistant') AS h1_pos,
+         arg_min(text, turn) FILTER (WHERE role = 'assistant') AS h1_text,
+         arg_min(text, turn) FILTER (WHERE role = 'assistant' AND text IS NOT NULL) AS h_text
+  FROM conversations GROUP BY conv_id)
+"""
+
+
+@register("text_choice_with_other", _OTHER_SQL + """
+SELECT conv_id AS message_id,
+       CASE WHEN p_pos IS NOT NULL AND (o_pos IS NULL OR p_pos < o_pos) THEN p_text
+            WHEN o_pos IS NOT NULL THEN o_text ELSE h_text END AS text_content
+FROM c""")
+def text_choice_with_other(spark, sf_dir):
+    """P9 rule 2: a part that is neither plain nor html (the system turns) ends the choice at once."""
+    return choose_text(_conversation_parts_with_other(spark, sf_dir), prefer_html=False)
+
+
+@register("html_choice_with_other", _OTHER_SQL + """
+SELECT conv_id AS message_id,
+       CASE WHEN h1_pos IS NOT NULL AND (o_pos IS NULL OR h1_pos < o_pos) THEN h1_text
+            WHEN o_pos IS NOT NULL THEN o_text END AS html_content
+FROM c""")
+def html_choice_with_other(spark, sf_dir):
+    """P10 with other parts: the first html part, unless another part type comes first."""
+    return choose_text(_conversation_parts_with_other(spark, sf_dir), prefer_html=True, out_col="html_content")
+
+
+START_FOLDER = "ththre.example.com"
+
+
+@register("folder_selection_subtree", r"""
+WITH p AS (SELECT regexp_extract(url, '^[A-Za-z]+://([^?#]*)', 1) AS path FROM pages),
+parts AS (SELECT string_split(path, '/') AS pa FROM p WHERE length(path) > 0),
+tree AS (SELECT DISTINCT array_to_string(pa[1:d], '/') AS folder_full_name
+         FROM parts, unnest(range(1, len(pa) + 1)) AS t(d)),
+f AS (SELECT folder_full_name, length(folder_full_name) % 3 <> 0 AS holds_messages,
+             regexp_full_match(folder_full_name, '.*\.(com|org)(/(en|de|fr)(/[0-9]*[02468])?)?') AS matches
+      FROM tree),
+blk AS (SELECT folder_full_name FROM f WHERE holds_messages AND NOT matches),
+pr AS (SELECT DISTINCT f.folder_full_name FROM f JOIN blk
+       ON starts_with(f.folder_full_name, blk.folder_full_name || '/'))
+SELECT f.folder_full_name
+FROM f LEFT JOIN pr ON f.folder_full_name = pr.folder_full_name
+WHERE f.holds_messages AND f.matches AND pr.folder_full_name IS NULL
+  AND (f.folder_full_name = 'ththre.example.com' OR starts_with(f.folder_full_name, 'ththre.example.com/'))
+  AND regexp_full_match('ththre.example.com', '.*\.(com|org)(/(en|de|fr)(/[0-9]*[02468])?)?')""")
+def folder_selection_subtree(spark, sf_dir):
+    """fetch(pattern, start folder): only the start folder's subtree is walked."""
+    sel = select_folders(_page_folders(spark, sf_dir), FOLDER_PATTERN, start=START_FOLDER)
+    return sel.filter(F.col("selected")).select("folder_full_name")

@@ -261,3 +261,35 @@ def store_after_stream(spark, sf_dir):
         q = start_poll(spark, landing, mail_store, once=True, checkpoint=f"{root}/ckpt", name=f"stream-{uuid.uuid4().hex[:8]}-{i}")
         q.awaitTermination()
     return mail_store.view().select("doc_id", "folder_uri", "uid", "flaghashcode", "received_date")
+
+
+DELETE_FROM_HASH = 48
+
+
+@register("store_after_delete", with_views("stored") + f"""
+SELECT CAST(uid AS VARCHAR) || '::' || folder_uri AS doc_id, folder_uri, uid, flaghashcode
+FROM stored WHERE NOT (flaghashcode >= {DELETE_FROM_HASH} AND folder_full_name = 'click')""")
+def store_after_delete(spark, sf_dir):
+    """K6: delete by predicate in one pass (tombstones), then K5 is not involved; current view."""
+    cols = ["folder_uri", "uid", "flaghashcode", "folder_full_name"]
+    log0 = store.initial_load(fx.stored(spark, sf_dir).select(*cols), version=0)
+    view0 = store.current_view(log0)
+    pred = (F.col("flaghashcode") >= DELETE_FROM_HASH) & (F.col("folder_full_name") == "click")
+    log = store.union_log(log0, store.delete_where(view0.select("doc_id", "folder_uri", "uid", "folder_full_name",
+                                                                "flaghashcode"), pred, version=1))
+    return store.current_view(log).select("doc_id", "folder_uri", "uid", "flaghashcode")
+
+
+@register("store_after_clear", with_views("stored") + """
+SELECT CAST(uid AS VARCHAR) || '::' || folder_uri AS doc_id, folder_uri, uid
+FROM stored WHERE folder_full_name <> 'signup' OR uid > 4000""")
+def store_after_clear(spark, sf_dir):
+    """K5: clearing folders hides every older row; rows written after the clear stay visible."""
+    cols = ["folder_uri", "uid", "folder_full_name"]
+    stored = fx.stored(spark, sf_dir).select(*cols)
+    early = store.initial_load(stored.filter(F.col("uid") <= 4000), version=0)
+    signup = stored.filter(F.col("folder_full_name") == "signup").select("folder_uri")
+    clears = store.clear_folders(signup, version=1)
+    late = store.initial_load(stored.filter(F.col("uid") > 4000), version=2)
+    log = store.union_log(early, clears, late)
+    return store.current_view(log).select("doc_id", "folder_uri", "uid")
