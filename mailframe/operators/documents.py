@@ -10,11 +10,13 @@ from mailframe.functions.keys import doc_id, mailbox_type
 from mailframe.options import MailOptions
 
 
-def to_documents(parsed: DataFrame, options: MailOptions = MailOptions()) -> DataFrame:
+def to_documents(parsed: DataFrame, options: MailOptions = MailOptions(), carry: list[str] = ()) -> DataFrame:
     """Project parsed rows (P1 output + ``folder_uri``, ``folder_full_name``, ``uid``,
     ``pop_id``, ``flags_bits``, ``user_flags``, ``received_date``) to documents.
 
     Switches (P21) change the projection list, so unused columns are never computed.
+    Without ``flags_bits`` the listing's ``flaghashcode`` is kept as it is.  ``carry``
+    columns pass through unchanged.
     """
     ok = parsed.filter(F.col("error").isNull())
     cols = {c: (F.col(c) if c in parsed.columns else F.lit(None)) for c in
@@ -43,9 +45,14 @@ def to_documents(parsed: DataFrame, options: MailOptions = MailOptions()) -> Dat
         doc.distinct_headers("headers").alias("headers"),
         (text if options.with_text_content else F.lit(None).cast("string")).alias("textContent"),
         (F.col("html_content") if options.with_html_content else F.lit(None).cast("string")).alias("htmlContent"),
-        doc.flag_names(F.coalesce(cols["flags_bits"].cast("bigint"), F.lit(0)), cols["user_flags"]).alias("flags"),
-        doc.flag_hash(F.coalesce(cols["flags_bits"].cast("bigint"), F.lit(0)), cols["user_flags"]).alias("flaghashcode"),
     ]
+    if "flags_bits" in parsed.columns:
+        bits = F.coalesce(cols["flags_bits"].cast("bigint"), F.lit(0))
+        out += [doc.flag_names(bits, cols["user_flags"]).alias("flags"),
+                doc.flag_hash(bits, cols["user_flags"]).alias("flaghashcode")]
+    else:
+        out += [F.col("flaghashcode").cast("int").alias("flaghashcode")]
+    out += [F.col(c) for c in carry]
     if options.with_attachments:
         atts = doc.attachments("parts")
         out += [atts.alias("attachments"), doc.attachment_count(atts).alias("attachmentCount")]
@@ -64,3 +71,29 @@ def error_rows(parsed: DataFrame, key_col: str = "message_id") -> DataFrame:
         F.col("folder_uri"),
         F.col("error").alias("error_msg"),
     )
+
+
+def fetch_documents(changes: DataFrame, raw: DataFrame, options: MailOptions = MailOptions(),
+                    keys: list[str] = ("folder_uri", "uid")) -> tuple[DataFrame, DataFrame]:
+    """Upsert change rows -> their raw bytes -> parsed documents, plus error rows.
+
+    The reference re-reads the whole message for new and flag-changed messages; here
+    that is one equi-join of the upserts with the raw landing table on the message
+    key, then the parse stage.  Only upsert rows cross to Python.
+    """
+    from mailframe.operators.parse import parse_messages
+    from mailframe.operators.sync import OP_UPSERT
+
+    keys = list(keys)
+    ups = changes.filter(F.col("op") == OP_UPSERT)
+    joined = ups.join(raw.select(*keys, "raw"), keys, "inner")
+    keep = [c for c in joined.columns if c != "raw"]
+    parsed = parse_messages(joined, keep=keep, with_text=options.with_text_content,
+                            with_html=options.with_html_content, prefer_html=options.prefer_html_content,
+                            with_attachments=options.with_attachments)
+    carry = [c for c in ("op", "version", "seq") if c in keep]
+    docs = to_documents(parsed, options, carry=carry).withColumnRenamed("folderUri", "folder_uri")
+    errors = parsed.filter(F.col("error").isNotNull()).select(
+        F.concat(F.col("uid").cast("string"), F.lit("::"), F.col("folder_uri")).alias("message_id"),
+        "folder_uri", F.col("error").alias("error_msg"))
+    return docs, errors

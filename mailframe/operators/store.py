@@ -58,9 +58,11 @@ def clear_folders(folders: DataFrame, version: int, seq: int = 0) -> DataFrame:
 
 
 def as_log(changes: DataFrame) -> DataFrame:
-    """Y13 change rows -> log rows (adds ``doc_id``; clears keep a null id)."""
-    keyed = with_doc_id(changes)
-    return keyed.withColumn("doc_id", F.when(F.col("op") == OP_CLEAR, F.lit(None).cast("string")).otherwise(F.col("doc_id")))
+    """Y13 change rows -> log rows (fills ``doc_id`` where missing; clears keep a null id)."""
+    pop = "pop_id" if "pop_id" in changes.columns else None
+    computed = doc_id_col("uid", pop, "folder_uri")
+    key = F.coalesce(F.col("doc_id"), computed) if "doc_id" in changes.columns else computed
+    return changes.withColumn("doc_id", F.when(F.col("op") == OP_CLEAR, F.lit(None).cast("string")).otherwise(key))
 
 
 def current_view(log: DataFrame) -> DataFrame:

@@ -81,10 +81,13 @@ class PollJob:
     """The per-batch body of a polling stream (also callable directly on a listing frame)."""
 
     def __init__(self, spark: SparkSession, mail_store: st.MailStore,
-                 switches: sync.PollSwitches = sync.PollSwitches()):
+                 switches: sync.PollSwitches = sync.PollSwitches(), raw_path: str | None = None,
+                 options=None):
         self.spark = spark
         self.store = mail_store
         self.switches = switches
+        self.raw_path = raw_path  # landing table of raw messages (folder_uri, uid, raw)
+        self.options = options
 
     def _prior(self, version: int, folders: DataFrame) -> tuple[DataFrame | None, DataFrame]:
         """Store view and state as of the versions before ``version``.
@@ -118,6 +121,8 @@ class PollJob:
             if view is None:
                 view = listing.select("folder_uri", "uid", "flaghashcode").limit(0)
             changes = sync.imap_poll(view, listing, folders, state, version, self.switches)
+            if self.raw_path is not None:
+                changes = self._with_bodies(changes, version)
             self.store.append(st.as_log(changes))
             written = self.store.log().filter(F.col("version") == version)
             new_rows = written.filter((F.col("op") == sync.OP_UPSERT) & (F.col("seq") == sync.SEQ_NEW))
@@ -128,14 +133,30 @@ class PollJob:
         finally:
             batch.unpersist()
 
+    def _with_bodies(self, changes: DataFrame, version: int) -> DataFrame:
+        """Replace upsert rows by parsed documents; record parse failures (K8, P20)."""
+        from mailframe.operators.documents import fetch_documents
+        from mailframe.options import MailOptions
+
+        raw = self.spark.read.parquet(self.raw_path)
+        docs, errors = fetch_documents(changes, raw, self.options or MailOptions())
+        self.store.append_errors(errors, version)
+        others = changes.filter(F.col("op") != sync.OP_UPSERT)
+        return others.unionByName(docs, allowMissingColumns=True)
+
 
 def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
                interval: str | None = "60 seconds", once: bool = False,
                switches: sync.PollSwitches = sync.PollSwitches(), name: str = "mail-poll",
-               checkpoint: str | None = None):
-    """Start the polling query: ``once=True`` drains what has landed and stops."""
+               checkpoint: str | None = None, raw_path: str | None = None, options=None):
+    """Start the polling query: ``once=True`` drains what has landed and stops.
+
+    With ``raw_path`` the upserted messages are fetched from that raw landing table,
+    parsed and stored as whole documents; parse failures go to the error table.
+    """
     stream = spark.readStream.schema(LANDING_SCHEMA).parquet(landing)
     ckpt = checkpoint or checkpoint_path(spark, os.path.join("streams", name))
-    writer = stream.writeStream.foreachBatch(PollJob(spark, mail_store, switches)).option("checkpointLocation", ckpt)
+    job = PollJob(spark, mail_store, switches, raw_path=raw_path, options=options)
+    writer = stream.writeStream.foreachBatch(job).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
     return writer.queryName(name).start()

@@ -111,3 +111,39 @@ def test_empty_folder_listing_deletes_all(spark, scratch):
     s = Scenario(spark, scratch)
     assert s.poll({"INBOX": list(range(1, 6)), "Sent": [1, 2]}) == 7
     assert s.poll({"INBOX": [], "Sent": [1, 2]}) == 2
+
+
+def test_poll_with_bodies_parses_and_records_errors(spark, scratch):
+    """New and flag-changed messages are fetched from raw landing, parsed, stored; bad ones -> errors."""
+    from email.mime.multipart import MIMEMultipart
+    from email.mime.text import MIMEText
+
+    def raw_msg(u):
+        if u == 4:  # nests too deep: error row, not stored
+            inner = MIMEText("deep", "plain")
+            for _ in range(101):
+                m = MIMEMultipart("mixed")
+                m.attach(inner)
+                inner = m
+            return inner.as_bytes()
+        m = MIMEText(f"<p>body {u}</p>", "plain")
+        m["Subject"] = f"m{u}"
+        return m.as_bytes()
+
+    raw_path = os.path.join(scratch, "raw")
+    spark.createDataFrame([(_uri("INBOX"), u, raw_msg(u)) for u in range(1, 8)],
+                          "folder_uri string, uid bigint, raw binary").write.parquet(raw_path)
+    s = Scenario(spark, scratch)
+    landing_rows = {"INBOX": list(range(1, 6))}
+    _snapshot(spark, landing_rows).coalesce(1).write.mode("append").parquet(s.landing)
+    q = start_poll(spark, s.landing, s.store, once=True, checkpoint=s.ckpt, name="bodies1", raw_path=raw_path)
+    q.awaitTermination(300)
+    view = {r.uid: (r.subject, r.textContent) for r in s.store.view().collect()}
+    assert view == {u: (f"m{u}", f"body {u}") for u in (1, 2, 3, 5)}
+    errs = s.store.errors().collect()
+    assert [(e.message_id, e.error_msg) for e in errs] == [(f"4::{_uri('INBOX')}", "Endless recursion detected")]
+    # second poll: 6, 7 new; 1 expunged
+    _snapshot(spark, {"INBOX": [2, 3, 4, 5, 6, 7]}).coalesce(1).write.mode("append").parquet(s.landing)
+    q = start_poll(spark, s.landing, s.store, once=True, checkpoint=s.ckpt, name="bodies2", raw_path=raw_path)
+    q.awaitTermination(300)
+    assert sorted(r.uid for r in s.store.view().collect()) == [2, 3, 5, 6, 7]
