@@ -36,7 +36,12 @@ def match(text: str | Column, query: str) -> Column:
     if not toks:
         return F.lit(False)
     alt = "|".join(re.escape(t) for t in toks)
-    return F.coalesce(F.lower(_c(text)).rlike(f"(^|{_SEP})({alt})({_SEP}|$)"), F.lit(False))
+    low = F.lower(_c(text))
+    # cheap substring test first; the token-boundary regex only runs on candidates
+    maybe = None
+    for t in toks:
+        maybe = low.contains(t) if maybe is None else (maybe | low.contains(t))
+    return F.coalesce(maybe & low.rlike(f"(^|{_SEP})({alt})({_SEP}|$)"), F.lit(False))
 
 
 def match_phrase(text: str | Column, phrase: str) -> Column:
@@ -45,7 +50,9 @@ def match_phrase(text: str | Column, phrase: str) -> Column:
     if not toks:
         return F.lit(False)
     body = (_SEP + "+").join(re.escape(t) for t in toks)
-    return F.coalesce(F.lower(_c(text)).rlike(f"(^|{_SEP}){body}({_SEP}|$)"), F.lit(False))
+    low = F.lower(_c(text))
+    longest = max(toks, key=len)
+    return F.coalesce(low.contains(longest) & low.rlike(f"(^|{_SEP}){body}({_SEP}|$)"), F.lit(False))
 
 
 def contains(text: str | Column, needle: str) -> Column:

@@ -12,7 +12,7 @@ from mailframe.plans.registry import register
 from mailframe.sources import accounts as acc
 from mailframe.sources import fixtures as fx
 from mailframe.sources.fixtures import with_views
-from mailframe.sources.tables import read_table
+from mailframe.sources.tables import read_table, spread_for_cpu
 
 
 def duck_java_hash_u32(expr: str) -> str:
@@ -175,7 +175,8 @@ def html_choice(spark, sf_dir):
 SELECT page_id, regexp_replace(html, '<[^\n\r\x{85}\x{2028}\x{2029}]*?>', '', 'g') AS text_content FROM pages""")
 def strip_tags(spark, sf_dir):
     """Q06 (P11): tags removed from whole pages."""
-    return read_table(spark, sf_dir, "pages").select("page_id", doc.strip_tags("html").alias("text_content"))
+    pages = spread_for_cpu(read_table(spark, sf_dir, "pages").select("page_id", "html"))
+    return pages.select("page_id", doc.strip_tags("html").alias("text_content"))
 
 
 # Q07 -----------------------------------------------------------------------
@@ -207,7 +208,7 @@ SELECT doc_id,
 FROM documents""")
 def attachments(spark, sf_dir):
     """Q07 (P13, P14, P15, F13): attachments of a multipart message built per document."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    docs = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     a = docs.select("doc_id", doc.attachments(_document_parts()).alias("atts"))
     b64 = doc.base64_unbroken(F.element_at("atts", 1)["content"])
     return a.select(

@@ -9,7 +9,7 @@ from mailframe.operators import search, sync
 from mailframe.plans.registry import register
 from mailframe.sources import fixtures as fx
 from mailframe.sources.fixtures import with_views
-from mailframe.sources.tables import read_table
+from mailframe.sources.tables import read_table, spread_for_cpu
 
 TERM_FOLDER = "imap://user1%40example.com@mail.example.com/purchase"
 SMALL_HASHES = list(range(0, 64, 3))
@@ -78,7 +78,7 @@ SELECT doc_id FROM documents
 WHERE list_has_any(regexp_split_to_array(lower(text), '[^\\p{{L}}\\p{{N}}]+'), ['{MATCH_QUERY}'])""")
 def match(spark, sf_dir):
     """Q22 (F10): documents holding any token of the query."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.filter(tx.match("text", MATCH_QUERY)).select("doc_id")
 
 
@@ -88,7 +88,7 @@ WHERE ' ' || array_to_string(list_filter(regexp_split_to_array(lower(text), '[^\
       LIKE '% {PHRASE_QUERY} %'""")
 def match_phrase(spark, sf_dir):
     """Q22 (F11): documents holding the query tokens consecutively and in order."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.filter(tx.match_phrase("text", PHRASE_QUERY)).select("doc_id")
 
 
@@ -97,5 +97,5 @@ SELECT doc_id, CAST(len(list_filter(regexp_split_to_array(lower(text), '[^\\p{L}
 FROM documents""")
 def token_counts(spark, sf_dir):
     """F10 analysis: token count of every whole document."""
-    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text")
+    docs = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text"))
     return docs.select("doc_id", F.size(tx.tokens("text")).alias("n_tokens"))

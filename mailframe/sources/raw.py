@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailframe.sources.tables import read_table
+from mailframe.sources.tables import read_table, spread_for_cpu
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +51,7 @@ def sent_ts_from_doc(doc_id_col="doc_id") -> F.Column:
 
 def raw_from_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One raw message per document (whole text), built with native string functions."""
-    d = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
+    d = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
     doc = F.col("doc_id")
     charset = F.when(doc % UNKNOWN_CHARSET_EVERY == 0, F.lit("x-unknown-charset")).otherwise(F.lit("utf-8"))
     date_hdr = F.concat(F.date_format(sent_ts_from_doc(), "EEE, dd MMM yyyy HH:mm:ss"), F.lit(" +0000"))
