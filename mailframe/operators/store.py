@@ -25,8 +25,13 @@ def with_doc_id(df: DataFrame) -> DataFrame:
     """Add ``doc_id`` (P5) unless present.  Works for IMAP (uid) and POP (pop_id) rows."""
     if "doc_id" in df.columns:
         return df
+    return df.withColumn("doc_id", _computed_doc_id(df))
+
+
+def _computed_doc_id(df: DataFrame):
     pop = "pop_id" if "pop_id" in df.columns else None
-    return df.withColumn("doc_id", doc_id_col("uid", pop, "folder_uri"))
+    uid = F.col("uid") if "uid" in df.columns else F.lit(None).cast("bigint")
+    return doc_id_col(uid, pop, "folder_uri")
 
 
 def initial_load(rows: DataFrame, version: int = 0) -> DataFrame:
@@ -59,8 +64,7 @@ def clear_folders(folders: DataFrame, version: int, seq: int = 0) -> DataFrame:
 
 def as_log(changes: DataFrame) -> DataFrame:
     """Y13 change rows -> log rows (fills ``doc_id`` where missing; clears keep a null id)."""
-    pop = "pop_id" if "pop_id" in changes.columns else None
-    computed = doc_id_col("uid", pop, "folder_uri")
+    computed = _computed_doc_id(changes)
     key = F.coalesce(F.col("doc_id"), computed) if "doc_id" in changes.columns else computed
     return changes.withColumn("doc_id", F.when(F.col("op") == OP_CLEAR, F.lit(None).cast("string")).otherwise(key))
 

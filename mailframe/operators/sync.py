@@ -235,7 +235,10 @@ def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state:
     """
     listing = distinct_listing(listing)
     marks = state.select("folder_uri", F.col("last_uid").alias("_mark"))
-    plan = resync_plan(folders, state).join(marks, "folder_uri", "left")
+    # one small row per folder; every consumer below uses this same subtree, so its
+    # exchanges (broadcast or shuffle) are built once and reused
+    plan = resync_plan(folders, state).join(marks, "folder_uri", "left") \
+        .select("folder_uri", "mode", "clear_first", "_mark")
     cols = listing.columns
 
     def tag(df: DataFrame, op: str, seq: int) -> DataFrame:
@@ -250,11 +253,11 @@ def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state:
     )
     parts = [tag(clear_rows, OP_CLEAR, SEQ_CLEAR)]
 
-    lst = listing.join(plan.select("folder_uri", "mode", "_mark"), "folder_uri", "inner")
+    lst = listing.join(plan, "folder_uri", "inner")
     inc_l = lst.filter(F.col("mode") == MODE_INCREMENTAL)
     if switches.with_flag_sync or switches.delete_expunged:
-        sto = _non_null(stored, IMAP_KEY).join(
-            plan.filter(F.col("mode") == MODE_INCREMENTAL).select("folder_uri"), "folder_uri", "left_semi")
+        sto = _non_null(stored, IMAP_KEY).join(plan, "folder_uri", "inner") \
+            .filter(F.col("mode") == MODE_INCREMENTAL).drop("mode", "clear_first", "_mark")
     if switches.with_flag_sync:
         parts.append(tag(flag_changes(inc_l, sto), OP_UPSERT, SEQ_FLAGS))
     new_rows = lst.filter(
@@ -271,3 +274,28 @@ def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state:
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+def pop_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, version: int,
+             switches: PollSwitches = PollSwitches(), by_number: bool = False) -> DataFrame:
+    """The whole POP poll (INBOX only, no flags, no UID validity): new messages by UIDL
+    (or by message number), then deletes of stored UIDLs the server no longer lists.
+
+    ``folders`` holds the folders whose listing is complete; deletes run even when
+    the mailbox is empty (reference rule).
+    """
+    listing = distinct_listing(listing, POP_KEY)
+    cols = listing.columns
+
+    def tag(df: DataFrame, op: str, seq: int) -> DataFrame:
+        return df.select(*cols).withColumn("op", F.lit(op)).withColumn("version", F.lit(version).cast("bigint")) \
+            .withColumn("seq", F.lit(seq))
+
+    new = pop_new_by_number(listing, stored) if by_number else pop_new(listing, stored)
+    out = tag(new, OP_UPSERT, SEQ_NEW)
+    if switches.delete_expunged:
+        gone = pop_expunged(stored, listing, folders)
+        gone = gone.select(*[F.col(c) if c in gone.columns else F.lit(None).cast(listing.schema[c].dataType).alias(c)
+                             for c in cols])
+        out = out.unionByName(tag(gone, OP_DELETE, SEQ_DELETE))
+    return out

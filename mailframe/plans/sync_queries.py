@@ -293,3 +293,19 @@ def store_after_clear(spark, sf_dir):
     late = store.initial_load(stored.filter(F.col("uid") > 4000), version=2)
     log = store.union_log(early, clears, late)
     return store.current_view(log).select("doc_id", "folder_uri", "uid")
+
+
+@register("pop_store_after_poll", with_views("pop_server", "pop_stored") + """
+SELECT pop_id || '::' || folder_uri AS doc_id, folder_uri, pop_id, msg_num FROM pop_server""")
+def pop_store_after_poll(spark, sf_dir):
+    """Y6 + Y7 + Y8 as one POP poll on the change log: the store equals the server listing after it."""
+    cols = ["folder_uri", "pop_id", "msg_num"]
+    stored = fx.pop_stored(spark, sf_dir).select("folder_uri", "pop_id")
+    listing = fx.pop_server(spark, sf_dir).select(*cols)
+    folders = listing.select("folder_uri").distinct()
+    log0 = store.initial_load(stored, version=0)
+    changes = sync.pop_poll(store.with_doc_id(stored), listing, folders, version=1)
+    view = store.current_view(store.union_log(log0, store.as_log(changes)))
+    # messages stored earlier carry no number; the listing supplies the current one
+    return view.select("doc_id", "folder_uri", "pop_id").join(listing, ["folder_uri", "pop_id"], "inner") \
+        .select("doc_id", *cols)
