@@ -113,6 +113,28 @@ class MailStore:
         self.log_path = os.path.join(root, "log")
         self.state_path = os.path.join(root, "folder_state")
         self.errors_path = os.path.join(root, "mail_errors")
+        self.schema_path = os.path.join(root, "_schema")
+
+    def create_if_absent(self, schema: T.StructType | None = None) -> bool:
+        """K3: create the (empty) log table with the caller's schema, else the default
+        mail schema, plus the log columns; an existing table is never altered.
+        Returns True when the table was created."""
+        if self.exists():
+            return False
+        from mailframe.schema import MAIL
+
+        base = schema or self.schema or MAIL
+        fields = list(base.fields)
+        names = {f.name for f in fields}
+        for name, dtype in (("folder_uri", T.StringType()), ("op", T.StringType()), ("seq", T.IntegerType()),
+                            ("version", T.LongType())):
+            if name not in names:
+                fields.append(T.StructField(name, dtype))
+        empty = self.spark.createDataFrame([], T.StructType(fields))
+        # an empty partitioned write leaves no data file, so the schema is kept beside the log
+        empty.write.mode("overwrite").parquet(self.schema_path)
+        empty.write.mode("overwrite").partitionBy("version").parquet(self.log_path)
+        return True
 
     # K3: the table exists once something is written; the schema is never altered.
     def exists(self) -> bool:
@@ -134,6 +156,8 @@ class MailStore:
         )
 
     def log(self) -> DataFrame:
+        if self._path_exists(self.schema_path):  # created with a fixed schema (K3)
+            return self.spark.read.schema(self.spark.read.parquet(self.schema_path).schema).parquet(self.log_path)
         return self.spark.read.parquet(self.log_path)
 
     def view(self) -> DataFrame:

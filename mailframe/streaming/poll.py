@@ -29,6 +29,7 @@ from pyspark.sql import types as T
 from mailframe.operators import store as st
 from mailframe.operators import sync
 from mailframe.schema import LISTING
+from mailframe.sources.accounts import index_name
 from mailframe.session import checkpoint_path
 
 LANDING_SCHEMA = T.StructType(LISTING.fields + [T.StructField("uid_validity", T.LongType())])
@@ -138,8 +139,13 @@ class PollJob:
         from mailframe.operators.documents import fetch_documents
         from mailframe.options import MailOptions
 
+        opts = self.options or MailOptions()
         raw = self.spark.read.parquet(self.raw_path)
-        docs, errors = fetch_documents(changes, raw, self.options or MailOptions())
+        docs, errors = fetch_documents(changes, raw, opts)
+        if "account" in changes.columns:  # K10: target index per account
+            accounts = changes.select("folder_uri", "account").distinct()
+            docs = docs.join(accounts, "folder_uri", "left").withColumn(
+                "index_name", index_name(opts.mail_index_name_strategy, F.col("account"), opts.mail_index_name))
         self.store.append_errors(errors, version)
         others = changes.filter(F.col("op") != sync.OP_UPSERT)
         return others.unionByName(docs, allowMissingColumns=True)

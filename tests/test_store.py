@@ -64,3 +64,15 @@ def test_processing_time_trigger(spark, scratch):
     finally:
         q.stop()
     assert ms.view().count() == 5
+
+
+def test_create_if_absent_never_alters(spark, scratch):
+    from pyspark.sql import types as T
+
+    ms = MailStore(spark, os.path.join(scratch, "store"))
+    custom = T.StructType([T.StructField("doc_id", T.StringType()), T.StructField("subject", T.StringType())])
+    assert ms.create_if_absent(custom)
+    assert not ms.create_if_absent()  # present: left as it is
+    cols = set(ms.log().columns)
+    assert {"doc_id", "subject", "op", "seq", "version", "folder_uri"} <= cols and "textContent" not in cols
+    assert ms.view().count() == 0

@@ -138,8 +138,8 @@ def test_poll_with_bodies_parses_and_records_errors(spark, scratch):
     _snapshot(spark, landing_rows).coalesce(1).write.mode("append").parquet(s.landing)
     q = start_poll(spark, s.landing, s.store, once=True, checkpoint=s.ckpt, name="bodies1", raw_path=raw_path)
     q.awaitTermination(300)
-    view = {r.uid: (r.subject, r.textContent) for r in s.store.view().collect()}
-    assert view == {u: (f"m{u}", f"body {u}") for u in (1, 2, 3, 5)}
+    view = {r.uid: (r.subject, r.textContent, r.index_name) for r in s.store.view().collect()}
+    assert view == {u: (f"m{u}", f"body {u}", "imapriverdata") for u in (1, 2, 3, 5)}
     errs = s.store.errors().collect()
     assert [(e.message_id, e.error_msg) for e in errs] == [(f"4::{_uri('INBOX')}", "Endless recursion detected")]
     # second poll: 6, 7 new; 1 expunged
