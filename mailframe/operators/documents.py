@@ -46,12 +46,12 @@ def to_documents(parsed: DataFrame, options: MailOptions = MailOptions(), carry:
         (text if options.with_text_content else F.lit(None).cast("string")).alias("textContent"),
         (F.col("html_content") if options.with_html_content else F.lit(None).cast("string")).alias("htmlContent"),
     ]
-    if "flags_bits" in parsed.columns:
-        bits = F.coalesce(cols["flags_bits"].cast("bigint"), F.lit(0))
-        out += [doc.flag_names(bits, cols["user_flags"]).alias("flags"),
-                doc.flag_hash(bits, cols["user_flags"]).alias("flaghashcode")]
-    else:
+    if "flaghashcode" in parsed.columns and "flags_bits" not in parsed.columns:
         out += [F.col("flaghashcode").cast("int").alias("flaghashcode")]
+    else:  # no flags known -> no flag set
+        bits = F.coalesce(cols["flags_bits"].cast("bigint"), F.lit(0).cast("bigint"))
+        user = cols["user_flags"] if "user_flags" in parsed.columns else None
+        out += [doc.flag_names(bits, user).alias("flags"), doc.flag_hash(bits, user).alias("flaghashcode")]
     out += [F.col(c) for c in carry]
     if options.with_attachments:
         atts = doc.attachments("parts")
@@ -97,3 +97,25 @@ def fetch_documents(changes: DataFrame, raw: DataFrame, options: MailOptions = M
         F.concat(F.col("uid").cast("string"), F.lit("::"), F.col("folder_uri")).alias("message_id"),
         "folder_uri", F.col("error").alias("error_msg"))
     return docs, errors
+
+
+def export_json(docs: DataFrame) -> DataFrame:
+    """One JSON text per document, as the store receives it.
+
+    Dates use the export format, selected ``header_*`` fields sit at top level, bytes
+    are unbroken base64, null fields are written.
+    """
+    date_cols = {"sentDate", "receivedDate"}
+    fields = []
+    for c in docs.columns:
+        if c == "doc_id":
+            continue
+        if c in date_cols:
+            fields.append(doc.export_date(c).alias(c))
+        elif c == "attachments":
+            fields.append(F.transform(c, lambda a: F.struct(
+                doc.base64_unbroken(a["content"]).alias("content"), a["contentType"].alias("contentType"),
+                a["filename"].alias("filename"), a["name"].alias("name"), a["size"].alias("size"))).alias(c))
+        else:
+            fields.append(F.col(c))
+    return docs.select("doc_id", doc.document_json(*fields).alias("json"))
