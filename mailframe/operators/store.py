@@ -19,6 +19,16 @@ from mailframe.functions.keys import doc_id as doc_id_col
 from mailframe.operators.sync import OP_CLEAR, OP_DELETE, OP_UPSERT, SEQ_NEW
 
 LOG_META = ["op", "version", "seq"]
+PARTITION_COLUMNS = ["version", "fbucket"]
+# Fixed value: number of folder hash buckets the log is partitioned by.
+FOLDER_BUCKETS = 64
+
+
+def folder_bucket(folder_uri="folder_uri"):
+    """Hash bucket of a folder: the log's second partition column, so a poll of some
+    folders reads only their buckets (dynamic partition pruning on the join)."""
+    c = F.col(folder_uri) if isinstance(folder_uri, str) else folder_uri
+    return F.pmod(F.xxhash64(c), F.lit(FOLDER_BUCKETS)).cast("int")
 
 
 def with_doc_id(df: DataFrame) -> DataFrame:
@@ -83,7 +93,7 @@ def current_view(log: DataFrame) -> DataFrame:
     visible = latest.filter(F.col("op") == OP_UPSERT).join(clears, "folder_uri", "left").filter(
         F.col("_clear").isNull() | (F.struct(F.col("version"), F.col("seq")) > F.col("_clear"))
     )
-    return visible.drop("_clear", *LOG_META)
+    return visible.drop("_clear", *LOG_META, *(["fbucket"] if "fbucket" in visible.columns else []))
 
 
 def union_log(*parts: DataFrame) -> DataFrame:
@@ -114,6 +124,9 @@ class MailStore:
         self.state_path = os.path.join(root, "folder_state")
         self.errors_path = os.path.join(root, "mail_errors")
         self.schema_path = os.path.join(root, "_schema")
+        self.pointer_path = os.path.join(root, "_current_log")
+        if self._path_exists(self.pointer_path):  # set by compaction
+            self.log_path = spark.read.text(self.pointer_path).first()[0]
 
     def create_if_absent(self, schema: T.StructType | None = None) -> bool:
         """K3: create the (empty) log table with the caller's schema, else the default
@@ -127,13 +140,13 @@ class MailStore:
         fields = list(base.fields)
         names = {f.name for f in fields}
         for name, dtype in (("folder_uri", T.StringType()), ("op", T.StringType()), ("seq", T.IntegerType()),
-                            ("version", T.LongType())):
+                            ("version", T.LongType()), ("fbucket", T.IntegerType())):
             if name not in names:
                 fields.append(T.StructField(name, dtype))
         empty = self.spark.createDataFrame([], T.StructType(fields))
         # an empty partitioned write leaves no data file, so the schema is kept beside the log
         empty.write.mode("overwrite").parquet(self.schema_path)
-        empty.write.mode("overwrite").partitionBy("version").parquet(self.log_path)
+        empty.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(self.log_path)
         return True
 
     # K3: the table exists once something is written; the schema is never altered.
@@ -147,11 +160,17 @@ class MailStore:
         return path.getFileSystem(conf).exists(path)
 
     def append(self, log_rows: DataFrame) -> None:
-        """K1 / K2: write one batch of log rows; partition by version for replay safety."""
+        """K1 / K2: write one batch of log rows.
+
+        Partitioned by (version, folder bucket): a replayed batch overwrites exactly its
+        own partitions (T4), and a poll reads only the buckets of its folders.
+        """
+        if "fbucket" not in log_rows.columns:
+            log_rows = log_rows.withColumn("fbucket", folder_bucket())
         (
             log_rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
-            .partitionBy("version")
+            .partitionBy(*PARTITION_COLUMNS)
             .parquet(self.log_path)
         )
 
@@ -170,13 +189,16 @@ class MailStore:
         a new partition first, then older partitions are replaced.
         """
         live = self.view().withColumn("op", F.lit(OP_UPSERT)).withColumn("seq", F.lit(SEQ_NEW))
-        live = live.withColumn("version", F.lit(upto_version).cast("bigint"))
+        live = live.withColumn("version", F.lit(upto_version).cast("bigint")).withColumn("fbucket", folder_bucket())
         staged = os.path.join(self.root, f"compact-{upto_version}")
         live.write.mode("overwrite").parquet(staged)
         older = self.log().filter(F.col("version") > upto_version)
         compacted = self.spark.read.parquet(staged).unionByName(older, allowMissingColumns=True)
-        compacted.write.mode("overwrite").partitionBy("version").parquet(self.log_path + f"-c{upto_version}")
-        self.log_path = self.log_path + f"-c{upto_version}"
+        new_path = os.path.join(self.root, f"log-c{upto_version}")
+        compacted.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(new_path)
+        # switch readers over only after the new log is complete
+        self.spark.createDataFrame([(new_path,)], "p string").coalesce(1).write.mode("overwrite").text(self.pointer_path)
+        self.log_path = new_path
 
     # K7: folder state, one row per folder, latest write wins.
     def write_state(self, state: DataFrame, version: int) -> None:

@@ -98,8 +98,10 @@ class PollJob:
         """
         if not self.store.exists():
             return None, _empty_state(self.spark)
+        # at most FOLDER_BUCKETS values: a static partition filter prunes the other buckets
+        buckets = sorted(r[0] for r in folders.select(st.folder_bucket().alias("b")).distinct().collect())
         log = (
-            self.store.log().filter(F.col("version") < version)
+            self.store.log().filter((F.col("version") < version) & F.col("fbucket").isin(buckets))
             .select("doc_id", "folder_uri", "uid", "flaghashcode", "op", "version", "seq")
             .join(folders.select("folder_uri"), "folder_uri", "left_semi")
         )

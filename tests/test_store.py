@@ -41,6 +41,26 @@ def test_append_is_idempotent_per_version_and_compaction_keeps_view(spark, scrat
     ms.compact(upto_version=2)
     assert sorted(r.uid for r in ms.view().collect()) == before
     assert ms.log().filter(F.col("op") == "delete").count() == 0
+    again = MailStore(spark, os.path.join(scratch, "store"))  # a new reader follows the compacted log
+    assert again.log_path == ms.log_path and sorted(r.uid for r in again.view().collect()) == before
+
+
+def test_poll_reads_only_buckets_of_polled_folders(spark, scratch):
+    from mailframe.operators.store import folder_bucket
+    from mailframe.streaming.poll import PollJob
+
+    ms = MailStore(spark, os.path.join(scratch, "store"))
+    rows = [(f"imap://a@x/F{i}", u, 0) for i in range(40) for u in range(1, 4)]
+    ms.append(st.initial_load(_rows(spark, rows), version=0))
+    folders = spark.createDataFrame([("imap://a@x/F3",)], "folder_uri string")
+    view, _ = PollJob(spark, ms)._prior(1, folders)
+    plan = view._jdf.queryExecution().executedPlan().toString()
+    scan = [ln for ln in plan.splitlines() if "FileScan parquet" in ln and "/log" in ln][0]
+    assert "fbucket" in scan.split("PartitionFilters:")[1].split("PushedFilters")[0], scan
+    assert sorted(r.uid for r in view.collect()) == [1, 2, 3]
+    n_buckets = spark.createDataFrame(rows, "folder_uri string, uid bigint, h int") \
+        .select(folder_bucket()).distinct().count()
+    assert n_buckets > 1
 
 
 def test_error_sink_last_error_wins(spark, scratch):
