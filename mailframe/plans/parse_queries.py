@@ -67,7 +67,7 @@ SELECT 'imap://reader%40example.com@mail.example.com/' || lang AS folderUri,
        CASE WHEN doc_id % 2 = 0 THEN 'Seen' ELSE '' END AS flags,
        CAST(CASE WHEN doc_id % 2 = 0 THEN 32 ELSE 0 END AS INTEGER) AS flaghashcode,
        CASE WHEN doc_id % {UNKNOWN_CHARSET_EVERY} = 0 THEN NULL
-            ELSE length(regexp_replace(text, '<[^\\n\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]*?>', '', 'g')) END AS text_length
+            ELSE CAST(length(regexp_replace(text, '<[^\\n\\r\\x{{85}}\\x{{2028}}\\x{{2029}}]*?>', '', 'g')) AS INTEGER) END AS text_length
 FROM documents WHERE doc_id % {TOO_DEEP_EVERY} <> 0""")
 def mail_documents(spark, sf_dir):
     """P1 -> P2..P21: parsed messages plus listing metadata assembled into store documents."""

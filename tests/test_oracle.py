@@ -32,3 +32,17 @@ def test_entry_smoke(spark):
     df = e.entry(spark)
     assert df.count() > 0
     assert set(e.queries()) == set(e.oracle_sql())
+
+
+SPARK_TO_DUCK = {"LongType": "BIGINT", "IntegerType": "INTEGER", "StringType": "VARCHAR", "BooleanType": "BOOLEAN",
+                 "DoubleType": "DOUBLE", "TimestampNTZType": "TIMESTAMP"}
+
+
+@pytest.mark.parametrize("name", sorted(set(ORACLE_SQL) - {"store_after_stream"}))
+def test_column_types_match_oracle(spark, name):
+    from tests.conftest import SF_SMALL
+
+    df = QUERIES[name](spark, SF_SMALL)
+    spark_types = {f.name: SPARK_TO_DUCK.get(type(f.dataType).__name__, str(f.dataType)) for f in df.schema.fields}
+    duck_types = {r[0]: r[1] for r in duck(SF_SMALL).execute("DESCRIBE " + ORACLE_SQL[name]).fetchall()}
+    assert spark_types == duck_types
