@@ -28,6 +28,8 @@ def get_session(cpus: int | str = "*", app: str = "mailframe", shuffle_partition
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         # rows carry whole message bodies: keep Arrow batches small in P1
         .config("spark.sql.execution.arrow.maxRecordsPerBatch", "2000")
+        # ... and by bytes, so a batch of messages with large attachments stays bounded
+        .config("spark.sql.execution.arrow.maxBytesPerBatch", str(64 << 20))
         .config("spark.driver.memory", "16g")
         .getOrCreate()
     )
