@@ -91,10 +91,11 @@ def fetch_documents(changes: DataFrame, raw: DataFrame, options: MailOptions = M
     parsed = parse_messages(joined, keep=keep, with_text=options.with_text_content,
                             with_html=options.with_html_content, prefer_html=options.prefer_html_content,
                             with_attachments=options.with_attachments)
-    carry = [c for c in ("op", "version", "seq") if c in keep]
+    carry = [c for c in ("op", "version", "seq", "account", "index_name", "pop_id") if c in keep]
     docs = to_documents(parsed, options, carry=carry).withColumnRenamed("folderUri", "folder_uri")
+    key = F.col("pop_id") if "pop_id" in keys else F.col("uid").cast("string")
     errors = parsed.filter(F.col("error").isNotNull()).select(
-        F.concat(F.col("uid").cast("string"), F.lit("::"), F.col("folder_uri")).alias("message_id"),
+        F.concat(key, F.lit("::"), F.col("folder_uri")).alias("message_id"),
         "folder_uri", F.col("error").alias("error_msg"))
     return docs, errors
 

@@ -53,7 +53,8 @@ def advance_state(plan: DataFrame, folders: DataFrame, new_rows: DataFrame, stat
     is ``exists = true``.
     """
     now = F.current_timestamp()
-    agg = new_rows.groupBy("folder_uri").agg(F.max("uid").alias("_max"), F.count(F.lit(1)).alias("_n"))
+    uid = F.col("uid") if "uid" in new_rows.columns else F.lit(None).cast("bigint")  # POP has no UIDs
+    agg = new_rows.groupBy("folder_uri").agg(F.max(uid).alias("_max"), F.count(F.lit(1)).alias("_n"))
     old = state.select(*[F.col(c).alias("_o_" + c) if c != "folder_uri" else F.col(c) for c in STATE_COLUMNS])
     j = (
         plan.select("folder_uri", "mode")
@@ -70,7 +71,8 @@ def advance_state(plan: DataFrame, folders: DataFrame, new_rows: DataFrame, stat
         F.coalesce(F.col("account"), F.col("_o_account")).alias("account"),
         (~vanished).alias("exists"),
         F.when(vanished, F.col("_o_uid_validity")).otherwise(F.col("uid_validity")).alias("uid_validity"),
-        F.when(n > 0, F.greatest(prev_uid, F.col("_max"))).otherwise(prev_uid).cast("bigint").alias("last_uid"),
+        F.when(n > 0, F.greatest(prev_uid, F.coalesce(F.col("_max"), prev_uid))).otherwise(prev_uid)
+        .cast("bigint").alias("last_uid"),
         F.when(n > 0, n).otherwise(F.when(full, F.lit(-1)).otherwise(F.coalesce("_o_last_count", F.lit(-1))))
         .cast("bigint").alias("last_count"),
         F.when(n > 0, now).otherwise(F.col("_o_last_indexed")).alias("last_indexed"),
@@ -83,12 +85,17 @@ class PollJob:
 
     def __init__(self, spark: SparkSession, mail_store: st.MailStore,
                  switches: sync.PollSwitches = sync.PollSwitches(), raw_path: str | None = None,
-                 options=None):
+                 options=None, pop: bool = False, pop_by_number: bool = False):
+        from mailframe.options import MailOptions
+
         self.spark = spark
         self.store = mail_store
         self.switches = switches
-        self.raw_path = raw_path  # landing table of raw messages (folder_uri, uid, raw)
-        self.options = options
+        self.raw_path = raw_path  # landing table of raw messages (folder_uri, uid | pop_id, raw)
+        self.options = options or MailOptions()
+        self.pop = pop  # POP rules: key pop_id, no flags, no UID validity (S13)
+        self.pop_by_number = pop_by_number
+        self.key = "pop_id" if pop else "uid"
 
     def _prior(self, version: int, folders: DataFrame) -> tuple[DataFrame | None, DataFrame]:
         """Store view and state as of the versions before ``version``.
@@ -102,7 +109,7 @@ class PollJob:
         buckets = sorted(r[0] for r in folders.select(st.folder_bucket().alias("b")).distinct().collect())
         log = (
             self.store.log().filter((F.col("version") < version) & F.col("fbucket").isin(buckets))
-            .select("doc_id", "folder_uri", "uid", "flaghashcode", "op", "version", "seq")
+            .select("doc_id", "folder_uri", self.key, *([] if self.pop else ["flaghashcode"]), "op", "version", "seq")
             .join(folders.select("folder_uri"), "folder_uri", "left_semi")
         )
         state = self.store.state_before(version)
@@ -117,19 +124,29 @@ class PollJob:
                 F.max("uid_validity").alias("uid_validity"),
             )
             accounts = folders.select("account").distinct()
-            listing = batch.filter(F.col("uid").isNotNull()).drop("uid_validity", "pop_id", "msg_num")
+            drop = ["uid_validity", "uid"] if self.pop else ["uid_validity", "pop_id", "msg_num"]
+            listing = batch.filter(F.col(self.key).isNotNull()).drop(*drop)
             view, state = self._prior(version, folders)
             # only accounts listed in this batch can have vanished folders
             state = state.join(accounts, "account", "left_semi")
             if view is None:
-                view = listing.select("folder_uri", "uid", "flaghashcode").limit(0)
-            changes = sync.imap_poll(view, listing, folders, state, version, self.switches)
+                view = listing.select("folder_uri", self.key, *([] if self.pop else ["flaghashcode"])).limit(0)
+            if self.pop:
+                changes = sync.pop_poll(view, listing, folders, version, self.switches, self.pop_by_number)
+            else:
+                changes = sync.imap_poll(view, listing, folders, state, version, self.switches)
+            # Target index per account
+            changes = changes.withColumn("index_name", index_name(
+                self.options.mail_index_name_strategy, F.col("account"), self.options.mail_index_name))
             if self.raw_path is not None:
                 changes = self._with_bodies(changes, version)
             self.store.append(st.as_log(changes))
             written = self.store.log().filter(F.col("version") == version)
             new_rows = written.filter((F.col("op") == sync.OP_UPSERT) & (F.col("seq") == sync.SEQ_NEW))
             plan = sync.resync_plan(folders, state)
+            if self.pop:  # POP has no UID validity: known folders are incremental
+                plan = plan.withColumn("mode", F.when(F.col("mode") == sync.MODE_RESYNC, F.lit(sync.MODE_INCREMENTAL))
+                                       .otherwise(F.col("mode")))
             if not self.switches.delete_expunged:
                 plan = plan.filter(F.col("mode") != sync.MODE_VANISHED)
             self.store.write_state(advance_state(plan, folders, new_rows, state), version)
@@ -139,15 +156,9 @@ class PollJob:
     def _with_bodies(self, changes: DataFrame, version: int) -> DataFrame:
         """Replace upsert rows by parsed documents; record parse failures (K8, P20)."""
         from mailframe.operators.documents import fetch_documents
-        from mailframe.options import MailOptions
 
-        opts = self.options or MailOptions()
         raw = self.spark.read.parquet(self.raw_path)
-        docs, errors = fetch_documents(changes, raw, opts)
-        if "account" in changes.columns:  # K10: target index per account
-            accounts = changes.select("folder_uri", "account").distinct()
-            docs = docs.join(accounts, "folder_uri", "left").withColumn(
-                "index_name", index_name(opts.mail_index_name_strategy, F.col("account"), opts.mail_index_name))
+        docs, errors = fetch_documents(changes, raw, self.options, keys=("folder_uri", self.key))
         self.store.append_errors(errors, version)
         others = changes.filter(F.col("op") != sync.OP_UPSERT)
         return others.unionByName(docs, allowMissingColumns=True)
@@ -156,7 +167,8 @@ class PollJob:
 def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
                interval: str | None = "60 seconds", once: bool = False,
                switches: sync.PollSwitches = sync.PollSwitches(), name: str = "mail-poll",
-               checkpoint: str | None = None, raw_path: str | None = None, options=None):
+               checkpoint: str | None = None, raw_path: str | None = None, options=None,
+               pop: bool = False, pop_by_number: bool = False):
     """Start the polling query: ``once=True`` drains what has landed and stops.
 
     With ``raw_path`` the upserted messages are fetched from that raw landing table,
@@ -164,7 +176,8 @@ def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
     """
     stream = spark.readStream.schema(LANDING_SCHEMA).parquet(landing)
     ckpt = checkpoint or checkpoint_path(spark, os.path.join("streams", name))
-    job = PollJob(spark, mail_store, switches, raw_path=raw_path, options=options)
+    job = PollJob(spark, mail_store, switches, raw_path=raw_path, options=options, pop=pop,
+                  pop_by_number=pop_by_number)
     writer = stream.writeStream.foreachBatch(job).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
     return writer.queryName(name).start()

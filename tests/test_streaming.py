@@ -18,30 +18,54 @@ def _uri(folder):
     return f"imap://es_imapriver_unittest%40localhost@localhost/{folder}"
 
 
-def _snapshot(spark, holdings, validity=1, account=ACCOUNT):
-    """holdings: {folder: [uids]} -> listing rows, plus one marker row per folder."""
+def _uri_of(account, folder):
+    user, host = account.split("@")
+    return f"imap://{user}%40{host}@localhost/{folder}"
+
+
+def _snapshot(spark, holdings, validity=1, account=ACCOUNT, pop=False):
+    """holdings: {folder: [uids]} -> listing rows, plus one marker row per folder.
+
+    POP rows carry the UIDL 'U<uid>' and the positional message number instead of a UID."""
     rows = []
     t0 = dt.datetime(2024, 1, 1)
     for folder, uids in holdings.items():
-        rows.append((account, folder, _uri(folder), None, None, None, None, None, validity))
-        for u in uids:
-            rows.append((account, folder, _uri(folder), u, None, None, u % 64, t0 + dt.timedelta(minutes=u), validity))
+        uri = _uri_of(account, folder)
+        rows.append((account, folder, uri, None, None, None, None, None, validity))
+        for n, u in enumerate(sorted(uids), start=1):
+            if pop:
+                rows.append((account, folder, uri, None, f"U{u}", n, 0, t0 + dt.timedelta(minutes=u), None))
+            else:
+                rows.append((account, folder, uri, u, None, None, u % 64, t0 + dt.timedelta(minutes=u), validity))
     return spark.createDataFrame(rows, LANDING_SCHEMA)
 
 
 class Scenario:
-    def __init__(self, spark, root, switches=sync.PollSwitches()):
+    def __init__(self, spark, root, switches=sync.PollSwitches(), pop=False, options=None):
         self.spark = spark
         self.landing = os.path.join(root, "landing")
         self.store = MailStore(spark, os.path.join(root, "store"))
         self.ckpt = os.path.join(root, "ckpt")
         self.switches = switches
+        self.pop = pop
+        self.options = options
         self.n = 0
 
+    def land(self, holdings, validity=1, account=ACCOUNT):
+        _snapshot(self.spark, holdings, validity, account, self.pop).coalesce(1).write.mode("append") \
+            .parquet(self.landing)
+
+    def run(self):
+        q = start_poll(self.spark, self.landing, self.store, once=True, switches=self.switches,
+                       checkpoint=self.ckpt, name=f"poll{id(self)}_{self.n}", pop=self.pop, options=self.options)
+        self.n += 1
+        q.awaitTermination(300)
+        return self.store.view().count()
+
     def poll(self, holdings, validity=1):
-        _snapshot(self.spark, holdings, validity).coalesce(1).write.mode("append").parquet(self.landing)
+        self.land(holdings, validity)
         q = start_poll(self.spark, self.landing, self.store, once=True, switches=self.switches,
-                       checkpoint=self.ckpt, name=f"poll{id(self)}_{self.n}")
+                       checkpoint=self.ckpt, name=f"poll{id(self)}_{self.n}", pop=self.pop, options=self.options)
         self.n += 1
         q.awaitTermination(300)
         return self.store.view().count()
@@ -147,3 +171,48 @@ def test_poll_with_bodies_parses_and_records_errors(spark, scratch):
     q = start_poll(spark, s.landing, s.store, once=True, checkpoint=s.ckpt, name="bodies2", raw_path=raw_path)
     q.awaitTermination(300)
     assert sorted(r.uid for r in s.store.view().collect()) == [2, 3, 5, 6, 7]
+
+
+
+def test_mass_scenario(spark, scratch):
+    s = Scenario(spark, scratch)
+    assert s.poll({"INBOX": list(range(1, 51))}) == 50
+    assert s.poll({"INBOX": list(range(1, 101))}) == 100
+
+
+def test_pop_delete_scenario(spark, scratch):
+    """POP: 10 put, 3 deleted, 5 put, 2 deleted -> 10 (reference counts)."""
+    s = Scenario(spark, scratch, pop=True)
+    held = list(range(1, 11))
+    assert s.poll({"INBOX": held}) == 10
+    held = [u for u in held if u not in (1, 4, 9)]
+    assert s.poll({"INBOX": held}) == 7
+    held += list(range(11, 16))
+    assert s.poll({"INBOX": held}) == 12
+    held = [u for u in held if u not in (2, 12)]
+    assert s.poll({"INBOX": held}) == 10
+    assert {r.doc_id.split("::")[0] for r in s.store.view().collect()} == {f"U{u}" for u in held}
+
+
+def test_multi_account_routing(spark, scratch):
+    """3 accounts, 50 + 5 messages each, username_crop: 165 rows over three index names."""
+    from mailframe.options import MailOptions
+
+    s = Scenario(spark, scratch, options=MailOptions(mail_index_name_strategy="username_crop"))
+    accounts = [f"es_imapriver_unittest{i}@localhost" for i in ("", "2", "3")]
+    for a in accounts:
+        s.land({"INBOX": list(range(1, 51))}, account=a)
+    assert s.run() == 150
+    for a in accounts:
+        s.land({"INBOX": list(range(1, 56))}, account=a)
+    assert s.run() == 165
+    counts = {r.index_name: r["count"] for r in s.store.view().groupBy("index_name").count().collect()}
+    assert counts == {a.split("@")[0]: 55 for a in accounts}
+
+
+def test_two_stores_each_keep_state(spark, scratch):
+    a = Scenario(spark, os.path.join(scratch, "a"))
+    b = Scenario(spark, os.path.join(scratch, "b"))
+    assert a.poll({"INBOX": [1, 2, 3, 4, 5]}) == 5
+    assert b.poll({"INBOX": [1, 2, 3, 4, 5]}) == 5
+    assert a.store.state().count() == 1 and b.store.state().count() == 1
