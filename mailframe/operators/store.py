@@ -108,12 +108,14 @@ def union_log(*parts: DataFrame) -> DataFrame:
 
 
 class MailStore:
-    """A change log on shared storage, partitioned by ``index_name``.
+    """A change log on shared storage, partitioned by (``version``, folder bucket),
+    plus the folder-state and error tables (K1-K8).
 
     ``root`` must be a shared folder (the cluster's storage, never a machine-local
     one).  Writes are appends of one batch's rows, tagged with ``version``; a batch
-    written twice is removed first by overwriting its own partition, so replays
-    are idempotent (T4).
+    written twice overwrites its own partitions, so replays are idempotent (T4).
+    Documents carry ``index_name`` (K10), so one store serves every account and
+    ``restrict(index_name=…)`` selects one target table.
     """
 
     def __init__(self, spark: SparkSession, root: str, schema: T.StructType | None = None):

@@ -122,8 +122,9 @@ def pop_expunged(stored: DataFrame, listing: DataFrame, folders: DataFrame | Non
 
 
 def vanished_folders(stored_folders: DataFrame, server_folders: DataFrame,
-                     on: list[str] = ["account", "folder_full_name"]) -> DataFrame:
+                     on: tuple[str, ...] = ("account", "folder_full_name")) -> DataFrame:
     """Stored folder names the server no longer has (per account)."""
+    on = list(on)
     return stored_folders.select(*on).distinct().join(server_folders.select(*on), on, "left_anti")
 
 

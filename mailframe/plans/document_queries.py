@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from mailframe.functions import document as doc
-from mailframe.functions.keys import doc_id, mailbox_type
+from mailframe.functions.keys import doc_id, key_from_doc_id, mailbox_type, uid_from_doc_id
 from mailframe.operators.folders import folder_tree, select_folders
 from mailframe.operators.text_choice import choose_text
 from mailframe.plans.registry import register
@@ -82,8 +82,6 @@ def document_ids(spark, sf_dir):
     """Q03 (P4, P5, P6, S6): document ids of IMAP and POP messages and the key read back from them."""
     imap = fx.mailbox(spark, sf_dir).select("uid", F.lit(None).cast("string").alias("pop_id"), "folder_uri")
     pop = fx.pop_server(spark, sf_dir).select(F.lit(0).cast("bigint").alias("uid"), "pop_id", "folder_uri")
-    from mailframe.functions.keys import key_from_doc_id, uid_from_doc_id
-
     rows = imap.unionByName(pop).withColumn("doc_id", doc_id("uid", "pop_id", "folder_uri"))
     return rows.select(
         "doc_id",
