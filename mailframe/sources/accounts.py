@@ -34,11 +34,13 @@ def accounts_from_directory(export: DataFrame, dn: str = "dn", name_attr: str =
     login is the value of the first RDN of the entry's DN; with a master user
     set the login becomes ``<login>*<master>``.
     """
-    first_rdn = F.split(_c(dn), ",").getItem(0)
-    value = F.trim(F.substring_index(first_rdn, "=", -1))
-    value = F.when(F.instr(first_rdn, "=") > 0, value)
-    login = F.concat(value, F.lit("*" + master)) if master else value
-    return export.filter(_c(name_attr).isNotNull()).withColumn("login", login)
+    # Fixed value: separator between a login and the master user.
+    master_sep = "*"
+    first_rdn = F.substring_index(_c(dn), ",", 1)
+    value = F.try_element_at(F.split(first_rdn, "="), F.lit(2))  # the text after the first '='
+    login = F.concat(value, F.lit(master_sep + master)) if master else value
+    # an entry whose name has no '=' yields no login
+    return export.filter(_c(name_attr).isNotNull()).withColumn("login", login).filter(F.col("login").isNotNull())
 
 
 def mailbox_kind(protocol: str | Column) -> Column:

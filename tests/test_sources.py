@@ -27,10 +27,11 @@ def test_accounts_from_settings_file(spark, scratch):
 
 
 def test_accounts_from_directory_export(spark):
-    e = spark.createDataFrame([("uid=alice,ou=p,dc=x", "Alice"), ("uid=bob,ou=p,dc=x", None), ("cn=carol", "C")],
-                              "dn string, name string")
+    e = spark.createDataFrame([("uid=alice,ou=p,dc=x", "Alice"), ("uid=bob,ou=p,dc=x", None), ("cn=carol", "C"),
+                               ("uid=d=e,ou=p", "D"), ("noequals", "N")], "dn string, name string")
     got = sorted(r.login for r in acc.accounts_from_directory(e, master="adm").collect())
-    assert got == ["alice*adm", "carol*adm"]
+    assert got == ["alice*adm", "carol*adm", "d*adm"]
+    assert sorted(r.login for r in acc.accounts_from_directory(e).collect()) == ["alice", "carol", "d"]
 
 
 
