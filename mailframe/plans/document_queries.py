@@ -320,7 +320,7 @@ WITH a AS (SELECT c_custkey,
                   {_sql_list(PROTOCOLS)}[c_nationkey % {len(PROTOCOLS)} + 1] AS protocol
            FROM customer)
 SELECT c_custkey, account, strategy,
-       CASE WHEN contains(lower(CASE WHEN trim(protocol) = '' THEN 'imaps' ELSE protocol END), 'imap')
+       CASE WHEN contains(lower(CASE WHEN protocol = '' THEN 'imaps' ELSE protocol END), 'imap')
             THEN 'IMAP' ELSE 'POP' END AS mailbox_type,
        CASE lower(strategy)
             WHEN 'all_in_one' THEN 'imapriverdata'

@@ -19,8 +19,8 @@ def read_settings(spark: SparkSession, path: str) -> DataFrame:
 
 def accounts_from_settings(settings: DataFrame, user: str = "user", users: str = "users",
                            id_col: str | None = None) -> DataFrame:
-    """``user`` first, then the non-null entries of ``users``, in order, one row each."""
-    first = F.when(_c(user).isNotNull(), F.array(_c(user))).otherwise(F.array().cast("array<string>"))
+    """``user`` first (unless null or empty), then the non-null entries of ``users``, in order."""
+    first = F.when(_c(user).isNotNull() & (_c(user) != ""), F.array(_c(user))).otherwise(F.array().cast("array<string>"))
     rest = F.filter(F.coalesce(_c(users), F.array().cast("array<string>")), lambda x: x.isNotNull())
     keep = [id_col] if id_col else []
     return settings.select(*keep, F.posexplode(F.concat(first, rest)).alias("pos", "account"))
@@ -45,7 +45,7 @@ def accounts_from_directory(export: DataFrame, dn: str = "dn", name_attr: str =
 
 def mailbox_kind(protocol: str | Column) -> Column:
     """A protocol containing 'imap' (any case) -> IMAP rules, otherwise POP; empty -> imaps."""
-    p = F.lower(F.coalesce(F.nullif(F.trim(_c(protocol)), F.lit("")), F.lit(DEFAULT_PROTOCOL)))
+    p = F.lower(F.coalesce(F.nullif(_c(protocol), F.lit("")), F.lit(DEFAULT_PROTOCOL)))
     return F.when(p.contains("imap"), F.lit("IMAP")).otherwise(F.lit("POP"))
 
 
