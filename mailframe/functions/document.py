@@ -111,7 +111,7 @@ def strip_tags(text: str | Column) -> Column:
 def is_attachment(part: Column) -> Column:
     """Disposition 'attachment' (any case) or a non-blank file name."""
     disp = F.coalesce(F.lower(part["disposition"]) == F.lit("attachment"), F.lit(False))
-    named = F.coalesce(F.length(F.trim(part["filename"])) > 0, F.lit(False))
+    named = F.coalesce(part["filename"].rlike(r"\S"), F.lit(False))  # not blank: some non-whitespace char
     return disp | named
 
 
