@@ -65,6 +65,8 @@ def advance_state(plan: DataFrame, folders: DataFrame, new_rows: DataFrame, stat
     full = F.col("mode").isin(sync.MODE_INITIAL, sync.MODE_RESYNC)
     vanished = F.col("mode") == sync.MODE_VANISHED
     n = F.coalesce(F.col("_n"), F.lit(0))
+    # an incremental poll that stored nothing leaves the row as it was (reference rule)
+    touched = full | vanished | (n > 0)
     prev_uid = F.when(full, F.lit(-1)).otherwise(F.coalesce(F.col("_o_last_uid"), F.lit(-1)))
     return j.select(
         "folder_uri",
@@ -73,10 +75,9 @@ def advance_state(plan: DataFrame, folders: DataFrame, new_rows: DataFrame, stat
         F.when(vanished, F.col("_o_uid_validity")).otherwise(F.col("uid_validity")).alias("uid_validity"),
         F.when(n > 0, F.greatest(prev_uid, F.coalesce(F.col("_max"), prev_uid))).otherwise(prev_uid)
         .cast("bigint").alias("last_uid"),
-        F.when(n > 0, n).otherwise(F.when(full, F.lit(-1)).otherwise(F.coalesce("_o_last_count", F.lit(-1))))
-        .cast("bigint").alias("last_count"),
+        F.when(full | (n > 0), n).otherwise(F.coalesce("_o_last_count", F.lit(-1))).cast("bigint").alias("last_count"),
         F.when(n > 0, now).otherwise(F.col("_o_last_indexed")).alias("last_indexed"),
-        now.alias("last_schedule"),
+        F.when(touched, now).otherwise(F.col("_o_last_schedule")).alias("last_schedule"),
     )
 
 

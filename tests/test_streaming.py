@@ -216,3 +216,16 @@ def test_two_stores_each_keep_state(spark, scratch):
     assert a.poll({"INBOX": [1, 2, 3, 4, 5]}) == 5
     assert b.poll({"INBOX": [1, 2, 3, 4, 5]}) == 5
     assert a.store.state().count() == 1 and b.store.state().count() == 1
+
+
+def test_state_untouched_when_nothing_new(spark, scratch):
+    s = Scenario(spark, scratch)
+    assert s.poll({"INBOX": [1, 2, 3]}) == 3
+    before = s.store.state().first()
+    assert s.poll({"INBOX": [1, 2, 3]}) == 3
+    after = s.store.state().first()
+    assert (after.last_uid, after.last_count, after.last_schedule) == (before.last_uid, before.last_count,
+                                                                       before.last_schedule)
+    assert s.poll({"INBOX": [1, 2, 3], "Empty": []}) == 3  # full load of an empty folder: count 0
+    empty = [r for r in s.store.state().collect() if r.folder_uri.endswith("/Empty")][0]
+    assert empty.last_count == 0 and empty.last_uid == -1
