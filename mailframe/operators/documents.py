@@ -86,7 +86,14 @@ def fetch_documents(changes: DataFrame, raw: DataFrame, options: MailOptions = M
 
     keys = list(keys)
     ups = changes.filter(F.col("op") == OP_UPSERT)
-    joined = ups.join(raw.select(*keys, "raw"), keys, "inner")
+    raw = raw.select(*keys, "raw")
+    if "uid" in keys:
+        # new messages are a UID range per folder: a folder-level join cuts the raw
+        # table to those ranges before the message-level join shuffles anything
+        ranges = ups.groupBy("folder_uri").agg(F.min("uid").alias("_lo"), F.max("uid").alias("_hi"))
+        raw = raw.join(ranges, "folder_uri").filter(F.col("uid").between(F.col("_lo"), F.col("_hi"))) \
+            .drop("_lo", "_hi")
+    joined = ups.join(raw, keys, "inner")
     keep = [c for c in joined.columns if c != "raw"]
     parsed = parse_messages(joined, keep=keep, with_text=options.with_text_content,
                             with_html=options.with_html_content, prefer_html=options.prefer_html_content,

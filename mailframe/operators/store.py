@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailframe.functions.keys import doc_id as doc_id_col
-from mailframe.operators.sync import OP_CLEAR, OP_DELETE, OP_UPSERT, SEQ_NEW
+from mailframe.operators.sync import OP_CLEAR, OP_DELETE, OP_FLAGS, OP_UPSERT, SEQ_NEW
 
 LOG_META = ["op", "version", "seq"]
 PARTITION_COLUMNS = ["version", "fbucket"]
@@ -79,12 +79,31 @@ def as_log(changes: DataFrame) -> DataFrame:
     return changes.withColumn("doc_id", F.when(F.col("op") == OP_CLEAR, F.lit(None).cast("string")).otherwise(key))
 
 
+FLAG_COLUMNS = ("flaghashcode", "flags")
+
+
 def current_view(log: DataFrame) -> DataFrame:
-    """L4: the visible table after applying the log in (version, seq) order."""
+    """L4: the visible table after applying the log in (version, seq) order.
+
+    Per ``doc_id`` one partially aggregating pass keeps the latest whole row
+    (upsert or delete) and the latest flags row; flags newer than the row replace
+    its flag columns.
+    """
     payload = [c for c in log.columns if c not in ("doc_id",)]
+    flag_cols = [c for c in FLAG_COLUMNS if c in log.columns]
     order = F.struct(F.col("version"), F.col("seq"))
+    is_flags = F.col("op") == OP_FLAGS
     rows = log.filter(F.col("op") != OP_CLEAR)
-    latest = rows.groupBy("doc_id").agg(F.max_by(F.struct(*payload), order).alias("_r")).select("doc_id", "_r.*")
+    aggs = [F.max_by(F.when(~is_flags, F.struct(*payload)), F.when(~is_flags, order)).alias("_r")]
+    if flag_cols:
+        aggs.append(F.max_by(F.when(is_flags, F.struct(*flag_cols, F.col("version").alias("_fv"), F.col("seq").alias("_fs"))),
+                             F.when(is_flags, order)).alias("_f"))
+    latest = rows.groupBy("doc_id").agg(*aggs).select("doc_id", "_r.*", *(["_f"] if flag_cols else []))
+    if flag_cols:
+        newer = F.col("_f").isNotNull() & (F.struct(F.col("_f._fv"), F.col("_f._fs")) > F.struct("version", "seq"))
+        for c in flag_cols:
+            latest = latest.withColumn(c, F.when(newer, F.col("_f")[c]).otherwise(F.col(c)))
+        latest = latest.drop("_f")
     clears = (
         log.filter(F.col("op") == OP_CLEAR)
         .groupBy("folder_uri")

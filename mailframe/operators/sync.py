@@ -210,6 +210,7 @@ def with_default_state(state: DataFrame) -> DataFrame:
 
 OP_CLEAR = "clear"
 OP_UPSERT = "upsert"
+OP_FLAGS = "flags"  # flag-only change: an IMAP message is immutable except its flags
 OP_DELETE = "delete"
 # order inside one poll: folder clears, flag updates, new rows, expunge deletes
 SEQ_CLEAR, SEQ_FLAGS, SEQ_NEW, SEQ_DELETE = 0, 1, 2, 3
@@ -260,7 +261,9 @@ def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state:
         sto = _non_null(stored, IMAP_KEY).join(plan, "folder_uri", "inner") \
             .filter(F.col("mode") == MODE_INCREMENTAL).drop("mode", "clear_first", "_mark")
     if switches.with_flag_sync:
-        parts.append(tag(flag_changes(inc_l, sto), OP_UPSERT, SEQ_FLAGS))
+        # the reference re-reads the whole message; its content cannot change, so a
+        # flags row (merged by the current view) gives the same document without a re-parse
+        parts.append(tag(flag_changes(inc_l, sto), OP_FLAGS, SEQ_FLAGS))
     new_rows = lst.filter(
         F.col("mode").isin(MODE_INITIAL, MODE_RESYNC)
         | ((F.col("mode") == MODE_INCREMENTAL) & (F.col("uid") > F.coalesce(F.col("_mark"), F.lit(0))))

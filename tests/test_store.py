@@ -96,3 +96,14 @@ def test_create_if_absent_never_alters(spark, scratch):
     cols = set(ms.log().columns)
     assert {"doc_id", "subject", "op", "seq", "version", "folder_uri"} <= cols and "textContent" not in cols
     assert ms.view().count() == 0
+
+
+def test_flag_rows_merge_onto_latest_document(spark):
+    base = st.initial_load(_rows(spark, [("f", 1, 1), ("f", 2, 1), ("f", 3, 1)]), version=0)
+    flags = _rows(spark, [("f", 1, 7), ("f", 2, 7), ("f", 3, 7)]).withColumn("op", F.lit("flags")) \
+        .withColumn("version", F.lit(1).cast("bigint")).withColumn("seq", F.lit(1))
+    flags = st.with_doc_id(flags)
+    later = st.initial_load(_rows(spark, [("f", 2, 9)]), version=2)  # rewritten after the flags
+    gone = st.delete_keys(_rows(spark, [("f", 3, 0)]), version=2)
+    view = {r.uid: r.flaghashcode for r in st.current_view(st.union_log(base, flags, later, gone)).collect()}
+    assert view == {1: 7, 2: 9}
