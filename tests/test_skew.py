@@ -55,7 +55,7 @@ def test_poll_with_hot_folder_matches_brute_force(spark):
     got = {}
     for r in changes:
         got.setdefault((r.op, r.seq), set()).add((r.folder_uri, r.uid))
-    assert got.get(("upsert", sync.SEQ_FLAGS), set()) == want_flags
+    assert got.get((sync.OP_FLAGS, sync.SEQ_FLAGS), set()) == want_flags
     assert got.get(("upsert", sync.SEQ_NEW), set()) == want_new
     assert got.get(("delete", sync.SEQ_DELETE), set()) == want_del
     assert ("clear", sync.SEQ_CLEAR) not in got
