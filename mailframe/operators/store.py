@@ -255,9 +255,31 @@ class MailStore:
         )
 
     def errors(self) -> DataFrame:
+        """Open errors: the latest row per message, unless that row marks it resolved (null message)."""
         e = self.spark.read.parquet(self.errors_path)
         return (
             e.groupBy("message_id")
             .agg(F.max_by(F.struct("folder_uri", "error_msg", "version"), F.col("version")).alias("_e"))
             .select("message_id", "_e.folder_uri", "_e.error_msg")
+            .filter(F.col("error_msg").isNotNull())
         )
+
+    def retry_errors(self, raw: DataFrame, version: int, options=None) -> int:
+        """Parse the messages of open error rows again from ``raw`` (``folder_uri``, ``uid``,
+        ``raw``); store those that parse now, mark them resolved, keep the rest open.
+        The reference never retries a message whose mark has moved past it."""
+        from mailframe.operators.documents import fetch_documents
+        from mailframe.options import MailOptions
+
+        open_errors = self.errors().select(
+            "folder_uri", F.substring_index("message_id", "::", 1).cast("bigint").alias("uid"), "message_id")
+        changes = open_errors.select("folder_uri", "uid").withColumn("op", F.lit(OP_UPSERT)) \
+            .withColumn("version", F.lit(version).cast("bigint")).withColumn("seq", F.lit(SEQ_NEW))
+        docs, still = fetch_documents(changes, raw, options or MailOptions())
+        self.append(as_log(docs))
+        fixed = self.log().filter(F.col("version") == version).select(
+            F.concat(F.col("uid").cast("string"), F.lit("::"), F.col("folder_uri")).alias("message_id"))
+        resolved = open_errors.join(fixed, "message_id", "left_semi").select(
+            "message_id", "folder_uri", F.lit(None).cast("string").alias("error_msg"))
+        self.append_errors(still.unionByName(resolved), version)
+        return self.errors().count()

@@ -107,3 +107,16 @@ def test_flag_rows_merge_onto_latest_document(spark):
     gone = st.delete_keys(_rows(spark, [("f", 3, 0)]), version=2)
     view = {r.uid: r.flaghashcode for r in st.current_view(st.union_log(base, flags, later, gone)).collect()}
     assert view == {1: 7, 2: 9}
+
+
+def test_retry_errors_stores_fixed_messages(spark, scratch):
+    ms = MailStore(spark, os.path.join(scratch, "store"))
+    e = "message_id string, folder_uri string, error_msg string"
+    ms.append_errors(spark.createDataFrame([("1::f", "f", "boom"), ("2::f", "f", "boom")], e), version=0)
+    deep = b"Content-Type: multipart/mixed; boundary=b0\r\n\r\n" + b"".join(
+        f"--b{i}\r\nContent-Type: multipart/mixed; boundary=b{i + 1}\r\n\r\n".encode() for i in range(101))
+    raw = spark.createDataFrame([("f", 1, b"Subject: ok now\r\n\r\nhi\r\n"), ("f", 2, deep)],
+                                "folder_uri string, uid bigint, raw binary")
+    assert ms.retry_errors(raw, version=1) == 1
+    assert [r.subject for r in ms.view().collect()] == ["ok now"]
+    assert [r.message_id for r in ms.errors().collect()] == ["2::f"]
