@@ -123,6 +123,20 @@ def union_log(*parts: DataFrame) -> DataFrame:
     return out
 
 
+def cluster_by_bucket(rows: DataFrame) -> DataFrame:
+    """Group rows by (folder bucket, hash sub-bucket of the document) before a write.
+
+    Without it every task writes a file into every bucket it holds (tasks x buckets
+    files per version).  With about ``shuffle.partitions / FOLDER_BUCKETS`` sub-buckets
+    the files per version stay near the partition count, and a hot folder (one
+    bucket) still spreads over several tasks.
+    """
+    n = int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    k = max(1, -(-n // FOLDER_BUCKETS))
+    sub = F.pmod(F.xxhash64(F.coalesce(F.col("doc_id"), F.col("folder_uri"))), F.lit(k))
+    return rows.withColumn("_sub", sub).repartition(n, "fbucket", "_sub").drop("_sub")
+
+
 # Persistent store -----------------------------------------------------------
 
 
@@ -188,6 +202,7 @@ class MailStore:
         """
         if "fbucket" not in log_rows.columns:
             log_rows = log_rows.withColumn("fbucket", folder_bucket())
+        log_rows = cluster_by_bucket(log_rows)
         (
             log_rows.write.mode("overwrite")
             .option("partitionOverwriteMode", "dynamic")
