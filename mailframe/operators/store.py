@@ -188,6 +188,21 @@ class MailStore:
     def exists(self) -> bool:
         return self._path_exists(self.log_path)
 
+    def next_version(self) -> int:
+        """One above the highest version in the log (0 for an empty store), from the
+        partition directory names alone (no data is read)."""
+        if not self.exists():
+            return 0
+        jvm = self.spark.sparkContext._jvm
+        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
+        path = jvm.org.apache.hadoop.fs.Path(self.log_path)
+        top = -1
+        for status in path.getFileSystem(conf).listStatus(path):
+            name = status.getPath().getName()
+            if status.isDirectory() and name.startswith("version="):
+                top = max(top, int(name.split("=", 1)[1]))
+        return top + 1
+
     def _path_exists(self, p: str) -> bool:
         jvm = self.spark.sparkContext._jvm
         conf = self.spark.sparkContext._jsc.hadoopConfiguration()

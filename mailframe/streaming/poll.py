@@ -11,7 +11,9 @@ then writes the next folder state in the same version:
 * T2 run once: ``trigger(availableNow=True)``;
 * T3 per-folder state across polls: the ``folder_state`` table;
 * T4 replay safety: a re-run batch overwrites its own ``version`` partition and
-  reads only versions below its own, so it yields the same rows again;
+  reads only versions below its own, so it yields the same rows again; the
+  version is a per-checkpoint offset + batch id, so a new stream on an existing
+  store never reuses a version;
 * T5 one run at a time: micro-batches of one query are serial.
 
 Data is committed before state, so a crash between the two replays the batch.
@@ -86,7 +88,7 @@ class PollJob:
 
     def __init__(self, spark: SparkSession, mail_store: st.MailStore,
                  switches: sync.PollSwitches = sync.PollSwitches(), raw_path: str | None = None,
-                 options=None, pop: bool = False, pop_by_number: bool = False):
+                 options=None, pop: bool = False, pop_by_number: bool = False, version_offset: int = 0):
         from mailframe.options import MailOptions
 
         self.spark = spark
@@ -97,6 +99,7 @@ class PollJob:
         self.pop = pop  # POP rules: key pop_id, no flags, no UID validity (S13)
         self.pop_by_number = pop_by_number
         self.key = "pop_id" if pop else "uid"
+        self.version_offset = version_offset  # version = offset + batch id (see start_poll)
 
     def _prior(self, version: int, folders: DataFrame) -> tuple[DataFrame | None, DataFrame]:
         """Store view and state as of the versions before ``version``.
@@ -117,7 +120,7 @@ class PollJob:
         return st.current_view(log), state if state is not None else _empty_state(self.spark)
 
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
-        version = int(batch_id)
+        version = self.version_offset + int(batch_id)
         batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
         try:
             folders = batch.groupBy("folder_uri").agg(
@@ -165,6 +168,23 @@ class PollJob:
         return others.unionByName(docs, allowMissingColumns=True)
 
 
+def _version_offset(spark: SparkSession, ckpt: str, mail_store: st.MailStore) -> int:
+    """Log version of batch 0 of this stream, fixed once per checkpoint.
+
+    A stream that restarts from its checkpoint replays a batch under the same
+    version (T4); a new stream on an existing store starts above every version
+    already written, so it never overwrites another stream's partitions.
+    """
+    marker = os.path.join(ckpt, "_version_offset")
+    jvm = spark.sparkContext._jvm
+    path = jvm.org.apache.hadoop.fs.Path(marker)
+    if path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(path):
+        return int(spark.read.text(marker).first()[0])
+    offset = mail_store.next_version()
+    spark.createDataFrame([(str(offset),)], "v string").coalesce(1).write.mode("overwrite").text(marker)
+    return offset
+
+
 def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
                interval: str | None = "60 seconds", once: bool = False,
                switches: sync.PollSwitches = sync.PollSwitches(), name: str = "mail-poll",
@@ -178,7 +198,7 @@ def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
     stream = spark.readStream.schema(LANDING_SCHEMA).parquet(landing)
     ckpt = checkpoint or checkpoint_path(spark, os.path.join("streams", name))
     job = PollJob(spark, mail_store, switches, raw_path=raw_path, options=options, pop=pop,
-                  pop_by_number=pop_by_number)
+                  pop_by_number=pop_by_number, version_offset=_version_offset(spark, ckpt, mail_store))
     writer = stream.writeStream.foreachBatch(job).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
     return writer.queryName(name).start()

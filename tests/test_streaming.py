@@ -229,3 +229,15 @@ def test_state_untouched_when_nothing_new(spark, scratch):
     assert s.poll({"INBOX": [1, 2, 3], "Empty": []}) == 3  # full load of an empty folder: count 0
     empty = [r for r in s.store.state().collect() if r.folder_uri.endswith("/Empty")][0]
     assert empty.last_count == 0 and empty.last_uid == -1
+
+
+def test_new_stream_on_existing_store_keeps_its_versions(spark, scratch):
+    s = Scenario(spark, scratch)
+    assert s.poll({"INBOX": [1, 2, 3]}) == 3
+    assert s.poll({"INBOX": [1, 2, 3, 4]}) == 4
+    # a second stream (own landing and checkpoint) on the same store and account
+    t = Scenario(spark, os.path.join(scratch, "second"))
+    t.store = s.store
+    assert t.poll({"INBOX": [1, 2, 3, 4, 5]}) == 5
+    versions = sorted({r.version for r in s.store.log().select("version").distinct().collect()})
+    assert versions == [0, 1, 2]
