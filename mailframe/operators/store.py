@@ -155,13 +155,38 @@ class MailStore:
         self.spark = spark
         self.root = root
         self.schema = schema
-        self.log_path = os.path.join(root, "log")
+        self._base_log_path = os.path.join(root, "log")
         self.state_path = os.path.join(root, "folder_state")
         self.errors_path = os.path.join(root, "mail_errors")
         self.schema_path = os.path.join(root, "_schema")
         self.pointer_path = os.path.join(root, "_current_log")
-        if self._path_exists(self.pointer_path):  # set by compaction
-            self.log_path = spark.read.text(self.pointer_path).first()[0]
+
+    def _fs(self, p: str):
+        jvm = self.spark.sparkContext._jvm
+        path = jvm.org.apache.hadoop.fs.Path(p)
+        return path.getFileSystem(self.spark.sparkContext._jsc.hadoopConfiguration()), path
+
+    @property
+    def log_path(self) -> str:
+        """The current log folder: the one compaction last switched to, else ``log``.
+        Resolved on every access, so a running stream follows a compaction."""
+        fs, path = self._fs(self.pointer_path)
+        if not fs.exists(path):
+            return self._base_log_path
+        stream = fs.open(path)
+        try:
+            return stream.readUTF()
+        finally:
+            stream.close()
+
+    def _switch_log(self, new_path: str) -> None:
+        fs, path = self._fs(self.pointer_path + ".tmp")
+        out = fs.create(path, True)
+        out.writeUTF(new_path)
+        out.close()
+        _, final = self._fs(self.pointer_path)
+        fs.delete(final, False)
+        fs.rename(path, final)
 
     def create_if_absent(self, schema: T.StructType | None = None) -> bool:
         """K3: create the (empty) log table with the caller's schema, else the default
@@ -193,21 +218,17 @@ class MailStore:
         partition directory names alone (no data is read)."""
         if not self.exists():
             return 0
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(self.log_path)
+        fs, path = self._fs(self.log_path)
         top = -1
-        for status in path.getFileSystem(conf).listStatus(path):
+        for status in fs.listStatus(path):
             name = status.getPath().getName()
             if status.isDirectory() and name.startswith("version="):
                 top = max(top, int(name.split("=", 1)[1]))
         return top + 1
 
     def _path_exists(self, p: str) -> bool:
-        jvm = self.spark.sparkContext._jvm
-        conf = self.spark.sparkContext._jsc.hadoopConfiguration()
-        path = jvm.org.apache.hadoop.fs.Path(p)
-        return path.getFileSystem(conf).exists(path)
+        fs, path = self._fs(p)
+        return fs.exists(path)
 
     def append(self, log_rows: DataFrame) -> None:
         """K1 / K2: write one batch of log rows.
@@ -247,9 +268,8 @@ class MailStore:
         compacted = self.spark.read.parquet(staged).unionByName(older, allowMissingColumns=True)
         new_path = os.path.join(self.root, f"log-c{upto_version}")
         compacted.write.mode("overwrite").partitionBy(*PARTITION_COLUMNS).parquet(new_path)
-        # switch readers over only after the new log is complete
-        self.spark.createDataFrame([(new_path,)], "p string").coalesce(1).write.mode("overwrite").text(self.pointer_path)
-        self.log_path = new_path
+        # switch readers and writers over only after the new log is complete
+        self._switch_log(new_path)
 
     # K7: folder state, one row per folder, latest write wins.
     def write_state(self, state: DataFrame, version: int) -> None:

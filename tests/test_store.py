@@ -43,6 +43,9 @@ def test_append_is_idempotent_per_version_and_compaction_keeps_view(spark, scrat
     assert ms.log().filter(F.col("op") == "delete").count() == 0
     again = MailStore(spark, os.path.join(scratch, "store"))  # a new reader follows the compacted log
     assert again.log_path == ms.log_path and sorted(r.uid for r in again.view().collect()) == before
+    assert again.log_path.endswith("log-c2")
+    ms.append(st.initial_load(_rows(spark, [("f", 9, 1)]), version=3))  # writers follow it too
+    assert sorted(r.uid for r in again.view().collect()) == [2, 3, 9]
 
 
 def test_poll_reads_only_buckets_of_polled_folders(spark, scratch):
