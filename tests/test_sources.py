@@ -62,3 +62,25 @@ def test_eml_tree_parse_and_export(spark, scratch):
     assert js["1"]["sentDate"] == "20240102T100000.000+0000"
     assert js["1"]["attachments"][0]["content"].startswith("JVBERi0xLjQK") and "\n" not in js["1"]["attachments"][0]["content"]
     assert js["2"]["attachments"] is None and js["2"]["header_subject"] == "plain"
+
+
+def test_content_switches_change_the_projection(spark):
+    from email.mime.multipart import MIMEMultipart as MM
+
+    m = MM("alternative")
+    m.attach(MIMEText("plain <i>p</i>", "plain"))
+    m.attach(MIMEText("<b>html</b>", "html"))
+    raw = spark.createDataFrame([("imap://a/INBOX", 1, m.as_bytes())], "folder_uri string, uid bigint, raw binary")
+
+    def doc_with(**kw):
+        o = MailOptions(**kw)
+        p = parse_messages(raw, keep=["folder_uri", "uid"], with_text=o.with_text_content,
+                           with_html=o.with_html_content, prefer_html=o.prefer_html_content)
+        return to_documents(p, o).first()
+
+    d = doc_with()
+    assert d.textContent == "plain p" and d.htmlContent is None  # defaults: text on, tags stripped, html off
+    assert doc_with(with_striptags_from_textcontent=False).textContent == "plain <i>p</i>"
+    assert doc_with(with_text_content=False).textContent is None
+    assert doc_with(with_html_content=True).htmlContent == "<b>html</b>"
+    assert doc_with(prefer_html_content=True).textContent == "html"
