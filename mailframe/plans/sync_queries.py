@@ -258,7 +258,9 @@ def store_after_stream(spark, sf_dir):
 
     for i, df in enumerate((fx.stored(spark, sf_dir), fx.server(spark, sf_dir))):
         snapshot(df).write.mode("append").parquet(landing)
-        q = start_poll(spark, landing, mail_store, once=True, checkpoint=f"{root}/ckpt", name=f"stream-{uuid.uuid4().hex[:8]}-{i}")
+        # one run-once stream per landed snapshot: the poll order is the landing order
+        q = start_poll(spark, landing, mail_store, once=True, checkpoint=f"{root}/ckpt",
+                       name=f"stream-{uuid.uuid4().hex[:8]}-{i}")
         if not q.awaitTermination(3600) or q.exception() is not None:
             q.stop()
             raise RuntimeError(f"poll {i} did not finish: {q.exception()}")

@@ -189,13 +189,18 @@ def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
                interval: str | None = "60 seconds", once: bool = False,
                switches: sync.PollSwitches = sync.PollSwitches(), name: str = "mail-poll",
                checkpoint: str | None = None, raw_path: str | None = None, options=None,
-               pop: bool = False, pop_by_number: bool = False):
+               pop: bool = False, pop_by_number: bool = False, files_per_batch: int | None = None):
     """Start the polling query: ``once=True`` drains what has landed and stops.
 
     With ``raw_path`` the upserted messages are fetched from that raw landing table,
     parsed and stored as whole documents; parse failures go to the error table.
+    ``files_per_batch=1`` makes every landed snapshot file its own poll; files are
+    taken in modification-time order, so snapshots must land one after another.
     """
-    stream = spark.readStream.schema(LANDING_SCHEMA).parquet(landing)
+    reader = spark.readStream.schema(LANDING_SCHEMA)
+    if files_per_batch:  # one landed snapshot file per poll, in landing order
+        reader = reader.option("maxFilesPerTrigger", files_per_batch)
+    stream = reader.parquet(landing)
     ckpt = checkpoint or checkpoint_path(spark, os.path.join("streams", name))
     job = PollJob(spark, mail_store, switches, raw_path=raw_path, options=options, pop=pop,
                   pop_by_number=pop_by_number, version_offset=_version_offset(spark, ckpt, mail_store))
