@@ -241,3 +241,16 @@ def test_new_stream_on_existing_store_keeps_its_versions(spark, scratch):
     assert t.poll({"INBOX": [1, 2, 3, 4, 5]}) == 5
     versions = sorted({r.version for r in s.store.log().select("version").distinct().collect()})
     assert versions == [0, 1, 2]
+
+
+def test_one_file_per_poll(spark, scratch):
+    import time
+
+    s = Scenario(spark, scratch)
+    s.land({"INBOX": list(range(1, 11))})
+    time.sleep(1.1)  # landing order = modification-time order
+    s.land({"INBOX": list(range(3, 16))})
+    q = start_poll(spark, s.landing, s.store, once=True, checkpoint=s.ckpt, name="per-file", files_per_batch=1)
+    q.awaitTermination(300)
+    assert sorted(r.uid for r in s.store.view().collect()) == list(range(3, 16))
+    assert sorted(r.version for r in s.store.log().select("version").distinct().collect()) == [0, 1]
