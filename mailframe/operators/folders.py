@@ -37,7 +37,7 @@ def folder_tree(paths: DataFrame, path_col: str = "folder_full_name", sep: str =
 
 
 def select_folders(folders: DataFrame, pattern: str | None, start: str | None = None,
-                   sep: str = SEPARATOR) -> DataFrame:
+                   sep: str = SEPARATOR, by: tuple[str, ...] = ()) -> DataFrame:
     """Which message-holding folders a poll opens.
 
     ``folders``: ``folder_full_name``, ``holds_messages``.  A holding folder that does
@@ -45,24 +45,27 @@ def select_folders(folders: DataFrame, pattern: str | None, start: str | None =
     through (its children are still visited).  ``start`` limits the walk to one
     subtree; a start folder that does not match selects nothing.
     Output: every input folder with ``matches``, ``pruned`` and ``selected``.
+    ``by`` names columns that separate folder trees (e.g. ``account``).
     """
+    by = list(by)
     name = F.col("folder_full_name")
     matches = full_match(name, pattern) if pattern is not None else F.lit(True)
     f = folders.withColumn("matches", matches).withColumn(
         "depth", F.size(F.split(name, re.escape(sep)))
     )
     blockers = f.filter(F.col("holds_messages") & ~F.col("matches")).select(
-        F.col("folder_full_name").alias("_anc")
+        *by, F.col("folder_full_name").alias("_anc")
     )
     # proper ancestors only; sequence(1, 0) would count down, so depth 1 gets none
     above = F.when(F.col("depth") > 1, F.sequence(F.lit(1), F.col("depth") - 1)).otherwise(F.array().cast("array<int>"))
-    ancestors = f.select("folder_full_name", F.explode(above).alias("_d")).select(
+    ancestors = f.select(*by, "folder_full_name", F.explode(above).alias("_d")).select(
+        *by,
         "folder_full_name",
         F.array_join(F.slice(F.split(name, re.escape(sep)), 1, F.col("_d")), sep).alias("_anc"),
     )
-    pruned = ancestors.join(blockers, "_anc", "left_semi").select("folder_full_name").distinct() \
+    pruned = ancestors.join(blockers, [*by, "_anc"], "left_semi").select(*by, "folder_full_name").distinct() \
         .withColumn("pruned", F.lit(True))
-    out = f.join(pruned, "folder_full_name", "left").withColumn("pruned", F.coalesce("pruned", F.lit(False)))
+    out = f.join(pruned, [*by, "folder_full_name"], "left").withColumn("pruned", F.coalesce("pruned", F.lit(False)))
     selected = F.col("holds_messages") & F.col("matches") & ~F.col("pruned")
     if start is not None:
         in_tree = (name == F.lit(start)) | name.startswith(start + sep)

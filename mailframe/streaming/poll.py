@@ -130,9 +130,16 @@ class PollJob:
             accounts = folders.select("account").distinct()
             drop = ["uid_validity", "uid"] if self.pop else ["uid_validity", "pop_id", "msg_num"]
             listing = batch.filter(F.col(self.key).isNotNull()).drop(*drop)
+            existing = folders
+            if self.options.folderpattern is not None:  # F1-F4: poll only the selected folders
+                folders = self._selected(batch, folders)
+                listing = listing.join(folders.select("folder_uri"), "folder_uri", "left_semi")
             view, state = self._prior(version, folders)
-            # only accounts listed in this batch can have vanished folders
+            # only accounts listed in this batch can have vanished folders, and a folder
+            # the pattern leaves out has not vanished while the server still lists it
             state = state.join(accounts, "account", "left_semi")
+            unselected = existing.join(folders.select("folder_uri"), "folder_uri", "left_anti").select("folder_uri")
+            state = state.join(unselected, "folder_uri", "left_anti")
             if view is None:
                 view = listing.select("folder_uri", self.key, *([] if self.pop else ["flaghashcode"])).limit(0)
             if self.pop:
@@ -157,6 +164,16 @@ class PollJob:
         finally:
             batch.unpersist()
 
+    def _selected(self, batch: DataFrame, folders: DataFrame) -> DataFrame:
+        """Listed folders hold messages; non-matching ones hide their subtree."""
+        from mailframe.operators.folders import select_folders
+
+        names = batch.select("account", "folder_uri", "folder_full_name").distinct()
+        tree = names.select("account", "folder_full_name", F.lit(True).alias("holds_messages")).distinct()
+        picked = select_folders(tree, self.options.folderpattern, by=("account",)).filter(F.col("selected"))
+        keep = names.join(picked.select("account", "folder_full_name"), ["account", "folder_full_name"], "left_semi")
+        return folders.join(keep.select("folder_uri"), "folder_uri", "left_semi")
+
     def _with_bodies(self, changes: DataFrame, version: int) -> DataFrame:
         """Replace upsert rows by parsed documents; record parse failures (K8, P20)."""
         from mailframe.operators.documents import fetch_documents

@@ -102,3 +102,12 @@ def test_options_from_string_settings():
     o = MailOptions.from_settings({"with_attachments": "true", "interval": "3s", "headers_to_fields": ["Message-ID"]})
     assert o.with_attachments and o.interval == "3 seconds" and o.headers_to_fields == ("Message-ID",)
     assert MailOptions().with_text_content and not MailOptions().with_html_content
+
+
+def test_folder_selection_is_per_account(spark):
+    from mailframe.operators.folders import select_folders
+
+    rows = [("a", "X", True), ("a", "X/Y", True), ("b", "X/Y", True)]
+    f = spark.createDataFrame(rows, "account string, folder_full_name string, holds_messages boolean")
+    got = {(r.account, r.folder_full_name): r.selected for r in select_folders(f, "X/Y", by=("account",)).collect()}
+    assert got == {("a", "X"): False, ("a", "X/Y"): False, ("b", "X/Y"): True}

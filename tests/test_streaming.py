@@ -254,3 +254,18 @@ def test_one_file_per_poll(spark, scratch):
     q.awaitTermination(300)
     assert sorted(r.uid for r in s.store.view().collect()) == list(range(3, 16))
     assert sorted(r.version for r in s.store.log().select("version").distinct().collect()) == [0, 1]
+
+
+def test_folder_pattern_in_polls(spark, scratch):
+    """Only matching folders are polled; a non-matching holding folder hides its subtree;
+    folders left out by the pattern are not treated as vanished."""
+    from mailframe.options import MailOptions
+
+    s = Scenario(spark, scratch)
+    h = {"INBOX": [1, 2], "Archive": [1], "Archive/2024": [1, 2, 3], "Lists": [1]}
+    assert s.poll(h) == 7
+    s.options = MailOptions(folderpattern="INBOX|Archive/.*|Lists")
+    h["INBOX"] = [1, 2, 3]
+    h["Archive/2024"] = [1]  # inside the pruned subtree: not polled, nothing deleted
+    h["Lists"] = [1, 2]
+    assert s.poll(h) == 9  # INBOX +1, Lists +1; Archive and its subtree untouched
