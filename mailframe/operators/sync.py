@@ -221,6 +221,11 @@ class PollSwitches:
     with_flag_sync: bool = True
     delete_expunged: bool = True  # false = keep_expunged_messages
 
+    @staticmethod
+    def from_options(options) -> "PollSwitches":
+        """The two sync switches of a ``MailOptions`` (``with_flag_sync``, ``keep_expunged_messages``)."""
+        return PollSwitches(with_flag_sync=options.with_flag_sync, delete_expunged=not options.keep_expunged_messages)
+
 
 def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state: DataFrame,
               version: int, switches: PollSwitches = PollSwitches()) -> DataFrame:

@@ -203,8 +203,8 @@ def _version_offset(spark: SparkSession, ckpt: str, mail_store: st.MailStore) ->
 
 
 def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
-               interval: str | None = "60 seconds", once: bool = False,
-               switches: sync.PollSwitches = sync.PollSwitches(), name: str = "mail-poll",
+               interval: str | None = None, once: bool = False,
+               switches: sync.PollSwitches | None = None, name: str = "mail-poll",
                checkpoint: str | None = None, raw_path: str | None = None, options=None,
                pop: bool = False, pop_by_number: bool = False, files_per_batch: int | None = None):
     """Start the polling query: ``once=True`` drains what has landed and stops.
@@ -214,6 +214,11 @@ def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
     ``files_per_batch=1`` makes every landed snapshot file its own poll; files are
     taken in modification-time order, so snapshots must land one after another.
     """
+    from mailframe.options import MailOptions
+
+    options = options or MailOptions()
+    switches = switches or sync.PollSwitches.from_options(options)
+    interval = interval or options.interval  # T1: 60 seconds unless configured
     reader = spark.readStream.schema(LANDING_SCHEMA)
     if files_per_batch:  # one landed snapshot file per poll, in landing order
         reader = reader.option("maxFilesPerTrigger", files_per_batch)

@@ -111,3 +111,11 @@ def test_folder_selection_is_per_account(spark):
     f = spark.createDataFrame(rows, "account string, folder_full_name string, holds_messages boolean")
     got = {(r.account, r.folder_full_name): r.selected for r in select_folders(f, "X/Y", by=("account",)).collect()}
     assert got == {("a", "X"): False, ("a", "X/Y"): False, ("b", "X/Y"): True}
+
+
+def test_poll_switches_from_options():
+    from mailframe.operators.sync import PollSwitches
+
+    sw = PollSwitches.from_options(MailOptions.from_settings({"keep_expunged_messages": "true", "with_flag_sync": False}))
+    assert sw == PollSwitches(with_flag_sync=False, delete_expunged=False)
+    assert PollSwitches.from_options(MailOptions()) == PollSwitches()
