@@ -199,8 +199,8 @@ class MailStore:
         base = schema or self.schema or MAIL
         fields = list(base.fields)
         names = {f.name for f in fields}
-        for name, dtype in (("folder_uri", T.StringType()), ("op", T.StringType()), ("seq", T.IntegerType()),
-                            ("version", T.LongType()), ("fbucket", T.IntegerType())):
+        for name, dtype in (("folder_uri", T.StringType()), ("pop_id", T.StringType()), ("op", T.StringType()),
+                            ("seq", T.IntegerType()), ("version", T.LongType()), ("fbucket", T.IntegerType())):
             if name not in names:
                 fields.append(T.StructField(name, dtype))
         empty = self.spark.createDataFrame([], T.StructType(fields))

@@ -269,3 +269,34 @@ def test_folder_pattern_in_polls(spark, scratch):
     h["Archive/2024"] = [1]  # inside the pruned subtree: not polled, nothing deleted
     h["Lists"] = [1, 2]
     assert s.poll(h) == 9  # INBOX +1, Lists +1; Archive and its subtree untouched
+
+
+def test_usage_flow_with_created_table(spark, scratch):
+    """README usage: create the table first (fixed schema), poll with bodies and options, search the view."""
+    from email.mime.text import MIMEText
+
+    from mailframe.operators import search
+    from mailframe.options import MailOptions
+
+    def raw_msg(u):
+        m = MIMEText(f"body {u}", "plain")
+        m["Subject"] = f"s{u}"
+        m["Message-ID"] = f"<{u}@x>"
+        return m.as_bytes()
+
+    raw_path = os.path.join(scratch, "raw")
+    spark.createDataFrame([(_uri("INBOX"), u, raw_msg(u)) for u in range(1, 6)],
+                          "folder_uri string, uid bigint, raw binary").write.parquet(raw_path)
+    opts = MailOptions.from_settings({"folderpattern": "INBOX", "headers_to_fields": ["Message-ID"],
+                                      "mail_index_name_strategy": "username_crop"})
+    s = Scenario(spark, scratch, options=opts)
+    assert s.store.create_if_absent()
+    s.land({"INBOX": [1, 2, 3, 4, 5], "Other": [1]})
+    q = start_poll(spark, s.landing, s.store, once=True, checkpoint=s.ckpt, name="usage", options=opts,
+                   raw_path=raw_path)
+    q.awaitTermination(300)
+    view = s.store.view()
+    hits = search.bool_must(view, search.term("folder_uri", _uri("INBOX")), search.terms("uid", [2, 3]))
+    assert sorted((r.subject, r.index_name) for r in hits.collect()) == [("s2", "es_imapriver_unittest"),
+                                                                         ("s3", "es_imapriver_unittest")]
+    assert view.count() == 5  # "Other" does not match the pattern
