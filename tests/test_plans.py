@@ -43,3 +43,9 @@ def test_numbering_has_no_whole_folder_window(spark):
     plan = physical(fx.pop_server(spark, SF_SMALL))
     # windows are keyed by (folder, uid bucket) and by folder over the bucket counts only
     assert "_bucket" in plan
+
+
+@pytest.mark.parametrize("name", sorted(set(QUERIES) - SKIP))
+def test_every_query_reads_the_given_tables(spark, name):
+    plan = physical(QUERIES[name](spark, SF_SMALL))
+    assert "FileScan parquet" in plan and SF_SMALL in plan
