@@ -27,12 +27,17 @@ def main() -> None:
     names = [n for n in os.environ.get("BENCH_QUERIES", "").split(",") if n] or sorted(QUERIES)
     spark = get_session(cpus, app="mailframe-bench", shuffle_partitions=int(cpus) if cpus.isdigit() else 8)
     QUERIES["counts_by_index"](spark, sf_dir).write.format("noop").mode("overwrite").save()
-    times, cold = {}, {}
+    times, cold, errors = {}, {}, {}
     for n in names:
-        for store in (cold, times):
-            t = time.perf_counter()
-            QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
-            store[n] = round(time.perf_counter() - t, 3)
+        try:
+            for store in (cold, times):
+                t = time.perf_counter()
+                QUERIES[n](spark, sf_dir).write.format("noop").mode("overwrite").save()
+                store[n] = round(time.perf_counter() - t, 3)
+        except Exception as e:  # keep the one-line report; name the failure
+            errors[n] = f"{type(e).__name__}: {str(e)[:200]}"
+            times.pop(n, None)
+            cold.pop(n, None)
     m = re.search(r"sf([0-9.]+)", sf_dir)
     print(json.dumps({
         "metric": "total_query_seconds",
@@ -41,6 +46,7 @@ def main() -> None:
         "queries": times,
         "cold_total": round(sum(cold.values()), 3),
         "cold": cold,
+        **({"errors": errors} if errors else {}),
         "sf": float(m.group(1)) if m else sf_dir,
     }))
     spark.stop()
