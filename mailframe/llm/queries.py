@@ -7,17 +7,28 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailframe.llm import chat, cuckoo, packing
-from mailframe.llm.common import documents
+from mailframe.llm import chat, cuckoo, decontam, langid, packing
+from mailframe.llm.common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE_SQL: dict[str, str] = {}
 
 
+def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir).withColumn("held_out", crc_mod("doc_id", 5) == 0)
+    known = rows.filter(~F.col("held_out")).select(F.col("doc_id").alias("key"), F.col("lang").alias("label"), "text")
+    guess = langid.identify(rows, langid.fit(known), F.col("text"))
+    return rows.select("doc_id", "held_out", guess.alias("g")).select("doc_id", "held_out", "g.lang_pred", "g.score")
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_dedup(documents(spark, sf_dir))
 
 
+def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontam.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), packing.tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -43,6 +54,6 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-for _query in (op3_exact_dedup, op7_packing, op10_chat_format):
+for _query in (op1_language_id, op3_exact_dedup, op4_decontamination, op7_packing, op10_chat_format):
     QUERIES[_query.__name__] = _query
-ORACLE_SQL |= {"op3_exact_dedup": cuckoo.EXACT_SQL, "op10_chat_format": CHAT_SQL}
+ORACLE_SQL |= {"op3_exact_dedup": cuckoo.EXACT_SQL, "op4_decontamination": decontam.LEAK_SQL, "op10_chat_format": CHAT_SQL}
