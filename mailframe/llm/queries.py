@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailframe.llm import chat, cuckoo, decontam, langid, packing
+from mailframe.llm import chat, cuckoo, decontam, jaccard_join, langid, packing
 from mailframe.llm.common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -29,6 +29,10 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.jaccard_join(documents(spark, sf_dir))
+
+
 def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     pieces = packing.pack(documents(spark, sf_dir), packing.tokenizer_path())
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
@@ -54,6 +58,6 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-for _query in (op1_language_id, op3_exact_dedup, op4_decontamination, op7_packing, op10_chat_format):
+for _query in (op1_language_id, op3_exact_dedup, op4_decontamination, op6_ngram_jaccard_join, op7_packing, op10_chat_format):
     QUERIES[_query.__name__] = _query
 ORACLE_SQL |= {"op3_exact_dedup": cuckoo.EXACT_SQL, "op4_decontamination": decontam.LEAK_SQL, "op10_chat_format": CHAT_SQL}
