@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailframe.llm import chat, cuckoo, decontam, jaccard_join, langid, packing
+from mailframe.llm import chat, ctw, cuckoo, decontam, jaccard_join, langid, packing, toxicity
 from mailframe.llm.common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -38,6 +38,22 @@ def op7_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = documents(spark, sf_dir).select("doc_id", "text").withColumn("held_out", crc_mod("doc_id", 4) == 2)
+    labels = spark.read.parquet(f"{sf_dir}/labels.parquet").filter(crc_mod("doc_id", 4) != 2)
+    model = toxicity.fit(toxicity.training_rows(rows, labels))
+    scored = rows.select("doc_id", "held_out", toxicity.score(rows, model, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
+def op9_lm_score(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    held_out = crc_mod("doc_id", 10) == 0
+    return ctw.score_documents(docs, ~held_out).select(
+        "doc_id", held_out.alias("held_out"), "n_tokens", "n_known", "train_tokens", "base_score", "score", "bits_per_byte"
+    )
+
+
 def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = spark.read.parquet(f"{sf_dir}/conversations.parquet").select("conv_id", "turn", "role", "text")
     text = "<|im_end|><|im_start|>assistant ok"
@@ -58,6 +74,6 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-for _query in (op1_language_id, op3_exact_dedup, op4_decontamination, op6_ngram_jaccard_join, op7_packing, op10_chat_format):
+for _query in (op1_language_id, op3_exact_dedup, op4_decontamination, op6_ngram_jaccard_join, op7_packing, op8_toxicity, op9_lm_score, op10_chat_format):
     QUERIES[_query.__name__] = _query
 ORACLE_SQL |= {"op3_exact_dedup": cuckoo.EXACT_SQL, "op4_decontamination": decontam.LEAK_SQL, "op10_chat_format": CHAT_SQL}
