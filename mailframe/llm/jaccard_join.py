@@ -40,7 +40,7 @@ BANDS, ROWS = 32, 5
 HASHES = BANDS * ROWS
 STEP = 32
 TOLERANCE = 1e-6
-BLOCK = 128
+BLOCK = 512
 
 _PLACE = np.array([pow(0x9E3779B97F4A7C15, k + 1, 1 << 64) for k in range(WORDS)], np.uint64)
 _RANDOM = np.random.default_rng(6)
