@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailframe.llm import chat, ctw, cuckoo, decontam, jaccard_join, langid, packing, toxicity
+from mailframe.llm import chat, ctw, cuckoo, decontam, jaccard_join, langid, packing, suffix_dedup, toxicity, warc
 from mailframe.llm.common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -21,6 +21,11 @@ def op1_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.select("doc_id", "held_out", guess.alias("g")).select("doc_id", "held_out", "g.lang_pred", "g.score")
 
 
+def op2_suffix_array_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = suffix_dedup.remove_repeats(documents(spark, sf_dir))
+    return cut.select("doc_id", "n_bytes", "n_removed", "n_spans", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op3_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cuckoo.exact_dedup(documents(spark, sf_dir))
 
@@ -29,6 +34,14 @@ def op4_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontam.report(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
 
 
+def op5_warc_revisits(spark: SparkSession, sf_dir: str) -> DataFrame:
+    records = warc.page_records(spark.read.parquet(f"{sf_dir}/pages.parquet"))
+    lines = F.transform("resolved_headers", lambda h: F.concat_ws(": ", h["name"], h["value"]))
+    return warc.resolve_revisits(records).select(
+        "record_id", "canonical", "outcome", "response_id", F.array_join(lines, "|").alias("headers"), F.col("resolved_digest").alias("payload_sha256")
+    )
+
+
 def op6_ngram_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join.jaccard_join(documents(spark, sf_dir))
 
@@ -74,6 +87,6 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-for _query in (op1_language_id, op3_exact_dedup, op4_decontamination, op6_ngram_jaccard_join, op7_packing, op8_toxicity, op9_lm_score, op10_chat_format):
+for _query in (op1_language_id, op2_suffix_array_dedup, op3_exact_dedup, op4_decontamination, op5_warc_revisits, op6_ngram_jaccard_join, op7_packing, op8_toxicity, op9_lm_score, op10_chat_format):
     QUERIES[_query.__name__] = _query
-ORACLE_SQL |= {"op3_exact_dedup": cuckoo.EXACT_SQL, "op4_decontamination": decontam.LEAK_SQL, "op10_chat_format": CHAT_SQL}
+ORACLE_SQL |= {"op3_exact_dedup": cuckoo.EXACT_SQL, "op4_decontamination": decontam.LEAK_SQL, "op5_warc_revisits": warc.RESOLVE_SQL, "op10_chat_format": CHAT_SQL}
