@@ -50,7 +50,7 @@ def presence(data: np.ndarray, offs: np.ndarray) -> np.ndarray:
     code = np.zeros(len(low), np.uint32)
     flat = out.reshape(-1)
     empty = np.ones(len(low), bool)
-    for k in range(MAX_N):
+    for k in range(min(MAX_N, len(low))):
         code[: len(low) - k] = code[: len(low) - k] * np.uint32(257) + low[k:] + np.uint32(1)
         empty[: len(low) - k] &= gap[k:]
         x = (code + np.uint32(k)) * np.uint32(0x9E3779B1)
