@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 START, END = "<|im_start|>", "<|im_end|>"
 _CONTROL = re.compile(r"<\|(\\*)(im_start|im_end)\|>")
 _ESCAPED = re.compile(r"<\|\\(\\*)(im_start|im_end)\|>")
-_TURN = re.compile(r"<\|im_start\|>([^\n]*)\n((?:(?!<\|im_(?:start|end)\|>).)*)<\|im_end\|>\n", re.S)
+_TURN = re.compile(r"<\|im_start\|>((?:(?!<\|im_(?:start|end)\|>)[^\n])*)\n((?:(?!<\|im_(?:start|end)\|>).)*)<\|im_end\|>\n", re.S)
 _ROLE_CODE = re.compile(r"\\u([0-9a-f]{4})")
 
 

@@ -99,7 +99,7 @@ def fit(rows: DataFrame) -> ToxicityModel:
         bins = np.flatnonzero(np.abs(model.z) > model.l1)
         yield pa.RecordBatch.from_arrays([pa.array(bins), pa.array(model.weights(bins))], names=["bin", "weight"])
 
-    bags = rows.select("place", F.col("label").cast("int").alias("label"), "text").mapInArrow(extract, "place bigint, label int, bag binary")
+    bags = rows.filter(F.col("label").isNotNull()).select("place", F.col("label").cast("int").alias("label"), "text").mapInArrow(extract, "place bigint, label int, bag binary")
     learned = bags.repartition(1).sortWithinPartitions("place", "label", "bag").mapInArrow(learn, "bin bigint, weight double")
     table = learned.toArrow()  # BINS rows at most
     return ToxicityModel(table["bin"].to_numpy(), table["weight"].to_numpy())

@@ -42,10 +42,10 @@ def latest_earlier(events: DataFrame, key: str, time: str, order: str, is_source
     """All rows with ``as_of``: struct of ``time``, ``order`` and ``carried`` of the latest source row of the key with a smaller time, or null."""
     found = F.struct(time, order, *carried)
     rows = events.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_source", F.when(is_source, found))
-    # Within a bucket: rows of one time do not see each other, so the frame ends before the row's own time.
-    within = Window.partitionBy(key, "_bucket").orderBy(F.col(time).asc_nulls_first(), F.when(is_source, 1).otherwise(0), order)
-    rows = rows.withColumn("_near", F.last("_source", ignorenulls=True).over(within.rowsBetween(Window.unboundedPreceding, -1)))
-    near = F.when(F.col(key).isNotNull() & (F.col(f"_near.{time}") < F.col(time)), F.col("_near"))
+    # Within a bucket: the greatest source of a smaller time; a null time is smaller than any other.
+    within = Window.partitionBy(key, "_bucket").orderBy(F.col(time).asc_nulls_first()).rangeBetween(Window.unboundedPreceding, -1)
+    near = F.when(F.col(key).isNotNull() & F.col(time).isNotNull(), F.col("_near"))
+    rows = rows.withColumn("_near", F.max("_source").over(within))
 
     # Before a bucket: the last response of the nearest earlier bucket that has one.
     each = rows.filter(F.col(key).isNotNull()).groupBy(key, "_bucket").agg(F.max("_source").alias("_last"))  # one row per bucket of a key
