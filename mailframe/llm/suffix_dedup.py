@@ -358,7 +358,8 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
         "suffix-runs",
     )
     classes = found.groupBy("anchor").agg(F.count(F.lit(1)).alias("n"), (F.min("content") != F.max("content")).alias("mixed")).filter("n > 1")
-    shared = scratch_table(found.join(classes.select("anchor", "mixed"), "anchor"), "suffix-shared")
+    classes = scratch_table(classes.select("anchor", "mixed"), "suffix-classes")  # both sides of the join are then read, and a hot anchor can be split
+    shared = scratch_table(found.join(classes, "anchor"), "suffix-shared")
 
     contents = scratch_table(
         shared.filter("mixed")
