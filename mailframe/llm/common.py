@@ -36,6 +36,11 @@ def scratch_table(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def shuffle_partitions(spark: SparkSession) -> int:
+    """Number for repartition() before work that is heavy for its bytes, which adaptive coalescing would put into few tasks."""
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
 def crc_mod(column: str, n: int) -> Column:
     """crc32 of the value as text, modulo ``n``; a null id counts as empty text."""
     return F.crc32(F.coalesce(F.col(column).cast("string"), F.lit("")).cast("binary")) % n

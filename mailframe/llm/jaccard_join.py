@@ -31,7 +31,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailframe.llm.common import bounded_batches, mix64, scratch_table, text_chunks, word_hashes
+from mailframe.llm.common import bounded_batches, mix64, scratch_table, shuffle_partitions, text_chunks, word_hashes
 from mailframe.llm.components import connected
 
 WORDS = 5
@@ -260,7 +260,8 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         .withColumns({"lo": F.least("block", "other"), "hi": F.greatest("block", "other")})
         .select(F.xxhash64("key", "lo", "hi").alias("unit"), "cid", "band", "lo", "hi", "block")
     )
-    candidates = units.join(classes.select("cid", "n", "sig"), "cid").repartition("unit").sortWithinPartitions("unit")
+    tasks = shuffle_partitions(docs.sparkSession)
+    candidates = units.join(classes.select("cid", "n", "sig"), "cid").repartition(tasks, "unit").sortWithinPartitions("unit")
     pruned = scratch_table(candidates.mapInArrow(_prune(threshold), "unit bigint, cid bigint, partners array<bigint>"), "jaccard-pairs")
 
     wanted = pruned.select("cid").distinct().join(classes, "cid").select("cid", F.col("copy_id").alias("rep"), "digest")
@@ -269,7 +270,7 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     verified = scratch_table(
         pruned.join(sets, "cid")
         .join(classes.select("cid", "copies"), "cid")
-        .repartition("unit")
+        .repartition(tasks, "unit")
         .sortWithinPartitions("unit")
         .mapInArrow(_verify(threshold), "cid bigint, links bigint, star bigint"),
         "jaccard-links",

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from mailframe.llm.common import BASE, BASE_INV, _powers, bounded_batches, mix64, scratch_table, span_hashes, text_chunks
+from mailframe.llm.common import BASE, BASE_INV, _powers, bounded_batches, mix64, scratch_table, shuffle_partitions, span_hashes, text_chunks
 
 LENGTH = 400
 GRAM = 96
@@ -381,7 +381,7 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
         .withColumns({"lo": F.least("part", "other"), "hi": F.greatest("part", "other")})
         .select(F.xxhash64("anchor", "lo", "hi").alias("unit"), "lo", "hi", "part", "anchor", "content", "piece")
     )
-    again = units.repartition("unit").sortWithinPartitions("unit").mapInArrow(_search_units(length), "anchor bigint, content bigint, start bigint, end bigint")
+    again = units.repartition(shuffle_partitions(docs.sparkSession), "unit").sortWithinPartitions("unit").mapInArrow(_search_units(length), "anchor bigint, content bigint, start bigint, end bigint")
     again = scratch_table(again.groupBy("anchor", "content").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "suffix-again")
 
     named = shared.join(contents.select("anchor", "content", "n"), ["anchor", "content"], "left")
