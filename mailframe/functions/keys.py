@@ -38,11 +38,14 @@ def uid_from_doc_id(doc: str | Column = "doc_id") -> Column:
 def java_string_hash(s: str | Column) -> Column:
     """Java ``String.hashCode`` of a string as a signed 32-bit int.
 
-    Folds 31*h + code over the characters in BIGINT modulo 2^32 (ANSI mode makes
-    INT overflow raise), then maps to the signed range.  Characters outside the
-    BMP differ from Java's UTF-16 units; URLs and folder names are ASCII.
+    Folds 31*h + unit over the UTF-16 units in BIGINT modulo 2^32 (ANSI mode makes
+    INT overflow raise), then maps to the signed range.
     """
-    codes = F.transform(F.split(_c(s), ""), lambda ch: F.ascii(ch).cast("bigint"))
+    units = F.hex(F.encode(_c(s), "UTF-16BE"))
+    at = F.sequence(F.lit(1), F.length(units) - 3, F.lit(4))
+    codes = F.when(units == "", F.array().cast("array<bigint>")).otherwise(
+        F.transform(at, lambda i: F.conv(F.substr(units, i, F.lit(4)), 16, 10).cast("bigint"))
+    )
     h = F.aggregate(codes, F.lit(0).cast("bigint"), lambda acc, x: F.pmod(acc * 31 + x, F.lit(4294967296)))
     return F.when(h >= 2147483648, h - 4294967296).otherwise(h).cast("int")
 

@@ -15,7 +15,7 @@ def to_documents(parsed: DataFrame, options: MailOptions = MailOptions(), carry:
     ``pop_id``, ``flags_bits``, ``user_flags``, ``received_date``) to documents.
 
     Switches (P21) change the projection list, so unused columns are never computed.
-    Without ``flags_bits`` the listing's ``flaghashcode`` is kept as it is.  ``carry``
+    Without ``flags_bits`` the listing's ``flaghashcode`` and ``flags`` are kept as they are.  ``carry``
     columns pass through unchanged.
     """
     ok = parsed.filter(F.col("error").isNull())
@@ -47,7 +47,8 @@ def to_documents(parsed: DataFrame, options: MailOptions = MailOptions(), carry:
         (F.col("html_content") if options.with_html_content else F.lit(None).cast("string")).alias("htmlContent"),
     ]
     if "flaghashcode" in parsed.columns and "flags_bits" not in parsed.columns:
-        out += [F.col("flaghashcode").cast("int").alias("flaghashcode")]
+        names = F.col("flags") if "flags" in parsed.columns else F.lit(None)
+        out += [names.cast("array<string>").alias("flags"), F.col("flaghashcode").cast("int").alias("flaghashcode")]
     else:  # no flags known -> no flag set
         bits = F.coalesce(cols["flags_bits"].cast("bigint"), F.lit(0).cast("bigint"))
         user = cols["user_flags"] if "user_flags" in parsed.columns else None
@@ -73,37 +74,48 @@ def error_rows(parsed: DataFrame, key_col: str = "message_id") -> DataFrame:
     )
 
 
+MISSING_RAW = "the raw message has not landed"
+
+
 def fetch_documents(changes: DataFrame, raw: DataFrame, options: MailOptions = MailOptions(),
-                    keys: list[str] = ("folder_uri", "uid")) -> tuple[DataFrame, DataFrame]:
+                    keys: list[str] = ("folder_uri", "uid"), stage=None) -> tuple[DataFrame, DataFrame]:
     """Upsert change rows -> their raw bytes -> parsed documents, plus error rows.
 
     The reference re-reads the whole message for new and flag-changed messages; here
     that is one equi-join of the upserts with the raw landing table on the message
-    key, then the parse stage.  Only upsert rows cross to Python.
+    key, then the parse stage.  Only upsert rows cross to Python.  A message whose raw
+    bytes have not landed gives an error row of kind ``missing``, which later polls
+    take up again.  ``stage`` writes the parsed rows once for both results.
     """
     from mailframe.operators.parse import parse_messages
+    from mailframe.operators.store import folder_bucket
     from mailframe.operators.sync import OP_UPSERT
 
     keys = list(keys)
     ups = changes.filter(F.col("op") == OP_UPSERT)
-    raw = raw.select(*keys, "raw")
-    if "uid" in keys:
-        # new messages are a UID range per folder: a folder-level join cuts the raw
-        # table to those ranges before the message-level join shuffles anything
-        ranges = ups.groupBy("folder_uri").agg(F.min("uid").alias("_lo"), F.max("uid").alias("_hi"))
-        raw = raw.join(ranges, "folder_uri").filter(F.col("uid").between(F.col("_lo"), F.col("_hi"))) \
-            .drop("_lo", "_hi")
-    joined = ups.join(raw, keys, "inner")
+    if "fbucket" in raw.columns:
+        # A landing partitioned by folder bucket is read only where this poll has new messages
+        # (at most FOLDER_BUCKETS values).
+        buckets = sorted(r[0] for r in ups.select(folder_bucket().alias("b")).distinct().collect())
+        raw = raw.filter(F.col("fbucket").isin(buckets))
+    joined = ups.join(raw.select(*keys, "raw"), keys, "left")
     keep = [c for c in joined.columns if c != "raw"]
     parsed = parse_messages(joined, keep=keep, with_text=options.with_text_content,
                             with_html=options.with_html_content, prefer_html=options.prefer_html_content,
-                            with_attachments=options.with_attachments)
-    carry = [c for c in ("op", "version", "seq", "account", "index_name", "pop_id") if c in keep]
+                            with_attachments=options.with_attachments, missing=MISSING_RAW)
+    if stage is not None:
+        parsed = stage(parsed)
+    carry = [c for c in ("op", "version", "seq", "account", "index_name", "type_name", "pop_id") if c in keep]
     docs = to_documents(parsed, options, carry=carry).withColumnRenamed("folderUri", "folder_uri")
-    key = F.col("pop_id") if "pop_id" in keys else F.col("uid").cast("string")
+    pop = "pop_id" in keys
+    key = F.col("pop_id") if pop else F.col("uid").cast("string")
     errors = parsed.filter(F.col("error").isNotNull()).select(
         F.concat(key, F.lit("::"), F.col("folder_uri")).alias("message_id"),
-        "folder_uri", F.col("error").alias("error_msg"))
+        "folder_uri",
+        F.col("error").alias("error_msg"),
+        (F.lit(None) if pop else F.col("uid")).cast("bigint").alias("uid"),
+        (F.col("pop_id") if pop else F.lit(None)).cast("string").alias("pop_id"),
+        F.when(F.col("error") == MISSING_RAW, "missing").otherwise("parse").alias("kind"))
     return docs, errors
 
 

@@ -69,6 +69,6 @@ def select_folders(folders: DataFrame, pattern: str | None, start: str | None =
     selected = F.col("holds_messages") & F.col("matches") & ~F.col("pruned")
     if start is not None:
         in_tree = (name == F.lit(start)) | name.startswith(start + sep)
-        start_ok = F.lit(True) if pattern is None else F.lit(bool(re.fullmatch(pattern, start)))
+        start_ok = F.lit(True) if pattern is None else full_match(F.lit(start), pattern)
         selected = selected & in_tree & start_ok
     return out.withColumn("selected", selected).drop("depth")

@@ -2,20 +2,22 @@
 
 Plain Parquet tables take no MERGE / DELETE, so an upsert is a log row with a
 higher (version, seq), a delete a tombstone row, and a folder clear one row per
-folder.  The current view keeps, per ``doc_id``, the row with the highest
-(version, seq) via a partial-aggregating ``max_by`` (no per-key sort), drops
-tombstones, and drops rows older than the latest clear of their folder.
+folder.  The current view finds, per ``doc_id``, the highest (version, seq) by a
+narrow aggregate, joins the whole rows back, drops tombstones, and drops rows
+older than the latest clear of their folder.
 """
 
 from __future__ import annotations
 
 import os
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from mailframe.functions.keys import doc_id as doc_id_col
+from mailframe.functions.keys import uid_from_doc_id
 from mailframe.operators.sync import OP_CLEAR, OP_DELETE, OP_FLAGS, OP_UPSERT, SEQ_NEW
 
 LOG_META = ["op", "version", "seq"]
@@ -82,37 +84,48 @@ def as_log(changes: DataFrame) -> DataFrame:
 FLAG_COLUMNS = ("flaghashcode", "flags")
 
 
+def _order():
+    """(version, seq) as one number, so that its maximum is a hash aggregate."""
+    return F.col("version") * 8 + F.col("seq")
+
+
 def current_view(log: DataFrame) -> DataFrame:
     """L4: the visible table after applying the log in (version, seq) order.
 
-    Per ``doc_id`` one partially aggregating pass keeps the latest whole row
-    (upsert or delete) and the latest flags row; flags newer than the row replace
-    its flag columns.
+    Per ``doc_id`` one partially aggregating pass finds when the latest whole row
+    (upsert or delete) and the latest flags row came; flags newer than the row
+    replace its flag columns.  Filters on the view's columns reach the scan of the
+    whole rows.
     """
-    payload = [c for c in log.columns if c not in ("doc_id",)]
     flag_cols = [c for c in FLAG_COLUMNS if c in log.columns]
-    order = F.struct(F.col("version"), F.col("seq"))
+    rows = log.withColumn("_at", _order())
     is_flags = F.col("op") == OP_FLAGS
-    rows = log.filter(F.col("op") != OP_CLEAR)
-    aggs = [F.max_by(F.when(~is_flags, F.struct(*payload)), F.when(~is_flags, order)).alias("_r")]
-    if flag_cols:
-        aggs.append(F.max_by(F.when(is_flags, F.struct(*flag_cols, F.col("version").alias("_fv"), F.col("seq").alias("_fs"))),
-                             F.when(is_flags, order)).alias("_f"))
-    latest = rows.groupBy("doc_id").agg(*aggs).select("doc_id", "_r.*", *(["_f"] if flag_cols else []))
+    # Per document two numbers: when its latest whole row and its latest flags row came.
+    latest = (
+        rows.filter(F.col("op") != OP_CLEAR)
+        .groupBy("doc_id")
+        .agg(F.max(F.when(~is_flags, F.col("_at"))).alias("_row_at"), F.max(F.when(is_flags, F.col("_at"))).alias("_flags_at"))
+    )
+    # The wide rows stream past a hash table of the narrow winners: nothing wide is sorted or aggregated.
+    winners = latest.filter(F.col("_row_at").isNotNull()).withColumnRenamed("doc_id", "_doc")
+    wide = rows.filter(F.col("op") == OP_UPSERT)
+    visible = wide.join(winners.hint("shuffle_hash"), (F.col("doc_id") == F.col("_doc")) & (F.col("_at") == F.col("_row_at"))).drop("_doc")
     if flag_cols:
-        newer = F.col("_f").isNotNull() & (F.struct(F.col("_f._fv"), F.col("_f._fs")) > F.struct("version", "seq"))
+        flags = rows.filter(is_flags).select(
+            F.col("doc_id").alias("_doc"), F.col("_at").alias("_f_at"), *[F.col(c).alias(f"_f_{c}") for c in flag_cols]
+        ).dropDuplicates(["_doc", "_f_at"])
+        newer = F.col("_flags_at") > F.col("_row_at")
+        visible = visible.join(
+            flags.hint("shuffle_hash"), newer & (F.col("doc_id") == F.col("_doc")) & (F.col("_flags_at") == F.col("_f_at")), "left"
+        )
         for c in flag_cols:
-            latest = latest.withColumn(c, F.when(newer, F.col("_f")[c]).otherwise(F.col(c)))
-        latest = latest.drop("_f")
-    clears = (
-        log.filter(F.col("op") == OP_CLEAR)
-        .groupBy("folder_uri")
-        .agg(F.max(order).alias("_clear"))
-    )
-    visible = latest.filter(F.col("op") == OP_UPSERT).join(clears, "folder_uri", "left").filter(
-        F.col("_clear").isNull() | (F.struct(F.col("version"), F.col("seq")) > F.col("_clear"))
+            visible = visible.withColumn(c, F.when(F.col("_f_at").isNotNull(), F.col(f"_f_{c}")).otherwise(F.col(c)))
+        visible = visible.drop("_doc", "_f_at", *[f"_f_{c}" for c in flag_cols])
+    clears = rows.filter(F.col("op") == OP_CLEAR).groupBy(F.col("folder_uri").alias("_folder")).agg(F.max("_at").alias("_clear"))
+    visible = visible.join(clears, F.col("folder_uri") == F.col("_folder"), "left").filter(
+        F.col("_clear").isNull() | (F.col("_at") > F.col("_clear"))
     )
-    return visible.drop("_clear", *LOG_META, *(["fbucket"] if "fbucket" in visible.columns else []))
+    return visible.drop("_at", "_row_at", "_flags_at", "_folder", "_clear", "fbucket", *LOG_META)
 
 
 def union_log(*parts: DataFrame) -> DataFrame:
@@ -180,26 +193,30 @@ class MailStore:
             stream.close()
 
     def _switch_log(self, new_path: str) -> None:
-        fs, path = self._fs(self.pointer_path + ".tmp")
+        """One small overwrite; there is no moment without a pointer file."""
+        fs, path = self._fs(self.pointer_path)
         out = fs.create(path, True)
         out.writeUTF(new_path)
         out.close()
-        _, final = self._fs(self.pointer_path)
-        fs.delete(final, False)
-        fs.rename(path, final)
 
-    def create_if_absent(self, schema: T.StructType | None = None) -> bool:
+    def create_if_absent(self, schema: T.StructType | None = None, options=None) -> bool:
         """K3: create the (empty) log table with the caller's schema, else the default
-        mail schema, plus the log columns; an existing table is never altered.
-        Returns True when the table was created."""
+        mail schema, plus the header fields that ``options`` select and the log columns;
+        an existing table is never altered.  Returns True when the table was created."""
         if self.exists():
             return False
+        from mailframe.functions.document import header_field_name
         from mailframe.schema import MAIL
 
         base = schema or self.schema or MAIL
         fields = list(base.fields)
         names = {f.name for f in fields}
-        for name, dtype in (("folder_uri", T.StringType()), ("pop_id", T.StringType()), ("op", T.StringType()),
+        for header in options.headers_to_fields if options else ():
+            name = header_field_name(header)
+            if name not in names:
+                fields.append(T.StructField(name, T.StringType()))
+                names.add(name)
+        for name, dtype in (("folder_uri", T.StringType()), ("type_name", T.StringType()), ("account", T.StringType()), ("pop_id", T.StringType()), ("op", T.StringType()),
                             ("seq", T.IntegerType()), ("version", T.LongType()), ("fbucket", T.IntegerType())):
             if name not in names:
                 fields.append(T.StructField(name, dtype))
@@ -238,6 +255,7 @@ class MailStore:
         """
         if "fbucket" not in log_rows.columns:
             log_rows = log_rows.withColumn("fbucket", folder_bucket())
+        self._keep_schema(log_rows)
         log_rows = cluster_by_bucket(log_rows)
         (
             log_rows.write.mode("overwrite")
@@ -246,13 +264,28 @@ class MailStore:
             .parquet(self.log_path)
         )
 
+    def _keep_schema(self, log_rows: DataFrame) -> None:
+        """One schema for the whole table: ``create_if_absent`` or the first write lays it down,
+        and a column that a later write brings is added, so no read ever drops it."""
+        if not self._path_exists(self.schema_path):
+            log_rows.limit(0).write.mode("overwrite").parquet(self.schema_path)
+            return
+        known = self.spark.read.parquet(self.schema_path)
+        if set(log_rows.columns) - set(known.columns):
+            wider = known.limit(0).unionByName(log_rows.limit(0), allowMissingColumns=True).schema
+            self.spark.createDataFrame([], wider).write.mode("overwrite").parquet(self.schema_path)
+
     def log(self) -> DataFrame:
-        if self._path_exists(self.schema_path):  # created with a fixed schema (K3)
+        if self._path_exists(self.schema_path):
             return self.spark.read.schema(self.spark.read.parquet(self.schema_path).schema).parquet(self.log_path)
         return self.spark.read.parquet(self.log_path)
 
-    def view(self) -> DataFrame:
-        return current_view(self.log())
+    def view(self, folder: str | None = None) -> DataFrame:
+        """The current documents; of one folder, only its bucket's partitions are read."""
+        log = self.log()
+        if folder is not None:
+            log = log.filter((F.col("fbucket") == folder_bucket(F.lit(folder))) & (F.col("folder_uri") == folder))
+        return current_view(log)
 
     def compact(self, upto_version: int) -> None:
         """Rewrite the log as its current view (one upsert per live row) at ``upto_version``.
@@ -286,13 +319,15 @@ class MailStore:
         """Latest state row per folder among versions below ``version`` (all when None)."""
         if not self._path_exists(self.state_path):
             return None
-        st = self.spark.read.parquet(self.state_path)
+        from mailframe.schema import FOLDER_STATE
+
+        st = self.spark.read.schema(T.StructType([*FOLDER_STATE.fields, T.StructField("version", T.LongType())])).parquet(self.state_path)
         if version is not None:
             st = st.filter(F.col("version") < version)
         return (
-            st.groupBy("folder_uri")
-            .agg(F.max_by(F.struct(*[c for c in st.columns if c != "folder_uri"]), F.col("version")).alias("_s"))
-            .select("folder_uri", "_s.*")
+            st.groupBy("index_name", "folder_uri")
+            .agg(F.max_by(F.struct(*[c for c in st.columns if c not in ("index_name", "folder_uri")]), F.col("version")).alias("_s"))
+            .select("index_name", "folder_uri", "_s.*")
             .drop("version")
         )
 
@@ -306,30 +341,49 @@ class MailStore:
 
     def errors(self) -> DataFrame:
         """Open errors: the latest row per message, unless that row marks it resolved (null message)."""
-        e = self.spark.read.parquet(self.errors_path)
+        return self.errors_before(None)
+
+    def errors_before(self, version: int | None) -> DataFrame:
+        from mailframe.schema import MAIL_ERRORS
+
+        if not self._path_exists(self.errors_path):
+            return self.spark.createDataFrame([], MAIL_ERRORS)
+        e = self.spark.read.schema(T.StructType([*MAIL_ERRORS.fields, T.StructField("version", T.LongType())])).parquet(self.errors_path)
+        if version is not None:
+            e = e.filter(F.col("version") < version)
+        value = [c for c in e.columns if c != "message_id"]
         return (
             e.groupBy("message_id")
-            .agg(F.max_by(F.struct("folder_uri", "error_msg", "version"), F.col("version")).alias("_e"))
-            .select("message_id", "_e.folder_uri", "_e.error_msg")
+            .agg(F.max_by(F.struct(*value), F.col("version")).alias("_e"))
+            .select("message_id", "_e.*")
+            .drop("version")
             .filter(F.col("error_msg").isNotNull())
         )
 
     def retry_errors(self, raw: DataFrame, version: int, options=None) -> int:
-        """Parse the messages of open error rows again from ``raw`` (``folder_uri``, ``uid``,
-        ``raw``); store those that parse now, mark them resolved, keep the rest open.
+        """Parse the messages of open error rows again from ``raw`` (``folder_uri``, ``uid`` or
+        ``pop_id``, ``raw``); store those that parse now, mark them resolved, keep the rest open.
         The reference never retries a message whose mark has moved past it."""
         from mailframe.operators.documents import fetch_documents
         from mailframe.options import MailOptions
 
-        open_errors = self.errors().select(
-            "folder_uri", F.substring_index("message_id", "::", 1).cast("bigint").alias("uid"), "message_id")
-        changes = open_errors.select("folder_uri", "uid").withColumn("op", F.lit(OP_UPSERT)) \
+        pop = "pop_id" in raw.columns
+        key = "pop_id" if pop else "uid"
+        known = self.errors()
+        open_errors = known.filter(F.col("pop_id").isNotNull() == F.lit(pop))
+        if not pop:  # rows written without key columns name the message alone
+            open_errors = open_errors.withColumn("uid", F.coalesce("uid", uid_from_doc_id("message_id"))).filter(F.col("uid").isNotNull())
+        changes = open_errors.select("folder_uri", key).withColumn("op", F.lit(OP_UPSERT)) \
             .withColumn("version", F.lit(version).cast("bigint")).withColumn("seq", F.lit(SEQ_NEW))
-        docs, still = fetch_documents(changes, raw, options or MailOptions())
+        docs, still = fetch_documents(changes, raw, options or MailOptions(), keys=("folder_uri", key), stage=self.stage)
         self.append(as_log(docs))
-        fixed = self.log().filter(F.col("version") == version).select(
-            F.concat(F.col("uid").cast("string"), F.lit("::"), F.col("folder_uri")).alias("message_id"))
-        resolved = open_errors.join(fixed, "message_id", "left_semi").select(
-            "message_id", "folder_uri", F.lit(None).cast("string").alias("error_msg"))
-        self.append_errors(still.unionByName(resolved), version)
+        left = still.select("message_id").distinct()
+        resolved = open_errors.join(left, "message_id", "left_anti").withColumn("error_msg", F.lit(None).cast("string"))
+        self.append_errors(still.unionByName(resolved, allowMissingColumns=True), version)
         return self.errors().count()
+
+    def stage(self, df: DataFrame) -> DataFrame:
+        """Write rows that several outputs need once, to the store's own staging folder, and read them back."""
+        path = os.path.join(self.root, "_staging", uuid.uuid4().hex)
+        df.write.parquet(path)
+        return self.spark.read.schema(df.schema).parquet(path)

@@ -137,8 +137,9 @@ MODE_INCREMENTAL = "incremental"
 def resync_plan(server_folders: DataFrame, state: DataFrame) -> DataFrame:
     """One row per folder known on either side, with the poll mode.
 
-    * on the store only                 -> ``vanished`` (clear; state exists=false)
-    * on the server, no state row       -> ``initial`` (full load)
+    * on the store only                 -> ``vanished`` (clear, once; state exists=false)
+    * on the server, no state row, or a
+      state row that says it had vanished -> ``initial`` (full load)
     * validity null or different        -> ``resync`` (full load; clear first if the
       old validity was non-null)
     * else                              -> ``incremental``
@@ -146,17 +147,18 @@ def resync_plan(server_folders: DataFrame, state: DataFrame) -> DataFrame:
     A rename is a vanished old name plus an initial new one (Y11).
     """
     srv = server_folders.select("folder_uri", F.col("uid_validity").alias("new_validity"), F.lit(True).alias("_on_server"))
-    st = state.select("folder_uri", F.col("uid_validity").alias("old_validity"), F.lit(True).alias("_in_state"))
+    there = F.coalesce(F.col("exists"), F.lit(True)) if "exists" in state.columns else F.lit(True)
+    st = state.select("folder_uri", F.col("uid_validity").alias("old_validity"), F.lit(True).alias("_in_state"), there.alias("_there"))
     j = srv.join(st, "folder_uri", "full")
     on_server = F.coalesce(F.col("_on_server"), F.lit(False))
     in_state = F.coalesce(F.col("_in_state"), F.lit(False))
     mode = (
         F.when(~on_server, F.lit(MODE_VANISHED))
-        .when(~in_state, F.lit(MODE_INITIAL))
+        .when(~in_state | ~F.col("_there"), F.lit(MODE_INITIAL))
         .when(~F.col("old_validity").eqNullSafe(F.col("new_validity")) | F.col("old_validity").isNull(), F.lit(MODE_RESYNC))
         .otherwise(F.lit(MODE_INCREMENTAL))
     )
-    clear_first = (~on_server) | (in_state & F.col("old_validity").isNotNull() & (mode == MODE_RESYNC))
+    clear_first = (~on_server & F.col("_there")) | (in_state & F.col("old_validity").isNotNull() & (mode == MODE_RESYNC))
     return j.select(
         "folder_uri",
         mode.alias("mode"),
@@ -227,8 +229,14 @@ class PollSwitches:
         return PollSwitches(with_flag_sync=options.with_flag_sync, delete_expunged=not options.keep_expunged_messages)
 
 
+def folder_plan(folders: DataFrame, state: DataFrame) -> DataFrame:
+    """The poll mode of every folder with its old high-water mark."""
+    marks = state.select("folder_uri", F.col("last_uid").alias("_mark"))
+    return resync_plan(folders, state).join(marks, "folder_uri", "left").select("folder_uri", "mode", "clear_first", "_mark")
+
+
 def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state: DataFrame,
-              version: int, switches: PollSwitches = PollSwitches()) -> DataFrame:
+              version: int, switches: PollSwitches = PollSwitches(), plan: DataFrame | None = None) -> DataFrame:
     """The whole IMAP poll as one union of typed change rows.
 
     ``stored`` is the current view (keys + flag hash are enough), ``listing`` the
@@ -241,11 +249,9 @@ def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state:
     ``mode``, and the two message-level joins run on (``folder_uri``, ``uid``).
     """
     listing = distinct_listing(listing)
-    marks = state.select("folder_uri", F.col("last_uid").alias("_mark"))
     # one small row per folder; every consumer below uses this same subtree, so its
     # exchanges (broadcast or shuffle) are built once and reused
-    plan = resync_plan(folders, state).join(marks, "folder_uri", "left") \
-        .select("folder_uri", "mode", "clear_first", "_mark")
+    plan = folder_plan(folders, state) if plan is None else plan
     cols = listing.columns
 
     def tag(df: DataFrame, op: str, seq: int) -> DataFrame:

@@ -5,6 +5,10 @@ from __future__ import annotations
 import re
 from dataclasses import dataclass, field
 
+from py4j.protocol import Py4JJavaError
+from pyspark import SparkContext
+from pyspark.errors import IllegalArgumentException
+
 # Defaults of the reference's settings.
 DEFAULT_INDEX_NAME = "imapriverdata"
 DEFAULT_TYPE_NAME = "mail"
@@ -24,12 +28,17 @@ class InvalidPattern(ValueError):
 
 
 def validate_pattern(pattern: str | None) -> None:
-    """an invalid folder pattern fails at option parse time (never runs unfiltered)."""
-    if pattern is None:
+    """an invalid folder pattern fails at option parse time (never runs unfiltered).
+
+    The JVM runs the pattern, so the JVM judges it.  Options made before there is a
+    session are judged when the pattern is first used, which checks again.
+    """
+    context = SparkContext._active_spark_context
+    if pattern is None or context is None:
         return
     try:
-        re.compile(pattern)
-    except re.error as e:
+        context._jvm.java.util.regex.Pattern.compile(pattern)
+    except (Py4JJavaError, IllegalArgumentException) as e:
         raise InvalidPattern(f"invalid folder pattern {pattern!r}: {e}") from e
 
 

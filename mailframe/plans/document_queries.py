@@ -12,7 +12,7 @@ from mailframe.plans.registry import register
 from mailframe.sources import accounts as acc
 from mailframe.sources import fixtures as fx
 from mailframe.sources.fixtures import with_views
-from mailframe.sources.tables import read_table, spread_for_cpu
+from mailframe.sources.tables import read_table
 
 
 def duck_java_hash_u32(expr: str) -> str:
@@ -140,7 +140,7 @@ def first_sender(spark, sf_dir):
 # Q05 -----------------------------------------------------------------------
 
 def _conversation_parts(spark, sf_dir):
-    conv = read_table(spark, sf_dir, "conversations").filter(F.col("role").isin("user", "assistant"))
+    conv = read_table(spark, sf_dir, "conversations")  # every turn: the user's is plain, the others html
     return conv.select(
         F.col("conv_id").alias("message_id"),
         F.col("turn").alias("pos"),
@@ -152,16 +152,16 @@ def _conversation_parts(spark, sf_dir):
 @register("text_choice", """
 SELECT conv_id AS message_id,
        coalesce(arg_min(text, turn) FILTER (WHERE role = 'user' AND text IS NOT NULL),
-                arg_min(text, turn) FILTER (WHERE role = 'assistant' AND text IS NOT NULL)) AS text_content
-FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id""")
+                arg_min(text, turn) FILTER (WHERE role <> 'user' AND text IS NOT NULL)) AS text_content
+FROM conversations GROUP BY conv_id""")
 def text_choice(spark, sf_dir):
     """Q05 (P9): plain text preferred in a multipart/alternative message."""
     return choose_text(_conversation_parts(spark, sf_dir), prefer_html=False)
 
 
 @register("html_choice", """
-SELECT conv_id AS message_id, arg_min(text, turn) FILTER (WHERE role = 'assistant') AS html_content
-FROM conversations WHERE role IN ('user', 'assistant') GROUP BY conv_id""")
+SELECT conv_id AS message_id, arg_min(text, turn) FILTER (WHERE role <> 'user') AS html_content
+FROM conversations GROUP BY conv_id""")
 def html_choice(spark, sf_dir):
     """Q05 (P10): html preferred; a plain-only message gives null (reference rule)."""
     return choose_text(_conversation_parts(spark, sf_dir), prefer_html=True, out_col="html_content")
@@ -173,7 +173,7 @@ def html_choice(spark, sf_dir):
 SELECT page_id, regexp_replace(html, '<[^\n\r\x{85}\x{2028}\x{2029}]*?>', '', 'g') AS text_content FROM pages""")
 def strip_tags(spark, sf_dir):
     """Q06 (P11): tags removed from whole pages."""
-    pages = spread_for_cpu(read_table(spark, sf_dir, "pages").select("page_id", "html"))
+    pages = read_table(spark, sf_dir, "pages").select("page_id", "html")
     return pages.select("page_id", doc.strip_tags("html").alias("text_content"))
 
 
@@ -206,7 +206,7 @@ SELECT doc_id,
 FROM documents""")
 def attachments(spark, sf_dir):
     """Q07 (P13, P14, P15, F13): attachments of a multipart message built per document."""
-    docs = spread_for_cpu(read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source"))
+    docs = read_table(spark, sf_dir, "documents").select("doc_id", "text", "lang", "source")
     a = docs.select("doc_id", doc.attachments(_document_parts()).alias("atts"))
     b64 = doc.base64_unbroken(F.element_at("atts", 1)["content"])
     return a.select(

@@ -6,16 +6,18 @@ from pyspark.sql import functions as F
 
 from mailframe.functions.keys import doc_id, state_id
 from mailframe.operators import store, sync
+from mailframe.operators.search import distinct_values
 from mailframe.plans.registry import register
 from mailframe.sources import fixtures as fx
 from mailframe.sources.fixtures import with_views
 
 
-@register("stored_folders", with_views("stored") + """
-SELECT DISTINCT account AS index_name, folder_full_name FROM stored""")
+@register("stored_folders", with_views("mailbox") + """
+SELECT DISTINCT account AS index_name, folder_full_name FROM mailbox""")
 def stored_folders(spark, sf_dir):
     """Q08 (S7, A3, F8): distinct stored folder names per index (index = account)."""
-    return fx.stored(spark, sf_dir).select(F.col("account").alias("index_name"), "folder_full_name").distinct()
+    rows = fx.mailbox(spark, sf_dir).select(F.col("account").alias("index_name"), "folder_full_name")
+    return distinct_values(rows, "index_name", "folder_full_name")
 
 
 @register("new_messages", with_views("stored", "server") + """,
@@ -88,18 +90,18 @@ def expunge_counts(spark, sf_dir):
 _JAVA_HASH_SQL = """CAST(CASE WHEN h >= 2147483648 THEN h - 4294967296 ELSE h END AS INTEGER)"""
 
 
-@register("folder_state", with_views("stored") + """,
-agg AS (SELECT folder_uri, max(uid) AS last_uid, count(*) AS last_count FROM stored GROUP BY folder_uri),
+@register("folder_state", with_views("mailbox") + """,
+agg AS (SELECT folder_uri, max(uid) AS last_uid, count(*) AS last_count FROM mailbox GROUP BY folder_uri),
 hashed AS (SELECT *, list_reduce([0::BIGINT] || list_transform(string_split(folder_uri, ''), lambda c: ascii(c)::BIGINT),
                                  lambda a, x: (a * 31 + x) % 4294967296) AS h FROM agg)
 SELECT folder_uri, true AS "exists", last_uid, last_count,
        'folderstate_' || CAST(""" + _JAVA_HASH_SQL + """ AS VARCHAR) AS state_id
 FROM hashed""")
 def folder_state(spark, sf_dir):
-    """Q13 (S9, Y9, K7, P18, A4, A5): the state row per folder after loading ``stored``."""
+    """Q13 (S9, Y9, K7, P18, A4, A5): the state row per folder after loading ``mailbox``."""
     empty_state = spark.createDataFrame([], "folder_uri string, exists boolean, uid_validity bigint, "
                                             "last_uid bigint, last_count bigint, last_indexed timestamp")
-    st = sync.state_advance(fx.stored(spark, sf_dir).select("folder_uri", "uid"), empty_state)
+    st = sync.state_advance(fx.mailbox(spark, sf_dir).select("folder_uri", "uid"), empty_state)
     return st.select("folder_uri", "exists", "last_uid", "last_count", state_id("folder_uri").alias("state_id"))
 
 
@@ -267,16 +269,107 @@ def store_after_stream(spark, sf_dir):
     return mail_store.view().select("doc_id", "folder_uri", "uid", "flaghashcode", "received_date")
 
 
+def _landed(df, snapshot_id: int, complete: bool = True):
+    """Rows of a landing snapshot: the messages, a row for each folder, and one that tells how many they are."""
+    from mailframe.streaming.poll import SNAPSHOT_SCHEMA
+
+    rows = df.select("account", "folder_full_name", "folder_uri", "uid", "flaghashcode", "received_date")
+    markers = rows.select("account", "folder_full_name", "folder_uri").distinct()
+    full = rows.unionByName(markers, allowMissingColumns=True).withColumn("uid_validity", F.lit(1).cast("bigint"))
+    sizes = full.groupBy("account").agg(F.count(F.lit(1)).alias("snapshot_rows"))
+    if not complete:
+        full = full.filter(F.col("uid") % 2 == 0)
+    full = full.unionByName(sizes, allowMissingColumns=True).withColumn("snapshot_id", F.lit(snapshot_id).cast("bigint"))
+    return full.select(*[F.col(f.name).cast(f.dataType) if f.name in full.columns
+                         else F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT_SCHEMA.fields])
+
+
+@register("store_after_split_snapshot", _STORE_AFTER_POLL_SQL)
+def store_after_split_snapshot(spark, sf_dir):
+    """Snapshots land as many files, several in one drain and split over batches, the
+    last one incomplete; the store equals the latest complete one."""
+    import uuid
+
+    from mailframe.operators.store import MailStore
+    from mailframe.session import checkpoint_path
+    from mailframe.streaming.poll import start_poll
+
+    root = checkpoint_path(spark, f"store_after_split_snapshot-{uuid.uuid4().hex}")
+    landing = f"{root}/landing"
+    mail_store = MailStore(spark, f"{root}/store")
+    parts = [(fx.stored(spark, sf_dir), True), (fx.server(spark, sf_dir), True), (fx.stored(spark, sf_dir), False)]
+    for i, (df, complete) in enumerate(parts):
+        _landed(df, i, complete).repartition(3).write.mode("append").parquet(landing)
+    q = start_poll(spark, landing, mail_store, once=True, checkpoint=f"{root}/ckpt", files_per_batch=5,
+                   name=f"stream-{uuid.uuid4().hex[:8]}")
+    if not q.awaitTermination(3600) or q.exception() is not None:
+        q.stop()
+        raise RuntimeError(f"the poll did not finish: {q.exception()}")
+    return mail_store.view().select("doc_id", "folder_uri", "uid", "flaghashcode", "received_date")
+
+
+@register("folder_vanish_return", with_views("server") + """
+SELECT CAST(uid AS VARCHAR) || '::' || folder_uri AS doc_id, folder_uri, uid, flaghashcode FROM server""")
+def folder_vanish_return(spark, sf_dir):
+    """A folder vanishes for two polls and comes back; it is loaded in full again."""
+    import uuid
+
+    from mailframe.operators.store import MailStore
+    from mailframe.session import checkpoint_path
+    from mailframe.streaming.poll import PollJob
+
+    mail_store = MailStore(spark, checkpoint_path(spark, f"folder_vanish_return-{uuid.uuid4().hex}"))
+    job = PollJob(spark, mail_store)
+    listing = fx.server(spark, sf_dir)
+    without = listing.filter(F.col("folder_full_name") != "click")
+    for i, df in enumerate((listing, without, without, listing)):
+        job(_landed(df, i), i)
+    return mail_store.view().select("doc_id", "folder_uri", "uid", "flaghashcode")
+
+
+@register("poll_with_bodies", """
+SELECT CAST(doc_id AS VARCHAR) || '::imap://reader%40example.com@mail.example.com/' || lang AS doc_id,
+       CASE WHEN doc_id % 13 = 0 THEN 'parse' ELSE 'stored' END AS status,
+       CASE WHEN doc_id % 13 <> 0 THEN 'Über ' || doc_id || ' (' || lang || ')' END AS subject
+FROM documents""")
+def poll_with_bodies(spark, sf_dir):
+    """K2, K8, P20: whole messages are fetched and parsed in the poll; a fifth of the raw bytes lands one
+    poll late and is taken up then, messages that cannot be parsed are in the error table."""
+    import uuid
+
+    from mailframe.operators.store import MailStore, folder_bucket
+    from mailframe.session import checkpoint_path
+    from mailframe.sources.raw import raw_from_documents
+    from mailframe.streaming.poll import PollJob
+
+    root = checkpoint_path(spark, f"poll_with_bodies-{uuid.uuid4().hex}")
+    raw = raw_from_documents(spark, sf_dir).select("folder_uri", F.col("message_id").cast("bigint").alias("uid"), "raw")
+    raw = raw.withColumn("fbucket", folder_bucket())
+    mail_store = MailStore(spark, f"{root}/store")
+    job = PollJob(spark, mail_store, raw_path=f"{root}/raw")
+    listing = raw.select(
+        F.lit("reader@example.com").alias("account"), F.regexp_extract("folder_uri", "([^/]+)$", 1).alias("folder_full_name"),
+        "folder_uri", "uid", (F.col("uid") % 64).cast("int").alias("flaghashcode"), F.lit(None).cast("timestamp_ntz").alias("received_date"),
+    )
+    late = F.col("uid") % 5 == 0
+    for i, landed in enumerate((~late, late)):
+        raw.filter(landed).write.mode("append").partitionBy("fbucket").parquet(f"{root}/raw")
+        job(_landed(listing, i), i)
+    stored = mail_store.view().select("doc_id", F.lit("stored").alias("status"), "subject")
+    errors = mail_store.errors().select(F.col("message_id").alias("doc_id"), F.col("kind").alias("status"), F.lit(None).cast("string").alias("subject"))
+    return stored.unionByName(errors)
+
+
 DELETE_FROM_HASH = 48
 
 
-@register("store_after_delete", with_views("stored") + f"""
+@register("store_after_delete", with_views("mailbox") + f"""
 SELECT CAST(uid AS VARCHAR) || '::' || folder_uri AS doc_id, folder_uri, uid, flaghashcode
-FROM stored WHERE NOT (flaghashcode >= {DELETE_FROM_HASH} AND folder_full_name = 'click')""")
+FROM mailbox WHERE NOT (flaghashcode >= {DELETE_FROM_HASH} AND folder_full_name = 'click')""")
 def store_after_delete(spark, sf_dir):
     """K6: delete by predicate in one pass (tombstones), then K5 is not involved; current view."""
     cols = ["folder_uri", "uid", "flaghashcode", "folder_full_name"]
-    log0 = store.initial_load(fx.stored(spark, sf_dir).select(*cols), version=0)
+    log0 = store.initial_load(fx.mailbox(spark, sf_dir).select(*cols), version=0)
     view0 = store.current_view(log0)
     pred = (F.col("flaghashcode") >= DELETE_FROM_HASH) & (F.col("folder_full_name") == "click")
     log = store.union_log(log0, store.delete_where(view0.select("doc_id", "folder_uri", "uid", "folder_full_name",
@@ -284,17 +377,18 @@ def store_after_delete(spark, sf_dir):
     return store.current_view(log).select("doc_id", "folder_uri", "uid", "flaghashcode")
 
 
-@register("store_after_clear", with_views("stored") + """
+@register("store_after_clear", with_views("mailbox") + """
 SELECT CAST(uid AS VARCHAR) || '::' || folder_uri AS doc_id, folder_uri, uid
-FROM stored WHERE folder_full_name <> 'signup' OR uid > 4000""")
+FROM mailbox WHERE folder_full_name <> 'signup' OR uid % 5 >= 2""")
 def store_after_clear(spark, sf_dir):
     """K5: clearing folders hides every older row; rows written after the clear stay visible."""
     cols = ["folder_uri", "uid", "folder_full_name"]
-    stored = fx.stored(spark, sf_dir).select(*cols)
-    early = store.initial_load(stored.filter(F.col("uid") <= 4000), version=0)
-    signup = stored.filter(F.col("folder_full_name") == "signup").select("folder_uri")
+    rows = fx.mailbox(spark, sf_dir).select(*cols)
+    before = F.col("uid") % 5 < 2  # two fifths are stored before the clear
+    early = store.initial_load(rows.filter(before), version=0)
+    signup = rows.filter(F.col("folder_full_name") == "signup").select("folder_uri")
     clears = store.clear_folders(signup, version=1)
-    late = store.initial_load(stored.filter(F.col("uid") > 4000), version=2)
+    late = store.initial_load(rows.filter(~before), version=2)
     log = store.union_log(early, clears, late)
     return store.current_view(log).select("doc_id", "folder_uri", "uid")
 

@@ -60,21 +60,15 @@ LISTING = T.StructType([
     T.StructField("received_date", T.TimestampNTZType()),
 ])
 
-FOLDERS = T.StructType([
-    T.StructField("account", T.StringType()),
-    T.StructField("folder_full_name", T.StringType()),
-    T.StructField("folder_uri", T.StringType()),
-    T.StructField("uid_validity", T.LongType()),
-    T.StructField("holds_messages", T.BooleanType()),
-    T.StructField("complete", T.BooleanType()),
-])
-
 FOLDER_STATE = T.StructType([
+    T.StructField("index_name", T.StringType()),
     T.StructField("folder_uri", T.StringType()),
+    T.StructField("account", T.StringType()),
     T.StructField("exists", T.BooleanType()),
     T.StructField("uid_validity", T.LongType()),
     T.StructField("last_uid", T.LongType()),
     T.StructField("last_count", T.LongType()),
+    T.StructField("last_took", T.LongType()),  # milliseconds of the poll that last touched the folder
     T.StructField("last_indexed", T.TimestampType()),
     T.StructField("last_schedule", T.TimestampType()),
 ])
@@ -83,4 +77,7 @@ MAIL_ERRORS = T.StructType([
     T.StructField("message_id", T.StringType()),
     T.StructField("folder_uri", T.StringType()),
     T.StructField("error_msg", T.StringType()),
+    T.StructField("uid", T.LongType()),
+    T.StructField("pop_id", T.StringType()),
+    T.StructField("kind", T.StringType()),  # "parse", or "missing": the raw bytes had not landed
 ])

@@ -41,15 +41,17 @@ def get_session(cpus: int | str = "*", app: str = "mailframe", shuffle_partition
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
     """Return the shared checkpoint folder named by the cluster.
 
-    Only when the session names none (local tests) do we set a scratch folder.
+    Only a local session that names none (tests) gets a scratch folder; on a cluster
+    a machine-local folder would be seen by one machine alone, so that is an error.
     """
-    current = spark.conf.get(CHECKPOINT_KEY, None)
+    context = spark.sparkContext
+    current = spark.conf.get(CHECKPOINT_KEY, None) or context.getCheckpointDir()
     if not current:
+        if not context.master.startswith("local"):
+            raise RuntimeError(f"set {CHECKPOINT_KEY} to a folder that the driver and all executors share")
         current = tempfile.mkdtemp(prefix="mailframe-ckpt-")
-        spark.conf.set(CHECKPOINT_KEY, current)
-    sc_dir = spark.sparkContext.getCheckpointDir()
-    if not sc_dir:
-        spark.sparkContext.setCheckpointDir(current)
+    if not context.getCheckpointDir():
+        context.setCheckpointDir(current)
     return current
 
 

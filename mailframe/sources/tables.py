@@ -17,14 +17,3 @@ def read_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
         raise ValueError(f"unknown table {name!r}")
     return spark.read.parquet(os.path.join(sf_dir, f"{name}.parquet"))
 
-
-def spread_for_cpu(df: DataFrame) -> DataFrame:
-    """Spread rows over all cores before CPU-heavy per-row work (regexes over whole texts).
-
-    Only when the scan yields fewer splits than cores (a few large files); with many
-    splits, the cluster case, the input is used as it is and nothing is shuffled.
-    """
-    cores = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < cores:
-        return df.repartition(cores * 2)
-    return df

@@ -1,9 +1,15 @@
 """Recurring polls as Structured Streaming.
 
-Server listings land as Parquet files (schema ``LISTING`` + ``uid_validity``); a
-row with a null ``uid`` / ``pop_id`` marks a folder whose listing is complete even
-when it is empty.  Each listing batch is one complete snapshot of the accounts it
-names.  ``foreachBatch`` runs the whole poll (Y13) against the store's current
+Server listings land as Parquet files (``SNAPSHOT_SCHEMA``); a row with a null
+``uid`` / ``pop_id`` marks a folder even when it is empty.  A writer numbers each
+listing of an account with a growing ``snapshot_id`` and says in ``snapshot_rows`` of
+one row without a folder how many other rows the snapshot has.  A poll takes, per
+account, the latest snapshot whose rows have all landed, whatever files and batches
+they came in; older and incomplete ones change nothing.  Rows without a snapshot id
+are for writers that land a whole listing at once: then a batch is one complete
+listing of the accounts it names.
+
+``foreachBatch`` runs the whole poll (Y13) against the store's current
 view and folder state, appends the change rows with ``version = batch_id`` and
 then writes the next folder state in the same version:
 
@@ -22,6 +28,7 @@ Data is committed before state, so a crash between the two replays the batch.
 from __future__ import annotations
 
 import os
+import time
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame, SparkSession
@@ -30,23 +37,43 @@ from pyspark.sql import types as T
 
 from mailframe.operators import store as st
 from mailframe.operators import sync
-from mailframe.schema import LISTING
+from mailframe.schema import FOLDER_STATE, LISTING
 from mailframe.sources.accounts import index_name
 from mailframe.session import checkpoint_path
+from mailframe.sources.raw import pop_inbox
 
 LANDING_SCHEMA = T.StructType(LISTING.fields + [T.StructField("uid_validity", T.LongType())])
+SNAPSHOT_SCHEMA = T.StructType([
+    *LANDING_SCHEMA.fields,
+    T.StructField("flags", T.ArrayType(T.StringType())),  # flag names as listed
+    T.StructField("snapshot_id", T.LongType()),
+    T.StructField("snapshot_rows", T.LongType()),
+])
 
-STATE_COLUMNS = ["folder_uri", "account", "exists", "uid_validity", "last_uid", "last_count",
-                 "last_indexed", "last_schedule"]
+STATE_COLUMNS = FOLDER_STATE.fieldNames()
 
 
 def _empty_state(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([], "folder_uri string, account string, exists boolean, uid_validity bigint, "
-                                     "last_uid bigint, last_count bigint, last_indexed timestamp, "
-                                     "last_schedule timestamp")
+    return spark.createDataFrame([], FOLDER_STATE)
 
 
-def advance_state(plan: DataFrame, folders: DataFrame, new_rows: DataFrame, state: DataFrame) -> DataFrame:
+def complete_snapshots(rows: DataFrame) -> DataFrame:
+    """Rows of the latest complete snapshot of every account.
+
+    Complete: a marker row says how many rows there are, and they are all here.  Landed
+    copies of a row (a writer that tried again) count once.
+    """
+    marker = F.col("snapshot_rows").isNotNull()
+    rows = rows.dropDuplicates(["account", "snapshot_id", "folder_uri", "uid", "pop_id", "snapshot_rows"])
+    sizes = rows.groupBy("account", "snapshot_id").agg(
+        F.max("snapshot_rows").alias("_want"), F.sum(F.when(marker, 0).otherwise(1)).alias("_have")
+    )
+    latest = sizes.filter(F.col("_have") == F.col("_want")).groupBy("account").agg(F.max("snapshot_id").alias("snapshot_id"))
+    return rows.filter(~marker).join(latest, ["account", "snapshot_id"], "left_semi")
+
+
+def advance_state(plan: DataFrame, folders: DataFrame, new_rows: DataFrame, state: DataFrame,
+                  took_ms: int | None = None, index=None) -> DataFrame:
     """Y9 across polls: next state of every folder of this batch and of vanished folders.
 
     Full loads (initial / resync) restart the marks; incremental folders move the
@@ -68,16 +95,19 @@ def advance_state(plan: DataFrame, folders: DataFrame, new_rows: DataFrame, stat
     vanished = F.col("mode") == sync.MODE_VANISHED
     n = F.coalesce(F.col("_n"), F.lit(0))
     # an incremental poll that stored nothing leaves the row as it was (reference rule)
-    touched = full | vanished | (n > 0)
+    touched = full | (vanished & F.coalesce(F.col("_o_exists"), F.lit(True))) | (n > 0)
     prev_uid = F.when(full, F.lit(-1)).otherwise(F.coalesce(F.col("_o_last_uid"), F.lit(-1)))
+    account = F.coalesce(F.col("account"), F.col("_o_account"))
     return j.select(
+        F.coalesce(F.col("_o_index_name"), index(account) if index else F.lit(None).cast("string")).alias("index_name"),
         "folder_uri",
-        F.coalesce(F.col("account"), F.col("_o_account")).alias("account"),
+        account.alias("account"),
         (~vanished).alias("exists"),
         F.when(vanished, F.col("_o_uid_validity")).otherwise(F.col("uid_validity")).alias("uid_validity"),
         F.when(n > 0, F.greatest(prev_uid, F.coalesce(F.col("_max"), prev_uid))).otherwise(prev_uid)
         .cast("bigint").alias("last_uid"),
         F.when(full | (n > 0), n).otherwise(F.coalesce("_o_last_count", F.lit(-1))).cast("bigint").alias("last_count"),
+        F.when(touched, F.lit(took_ms)).otherwise(F.col("_o_last_took")).cast("bigint").alias("last_took"),
         F.when(n > 0, now).otherwise(F.col("_o_last_indexed")).alias("last_indexed"),
         F.when(touched, now).otherwise(F.col("_o_last_schedule")).alias("last_schedule"),
     )
@@ -88,13 +118,16 @@ class PollJob:
 
     def __init__(self, spark: SparkSession, mail_store: st.MailStore,
                  switches: sync.PollSwitches = sync.PollSwitches(), raw_path: str | None = None,
-                 options=None, pop: bool = False, pop_by_number: bool = False, version_offset: int = 0):
+                 options=None, pop: bool = False, pop_by_number: bool = False, version_offset: int = 0,
+                 landing: str | None = None):
         from mailframe.options import MailOptions
 
         self.spark = spark
         self.store = mail_store
         self.switches = switches
-        self.raw_path = raw_path  # landing table of raw messages (folder_uri, uid | pop_id, raw)
+        # landing table of raw messages (folder_uri, uid | pop_id, raw; by preference partitioned by ``fbucket``)
+        self.raw_path = raw_path
+        self.landing = landing  # where earlier files of a snapshot lie
         self.options = options or MailOptions()
         self.pop = pop  # POP rules: key pop_id, no flags, no UID validity (S13)
         self.pop_by_number = pop_by_number
@@ -119,10 +152,38 @@ class PollJob:
         state = self.store.state_before(version)
         return st.current_view(log), state if state is not None else _empty_state(self.spark)
 
+    def _listed(self, batch: DataFrame) -> DataFrame | None:
+        """The listing rows that this poll may act on; None when there is nothing complete."""
+        for name in ("flags", "snapshot_id", "snapshot_rows"):
+            if name not in batch.columns:
+                batch = batch.withColumn(name, F.lit(None).cast(SNAPSHOT_SCHEMA[name].dataType))
+        whole = batch.filter(F.col("snapshot_id").isNull())
+        first = batch.agg(F.min("snapshot_id")).first()[0]
+        if first is not None:
+            numbered = batch.filter(F.col("snapshot_id").isNotNull())
+            if self.landing is not None:  # the other rows of these snapshots may have come in earlier batches
+                seen = numbered.select("account", "snapshot_id").distinct()
+                landed = self.spark.read.schema(SNAPSHOT_SCHEMA).parquet(self.landing).filter(F.col("snapshot_id") >= first)
+                numbered = landed.join(seen, ["account", "snapshot_id"], "left_semi")
+            whole = whole.unionByName(complete_snapshots(numbered))
+        whole = whole.drop("snapshot_id", "snapshot_rows").persist(StorageLevel.MEMORY_AND_DISK)  # every branch reads it
+        if whole.isEmpty():
+            whole.unpersist()
+            return None
+        return whole
+
+    def _index(self, account) -> "F.Column":
+        """Target index of an account."""
+        return index_name(self.options.mail_index_name_strategy, account, self.options.mail_index_name)
+
     def __call__(self, batch: DataFrame, batch_id: int) -> None:
+        began = time.monotonic()
         version = self.version_offset + int(batch_id)
-        batch = batch.persist(StorageLevel.MEMORY_AND_DISK)
+        listed = self._listed(batch)
+        if listed is None:
+            return
         try:
+            batch = pop_inbox(listed) if self.pop else listed  # S3: POP serves the inbox alone
             folders = batch.groupBy("folder_uri").agg(
                 F.first("account", ignorenulls=True).alias("account"),
                 F.max("uid_validity").alias("uid_validity"),
@@ -140,29 +201,34 @@ class PollJob:
             state = state.join(accounts, "account", "left_semi")
             unselected = existing.join(folders.select("folder_uri"), "folder_uri", "left_anti").select("folder_uri")
             state = state.join(unselected, "folder_uri", "left_anti")
+            # Written once, read by every branch below: a row per folder, and the keys of the polled folders.
+            state, folders = self.store.stage(state), self.store.stage(folders)
+            plan = self.store.stage(sync.folder_plan(folders, state))
+            view = None if view is None else self.store.stage(view)
             if view is None:
                 view = listing.select("folder_uri", self.key, *([] if self.pop else ["flaghashcode"])).limit(0)
             if self.pop:
                 changes = sync.pop_poll(view, listing, folders, version, self.switches, self.pop_by_number)
             else:
-                changes = sync.imap_poll(view, listing, folders, state, version, self.switches)
-            # Target index per account
-            changes = changes.withColumn("index_name", index_name(
-                self.options.mail_index_name_strategy, F.col("account"), self.options.mail_index_name))
+                changes = sync.imap_poll(view, listing, folders, state, version, self.switches, plan)
+            if self.raw_path is not None:
+                changes = self._with_pending(changes, listing, version)
+            changes = changes.withColumn("index_name", self._index(F.col("account"))) \
+                .withColumn("type_name", F.lit(self.options.mail_type_name))
             if self.raw_path is not None:
                 changes = self._with_bodies(changes, version)
             self.store.append(st.as_log(changes))
             written = self.store.log().filter(F.col("version") == version)
             new_rows = written.filter((F.col("op") == sync.OP_UPSERT) & (F.col("seq") == sync.SEQ_NEW))
-            plan = sync.resync_plan(folders, state)
             if self.pop:  # POP has no UID validity: known folders are incremental
                 plan = plan.withColumn("mode", F.when(F.col("mode") == sync.MODE_RESYNC, F.lit(sync.MODE_INCREMENTAL))
                                        .otherwise(F.col("mode")))
             if not self.switches.delete_expunged:
                 plan = plan.filter(F.col("mode") != sync.MODE_VANISHED)
-            self.store.write_state(advance_state(plan, folders, new_rows, state), version)
+            took = int((time.monotonic() - began) * 1000)
+            self.store.write_state(advance_state(plan, folders, new_rows, state, took, self._index), version)
         finally:
-            batch.unpersist()
+            listed.unpersist()
 
     def _selected(self, batch: DataFrame, folders: DataFrame) -> DataFrame:
         """Listed folders hold messages; non-matching ones hide their subtree."""
@@ -174,13 +240,27 @@ class PollJob:
         keep = names.join(picked.select("account", "folder_full_name"), ["account", "folder_full_name"], "left_semi")
         return folders.join(keep.select("folder_uri"), "folder_uri", "left_semi")
 
+    def _with_pending(self, changes: DataFrame, listing: DataFrame, version: int) -> DataFrame:
+        """Add the messages that still wait for their raw bytes and are still listed."""
+        keys = ["folder_uri", self.key]
+        open_ = self.store.errors_before(version).filter(F.col("kind") == "missing").select(*keys)
+        again = listing.join(open_, keys, "left_semi").join(
+            changes.filter(F.col("op") == sync.OP_UPSERT).select(*keys), keys, "left_anti"
+        )
+        again = again.dropDuplicates(keys).withColumn("op", F.lit(sync.OP_UPSERT)) \
+            .withColumn("version", F.lit(version).cast("bigint")).withColumn("seq", F.lit(sync.SEQ_NEW))
+        return changes.unionByName(again, allowMissingColumns=True)
+
     def _with_bodies(self, changes: DataFrame, version: int) -> DataFrame:
-        """Replace upsert rows by parsed documents; record parse failures (K8, P20)."""
+        """Replace upsert rows by parsed documents; record failures and missing bytes, close what is settled (K8, P20)."""
         from mailframe.operators.documents import fetch_documents
 
         raw = self.spark.read.parquet(self.raw_path)
-        docs, errors = fetch_documents(changes, raw, self.options, keys=("folder_uri", self.key))
-        self.store.append_errors(errors, version)
+        docs, errors = fetch_documents(changes, raw, self.options, keys=("folder_uri", self.key), stage=self.store.stage)
+        fixed = st.with_doc_id(docs).select(F.col("doc_id").alias("message_id"))
+        settled = self.store.errors_before(version).join(fixed, "message_id", "left_semi") \
+            .withColumn("error_msg", F.lit(None).cast("string"))
+        self.store.append_errors(errors.unionByName(settled, allowMissingColumns=True), version)
         others = changes.filter(F.col("op") != sync.OP_UPSERT)
         return others.unionByName(docs, allowMissingColumns=True)
 
@@ -219,13 +299,13 @@ def start_poll(spark: SparkSession, landing: str, mail_store: st.MailStore, *,
     options = options or MailOptions()
     switches = switches or sync.PollSwitches.from_options(options)
     interval = interval or options.interval  # T1: 60 seconds unless configured
-    reader = spark.readStream.schema(LANDING_SCHEMA)
+    reader = spark.readStream.schema(SNAPSHOT_SCHEMA)
     if files_per_batch:  # one landed snapshot file per poll, in landing order
         reader = reader.option("maxFilesPerTrigger", files_per_batch)
     stream = reader.parquet(landing)
     ckpt = checkpoint or checkpoint_path(spark, os.path.join("streams", name))
     job = PollJob(spark, mail_store, switches, raw_path=raw_path, options=options, pop=pop,
-                  pop_by_number=pop_by_number, version_offset=_version_offset(spark, ckpt, mail_store))
+                  pop_by_number=pop_by_number, landing=landing, version_offset=_version_offset(spark, ckpt, mail_store))
     writer = stream.writeStream.foreachBatch(job).option("checkpointLocation", ckpt)
     writer = writer.trigger(availableNow=True) if once else writer.trigger(processingTime=interval)
     return writer.queryName(name).start()

@@ -119,3 +119,20 @@ def test_poll_switches_from_options():
     sw = PollSwitches.from_options(MailOptions.from_settings({"keep_expunged_messages": "true", "with_flag_sync": False}))
     assert sw == PollSwitches(with_flag_sync=False, delete_expunged=False)
     assert PollSwitches.from_options(MailOptions()) == PollSwitches()
+
+
+def test_patterns_are_judged_by_the_jvm(spark):
+    from mailframe.options import InvalidPattern, validate_pattern
+
+    validate_pattern(r"\p{L}+/.*")
+    validate_pattern(r"(?<n>a)b")
+    with pytest.raises(InvalidPattern):
+        validate_pattern(r"(?P<n>a)b")
+
+
+def test_java_string_hash_outside_the_bmp(spark):
+    from mailframe.functions.keys import java_string_hash
+
+    text = "\U0001f600"  # two UTF-16 units: 0xD83D, 0xDE00
+    assert spark.range(1).select(java_string_hash(F.lit(text))).first()[0] == 0xD83D * 31 + 0xDE00
+    assert spark.range(1).select(java_string_hash(F.lit(""))).first()[0] == 0

@@ -123,3 +123,34 @@ def test_retry_errors_stores_fixed_messages(spark, scratch):
     assert ms.retry_errors(raw, version=1) == 1
     assert [r.subject for r in ms.view().collect()] == ["ok now"]
     assert [r.message_id for r in ms.errors().collect()] == ["2::f"]
+
+
+def test_errors_of_a_store_without_any(spark, scratch):
+    assert MailStore(spark, os.path.join(scratch, "store")).errors().count() == 0
+
+
+def test_retry_pop_messages_by_their_own_key(spark, scratch):
+    ms = MailStore(spark, os.path.join(scratch, "store"))
+    e = "message_id string, folder_uri string, error_msg string, uid bigint, pop_id string, kind string"
+    ms.append_errors(spark.createDataFrame([("U7::f", "f", "boom", None, "U7", "parse"), ("7::f", "f", "boom", None, "7", "parse")], e), version=0)
+    raw = spark.createDataFrame([("f", "U7", b"Subject: a\r\n\r\nx\r\n")], "folder_uri string, pop_id string, raw binary")
+    assert ms.retry_errors(raw, version=1) == 1
+    assert [r.doc_id for r in ms.view().collect()] == ["U7::f"]
+    assert [r.kind for r in ms.errors().collect()] == ["missing"]
+
+
+def test_later_columns_are_kept(spark, scratch):
+    ms = MailStore(spark, os.path.join(scratch, "store"))
+    ms.append(st.initial_load(spark.createDataFrame([("f", 1)], "folder_uri string, uid bigint"), 0))
+    ms.append(st.initial_load(spark.createDataFrame([("f", 2, "s")], "folder_uri string, uid bigint, subject string"), 1))
+    assert {r.uid: r.subject for r in ms.view("f").collect()} == {1: None, 2: "s"}
+
+
+def test_view_plan_reads_filters_and_keeps_bodies_out_of_aggregates(spark, scratch):
+    ms = MailStore(spark, os.path.join(scratch, "store"))
+    rows = spark.createDataFrame([("f", 1, "body"), ("g", 2, "body")], "folder_uri string, uid bigint, textContent string")
+    ms.append(st.initial_load(rows, 0))
+    plan = ms.view().filter("folder_uri = 'f'")._jdf.queryExecution().executedPlan().toString()
+    assert "EqualTo(folder_uri,f)" in plan
+    assert not [x for x in plan.splitlines() if ("Aggregate" in x or " Sort " in x) and "textContent" in x]
+    assert "PartitionFilters: [isnotnull(fbucket" in ms.view("f")._jdf.queryExecution().executedPlan().toString()

@@ -7,15 +7,16 @@ import pytest
 from pyspark.sql import functions as F
 
 from mailframe.operators import sync
+from mailframe.operators.parse import RECURSION_ERROR
 from mailframe.operators.store import MailStore
 from mailframe.streaming.poll import LANDING_SCHEMA, start_poll
 
-FOLDERS = ["INBOX", "ES-IMAP-RIVER-TESTS", "ES-IMAP-RIVER-TESTS/Level(2!"]
-ACCOUNT = "es_imapriver_unittest@localhost"
+FOLDERS = ["INBOX", "Projects", "Projects/Level(2!"]
+ACCOUNT = "reader@localhost"
 
 
 def _uri(folder):
-    return f"imap://es_imapriver_unittest%40localhost@localhost/{folder}"
+    return f"imap://reader%40localhost@localhost/{folder}"
 
 
 def _uri_of(account, folder):
@@ -101,10 +102,10 @@ def test_rename_folder(spark, scratch):
     s = Scenario(spark, scratch)
     h = {f: list(range(1, 11)) for f in FOLDERS}
     assert s.poll(h) == 30
-    # rename the subtree ES-IMAP-RIVER-TESTS -> renamed, then delete 2 messages
+    # rename the subtree Projects -> renamed, then delete 2 messages
     h2 = {"INBOX": h["INBOX"][2:]}
     for f in FOLDERS[1:]:
-        h2[f.replace("ES-IMAP-RIVER-TESTS", "renamed")] = h[f]
+        h2[f.replace("Projects", "renamed")] = h[f]
     assert s.poll(h2) == 28
     state = s.store.state().collect()
     gone = {r.folder_uri for r in state if not r.exists}
@@ -165,7 +166,7 @@ def test_poll_with_bodies_parses_and_records_errors(spark, scratch):
     view = {r.uid: (r.subject, r.textContent, r.index_name) for r in s.store.view().collect()}
     assert view == {u: (f"m{u}", f"body {u}", "imapriverdata") for u in (1, 2, 3, 5)}
     errs = s.store.errors().collect()
-    assert [(e.message_id, e.error_msg) for e in errs] == [(f"4::{_uri('INBOX')}", "Endless recursion detected")]
+    assert [(e.message_id, e.error_msg) for e in errs] == [(f"4::{_uri('INBOX')}", RECURSION_ERROR)]
     # second poll: 6, 7 new; 1 expunged
     _snapshot(spark, {"INBOX": [2, 3, 4, 5, 6, 7]}).coalesce(1).write.mode("append").parquet(s.landing)
     q = start_poll(spark, s.landing, s.store, once=True, checkpoint=s.ckpt, name="bodies2", raw_path=raw_path)
@@ -199,7 +200,7 @@ def test_multi_account_routing(spark, scratch):
     from mailframe.options import MailOptions
 
     s = Scenario(spark, scratch, options=MailOptions(mail_index_name_strategy="username_crop"))
-    accounts = [f"es_imapriver_unittest{i}@localhost" for i in ("", "2", "3")]
+    accounts = [f"reader{i}@localhost" for i in ("", "2", "3")]
     for a in accounts:
         s.land({"INBOX": list(range(1, 51))}, account=a)
     assert s.run() == 150
@@ -297,6 +298,6 @@ def test_usage_flow_with_created_table(spark, scratch):
     q.awaitTermination(300)
     view = s.store.view()
     hits = search.bool_must(view, search.term("folder_uri", _uri("INBOX")), search.terms("uid", [2, 3]))
-    assert sorted((r.subject, r.index_name) for r in hits.collect()) == [("s2", "es_imapriver_unittest"),
-                                                                         ("s3", "es_imapriver_unittest")]
+    assert sorted((r.subject, r.index_name) for r in hits.collect()) == [("s2", "reader"),
+                                                                         ("s3", "reader")]
     assert view.count() == 5  # "Other" does not match the pattern
