@@ -32,7 +32,7 @@ def match_all(df: DataFrame) -> DataFrame:
 
 
 def restrict(df: DataFrame, index_name: str | None = None, type_name: str | None = None) -> DataFrame:
-    """index / type restriction (partition columns of the store)."""
+    """index / type restriction (columns that polls write; on a view the filter reaches the scan of the whole rows)."""
     if index_name is not None:
         df = df.filter(F.col("index_name") == index_name)
     if type_name is not None:
