@@ -384,13 +384,20 @@ def remove_repeats(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, part
     again = units.repartition(shuffle_partitions(docs.sparkSession), "unit").sortWithinPartitions("unit").mapInArrow(_search_units(length), "anchor bigint, content bigint, start bigint, end bigint")
     again = scratch_table(again.groupBy("anchor", "content").agg(F.collect_set(F.struct("start", "end")).alias("spans")), "suffix-again")
 
-    named = shared.join(contents.select("anchor", "content", "n"), ["anchor", "content"], "left")
-    whole = named.filter(~F.col("mixed") | (F.col("n") > 1)).select("k1", "k2", F.col("first").alias("a"), (F.col("first") + F.col("windows") + length - 1).alias("b"))
+    # A content that occurs once has one place, its own; all other runs go whole.
+    once = contents.filter("n = 1").select("anchor", "content", "rep")
+    whole = shared.join(once, ["anchor", "content"], "left_anti").select(
+        "k1", "k2", F.col("first").alias("a"), (F.col("first") + F.col("windows") + length - 1).alias("b")
+    )
     partly = (
-        named.filter(F.col("mixed") & (F.col("n") == 1))
-        .join(again, ["anchor", "content"])
-        .select("k1", "k2", "first", F.explode("spans").alias("s"))
-        .select("k1", "k2", (F.col("first") + F.col("s.start")).alias("a"), (F.col("first") + F.col("s.end") + length - 1).alias("b"))
+        once.join(again, ["anchor", "content"])
+        .select("rep", F.explode("spans").alias("s"))
+        .select(
+            F.col("rep.k1").alias("k1"),
+            F.col("rep.k2").alias("k2"),
+            (F.col("rep.first") + F.col("s.start")).alias("a"),
+            (F.col("rep.first") + F.col("s.end") + length - 1).alias("b"),
+        )
     )
     cuts = whole.unionByName(partly).groupBy("k1", "k2").agg(F.collect_set(F.struct("a", "b")).alias("cuts"))
     return (
