@@ -8,6 +8,10 @@ compared: an item's value must always stand for one and the same value of the do
 A document leaks an item if consistent windows cover the item whole, or ``MIN_RUN`` of its
 windows.
 
+Items also have windows in which names are words like any other, and documents' windows are
+matched in both forms.  Case, white space and the words around tell names wrongly, but not
+this form, so a copy is found whatever they are.  The forms of an item are judged apart.
+
 Defined results: null or empty text never leaks; items with fewer than ``MIN_WORDS`` literal
 words in a window give no windows; items shorter than a window are one window of their own
 length; repeated items and documents each count; a null id is an id like any other.
@@ -18,6 +22,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from mailframe.llm.common import scratch_table
+
 WINDOW = 8
 #: Windows on one diagonal that make a leak even when the item is longer (13 template tokens).
 MIN_RUN = 6
@@ -34,19 +40,34 @@ UNITS = (
 ).split()
 
 
-def marked(text: Column) -> Column:
-    """Text with every number, unit and name prefixed by its type's mark, lower-cased, words parted by one space."""
-    out = F.coalesce(text, F.lit(""))
+def _numbered(text: Column) -> Column:
+    """Text with every run of white space as one space and every number marked."""
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")
     for _ in range(2):  # a digit can end one match and begin the next
         out = F.regexp_replace(out, r"([0-9])[.,:/]([0-9])", "$1_$2")
-    out = F.regexp_replace(out, r"[0-9][0-9_]*", f" {NUMBER}$0 ")
-    for _ in range(2):  # names in a row
-        out = F.regexp_replace(out, rf"([\p{{Ll}}0-9,;:] )(\p{{Lu}})", f"$1{NAME}$2")
+    return F.regexp_replace(out, r"[0-9][0-9_]*", f" {NUMBER}$0 ")
+
+
+def _finished(out: Column) -> Column:
+    """Units marked, lower-cased, words parted by one space."""
     out = F.lower(out)
     out = F.regexp_replace(out, rf"({NUMBER}[0-9_]+ +)({'|'.join(UNITS)})([^\p{{L}}\p{{M}}0-9_]|$)", f"$1{UNIT}$2$3")
     return F.trim(F.regexp_replace(out, rf"[^\p{{L}}\p{{M}}0-9_{NUMBER}{NAME}{UNIT}]+", " "))
 
 
+def marked(text: Column) -> Column:
+    """Text with every number, unit and name prefixed by its type's mark, lower-cased, words parted by one space."""
+    out = _numbered(text)
+    for _ in range(2):  # names in a row
+        out = F.regexp_replace(out, rf"([\p{{Ll}}0-9,;:] )(\p{{Lu}})", f"$1{NAME}$2")
+    return _finished(out)
+
+
+def plain(text: Column) -> Column:
+    """Like ``marked``, with names as the words they are: the same whatever the case and the text around. Its words have the same places."""
+    return _finished(_numbered(text))
+
+
 def template(marks: Column) -> Column:
     """Marked text with the values taken out of the slots."""
     return F.regexp_replace(marks, rf"([{NUMBER}{NAME}{UNIT}])[^ ]+", "$1")
@@ -57,41 +78,47 @@ def _let(value: Column, body) -> Column:
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _windows(text: Column, size: int, with_tokens: bool = False) -> Column:
-    """array<struct<pos, hash, slots[, tokens]>>: windows of ``size`` template tokens; slots: the window with values, if it has slots."""
+def _windows(marks: Column, size: int, named: bool = False) -> Column:
+    """array<struct<pos, hash, slots>>: windows of ``size`` template tokens (``named``: those with a name); slots: the window with values, if it has slots."""
 
     def windows(row: Column) -> Column:
         def window(i: Column) -> Column:
             part = [F.get(row["tokens"], i + k) for k in range(-1, size - 1)]  # slice() would copy the whole text's array each time
             own = F.concat(*part).rlike(f"[{NUMBER}{NAME}{UNIT}]")
             slots = F.when(row["has_slot"], F.when(own, F.concat_ws(" ", *(F.get(row["values"], i + k) for k in range(-1, size - 1)))))
-            return F.struct(i.alias("pos"), F.xxhash64(*part).alias("hash"), slots.alias("slots"), *([F.array(*part).alias("tokens")] if with_tokens else []))
+            one = F.struct(i.alias("pos"), F.xxhash64(*part).alias("hash"), slots.alias("slots"))
+            return F.when(F.concat(*part).contains(NAME), one) if named else one
 
         n = F.size(row["tokens"])
-        return F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), window))
+        found = F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), window))
+        return F.filter(found, lambda w: w.isNotNull()) if named else found
 
     def parts(marks: Column) -> Column:
         return F.struct(
             F.split(template(marks), " ").alias("tokens"), F.split(marks, " ").alias("values"), marks.rlike(f"[{NUMBER}{NAME}{UNIT}]").alias("has_slot")
         )
 
-    return _let(marked(text), lambda marks: F.when(marks != "", _let(parts(marks), windows)))
+    return _let(marks, lambda m: F.when(m.contains(NAME) if named else m != "", _let(parts(m), windows)))
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, size, hash, item_pos, item_slots, item_windows) of every benchmark item."""
-    rows = items.select(F.col(id_col).cast("bigint").alias("item"), F.col(text_col).alias("text"))
-    rows = rows.withColumn("size", F.least(F.lit(WINDOW), F.size(F.split(marked(F.col("text")), " "))))
-    each = None
-    for size in range(MIN_WORDS, WINDOW + 1):
-        part = rows.filter(F.col("size") == size).select("item", "size", F.explode(_windows(F.col("text"), size, with_tokens=True)).alias("w"))
-        each = part if each is None else each.unionByName(part)
-    words = F.size(F.filter("w.tokens", lambda t: ~t.isin(NUMBER, NAME, UNIT)))
-    kept = each.filter(words >= MIN_WORDS).select(
-        "item", "size", F.col("w.hash").alias("hash"), F.col("w.pos").alias("item_pos"), F.col("w.slots").alias("item_slots")
+    """(item, form, size, hash, item_pos, item_slots, item_windows) of every benchmark item; form: 0 with names as slots, 1 with names as words."""
+    text = F.col(text_col)
+    forms = F.array(*(F.struct(F.lit(form).alias("form"), marks(text).alias("marks")) for form, marks in enumerate((marked, plain))))
+    rows = items.select(F.col(id_col).cast("bigint").alias("item"), F.inline(forms)).filter("marks != ''")
+    rows = rows.select("item", "form", F.split(template(F.col("marks")), " ").alias("tokens"), F.split("marks", " ").alias("values"))
+    rows = rows.withColumn("size", F.least(F.lit(WINDOW), F.size("tokens")))
+    each = rows.withColumn("item_pos", F.explode(F.sequence(F.lit(1), F.size("tokens") - F.col("size") + 1)))
+    each = each.withColumns({c: F.slice(c, F.col("item_pos"), F.col("size")) for c in ("tokens", "values")})
+    words = F.size(F.filter("tokens", lambda t: ~t.isin(NUMBER, NAME, UNIT)))
+    slots = F.when(words < F.col("size"), F.concat_ws(" ", "values"))
+    kept = each.filter(words >= MIN_WORDS).select(  # an array's hash is that of its elements as columns
+        "item", "form", "size", F.xxhash64("tokens").alias("hash"), "item_pos", slots.alias("item_slots")
     )
-    totals = kept.groupBy("item").agg(F.countDistinct("item_pos").alias("item_windows"))
-    return kept.dropDuplicates(["item", "item_pos", "hash"]).join(totals, kept["item"].eqNullSafe(totals["item"])).drop(totals["item"])
+    kept = scratch_table(kept, "decontam-items")  # read more than once
+    totals = kept.groupBy("item", "form").agg(F.countDistinct("item_pos").alias("item_windows"))
+    same = kept["item"].eqNullSafe(totals["item"]) & (kept["form"] == totals["form"])
+    return kept.dropDuplicates(["item", "form", "item_pos", "hash"]).join(totals, same).drop(totals["item"], totals["form"])
 
 
 def _pairs(item_slots: Column, doc_slots: Column) -> Column:
@@ -100,6 +127,9 @@ def _pairs(item_slots: Column, doc_slots: Column) -> Column:
     return F.filter(pairs, lambda p: p["i"].rlike(f"^[{NUMBER}{NAME}{UNIT}]"))
 
 
+_WINDOWS = "array<struct<pos:int,hash:bigint,slots:string>>"
+
+
 def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, item_id, start, windows, item_windows, slots, changed_slots): every leaked item of every document."""
     wanted = item_windows(items)
@@ -109,13 +139,15 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
     hits = None
     for size in sorted(sizes):  # WINDOW, and the lengths of items shorter than that
-        found = rows.select("doc", F.explode(_windows(F.col("text"), size)).alias("w")).select(
+        both = [_windows(plain(F.col("text")), size), _windows(marked(F.col("text")), size, named=True)]  # without a name the forms are one
+        each = F.concat(*(F.coalesce(w, F.array().cast(_WINDOWS)) for w in both))
+        found = rows.select("doc", F.explode_outer(each).alias("w")).select(
             "doc", F.lit(size).alias("size"), F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")
         )
         part = found.join(wanted, ["size", "hash"])
         hits = part if hits is None else hits.unionByName(part)
     hits = hits.withColumn("pairs", F.when(F.col("slots").isNotNull(), _pairs(F.col("item_slots"), F.col("slots"))))
-    runs = hits.groupBy("doc", "item", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
+    runs = hits.groupBy("doc", "item", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
         F.countDistinct("item_pos").alias("windows"),
         F.first("item_windows").alias("item_windows"),
         F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),  # at most the item's slots on one diagonal

@@ -45,6 +45,14 @@ def test_edge_rows(documents, items, clashing, spark):
     assert not any(r["leaked"] for r in decontam.report(documents(rows), items.limit(0)).collect())
 
 
+def test_copies_in_other_case_wrapping_and_surroundings(documents, items):
+    wrapped = QUESTION.replace(" ", "\n")
+    docs = [(1, QUESTION.upper()), (2, wrapped), (3, QUESTION.replace(" ", "  ")), (4, QUESTION.lower()), (5, f"as was said, {QUESTION}"), (6, FILLER.upper())]
+    assert {d for d, i in _leaks(documents(docs), items) if i == 7} == {1, 2, 3, 4, 5}
+    short = items.sparkSession.createDataFrame([(1, "Where does the river Rhine end its course?")], "item_id bigint, text string")  # 8 tokens
+    assert set(_leaks(documents([(1, "he asked, Where does the river Rhine end its course?")]), short)) == {(1, 1)}
+
+
 def test_beyond_the_broadcast_bound(documents, items, monkeypatch):
     docs = documents([(1, QUESTION), (2, CHANGED), (4, FILLER)])
     want = set(_leaks(docs, items))
