@@ -12,9 +12,11 @@ Items also have windows in which names are words like any other, and documents'
 matched in both forms.  Case, white space and the words around tell names wrongly, but not
 this form, so a copy is found whatever they are.  The forms of an item are judged apart.
 
-Defined results: null or empty text never leaks; items with fewer than ``MIN_WORDS`` literal
-words in a window give no windows; items shorter than a window are one window of their own
-length; repeated items and documents each count; a null id is an id like any other.
+Windows with fewer than ``MIN_WORDS`` literal words fit too much as templates.  In the form
+with names as words they match by their values, so that exact copies of numbers are found.
+
+Defined results: null or empty text never leaks; items shorter than a window are one window
+of their own length; repeated items and documents each count; a null id is an id like any other.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ from mailframe.llm.common import scratch_table
 WINDOW = 8
 #: Windows on one diagonal that make a leak even when the item is longer (13 template tokens).
 MIN_RUN = 6
-#: Words that are not placeholders which a window of an item needs.
+#: Words that are not placeholders which a window of an item needs to match as a template.
 MIN_WORDS = 4
 #: Benchmark windows up to which their table is broadcast (some 40 bytes each); beyond it the join shuffles.
 BROADCAST_WINDOWS = 200_000
@@ -79,14 +81,19 @@ def _let(value: Column, body) -> Column:
 
 
 def _windows(marks: Column, size: int, named: bool = False) -> Column:
-    """array<struct<pos, hash, slots>>: windows of ``size`` template tokens (``named``: those with a name); slots: the window with values, if it has slots."""
+    """array<struct<pos, hash, slots>>: windows of ``size`` template tokens (``named``: those with a name, else those with few words by their values); slots: the window with values, if it has slots."""
 
     def windows(row: Column) -> Column:
         def window(i: Column) -> Column:
             part = [F.get(row["tokens"], i + k) for k in range(-1, size - 1)]  # slice() would copy the whole text's array each time
             own = F.concat(*part).rlike(f"[{NUMBER}{NAME}{UNIT}]")
             slots = F.when(row["has_slot"], F.when(own, F.concat_ws(" ", *(F.get(row["values"], i + k) for k in range(-1, size - 1)))))
-            one = F.struct(i.alias("pos"), F.xxhash64(*part).alias("hash"), slots.alias("slots"))
+            key = F.xxhash64(*part)
+            if not named:  # the values themselves, if there are few words
+                exact = F.xxhash64(*(F.get(row["values"], i + k) for k in range(-1, size - 1)))
+                few = F.concat(*part).rlike(f"([{NUMBER}{NAME}{UNIT}][^{NUMBER}{NAME}{UNIT}]*){{{size - MIN_WORDS + 1}}}")
+                key = exact if size < MIN_WORDS else F.when(row["has_slot"] & few, exact).otherwise(key)
+            one = F.struct(i.alias("pos"), key.alias("hash"), slots.alias("slots"))
             return F.when(F.concat(*part).contains(NAME), one) if named else one
 
         n = F.size(row["tokens"])
@@ -112,9 +119,8 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
     each = each.withColumns({c: F.slice(c, F.col("item_pos"), F.col("size")) for c in ("tokens", "values")})
     words = F.size(F.filter("tokens", lambda t: ~t.isin(NUMBER, NAME, UNIT)))
     slots = F.when(words < F.col("size"), F.concat_ws(" ", "values"))
-    kept = each.filter(words >= MIN_WORDS).select(  # an array's hash is that of its elements as columns
-        "item", "form", "size", F.xxhash64("tokens").alias("hash"), "item_pos", slots.alias("item_slots")
-    )
+    key = F.when(words >= MIN_WORDS, F.xxhash64("tokens")).otherwise(F.xxhash64("values"))  # an array's hash is that of its elements as columns
+    kept = each.filter((words >= MIN_WORDS) | (F.col("form") == 1)).select("item", "form", "size", key.alias("hash"), "item_pos", slots.alias("item_slots"))
     kept = scratch_table(kept, "decontam-items")  # read more than once
     totals = kept.groupBy("item", "form").agg(F.countDistinct("item_pos").alias("item_windows"))
     same = kept["item"].eqNullSafe(totals["item"]) & (kept["form"] == totals["form"])

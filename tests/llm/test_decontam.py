@@ -53,6 +53,13 @@ def test_copies_in_other_case_wrapping_and_surroundings(documents, items):
     assert set(_leaks(documents([(1, "he asked, Where does the river Rhine end its course?")]), short)) == {(1, 1)}
 
 
+def test_windows_of_few_words_match_by_their_values(documents, spark):
+    items = spark.createDataFrame([(1, "12 + 7 = 19 , 19 * 3 = 57 ; 57 - 8 = 49"), (2, "Rhine 1815"), (3, "Is 5 kg more than 3 kg or 4 kg ?")], "item_id bigint, text string")
+    rows = [(1, "so 12 + 7 = 19 , 19 * 3 = 57 ; 57 - 8 = 49 it is"), (2, "so 12 + 7 = 19 , 19 * 3 = 57 ; 57 - 8 = 48 it is"), (3, "the RHINE 1815 flood")]
+    rows += [(4, "the Rhine 1816 flood"), (5, "is 5 kg more than 3 kg or 4 kg")]
+    assert {k: r["changed_slots"] for k, r in _leaks(documents(rows), items).items()} == {(1, 1): 0, (3, 2): 0, (5, 3): 0}
+
+
 def test_beyond_the_broadcast_bound(documents, items, monkeypatch):
     docs = documents([(1, QUESTION), (2, CHANGED), (4, FILLER)])
     want = set(_leaks(docs, items))
