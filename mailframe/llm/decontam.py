@@ -5,8 +5,8 @@ a sentence) are replaced by typed placeholders.  Windows of ``WINDOW`` template
 benchmark items are hash-joined with the windows of all documents.  Windows that lie on one
 diagonal (document position minus item position) belong together; there the slots are
 compared: an item's value must always stand for one and the same value of the document.
-A document leaks an item if consistent windows cover the item whole, or ``MIN_RUN`` of its
-windows.
+A document leaks an item if windows consistent with each other cover the item whole, or
+``MIN_RUN`` of its windows; others on the diagonal may be in conflict with them.
 
 Items also have windows in which names are words like any other, and documents' windows are
 matched in both forms.  Case, white space and the words around tell names wrongly, but not
@@ -133,6 +133,33 @@ def _pairs(item_slots: Column, doc_slots: Column) -> Column:
     return F.filter(pairs, lambda p: p["i"].rlike(f"^[{NUMBER}{NAME}{UNIT}]"))
 
 
+def _consistent(pairs: Column) -> Column:
+    """Whether each item value stands for one document value only; ``pairs`` are distinct."""
+    return F.size(F.array_distinct(F.transform(pairs, lambda p: p["i"]))) == F.size(pairs)
+
+
+def _most_consistent(hits: Column) -> Column:
+    """struct<windows, pairs>: of the runs from each hit of a diagonal, which leave out hits in conflict with those before, the longest."""
+    start = F.struct(F.lit(0).alias("windows"), F.lit(0).alias("last"), F.array().cast(_PAIRS).alias("pairs"))
+
+    def add(run: Column, hit: Column) -> Column:
+        def joined(pairs: Column) -> Column:
+            more = F.struct((run["windows"] + (hit["pos"] != run["last"]).cast("int")).alias("windows"), hit["pos"].alias("last"), pairs.alias("pairs"))
+            return F.when(_consistent(pairs), more).otherwise(run)
+
+        return _let(F.array_union(run["pairs"], hit["pairs"]), joined)
+
+    def run(first: Column) -> Column:
+        return F.aggregate(F.slice(hits, first, F.size(hits)), start, add)
+
+    whole = F.array_distinct(F.flatten(F.transform(hits, lambda h: h["pairs"])))
+    # Where all agree, the run from the first hit is the longest.
+    firsts = F.sequence(F.lit(1), F.when(_consistent(whole), F.lit(1)).otherwise(F.size(hits)))
+    runs = F.transform(firsts, lambda i: _let(run(i), lambda r: F.struct(r["windows"].alias("windows"), (-i).alias("first"), r["pairs"].alias("pairs"))))
+    return F.array_max(runs)
+
+
+_PAIRS = "array<struct<i:string,d:string>>"
 _WINDOWS = "array<struct<pos:int,hash:bigint,slots:string>>"
 
 
@@ -153,14 +180,14 @@ def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: s
         part = found.join(wanted, ["size", "hash"])
         hits = part if hits is None else hits.unionByName(part)
     hits = hits.withColumn("pairs", F.when(F.col("slots").isNotNull(), _pairs(F.col("item_slots"), F.col("slots"))))
+    hit = F.struct(F.col("item_pos").alias("pos"), F.coalesce("pairs", F.array().cast(_PAIRS)).alias("pairs"))
     runs = hits.groupBy("doc", "item", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
-        F.countDistinct("item_pos").alias("windows"),
-        F.first("item_windows").alias("item_windows"),
-        F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs"),  # at most the item's slots on one diagonal
+        F.sort_array(F.collect_set(hit)).alias("hits"), F.first("item_windows").alias("item_windows")
     )
-    keys = F.size(F.array_distinct(F.transform("pairs", lambda p: p["i"])))
-    ok = (keys == F.size("pairs")) & (F.col("windows") >= F.least(F.col("item_windows"), F.lit(MIN_RUN)))
-    return runs.filter(ok).select(
+    need = F.least(F.col("item_windows"), F.lit(MIN_RUN))
+    runs = runs.filter(F.size("hits") >= need).withColumn("best", _most_consistent(F.col("hits")))
+    runs = runs.select("*", F.col("best.windows").alias("windows"), F.col("best.pairs").alias("pairs"))
+    return runs.filter(F.col("windows") >= need).select(
         F.col("doc").alias("doc_id"),
         F.col("item").alias("item_id"),
         (F.col("diagonal") + 1).alias("start"),

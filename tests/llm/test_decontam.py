@@ -60,6 +60,16 @@ def test_windows_of_few_words_match_by_their_values(documents, spark):
     assert {k: r["changed_slots"] for k, r in _leaks(documents(rows), items).items()} == {(1, 1): 0, (3, 2): 0, (5, 3): 0}
 
 
+def test_a_conflict_does_not_hide_consistent_windows(documents, spark):
+    item = f"{QUESTION} Then Peter drives 20 km home and is glad that all of it went so well today."
+    other = item.replace("Then Peter", "Then Bruno")  # 17 and more consistent windows on either side
+    items = spark.createDataFrame([(1, item), (2, "Peter met Anna and Peter left")], "item_id bigint, text string")
+    rows = [(1, other), (2, other.replace("12 apples", "15 apples")), (3, "so Karl met Lena and Otto left")]
+    got = _leaks(documents(rows), items)
+    assert set(got) == {(1, 1), (2, 1)}
+    assert got[1, 1]["changed_slots"] == 0 and got[1, 1]["windows"] < got[1, 1]["item_windows"] and got[2, 1]["changed_slots"] == 1
+
+
 def test_beyond_the_broadcast_bound(documents, items, monkeypatch):
     docs = documents([(1, QUESTION), (2, CHANGED), (4, FILLER)])
     want = set(_leaks(docs, items))
