@@ -28,11 +28,11 @@ def bounded_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_ROWS))
 
 
-def scratch_table(df: DataFrame, name: str) -> DataFrame:
+def scratch_table(df: DataFrame, name: str, partition: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet below the shared checkpoint folder and read it back (cuts lineage)."""
     spark = df.sparkSession
     path = checkpoint_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    df.write.partitionBy(*([partition] if partition else [])).parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
 

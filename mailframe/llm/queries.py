@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from mailframe.llm import chat, ctw, cuckoo, decontam, jaccard_join, langid, packing, suffix_dedup, toxicity, warc
+from mailframe.llm import chat, ctw, cuckoo, decontam, four_russians, jaccard_join, langid, line_dedup, orchard, packing, suffix_dedup, toxicity, warc
 from mailframe.llm.common import crc_mod, documents
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -74,6 +74,21 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.read_back(chat.format_turns(rows.unionByName(extra)))
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return orchard.compress(spark.read.parquet(f"{sf_dir}/embeddings.parquet")).select("vec_id", "label", "code", "error", "label_error", "codebooks_sha256")
+
+
+def op12_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rows = spark.read.parquet(f"{sf_dir}/embeddings.parquet")
+    moved = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    return four_russians.mine(rows.withColumn("label", moved), F.col("vec_id") % 100 == 0)
+
+
+def op13_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = line_dedup.drop_repeated_lines(documents(spark, sf_dir).select("doc_id", "text"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept").cast("binary"), 256).alias("kept_sha256"))
+
+
 CHAT_SQL = r"""
 WITH c AS (
   SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
@@ -87,6 +102,6 @@ SELECT conv_id, count(*) AS n_turns,
 FROM c GROUP BY conv_id
 """
 
-for _query in (op1_language_id, op2_suffix_array_dedup, op3_exact_dedup, op4_decontamination, op5_warc_revisits, op6_ngram_jaccard_join, op7_packing, op8_toxicity, op9_lm_score, op10_chat_format):
+for _query in (op1_language_id, op2_suffix_array_dedup, op3_exact_dedup, op4_decontamination, op5_warc_revisits, op6_ngram_jaccard_join, op7_packing, op8_toxicity, op9_lm_score, op10_chat_format, op11_vector_codes, op12_hard_negatives, op13_line_dedup):
     QUERIES[_query.__name__] = _query
-ORACLE_SQL |= {"op3_exact_dedup": cuckoo.EXACT_SQL, "op4_decontamination": decontam.LEAK_SQL, "op5_warc_revisits": warc.RESOLVE_SQL, "op10_chat_format": CHAT_SQL}
+ORACLE_SQL |= {"op3_exact_dedup": cuckoo.EXACT_SQL, "op4_decontamination": decontam.LEAK_SQL, "op5_warc_revisits": warc.RESOLVE_SQL, "op10_chat_format": CHAT_SQL, "op11_vector_codes": orchard.CODE_SQL, "op12_hard_negatives": four_russians.MINE_SQL, "op13_line_dedup": line_dedup.LINE_SQL}
