@@ -5,8 +5,8 @@ a sentence) are replaced by typed placeholders.  Windows of ``WINDOW`` template
 benchmark items are hash-joined with the windows of all documents.  Windows that lie on one
 diagonal (document position minus item position) belong together; there the slots are
 compared: an item's value must always stand for one and the same value of the document.
-A document leaks an item if windows consistent with each other cover the item whole, or
-``MIN_RUN`` of its windows; others on the diagonal may be in conflict with them.
+A document leaks an item if a run of successive matching windows of a diagonal, consistent with
+each other, has as many windows as the item or ``MIN_RUN``; other windows of the diagonal may be in conflict with them.
 
 Items also have windows in which names are words like any other, and documents' windows are
 matched in both forms.  Case, white space and the words around tell names wrongly, but not
@@ -15,8 +15,16 @@ this form, so a copy is found whatever they are.  The forms of an item are judge
 Windows with fewer than ``MIN_WORDS`` literal words fit too much as templates.  In the form
 with names as words they match by their values, so that exact copies of numbers are found.
 
+Window hashes are built by doubling: a window of 8 is two windows of 4, and so on.  Before
+anything is joined, a document's windows are held against a bitmap of ``FILTER_BITS`` bits of the items'
+hashes, a literal of fixed size in the plan; the few that pass are joined with the items' windows on the
+hash itself, so the bitmap decides nothing, and a large benchmark only lets more windows pass.
+
 Defined results: null or empty text never leaks; items shorter than a window are one window
-of their own length; repeated items and documents each count; a null id is an id like any other.
+of their own length; repeated items and documents each count; a null id is an id like any
+other; rows are told apart by id and text, so a clean row that shares its id with a leaking
+one stays clean; of equally long runs the first counts; texts may have any length; other columns,
+whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -27,12 +35,12 @@ from pyspark.sql import functions as F
 from mailframe.llm.common import scratch_table
 
 WINDOW = 8
-#: Windows on one diagonal that make a leak even when the item is longer (13 template tokens).
+#: Windows of a run that make a leak even when the item is longer (13 template tokens).
 MIN_RUN = 6
 #: Words that are not placeholders which a window of an item needs to match as a template.
 MIN_WORDS = 4
-#: Benchmark windows up to which their table is broadcast (some 40 bytes each); beyond it the join shuffles.
-BROADCAST_WINDOWS = 200_000
+#: Bits of the filter of item windows, 64 to a literal; a power of two.
+FILTER_BITS = 1 << 21
 
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 #: Units of measure, recognised behind a number.
@@ -75,186 +83,259 @@ def template(marks: Column) -> Column:
     return F.regexp_replace(marks, rf"([{NUMBER}{NAME}{UNIT}])[^ ]+", "$1")
 
 
+def _text_key(id_col: str, text_col: str) -> Column:
+    """A row's key: its id and 128 bits of its text's hash; rows that share both leak alike."""
+    text = F.coalesce(F.col(text_col), F.lit(""))
+    return F.struct(F.col(id_col).cast("bigint").alias("id"), F.xxhash64(text).alias("h1"), F.xxhash64(F.lit(1), text).alias("h2"))
+
+
 def _let(value: Column, body) -> Column:
     """``body`` over a value computed once per row; a plain column would be computed anew for each array element."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
 
 
-def _windows(marks: Column, size: int, named: bool = False) -> Column:
-    """array<struct<pos, hash, slots>>: windows of ``size`` template tokens (``named``: those with a name, else those with few words by their values); slots: the window with values, if it has slots."""
+def _joined(left: Column, right: Column, ahead: int) -> Column:
+    """Hash of each element of ``left`` with the one of ``right`` that is ``ahead`` places on; the last ones have no partner and mean nothing."""
+    return F.zip_with(left, F.slice(right, F.lit(ahead + 1), F.size(right)), lambda a, b: F.xxhash64(a, b))
 
-    def windows(row: Column) -> Column:
-        def window(i: Column) -> Column:
-            part = [F.get(row["tokens"], i + k) for k in range(-1, size - 1)]  # slice() would copy the whole text's array each time
-            own = F.concat(*part).rlike(f"[{NUMBER}{NAME}{UNIT}]")
-            slots = F.when(row["has_slot"], F.when(own, F.concat_ws(" ", *(F.get(row["values"], i + k) for k in range(-1, size - 1)))))
-            key = F.xxhash64(*part)
-            if not named:  # the values themselves, if there are few words
-                exact = F.xxhash64(*(F.get(row["values"], i + k) for k in range(-1, size - 1)))
-                few = F.concat(*part).rlike(f"([{NUMBER}{NAME}{UNIT}][^{NUMBER}{NAME}{UNIT}]*){{{size - MIN_WORDS + 1}}}")
-                key = exact if size < MIN_WORDS else F.when(row["has_slot"] & few, exact).otherwise(key)
-            one = F.struct(i.alias("pos"), key.alias("hash"), slots.alias("slots"))
-            return F.when(F.concat(*part).contains(NAME), one) if named else one
 
-        n = F.size(row["tokens"])
-        found = F.when(n >= size, F.transform(F.sequence(F.lit(1), n - size + 1), window))
-        return F.filter(found, lambda w: w.isNotNull()) if named else found
+def _spans(tokens: Column, sizes: list[int], body) -> Column:
+    """``body`` over {size: array of the hashes of all windows of so many elements, one for each element}; those that reach over the end mean nothing."""
 
-    def parts(marks: Column) -> Column:
-        return F.struct(
-            F.split(template(marks), " ").alias("tokens"), F.split(marks, " ").alias("values"), marks.rlike(f"[{NUMBER}{NAME}{UNIT}]").alias("has_slot")
-        )
+    def doubled(have: dict[int, Column], width: int) -> Column:
+        if 2 * width <= max(sizes):
+            return _let(_joined(have[width], have[width], width), lambda wide: doubled(have | {2 * width: wide}, 2 * width))
+        out = {}
+        for size in sizes:
+            at = 1 << (size.bit_length() - 1)
+            hashes = have[at]
+            while at < size:
+                more = 1 << ((size - at).bit_length() - 1)
+                hashes, at = _joined(hashes, have[more], at), at + more
+            out[size] = hashes
+        return body(out)
 
-    return _let(marks, lambda m: F.when(m.contains(NAME) if named else m != "", _let(parts(m), windows)))
+    return _let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda ones: doubled({1: ones}, 1))
+
+
+def _parts(marks: Column) -> Column:
+    return F.struct(F.split(template(marks), " ").alias("tokens"), F.split(marks, " ").alias("values"))
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
-    """(item, form, size, hash, item_pos, item_slots, item_windows) of every benchmark item; form: 0 with names as slots, 1 with names as words."""
+    """(item, form, by_value, size, hash, item_pos, item_slots, item_windows) of every benchmark item; form: 0 with names as slots, 1 with names as words."""
     text = F.col(text_col)
     forms = F.array(*(F.struct(F.lit(form).alias("form"), marks(text).alias("marks")) for form, marks in enumerate((marked, plain))))
     rows = items.select(F.col(id_col).cast("bigint").alias("item"), F.inline(forms)).filter("marks != ''")
-    rows = rows.select("item", "form", F.split(template(F.col("marks")), " ").alias("tokens"), F.split("marks", " ").alias("values"))
-    rows = rows.withColumn("size", F.least(F.lit(WINDOW), F.size("tokens")))
-    each = rows.withColumn("item_pos", F.explode(F.sequence(F.lit(1), F.size("tokens") - F.col("size") + 1)))
-    each = each.withColumns({c: F.slice(c, F.col("item_pos"), F.col("size")) for c in ("tokens", "values")})
-    words = F.size(F.filter("tokens", lambda t: ~t.isin(NUMBER, NAME, UNIT)))
-    slots = F.when(words < F.col("size"), F.concat_ws(" ", "values"))
-    key = F.when(words >= MIN_WORDS, F.xxhash64("tokens")).otherwise(F.xxhash64("values"))  # an array's hash is that of its elements as columns
-    kept = each.filter((words >= MIN_WORDS) | (F.col("form") == 1)).select("item", "form", "size", key.alias("hash"), "item_pos", slots.alias("item_slots"))
+    rows = rows.select("item", "form", _parts(F.col("marks")).alias("parts"))
+    tokens, values = F.col("parts.tokens"), F.col("parts.values")
+    sizes = list(range(1, WINDOW + 1))
+
+    def windows(by_token: dict[int, Column], by_value: dict[int, Column]) -> Column:
+        def of(size: int) -> Column:
+            def one(i: Column) -> Column:
+                words = F.size(F.filter(F.slice(tokens, i, size), lambda t: ~t.isin(NUMBER, NAME, UNIT)))
+                few = words < MIN_WORDS
+                return F.struct(
+                    F.lit(size).alias("size"), i.alias("item_pos"), few.alias("by_value"), F.when(few, F.get(by_value[size], i - 1)).otherwise(F.get(by_token[size], i - 1)).alias("hash"),
+                    F.when(words < size, F.array_join(F.slice(values, i, size), " ")).alias("item_slots"),
+                )
+
+            return F.transform(F.sequence(F.lit(1), F.size(tokens) - size + 1), one)
+
+        own = F.least(F.lit(WINDOW), F.size(tokens))
+        return F.coalesce(*(F.when(own == size, of(size)) for size in sizes))
+
+    each = rows.withColumn("w", _spans(tokens, sizes, lambda t: _spans(values, sizes, lambda v: windows(t, v))))
+    kept = each.select("item", "form", F.inline("w")).filter("NOT by_value OR form = 1")
     kept = scratch_table(kept, "decontam-items")  # read more than once
     totals = kept.groupBy("item", "form").agg(F.countDistinct("item_pos").alias("item_windows"))
     same = kept["item"].eqNullSafe(totals["item"]) & (kept["form"] == totals["form"])
     return kept.dropDuplicates(["item", "form", "item_pos", "hash"]).join(totals, same).drop(totals["item"], totals["form"])
 
 
-def _pairs(item_slots: Column, doc_slots: Column) -> Column:
-    """array<struct<i, d>>: values in the same place of two windows, with their marks."""
-    pairs = F.arrays_zip(F.split(item_slots, " ").alias("i"), F.split(doc_slots, " ").alias("d"))
-    return F.filter(pairs, lambda p: p["i"].rlike(f"^[{NUMBER}{NAME}{UNIT}]"))
+def _filter(wanted: DataFrame) -> Column:
+    """The bitmap of all item hashes as a literal array of longs."""
+    words = FILTER_BITS // 64
+    word = F.shiftright("hash", 6).bitwiseAND(F.lit(words - 1)).alias("word")
+    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("hash").bitwiseAND(F.lit(63)).cast("int"))
+    longs = [0] * words
+    for r in wanted.groupBy(word).agg(F.bit_or(bit).alias("bits")).collect():  # at most FILTER_BITS / 64 rows
+        longs[r["word"]] = r["bits"]
+    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
 
 
-def _consistent(pairs: Column) -> Column:
-    """Whether each item value stands for one document value only; ``pairs`` are distinct."""
-    return F.size(F.array_distinct(F.transform(pairs, lambda p: p["i"]))) == F.size(pairs)
+def _candidates(marks: Column, by_token: list[int], by_value: list[int], bitmap: Column) -> Column:
+    """array<struct<size, pos, hash, slots>>: windows whose hash is in the bitmap; slots: the window with its values."""
+    if not by_token and not by_value:
+        return F.array().cast(_WINDOWS)
 
+    def passing(spans: Column, values: Column, size: int) -> Column:
+        def one(h: Column, i: Column) -> Column:
+            word = F.get(bitmap, F.shiftright(h, 6).bitwiseAND(F.lit(FILTER_BITS // 64 - 1)).cast("int"))
+            there = F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
+            slots = F.array_join(F.slice(values, i + 1, size), " ")
+            whole = i <= F.size(values) - size
+            return F.when(there & whole, F.struct(F.lit(size).alias("size"), (i + 1).alias("pos"), h.alias("hash"), slots.alias("slots")))
 
-def _most_consistent(hits: Column) -> Column:
-    """struct<windows, pairs>: of the runs from each hit of a diagonal, which leave out hits in conflict with those before, the longest."""
-    start = F.struct(F.lit(0).alias("windows"), F.lit(0).alias("last"), F.array().cast(_PAIRS).alias("pairs"))
+        return F.filter(F.transform(spans, one), lambda w: w.isNotNull())
 
-    def add(run: Column, hit: Column) -> Column:
-        def joined(pairs: Column) -> Column:
-            more = F.struct((run["windows"] + (hit["pos"] != run["last"]).cast("int")).alias("windows"), hit["pos"].alias("last"), pairs.alias("pairs"))
-            return F.when(_consistent(pairs), more).otherwise(run)
-
-        return _let(F.array_union(run["pairs"], hit["pairs"]), joined)
+    def windows(parts: Column) -> Column:
+        found = []
+        for sizes, tokens in ((by_token, parts["tokens"]), (by_value, parts["values"])):
+            if sizes:
+                found.append(_spans(tokens, sizes, lambda spans: F.concat(*(passing(h, parts["values"], n) for n, h in spans.items()))))
+        return F.concat(*found)
 
-    def run(first: Column) -> Column:
-        return F.aggregate(F.slice(hits, first, F.size(hits)), start, add)
+    return F.when(marks != "", _let(_parts(marks), windows))
 
-    whole = F.array_distinct(F.flatten(F.transform(hits, lambda h: h["pairs"])))
-    # Where all agree, the run from the first hit is the longest.
-    firsts = F.sequence(F.lit(1), F.when(_consistent(whole), F.lit(1)).otherwise(F.size(hits)))
-    runs = F.transform(firsts, lambda i: _let(run(i), lambda r: F.struct(r["windows"].alias("windows"), (-i).alias("first"), r["pairs"].alias("pairs"))))
-    return F.array_max(runs)
 
+def _pairs(item_slots: Column, doc_slots: Column) -> Column:
+    """array<struct<i, d>>: the distinct values in the same place of two windows, with their marks."""
+    pairs = F.arrays_zip(F.split(item_slots, " ").alias("i"), F.split(doc_slots, " ").alias("d"))
+    return F.array_distinct(F.filter(pairs, lambda p: p["i"].rlike(f"^[{NUMBER}{NAME}{UNIT}]")))
 
-_PAIRS = "array<struct<i:string,d:string>>"
-_WINDOWS = "array<struct<pos:int,hash:bigint,slots:string>>"
 
+def _longest_run(hits: Column) -> Column:
+    """struct<windows, pairs>: the longest run of successive hits in which each item value stands for one document value; the first of equally long ones."""
+    values = "array<struct<i:string,d:string,at:int>>"
+    start = F.struct(F.lit(1).alias("start"), F.lit(0).alias("at"), F.lit(1).alias("first"), F.lit(0).alias("length"), F.array().cast(values).alias("seen"))
 
-def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, item_id, start, windows, item_windows, slots, changed_slots): every leaked item of every document."""
-    wanted = item_windows(items)
-    sizes, n = zip(*[(r["size"], r["n"]) for r in wanted.groupBy("size").agg(F.count(F.lit(1)).alias("n")).collect()] or [(WINDOW, 0)], strict=True)
-    if sum(n) <= BROADCAST_WINDOWS:
-        wanted = F.broadcast(wanted)
-    rows = docs.select(F.col(id_col).cast("bigint").alias("doc"), F.col(text_col).alias("text"))
-    hits = None
-    for size in sorted(sizes):  # WINDOW, and the lengths of items shorter than that
-        both = [_windows(plain(F.col("text")), size), _windows(marked(F.col("text")), size, named=True)]  # without a name the forms are one
-        each = F.concat(*(F.coalesce(w, F.array().cast(_WINDOWS)) for w in both))
-        found = rows.select("doc", F.explode_outer(each).alias("w")).select(
-            "doc", F.lit(size).alias("size"), F.col("w.pos").alias("pos"), F.col("w.hash").alias("hash"), F.col("w.slots").alias("slots")
+    def add(run: Column, hit: Column) -> Column:
+        pairs, at = hit["pairs"], run["at"] + 1
+        clash = F.filter(run["seen"], lambda s: F.exists(pairs, lambda p: (p["i"] == s["i"]) & (p["d"] != s["d"])))
+        torn = F.size(F.array_distinct(F.transform(pairs, lambda p: p["i"]))) < F.size(pairs)  # in conflict with itself
+        begin = F.greatest(run["start"], F.coalesce(F.array_max(F.transform(clash, lambda s: s["at"])) + 1, F.lit(1)), F.when(torn, at + 1).otherwise(F.lit(1)))
+        others = F.filter(run["seen"], lambda s: ~F.exists(pairs, lambda p: (p["i"] == s["i"]) & (p["d"] == s["d"])))
+        seen = F.concat(others, F.transform(pairs, lambda p: F.struct(p["i"].alias("i"), p["d"].alias("d"), at.alias("at"))))
+        longer = at - begin + 1 > run["length"]
+        return F.struct(
+            begin.alias("start"), at.alias("at"), F.when(longer, begin).otherwise(run["first"]).alias("first"),
+            F.when(longer, at - begin + 1).otherwise(run["length"]).alias("length"), seen.alias("seen"),
         )
-        part = found.join(wanted, ["size", "hash"])
-        hits = part if hits is None else hits.unionByName(part)
-    hits = hits.withColumn("pairs", F.when(F.col("slots").isNotNull(), _pairs(F.col("item_slots"), F.col("slots"))))
-    hit = F.struct(F.col("item_pos").alias("pos"), F.coalesce("pairs", F.array().cast(_PAIRS)).alias("pairs"))
-    runs = hits.groupBy("doc", "item", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
+
+    def best(run: Column) -> Column:
+        inside = F.slice(hits, run["first"], run["length"])
+        return F.struct(run["length"].alias("windows"), F.array_distinct(F.flatten(F.transform(inside, lambda h: h["pairs"]))).alias("pairs"))
+
+    return _let(F.aggregate(hits, start, add), best)
+
+
+_PAIRS = "array<struct<i:string,d:string>>"
+_WINDOWS = "array<struct<size:int,pos:int,hash:bigint,slots:string>>"
+
+
+def _row_leaks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """Every leaked item of every row: (leaking: the row's key, item_id, start, windows, item_windows, slots, changed_slots)."""
+    wanted = scratch_table(item_windows(items), "decontam-windows")
+    kinds = wanted.select("form", "by_value", "size").distinct().collect()  # at most 3 * WINDOW rows
+    sizes = lambda form, by_value: sorted({r["size"] for r in kinds if r["form"] in form and r["by_value"] == by_value})
+    bitmap = _filter(wanted)
+    # Windows without a name are the same in both forms, so the plain form's find both forms' items.
+    found = [_candidates(plain(F.col(text_col)), sizes((0, 1), False), sizes((1,), True), bitmap), _candidates(marked(F.col(text_col)), sizes((0,), False), [], bitmap)]
+    each = F.concat(*(F.coalesce(w, F.array().cast(_WINDOWS)) for w in found))
+    hits = docs.select(_text_key(id_col, text_col).alias("leaking"), each.alias("w")).select("leaking", F.inline("w")).join(wanted, ["size", "hash"])
+    hits = hits.withColumn("pairs", F.coalesce(_pairs(F.col("item_slots"), F.col("slots")), F.array().cast(_PAIRS)))
+    hit = F.struct(F.col("item_pos").alias("pos"), "pairs")
+    runs = hits.groupBy("leaking", "item", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
         F.sort_array(F.collect_set(hit)).alias("hits"), F.first("item_windows").alias("item_windows")
     )
     need = F.least(F.col("item_windows"), F.lit(MIN_RUN))
-    runs = runs.filter(F.size("hits") >= need).withColumn("best", _most_consistent(F.col("hits")))
-    runs = runs.select("*", F.col("best.windows").alias("windows"), F.col("best.pairs").alias("pairs"))
-    return runs.filter(F.col("windows") >= need).select(
-        F.col("doc").alias("doc_id"),
+    runs = runs.filter(F.size("hits") >= need).withColumn("best", _longest_run(F.col("hits")))
+    return runs.filter(F.col("best.windows") >= need).select(
+        "leaking",
         F.col("item").alias("item_id"),
         (F.col("diagonal") + 1).alias("start"),
-        "windows",
+        F.col("best.windows").alias("windows"),
         "item_windows",
-        F.size("pairs").alias("slots"),
-        F.size(F.filter("pairs", lambda p: p["i"] != p["d"])).alias("changed_slots"),
+        F.size("best.pairs").alias("slots"),
+        F.size(F.filter("best.pairs", lambda p: p["i"] != p["d"])).alias("changed_slots"),
     )
 
 
-def leaked_documents(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """One row per leaking document: (doc_id, n_items, item_ids, reparameterised)."""
-    return leaks(docs, items).groupBy("doc_id").agg(
-        F.countDistinct("item_id").alias("n_items"),
-        F.sort_array(F.collect_set("item_id")).alias("item_ids"),
-        (F.max("changed_slots") > 0).alias("reparameterised"),
-    )
+def leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """(doc_id, item_id, start, windows, item_windows, slots, changed_slots): every leaked item of every document."""
+    return _row_leaks(docs, items, id_col, text_col).withColumn("doc_id", F.col("leaking.id")).select("doc_id", "item_id", "start", "windows", "item_windows", "slots", "changed_slots")
+
+
+def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """The rows of ``docs`` that leak no item."""
+    found = _row_leaks(docs, items, id_col, text_col).select(F.struct("leaking").alias("leak_row")).distinct()
+    return docs.join(found, _same_row(id_col, text_col, found["leak_row"]["leaking"]), "left_anti")
+
+
+def _same_row(id_col: str, text_col: str, key: Column) -> Column:
+    own = _text_key(id_col, text_col)
+    return own["id"].eqNullSafe(key["id"]) & (own["h1"] == key["h1"]) & (own["h2"] == key["h2"])
 
 
 def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     """One row per input document: (doc_id, leaked, n_items, item_id, reparameterised); item_id is the least leaked item."""
-    found = leaked_documents(docs, items).withColumnRenamed("doc_id", "leaking")
-    rows = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"))
-    joined = rows.join(found, F.col("doc_id").eqNullSafe(F.col("leaking")), "left")
+    found = _row_leaks(docs, items, "doc_id", "text").groupBy("leaking").agg(
+        F.countDistinct("item_id").alias("n_items"), F.min("item_id").alias("item_id"), (F.max("changed_slots") > 0).alias("reparameterised")
+    )
+    joined = docs.select("doc_id", "text").join(found, _same_row("doc_id", "text", found["leaking"]), "left")
     return joined.select(
-        "doc_id",
+        F.col("doc_id").cast("bigint").alias("doc_id"),
         F.col("n_items").isNotNull().alias("leaked"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
-        F.expr("get(item_ids, 0)").alias("item_id"),
+        "item_id",
         F.coalesce("reparameterised", F.lit(False)).alias("reparameterised"),
     )
 
 
 def _sql() -> str:
-    marks = "coalesce(text, '')"
+    numbered = r"regexp_replace(coalesce(text, ''), '[ \t\n\x0b\f\r]+', ' ', 'g')"
     for _ in range(2):
-        marks = rf"regexp_replace({marks}, '([0-9])[.,:/]([0-9])', '\1_\2', 'g')"
-    marks = rf"regexp_replace({marks}, '[0-9][0-9_]*', ' ' || chr(1) || '\0 ', 'g')"
+        numbered = rf"regexp_replace({numbered}, '([0-9])[.,:/]([0-9])', '\1_\2', 'g')"
+    numbered = rf"regexp_replace({numbered}, '[0-9][0-9_]*', ' ' || chr(1) || '\0 ', 'g')"
+    named = numbered
     for _ in range(2):
-        marks = rf"regexp_replace({marks}, '([\p{{Ll}}0-9,;:] )(\p{{Lu}})', '\1' || chr(2) || '\2', 'g')"
-    marks = rf"regexp_replace(lower({marks}), '(' || chr(1) || '[0-9_]+ +)({'|'.join(UNITS)})([^\p{{L}}\p{{M}}0-9_]|$)', '\1' || chr(3) || '\2\3', 'g')"
-    marks = rf"trim(regexp_replace({marks}, '[^\p{{L}}\p{{M}}0-9_' || chr(1) || chr(2) || chr(3) || ']+', ' ', 'g'))"
+        named = rf"regexp_replace({named}, '([\p{{Ll}}0-9,;:] )(\p{{Lu}})', '\1' || chr(2) || '\2', 'g')"
+
+    def finished(marks: str) -> str:
+        marks = rf"regexp_replace(lower({marks}), '(' || chr(1) || '[0-9_]+ +)({'|'.join(UNITS)})([^\p{{L}}\p{{M}}0-9_]|$)', '\1' || chr(3) || '\2\3', 'g')"
+        return rf"trim(regexp_replace({marks}, '[^\p{{L}}\p{{M}}0-9_' || chr(1) || chr(2) || chr(3) || ']+', ' ', 'g'))"
+
     return rf"""
 WITH src AS (
-  SELECT 'd' AS side, doc_id AS id, {marks} AS m FROM documents
-  UNION ALL SELECT 'i', item_id, {marks} FROM benchmark),
+  SELECT side, id, form, CASE form WHEN 0 THEN {finished(named)} ELSE {finished(numbered)} END AS m
+  FROM (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark), range(2) f(form)),
 tok AS (
-  SELECT side, id, string_split(m, ' ') AS vals,
+  SELECT side, id, form, string_split(m, ' ') AS vals,
     string_split(regexp_replace(m, '([' || chr(1) || chr(2) || chr(3) || '])[^ ]+', '\1', 'g'), ' ') AS toks FROM src WHERE m <> ''),
+sizes AS (SELECT DISTINCT least({WINDOW}, len(toks)) AS size FROM tok WHERE side = 'i'),
 win AS (
-  SELECT side, id, pos, list_slice(toks, pos, pos + {WINDOW - 1}) AS w, list_slice(vals, pos, pos + {WINDOW - 1}) AS v
-  FROM (SELECT side, id, toks, vals, unnest(range(1, len(toks) - {WINDOW} + 2)) AS pos FROM tok WHERE len(toks) >= {WINDOW})),
-items AS (
-  SELECT id AS item, pos AS item_pos, w, v FROM win WHERE side = 'i'
-    AND len(list_filter(w, lambda t: t NOT IN (chr(1), chr(2), chr(3)))) >= {MIN_WORDS}),
-totals AS (SELECT item, count(DISTINCT item_pos) AS item_windows FROM items GROUP BY item),
+  SELECT side, id, form, size, pos, list_slice(toks, pos, pos + size - 1) AS t, list_slice(vals, pos, pos + size - 1) AS v
+  FROM (SELECT side, id, form, size, toks, vals, unnest(range(1, len(toks) - size + 2)) AS pos
+    FROM tok, sizes WHERE len(toks) >= size AND (side = 'd' OR size = least({WINDOW}, len(toks))))),
+keyed AS (
+  SELECT *, CASE WHEN few THEN v ELSE t END AS key
+  FROM (SELECT *, len(list_filter(t, lambda x: x NOT IN (chr(1), chr(2), chr(3)))) < {MIN_WORDS} AS few, list_contains(t, chr(2)) AS has_name FROM win)),
+items AS (SELECT DISTINCT id AS item, form, size, pos AS item_pos, key, v FROM keyed WHERE side = 'i' AND (NOT few OR form = 1)),
+totals AS (SELECT item, form, count(DISTINCT item_pos) AS item_windows FROM items GROUP BY ALL),
 hits AS (
-  SELECT d.id AS doc, i.item, d.pos - i.item_pos AS diagonal, i.item_pos,
-    list_filter(list_zip(i.v, d.v), lambda p: p[1][1] IN (chr(1), chr(2), chr(3))) AS pairs
-  FROM win d JOIN items i ON d.w = i.w WHERE d.side = 'd'),
+  SELECT DISTINCT d.id AS doc, i.item, i.form, d.pos - i.item_pos AS diagonal, i.item_pos,
+    list_distinct(list_filter(list_zip(i.v, d.v), lambda p: p[1][1] IN (chr(1), chr(2), chr(3)))) AS pairs
+  FROM keyed d JOIN items i ON d.key = i.key WHERE d.side = 'd' AND (d.form = 1 OR (d.has_name AND NOT d.few))),
+placed AS (SELECT *, row_number() OVER (PARTITION BY doc, item, form, diagonal ORDER BY item_pos) AS j FROM hits),
+slots AS (SELECT doc, item, form, diagonal, j, p[1] AS i, p[2] AS d FROM (SELECT *, unnest(pairs) AS p FROM placed)),
+begins AS (
+  SELECT b.doc, b.item, b.form, b.diagonal, b.j, max(CASE WHEN a.j = b.j THEN b.j + 1 ELSE a.j + 1 END) AS s
+  FROM slots a JOIN slots b ON a.doc = b.doc AND a.item = b.item AND a.form = b.form AND a.diagonal = b.diagonal AND a.i = b.i AND a.d <> b.d AND a.j <= b.j
+  GROUP BY ALL),
 runs AS (
-  SELECT doc, item, diagonal, count(DISTINCT item_pos) AS windows, list_distinct(flatten(list(pairs))) AS pairs
-  FROM hits GROUP BY doc, item, diagonal),
+  SELECT doc, item, form, diagonal, j, max(coalesce(s, 1)) OVER (PARTITION BY doc, item, form, diagonal ORDER BY j) AS s
+  FROM placed LEFT JOIN begins USING (doc, item, form, diagonal, j)),
+best AS (
+  SELECT *, j - s + 1 AS windows FROM runs
+  QUALIFY row_number() OVER (PARTITION BY doc, item, form, diagonal ORDER BY j - s DESC, j) = 1),
 ok AS (
-  SELECT doc, item, len(list_filter(pairs, lambda p: p[1] <> p[2])) AS changed FROM runs JOIN totals USING (item)
-  WHERE windows >= least(item_windows, {MIN_RUN}) AND len(list_distinct(list_transform(pairs, lambda p: p[1]))) = len(pairs)),
-found AS (SELECT doc, count(DISTINCT item) AS n_items, min(item) AS item_id, max(changed) > 0 AS reparameterised FROM ok GROUP BY doc)
+  SELECT b.doc, b.item, bool_or(coalesce(x.i <> x.d, false)) AS changed
+  FROM best b JOIN totals t USING (item, form)
+  LEFT JOIN slots x ON x.doc = b.doc AND x.item = b.item AND x.form = b.form AND x.diagonal = b.diagonal AND x.j BETWEEN b.s AND b.j
+  WHERE b.windows >= least(t.item_windows, {MIN_RUN}) GROUP BY ALL),
+found AS (SELECT doc, count(DISTINCT item) AS n_items, min(item) AS item_id, bool_or(changed) AS reparameterised FROM ok GROUP BY doc)
 SELECT d.doc_id, f.doc IS NOT NULL AS leaked, coalesce(f.n_items, 0) AS n_items, f.item_id, coalesce(f.reparameterised, false) AS reparameterised
 FROM documents d LEFT JOIN found f ON d.doc_id = f.doc
 """

@@ -26,8 +26,8 @@ def test_copies_and_reparameterised_questions(documents, items):
     assert {(1, 7), (2, 7), (5, 8)} <= set(got)
     assert got[1, 7]["changed_slots"] == 0 and got[2, 7]["changed_slots"] > 3
     assert not any(d == 4 for d, _ in got)
-    # One name that stands for two values: the whole question is not consistent.
-    assert (3, 7) not in got
+    # One name that stands for two values: the question as a whole is not consistent, but the run up to the second value is a leak.
+    assert got[3, 7]["windows"] < got[3, 7]["item_windows"]
 
 
 def test_template_types(spark):
@@ -40,7 +40,8 @@ def test_edge_rows(documents, items, clashing, spark):
     rows = [(1, None), (2, ""), (3, QUESTION), (3, QUESTION), (None, QUESTION), (4, (FILLER + " ") * 2000 + QUESTION), (5, "1 2 3 4 5 6 7 8 9")]
     got = decontam.report(clashing(documents(rows)), items)
     leaked = sorted(((r["doc_id"] or 0), r["leaked"], r["n_items"]) for r in got.collect())
-    assert leaked == [(0, True, 1), (1, False, 0), (2, False, 0), (3, True, 1), (3, True, 1), (4, True, 1), (5, False, 0)]
+    # an item of numbers is found by its values
+    assert leaked == [(0, True, 1), (1, False, 0), (2, False, 0), (3, True, 1), (3, True, 1), (4, True, 1), (5, True, 1)]
     assert decontam.report(documents(rows).limit(0), items).count() == 0
     assert not any(r["leaked"] for r in decontam.report(documents(rows), items.limit(0)).collect())
 
@@ -70,13 +71,38 @@ def test_a_conflict_does_not_hide_consistent_windows(documents, spark):
     assert got[1, 1]["changed_slots"] == 0 and got[1, 1]["windows"] < got[1, 1]["item_windows"] and got[2, 1]["changed_slots"] == 1
 
 
-def test_beyond_the_broadcast_bound(documents, items, monkeypatch):
-    docs = documents([(1, QUESTION), (2, CHANGED), (4, FILLER)])
+def test_a_full_filter_changes_nothing(documents, items, monkeypatch):
+    docs = documents([(1, QUESTION), (2, CHANGED), (4, FILLER), (5, "1 2 3 4 5 6 7 8 9")])
     want = set(_leaks(docs, items))
-    monkeypatch.setattr(decontam, "BROADCAST_WINDOWS", 0)
+    monkeypatch.setattr(decontam, "FILTER_BITS", 128)
     assert set(_leaks(docs, items)) == want
 
 
+def test_rows_that_share_an_id_are_judged_apart(documents, items, clashing):
+    half = QUESTION.split()
+    docs = clashing(documents([(None, QUESTION), (None, FILLER), (3, QUESTION), (3, FILLER), (4, " ".join(half[:11])), (4, " ".join(half[11:13])), (5, None), (5, "")]))
+    got = sorted(((r["doc_id"] or 0), r["leaked"]) for r in decontam.report(docs, items).collect())
+    assert got == [(0, False), (0, True), (3, False), (3, True), (4, False), (4, False), (5, False), (5, False)]
+    left = decontam.without_leaks(docs, items)
+    assert left.columns == docs.columns
+    assert sorted((r["doc_id"] or 0, (r["text"] or "")[:7]) for r in left.collect()) == [(0, "nothing"), (3, "nothing"), (4, "A farme"), (4, "euros e"), (5, ""), (5, "")]
+
+
+def test_the_longest_consistent_run(spark):
+    def run(*hits):
+        rows = [(i + 1, list(pairs)) for i, pairs in enumerate(hits)]
+        frame = spark.createDataFrame([(rows,)], "hits array<struct<pos:int,pairs:array<struct<i:string,d:string>>>>")
+        best = frame.select(decontam._longest_run(F.col("hits")).alias("b")).first()["b"]
+        return best["windows"], [tuple(p) for p in best["pairs"]]
+
+    ax, ay, bz = ("a", "x"), ("a", "y"), ("b", "z")
+    assert run([ax], [ax, bz], [bz], [ay], [ay]) == (3, [ax, bz])
+    assert run([ax], [ay], [ay, bz], [bz]) == (3, [ay, bz])
+    assert run([ax, ay], [ax], []) == (2, [ax])
+    assert run([ax], [ay]) == (1, [ax])
+    assert run([], []) == (2, [])
+
+
 def test_only_native_operators(documents, items):
     plan = decontam.report(documents([(1, QUESTION)]), items)._jdf.queryExecution().toString()
     assert "Python" not in plan and "Arrow" not in plan
