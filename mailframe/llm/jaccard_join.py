@@ -8,7 +8,9 @@ to reach the threshold, and the pair is dropped once that falls below ``TOLERANC
 is left is verified exactly on the shingle sets.
 
 A bucket larger than ``BLOCK`` is dealt into blocks, and blocks meet in pairs, so that no
-task holds a bucket and no pair becomes a row: a task returns each class's number of links
+task holds a bucket.  No pair becomes a row or an element of one: the comparison returns which
+classes have a partner left, those classes' shingle sets join them in the same unit, the
+comparison is made again and its pairs are verified, and a task returns each class's number of links
 and a spanning star of what it linked.  A pair counts in the first band it shares, once.
 
 With 32 bands of 5 values a pair at the threshold of 0.8 is missed with probability 3e-6.
@@ -28,7 +30,7 @@ from functools import lru_cache
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from mailframe.llm.common import bounded_batches, mix64, scratch_table, shuffle_partitions, text_chunks, word_hashes
@@ -105,11 +107,12 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays(
                 [
                     part["doc_id"],
+                    part["text_hash"],
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([xxhash.xxh3_128_digest(s) for s in sets], pa.binary()),
                     pa.array([s.tobytes() for s in sig], pa.binary()),
                 ],
-                names=["doc_id", "n", "digest", "sig"],
+                names=["doc_id", "text_hash", "n", "digest", "sig"],
             )
 
 
@@ -176,23 +179,28 @@ def bayes_prune(sig: np.ndarray, size: np.ndarray, i: np.ndarray, j: np.ndarray,
     return i, j
 
 
+def _survivors(table: pa.Table, threshold: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs of whole units that the comparison leaves, each in the first band that it shares."""
+    unit, band, lo, hi, block, size = (table[c].to_numpy() for c in (*_UNIT, "n"))
+    sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(-1, HASHES)
+    for i, j in _candidate_pairs(unit, lo, hi, block):
+        i, j = bayes_prune(sig, size, i, j, threshold)
+        first = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(axis=2).argmax(axis=1) == band[i]
+        yield i[first], j[first]
+
+
+_UNIT = ["unit", "band", "lo", "hi", "block"]
+
+
 def _prune(threshold: float):
+    """Rows of a unit that have a partner left; the pairs themselves are found again where their sets are, so none is ever a row."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _units(batches):
-            unit, cid, band, lo, hi, block, size = (table[c].to_numpy() for c in ("unit", "cid", "band", "lo", "hi", "block", "n"))
-            sig = np.frombuffer(b"".join(table["sig"].to_pylist()), np.uint16).reshape(-1, HASHES)
-            partners: dict[int, list[int]] = {}
-            for i, j in _candidate_pairs(unit, lo, hi, block):
-                i, j = bayes_prune(sig, size, i, j, threshold)
-                same = (sig[i] == sig[j]).reshape(-1, BANDS, ROWS).all(axis=2)
-                first = same.argmax(axis=1) == band[i]  # a pair belongs to the first band it shares
-                for a, b in zip(i[first].tolist(), j[first].tolist(), strict=True):
-                    partners.setdefault(a, []).append(int(cid[b]))
-                    partners.setdefault(b, [])
-            rows = sorted(partners)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(unit[rows]), pa.array(cid[rows]), pa.array([partners[r] for r in rows], pa.list_(pa.int64()))], names=["unit", "cid", "partners"]
-            )
+            left = np.zeros(table.num_rows, bool)
+            for i, j in _survivors(table, threshold):
+                left[i] = left[j] = True
+            yield from table.select(["cid", *_UNIT]).filter(pa.array(left)).to_batches()
 
     return run
 
@@ -200,31 +208,26 @@ def _prune(threshold: float):
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in _units(batches):
-            unit, cid, copies = (table[c].to_numpy() for c in ("unit", "cid", "copies"))
-            sets, partners = table["shingles"].combine_chunks(), table["partners"].to_pylist()
-            edges = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1], True])
-            out: list[tuple[int, int, int]] = []
-            for a, b in zip(edges[:-1], edges[1:], strict=True):
-                own = {int(c): k for k, c in enumerate(cid[a:b])}
-                values = [np.frombuffer(sets[int(k)].as_py(), np.uint64) for k in range(a, b)]
-                linked, root = [0] * (b - a), list(range(b - a))
-
-                def find(k: int, root: list[int] = root) -> int:
-                    while root[k] != k:
-                        root[k] = root[root[k]]
-                        k = root[k]
-                    return k
-
-                for k in range(b - a):
-                    for other in partners[a + k]:
-                        p = own[other]
-                        x, y = values[k], values[p]
-                        common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
-                        if common >= threshold * (len(x) + len(y) - common):
-                            linked[k] += int(copies[a + p])
-                            linked[p] += int(copies[a + k])
-                            root[find(k)] = find(p)
-                out += [(int(cid[a + k]), linked[k], int(cid[a + find(k)])) for k in range(b - a) if linked[k]]
+            cid, copies = table["cid"].to_numpy(), table["copies"].to_numpy()
+            sets = table["shingles"].combine_chunks()
+            values = [np.frombuffer(sets[k].as_py(), np.uint64) for k in range(len(cid))]
+            linked, root = [0] * len(cid), list(range(len(cid)))
+
+            def find(k: int, root: list[int] = root) -> int:
+                while root[k] != k:
+                    root[k] = root[root[k]]
+                    k = root[k]
+                return k
+
+            for i, j in _survivors(table, threshold):
+                for a, b in zip(i.tolist(), j.tolist(), strict=True):
+                    x, y = values[a], values[b]
+                    common = len(x) + len(y) - len(np.unique(np.concatenate([x, y])))
+                    if common >= threshold * (len(x) + len(y) - common):
+                        linked[a] += int(copies[b])
+                        linked[b] += int(copies[a])
+                        root[find(a)] = find(b)
+            out = [(int(cid[k]), linked[k], int(cid[find(k)])) for k in range(len(cid)) if linked[k]]
             cols = list(zip(*out, strict=True)) or [(), (), ()]
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in cols], names=["cid", "links", "star"])
 
@@ -238,9 +241,34 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     ``n_links`` the number of documents whose similarity reaches the threshold (copies
     count), ``copy_id`` the least id with the same shingle set, ``n_copies`` their number.
     """
+    return _rows(docs, id_col, text_col, threshold).drop("text_hash", "digest", "class_digest")
+
+
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", threshold: float = THRESHOLD) -> DataFrame:
+    """The rows of ``docs`` that stay when of each class one document does: the one with the least id.
+
+    Rows are told apart by id and text, so that rows of one id (a null one, say) in different
+    classes are judged apart; of rows that share the least id the one with the least text hash
+    stays, and equal rows of it all do.
+    """
+    rows = _rows(docs, id_col, text_col, threshold)
+    first = rows.filter("class_digest IS NULL OR digest = class_digest").filter(F.col("doc_id").eqNullSafe(F.col("class_id")))
+    alone = first.filter("class_digest IS NULL").select(F.struct("doc_id", "text_hash").alias("stays"))
+    least = first.filter("class_digest IS NOT NULL").groupBy("class_digest").agg(F.min(F.struct("doc_id", "text_hash")).alias("stays")).select("stays")
+    stays = alone.unionByName(least).distinct()
+    same = F.col(id_col).cast("bigint").eqNullSafe(stays["stays"]["doc_id"]) & (_text_hash(text_col) == stays["stays"]["text_hash"])
+    return docs.join(stays, same, "left_semi")
+
+
+def _text_hash(text_col: str) -> Column:
+    return F.xxhash64(F.coalesce(F.col(text_col), F.lit("")))
+
+
+def _rows(docs: DataFrame, id_col: str, text_col: str, threshold: float) -> DataFrame:
+    """The join's rows with the hash of their text, the digest of their shingle set and of their class's first one (null without words)."""
     bounded_batches(docs.sparkSession)
-    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    features = scratch_table(texts.mapInArrow(_features, "doc_id bigint, n bigint, digest binary, sig binary"), "jaccard-features")
+    texts = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"), _text_hash(text_col).alias("text_hash"))
+    features = scratch_table(texts.mapInArrow(_features, "doc_id bigint, text_hash bigint, n bigint, digest binary, sig binary"), "jaccard-features")
     classes = scratch_table(
         features.filter("n > 0")
         .groupBy("digest")
@@ -262,14 +290,14 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     )
     tasks = shuffle_partitions(docs.sparkSession)
     candidates = units.join(classes.select("cid", "n", "sig"), "cid").repartition(tasks, "unit").sortWithinPartitions("unit")
-    pruned = scratch_table(candidates.mapInArrow(_prune(threshold), "unit bigint, cid bigint, partners array<bigint>"), "jaccard-pairs")
+    pruned = scratch_table(candidates.mapInArrow(_prune(threshold), "cid bigint, unit bigint, band int, lo int, hi int, block int"), "jaccard-left")
 
     wanted = pruned.select("cid").distinct().join(classes, "cid").select("cid", F.col("copy_id").alias("rep"), "digest")
     sets = texts.join(wanted, F.col("doc_id").eqNullSafe(F.col("rep"))).select("cid", "digest", "text").mapInArrow(_sets, "cid bigint, shingles binary")
     sets = sets.dropDuplicates(["cid"])
     verified = scratch_table(
         pruned.join(sets, "cid")
-        .join(classes.select("cid", "copies"), "cid")
+        .join(classes.select("cid", "copies", "n", "sig"), "cid")
         .repartition(tasks, "unit")
         .sortWithinPartitions("unit")
         .mapInArrow(_verify(threshold), "cid bigint, links bigint, star bigint"),
@@ -278,15 +306,20 @@ def jaccard_join(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
     roots = connected(verified, "cid", "star").withColumnRenamed("node", "cid")
     linked = verified.groupBy("cid").agg(F.sum("links").alias("links")).join(roots, "cid")
-    named = linked.join(classes.select("cid", "copy_id"), "cid")
-    named = named.join(named.groupBy("root").agg(F.min("copy_id").alias("class_id")), "root").select("cid", "links", "class_id")
+    named = linked.join(classes.select("cid", "copy_id", "digest"), "cid")
+    first = F.min(F.struct(F.col("copy_id").isNull().alias("none"), "copy_id", "digest")).alias("first")
+    named = named.join(named.groupBy("root").agg(first), "root").select("cid", "links", F.col("first.copy_id").alias("class_id"), F.col("first.digest").alias("class_digest"))
     info = classes.select("cid", "digest", "copy_id", "copies").join(named, "cid", "left")
-    found = features.select("doc_id", "digest", "n").join(info, "digest", "left")
+    found = features.select("doc_id", "text_hash", "digest", "n").join(info, "digest", "left")
     none = F.col("n") == 0
+    single = F.col("class_digest").isNull()  # its set links to no other
     return found.select(
         "doc_id",
-        F.when(none, F.col("doc_id")).otherwise(F.coalesce("class_id", "copy_id")).alias("class_id"),
+        F.when(none, F.col("doc_id")).otherwise(F.when(single, F.col("copy_id")).otherwise(F.col("class_id"))).alias("class_id"),
         F.when(none, F.lit(0)).otherwise(F.coalesce("links", F.lit(0)) + F.col("copies") - 1).cast("bigint").alias("n_links"),
         F.when(none, F.col("doc_id")).otherwise(F.col("copy_id")).alias("copy_id"),
         F.when(none, F.lit(1)).otherwise(F.col("copies")).cast("bigint").alias("n_copies"),
+        "text_hash",
+        "digest",
+        F.when(~none, F.coalesce("class_digest", "digest")).alias("class_digest"),
     )

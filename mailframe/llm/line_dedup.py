@@ -23,7 +23,7 @@ A hash is 128 bits of two differently seeded xxhash64; two keys of equal hash wo
 Defined results: null and empty texts are one empty line; a null id comes after all others
 and all null ids are one id; rows of equal id keep and lose the same keys; repeated lines in the
 keeping document all stay; texts and lines may have any length; an empty table gives no rows; other
-columns, whatever their names, pass through ``drop_repeated_lines`` unchanged.
+columns, whatever their names, pass through ``drop_repeated_lines`` unchanged, but for those of its results.
 """
 
 from __future__ import annotations
@@ -150,21 +150,22 @@ def drop_repeated_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str =
     dropped = gone[0]
     for part in gone[1:]:
         dropped = dropped.unionByName(part)
-    lost = dropped.groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("lost")).select(
-        F.struct(F.struct("doc", "text_hash").alias("of"), "lost").alias("line_verdict")
-    )
-    own = F.struct(_rank(F.col(id_col).cast("bigint")).alias("doc"), F.xxhash64(F.coalesce(F.col(text_col), F.lit(""))).alias("text_hash"))
-    joined = docs.join(lost, own == F.col("line_verdict.of"), "left")
-    away = F.coalesce(F.col("line_verdict.lost"), F.array().cast("array<int>"))
+    lost = dropped.groupBy("doc", "text_hash").agg(F.collect_set("pos").alias("lost"))
+    rows = docs.select(F.struct(*docs.columns).alias("row"))  # so that no name can clash
+    text_of, id_of = F.col("row")[text_col], F.col("row")[id_col].cast("bigint")
+    same = (_rank(id_of) == F.col("doc")) & (F.xxhash64(F.coalesce(text_of, F.lit(""))) == F.col("text_hash"))
+    joined = rows.join(lost, same, "left")
+    away = F.coalesce(F.col("lost"), F.array().cast("array<int>"))
 
     def kept(lines: Column) -> Column:
         stay = F.array_except(F.sequence(F.lit(0), F.size(lines) - 1), away)
         return F.struct(F.size(lines).cast("bigint").alias("n_lines"), F.array_join(F.transform(stay, lambda p: F.get(lines, p)), "\n").alias("kept"))
 
     # the lines are computed once per row: a plain column would be, for each element, anew
-    result = F.get(F.transform(F.array(_lines(F.col(text_col))), kept), F.lit(0))
-    joined = joined.select(*(docs[c] for c in docs.columns if c not in ("n_lines", "n_dropped", "kept")), F.size(away).cast("bigint").alias("n_dropped"), result.alias("line_result"))
-    return joined.select("*", "line_result.n_lines", "line_result.kept").drop("line_result")
+    result = F.get(F.transform(F.array(_lines(text_of)), kept), F.lit(0))
+    joined = joined.select("row", F.size(away).cast("bigint").alias("n_dropped"), result.alias("result"))
+    others = [F.col("row")[c].alias(c) for c in docs.columns if c not in ("n_lines", "n_dropped", "kept")]
+    return joined.select(*others, "result.n_lines", "n_dropped", "result.kept")
 
 
 _WHITE_SQL = " || ".join(f"chr({ord(c)})" for c in WHITE)

@@ -93,3 +93,27 @@ def test_components_of_a_chain(spark):
     edges = spark.createDataFrame([(i, i + 1) for i in range(40)] + [(100, 101), (101, 100), (7, 7)], "a bigint, b bigint")
     got = {r["node"]: r["root"] for r in connected(edges, "a", "b").collect()}
     assert got == {**dict.fromkeys(range(41), 0), 100: 100, 101: 100}
+
+
+def test_near_copies_never_become_pair_rows(documents, monkeypatch):
+    """A cluster of n near copies leaves a few rows for each, not n(n-1)/2 of anything."""
+    import random
+
+    rng = random.Random(3)
+    base = words(rng, 120).split()
+    n = 120
+    docs = documents([(k, " ".join([*base, f"tail{k}"])) for k in range(n)])
+    tables = {}
+    plain = J.scratch_table
+
+    def seen(df, name, **more):
+        tables[name] = plain(df, name, **more)
+        return tables[name]
+
+    monkeypatch.setattr(J, "scratch_table", seen)
+    got = J.jaccard_join(docs).collect()
+    assert {r["class_id"] for r in got} == {0} and {r["n_links"] for r in got} == {n - 1}
+    for name, table in tables.items():
+        assert not [f for f in table.schema if f.dataType.typeName() == "array"], name
+    assert tables["jaccard-left"].count() <= n * J.BANDS
+    assert tables["jaccard-links"].count() <= n * J.BANDS
