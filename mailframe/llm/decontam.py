@@ -16,9 +16,9 @@ Windows with fewer than ``MIN_WORDS`` literal words fit too much as templates.
 with names as words they match by their values, so that exact copies of numbers are found.
 
 Window hashes are built by doubling: a window of 8 is two windows of 4, and so on.  Before
-anything is joined, a document's windows are held against a bitmap of ``FILTER_BITS`` bits of the items'
+anything is joined, a document's windows are held against a table of ``FILTER_SLOTS`` residues of the items'
 hashes, a literal of fixed size in the plan; the few that pass are joined with the items' windows on the
-hash itself, so the bitmap decides nothing, and a large benchmark only lets more windows pass.
+hash itself, so the table decides nothing, and a large benchmark only lets more windows pass.
 
 Defined results: null or empty text never leaks; items shorter than a window are one window
 of their own length; repeated items and documents each count; a null id is an id like any
@@ -39,8 +39,8 @@ WINDOW = 8
 MIN_RUN = 6
 #: Words that are not placeholders which a window of an item needs to match as a template.
 MIN_WORDS = 4
-#: Bits of the filter of item windows, 64 to a literal; a power of two.
-FILTER_BITS = 1 << 21
+#: Residues of a hash that the filter of item windows tells apart; a power of two.
+FILTER_SLOTS = 1 << 20
 
 NUMBER, NAME, UNIT = "\x01", "\x02", "\x03"
 #: Units of measure, recognised behind a number.
@@ -50,37 +50,37 @@ UNITS = (
 ).split()
 
 
-def _numbered(text: Column) -> Column:
-    """Text with every run of white space as one space and every number marked."""
-    out = F.regexp_replace(F.coalesce(text, F.lit("")), r"\s+", " ")
-    for _ in range(2):  # a digit can end one match and begin the next
-        out = F.regexp_replace(out, r"([0-9])[.,:/]([0-9])", "$1_$2")
-    return F.regexp_replace(out, r"[0-9][0-9_]*", f" {NUMBER}$0 ")
-
-
-def _finished(out: Column) -> Column:
-    """Units marked, lower-cased, words parted by one space."""
-    out = F.lower(out)
-    out = F.regexp_replace(out, rf"({NUMBER}[0-9_]+ +)({'|'.join(UNITS)})([^\p{{L}}\p{{M}}0-9_]|$)", f"$1{UNIT}$2$3")
-    return F.trim(F.regexp_replace(out, rf"[^\p{{L}}\p{{M}}0-9_{NUMBER}{NAME}{UNIT}]+", " "))
+_WORD = rf"a-z0-9_{NUMBER}{NAME}{UNIT}\p{{L}}\p{{M}}"  # what a lower-cased token holds
 
 
 def marked(text: Column) -> Column:
     """Text with every number, unit and name prefixed by its type's mark, lower-cased, words parted by one space."""
-    out = _numbered(text)
-    for _ in range(2):  # names in a row
-        out = F.regexp_replace(out, rf"([\p{{Ll}}0-9,;:] )(\p{{Lu}})", f"$1{NAME}$2")
-    return _finished(out)
+    out = F.regexp_replace(F.coalesce(text, F.lit("")), r"(?<=[0-9])[.,:/](?=[0-9])", "_")
+    out = F.regexp_replace(out, r"[0-9][0-9_]*", f" {NUMBER}$0 ")
+    out = F.regexp_replace(out, rf"(?i)({NUMBER}[0-9_]+[ \t-\r]+)({'|'.join(UNITS)})([^\p{{L}}\p{{M}}0-9_]|$)", f"$1{UNIT}$2$3")
+    out = F.regexp_replace(out, r"(?<=[\p{Ll}0-9,;:])[ \t-\r]+(?=\p{Lu})", f" {NAME}")
+    return F.trim(F.regexp_replace(F.lower(out), rf"[^a-z0-9_{NUMBER}{NAME}{UNIT}\p{{L}}\p{{M}}]+", " "))
+
 
+def _is_slot(word: Column) -> Column:
+    return word < F.lit("\x04")  # words begin with a letter or a digit, so only marks come before
 
-def plain(text: Column) -> Column:
-    """Like ``marked``, with names as the words they are: the same whatever the case and the text around. Its words have the same places."""
-    return _finished(_numbered(text))
 
+def _named(word: Column) -> Column:
+    return _is_slot(word) & word.startswith(NAME)
 
-def template(marks: Column) -> Column:
-    """Marked text with the values taken out of the slots."""
-    return F.regexp_replace(marks, rf"([{NUMBER}{NAME}{UNIT}])[^ ]+", "$1")
+
+def value(word: Column) -> Column:
+    """A marked word with its value, names as the words they are."""
+    return F.when(_named(word), F.substring(word, 2, 1 << 30)).otherwise(word)
+
+
+def token(word: Column, form: int) -> Column:
+    """What a marked word is in a template: a slot's mark, or the word; in form 1 names are words."""
+    slot = F.substring(word, 1, 1)
+    if form == 1:
+        slot = F.when(word.startswith(NAME), F.substring(word, 2, 1 << 30)).otherwise(slot)
+    return F.when(_is_slot(word), slot).otherwise(word)
 
 
 def _text_key(id_col: str, text_col: str) -> Column:
@@ -99,8 +99,8 @@ def _joined(left: Column, right: Column, ahead: int) -> Column:
     return F.zip_with(left, F.slice(right, F.lit(ahead + 1), F.size(right)), lambda a, b: F.xxhash64(a, b))
 
 
-def _spans(tokens: Column, sizes: list[int], body) -> Column:
-    """``body`` over {size: array of the hashes of all windows of so many elements, one for each element}; those that reach over the end mean nothing."""
+def _spans(words: Column, read, sizes: list[int], body) -> Column:
+    """``body`` over {size: array of the hashes of all windows of so many words (as ``read``), one for each word}; those that reach over the end mean nothing."""
 
     def doubled(have: dict[int, Column], width: int) -> Column:
         if 2 * width <= max(sizes):
@@ -115,20 +115,23 @@ def _spans(tokens: Column, sizes: list[int], body) -> Column:
             out[size] = hashes
         return body(out)
 
-    return _let(F.transform(tokens, lambda t: F.xxhash64(t)), lambda ones: doubled({1: ones}, 1))
+    return _let(F.transform(words, lambda w: F.xxhash64(read(w))), lambda ones: doubled({1: ones}, 1))
 
 
-def _parts(marks: Column) -> Column:
-    return F.struct(F.split(template(marks), " ").alias("tokens"), F.split(marks, " ").alias("values"))
+def _token_reader(form: int):
+    return lambda word: token(word, form)
 
 
 def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "text") -> DataFrame:
     """(item, form, by_value, size, hash, item_pos, item_slots, item_windows) of every benchmark item; form: 0 with names as slots, 1 with names as words."""
-    text = F.col(text_col)
-    forms = F.array(*(F.struct(F.lit(form).alias("form"), marks(text).alias("marks")) for form, marks in enumerate((marked, plain))))
-    rows = items.select(F.col(id_col).cast("bigint").alias("item"), F.inline(forms)).filter("marks != ''")
-    rows = rows.select("item", "form", _parts(F.col("marks")).alias("parts"))
-    tokens, values = F.col("parts.tokens"), F.col("parts.values")
+    rows = items.select(F.col(id_col).cast("bigint").alias("item"), marked(F.col(text_col)).alias("marks")).filter("marks != ''")
+    rows = rows.select("item", F.split("marks", " ").alias("words"), F.explode(F.array(F.lit(0), F.lit(1))).alias("form"))
+    first = F.col("form") == 0
+    words = F.col("words")
+    tokens = F.transform(words, lambda w: F.when(first, token(w, 0)).otherwise(token(w, 1)))
+    values = F.transform(words, lambda w: F.when(first, w).otherwise(value(w)))
+    rows = rows.select("item", "form", tokens.alias("tokens"), values.alias("values"))
+    tokens, values = F.col("tokens"), F.col("values")
     sizes = list(range(1, WINDOW + 1))
 
     def windows(by_token: dict[int, Column], by_value: dict[int, Column]) -> Column:
@@ -146,7 +149,7 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
         own = F.least(F.lit(WINDOW), F.size(tokens))
         return F.coalesce(*(F.when(own == size, of(size)) for size in sizes))
 
-    each = rows.withColumn("w", _spans(tokens, sizes, lambda t: _spans(values, sizes, lambda v: windows(t, v))))
+    each = rows.withColumn("w", _spans(tokens, lambda t: t, sizes, lambda t: _spans(values, lambda v: v, sizes, lambda v: windows(t, v))))
     kept = each.select("item", "form", F.inline("w")).filter("NOT by_value OR form = 1")
     kept = scratch_table(kept, "decontam-items")  # read more than once
     totals = kept.groupBy("item", "form").agg(F.countDistinct("item_pos").alias("item_windows"))
@@ -155,39 +158,29 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 def _filter(wanted: DataFrame) -> Column:
-    """The bitmap of all item hashes as a literal array of longs."""
-    words = FILTER_BITS // 64
-    word = F.shiftright("hash", 6).bitwiseAND(F.lit(words - 1)).alias("word")
-    bit = F.call_function("shiftleft", F.lit(1).cast("bigint"), F.col("hash").bitwiseAND(F.lit(63)).cast("int"))
-    longs = [0] * words
-    for r in wanted.groupBy(word).agg(F.bit_or(bit).alias("bits")).collect():  # at most FILTER_BITS / 64 rows
-        longs[r["word"]] = r["bits"]
-    return F.split(F.lit(",".join(map(str, longs))), ",").cast("array<bigint>")
-
-
-def _candidates(marks: Column, by_token: list[int], by_value: list[int], bitmap: Column) -> Column:
-    """array<struct<size, pos, hash, slots>>: windows whose hash is in the bitmap; slots: the window with its values."""
-    if not by_token and not by_value:
-        return F.array().cast(_WINDOWS)
-
-    def passing(spans: Column, values: Column, size: int) -> Column:
+    """Which ``FILTER_SLOTS`` residues of a hash any item's window has, as a literal of as many bytes."""
+    there = bytearray(FILTER_SLOTS)
+    for r in wanted.select(F.col("hash").bitwiseAND(F.lit(FILTER_SLOTS - 1)).alias("slot")).distinct().toLocalIterator():  # FILTER_SLOTS rows at most
+        there[max(0, r["slot"] - 1)] = 1  # substring() takes place 0 for 1
+    return F.lit(there)
+
+
+def _candidates(words: Column, wanted: list[tuple], there: Column) -> Column:
+    """array<struct<size, pos, hash, slots>>: windows whose hash may be an item's; slots: the window with its values.
+
+    ``wanted``: (how words are read, sizes of the windows).
+    """
+
+    def passing(spans: Column, size: int) -> Column:
         def one(h: Column, i: Column) -> Column:
-            word = F.get(bitmap, F.shiftright(h, 6).bitwiseAND(F.lit(FILTER_BITS // 64 - 1)).cast("int"))
-            there = F.getbit(word, h.bitwiseAND(F.lit(63)).cast("int")) == 1
-            slots = F.array_join(F.slice(values, i + 1, size), " ")
-            whole = i <= F.size(values) - size
-            return F.when(there & whole, F.struct(F.lit(size).alias("size"), (i + 1).alias("pos"), h.alias("hash"), slots.alias("slots")))
+            may = F.substring(there, h.bitwiseAND(F.lit(FILTER_SLOTS - 1)).cast("int"), 1) > F.lit(bytearray(1))
+            window = F.struct(F.lit(size).alias("size"), (i + 1).alias("pos"), h.alias("hash"), F.array_join(F.slice(words, i + 1, size), " ").alias("slots"))
+            return F.when(may, F.when(i <= F.size(words) - size, window))
 
         return F.filter(F.transform(spans, one), lambda w: w.isNotNull())
 
-    def windows(parts: Column) -> Column:
-        found = []
-        for sizes, tokens in ((by_token, parts["tokens"]), (by_value, parts["values"])):
-            if sizes:
-                found.append(_spans(tokens, sizes, lambda spans: F.concat(*(passing(h, parts["values"], n) for n, h in spans.items()))))
-        return F.concat(*found)
-
-    return F.when(marks != "", _let(_parts(marks), windows))
+    found = [_spans(words, read, sizes, lambda spans: F.concat(*(passing(h, n) for n, h in spans.items()))) for read, sizes in wanted if sizes]
+    return F.concat(*found) if found else F.array().cast(_WINDOWS)
 
 
 def _pairs(item_slots: Column, doc_slots: Column) -> Column:
@@ -230,11 +223,17 @@ def _row_leaks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) ->
     wanted = scratch_table(item_windows(items), "decontam-windows")
     kinds = wanted.select("form", "by_value", "size").distinct().collect()  # at most 3 * WINDOW rows
     sizes = lambda form, by_value: sorted({r["size"] for r in kinds if r["form"] in form and r["by_value"] == by_value})
-    bitmap = _filter(wanted)
-    # Windows without a name are the same in both forms, so the plain form's find both forms' items.
-    found = [_candidates(plain(F.col(text_col)), sizes((0, 1), False), sizes((1,), True), bitmap), _candidates(marked(F.col(text_col)), sizes((0,), False), [], bitmap)]
-    each = F.concat(*(F.coalesce(w, F.array().cast(_WINDOWS)) for w in found))
-    hits = docs.select(_text_key(id_col, text_col).alias("leaking"), each.alias("w")).select("leaking", F.inline("w")).join(wanted, ["size", "hash"])
+    there = _filter(wanted)
+
+    def found(marks: Column) -> Column:
+        # Windows without a name are the same in both forms, so the one with names as words finds them for both.
+        plain = [(_token_reader(1), sizes((0, 1), False)), (value, sizes((1,), True))]
+        every = _let(F.split(marks, " "), lambda words: _candidates(words, plain, there))
+        named = _let(F.split(marks, " "), lambda words: _candidates(words, [(_token_reader(0), sizes((0,), False))], there))
+        return F.when(marks != "", F.concat(every, F.when(marks.contains(NAME), named).otherwise(F.array().cast(_WINDOWS))))
+
+    each = _let(marked(F.col(text_col)), found)
+    hits = docs.select(_text_key(id_col, text_col).alias("leaking"), each.alias("w")).select("leaking", F.inline_outer("w")).join(wanted, ["size", "hash"])
     hits = hits.withColumn("pairs", F.coalesce(_pairs(F.col("item_slots"), F.col("slots")), F.array().cast(_PAIRS)))
     hit = F.struct(F.col("item_pos").alias("pos"), "pairs")
     runs = hits.groupBy("leaking", "item", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
@@ -285,22 +284,17 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def _sql() -> str:
-    numbered = r"regexp_replace(coalesce(text, ''), '[ \t\n\x0b\f\r]+', ' ', 'g')"
-    for _ in range(2):
-        numbered = rf"regexp_replace({numbered}, '([0-9])[.,:/]([0-9])', '\1_\2', 'g')"
-    numbered = rf"regexp_replace({numbered}, '[0-9][0-9_]*', ' ' || chr(1) || '\0 ', 'g')"
-    named = numbered
-    for _ in range(2):
-        named = rf"regexp_replace({named}, '([\p{{Ll}}0-9,;:] )(\p{{Lu}})', '\1' || chr(2) || '\2', 'g')"
-
-    def finished(marks: str) -> str:
-        marks = rf"regexp_replace(lower({marks}), '(' || chr(1) || '[0-9_]+ +)({'|'.join(UNITS)})([^\p{{L}}\p{{M}}0-9_]|$)', '\1' || chr(3) || '\2\3', 'g')"
-        return rf"trim(regexp_replace({marks}, '[^\p{{L}}\p{{M}}0-9_' || chr(1) || chr(2) || chr(3) || ']+', ' ', 'g'))"
-
+    marks = "coalesce(text, '')"
+    for _ in range(2):  # a digit can end one match and begin the next
+        marks = rf"regexp_replace({marks}, '([0-9])[.,:/]([0-9])', '\1_\2', 'g')"
+    marks = rf"regexp_replace({marks}, '[0-9][0-9_]*', ' ' || chr(1) || '\0 ', 'g')"
+    marks = rf"regexp_replace({marks}, '(?i)(' || chr(1) || '[0-9_]+[ \t-\r]+)({'|'.join(UNITS)})([^\p{{L}}\p{{M}}0-9_]|$)', '\1' || chr(3) || '\2\3', 'g')"
+    marks = rf"regexp_replace({marks}, '([\p{{Ll}}0-9,;:])[ \t-\r]+(\p{{Lu}})', '\1 ' || chr(2) || '\2', 'g')"
+    marks = rf"trim(regexp_replace(lower({marks}), '[^\p{{L}}\p{{M}}0-9_' || chr(1) || chr(2) || chr(3) || ']+', ' ', 'g'))"
     return rf"""
 WITH src AS (
-  SELECT side, id, form, CASE form WHEN 0 THEN {finished(named)} ELSE {finished(numbered)} END AS m
-  FROM (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark), range(2) f(form)),
+  SELECT side, id, form, CASE form WHEN 0 THEN m ELSE replace(m, chr(2), '') END AS m
+  FROM (SELECT side, id, {marks} AS m FROM (SELECT 'd' AS side, doc_id AS id, text FROM documents UNION ALL SELECT 'i', item_id, text FROM benchmark)), range(2) f(form)),
 tok AS (
   SELECT side, id, form, string_split(m, ' ') AS vals,
     string_split(regexp_replace(m, '([' || chr(1) || chr(2) || chr(3) || '])[^ ]+', '\1', 'g'), ' ') AS toks FROM src WHERE m <> ''),

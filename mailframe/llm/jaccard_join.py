@@ -205,12 +205,26 @@ def _prune(threshold: float):
     return run
 
 
+def _single_units(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.Table]:
+    for table in _units(batches):
+        unit = table["unit"].to_numpy()
+        edges = np.flatnonzero(np.r_[True, unit[1:] != unit[:-1], True])
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+            yield table.slice(a, b - a)
+
+
+def _views(sets: pa.Array) -> list[np.ndarray]:
+    """The hashes of every binary value, where they lie."""
+    _, ends, data = sets.buffers()
+    ends = np.frombuffer(ends, np.int32)[sets.offset : sets.offset + len(sets) + 1].tolist()
+    return [np.frombuffer(data, np.uint64, (b - a) // 8, a) for a, b in zip(ends[:-1], ends[1:], strict=True)]
+
+
 def _verify(threshold: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for table in _units(batches):
+        for table in _single_units(batches):
             cid, copies = table["cid"].to_numpy(), table["copies"].to_numpy()
-            sets = table["shingles"].combine_chunks()
-            values = [np.frombuffer(sets[k].as_py(), np.uint64) for k in range(len(cid))]
+            values = _views(table["shingles"].combine_chunks())
             linked, root = [0] * len(cid), list(range(len(cid)))
 
             def find(k: int, root: list[int] = root) -> int:

@@ -74,7 +74,7 @@ def test_a_conflict_does_not_hide_consistent_windows(documents, spark):
 def test_a_full_filter_changes_nothing(documents, items, monkeypatch):
     docs = documents([(1, QUESTION), (2, CHANGED), (4, FILLER), (5, "1 2 3 4 5 6 7 8 9")])
     want = set(_leaks(docs, items))
-    monkeypatch.setattr(decontam, "FILTER_BITS", 128)
+    monkeypatch.setattr(decontam, "FILTER_SLOTS", 2)
     assert set(_leaks(docs, items)) == want
 
 
