@@ -77,45 +77,58 @@ def error_rows(parsed: DataFrame, key_col: str = "message_id") -> DataFrame:
 MISSING_RAW = "the raw message has not landed"
 
 
+def fetch_raw(ups: DataFrame, raw: DataFrame, keys: list[str]) -> DataFrame:
+    """Messages of ``ups`` that have raw bytes, by an inner join that leaves the large side where it lies.
+
+    ``ups`` is a written table, so the planner knows its size: as long as that is below
+    ``spark.sql.autoBroadcastJoinThreshold`` the few keys go to the raw rows, which are neither
+    shuffled nor sorted; beyond, Spark shuffles both and a bloom filter of the keys thins the raw rows first.
+    """
+    return raw.select(*keys, "raw").join(ups, keys, "inner").select(*ups.columns, "raw")
+
+
 def fetch_documents(changes: DataFrame, raw: DataFrame, options: MailOptions = MailOptions(),
-                    keys: list[str] = ("folder_uri", "uid"), stage=None) -> tuple[DataFrame, DataFrame]:
+                    keys: list[str] = ("folder_uri", "uid"), *, stage) -> tuple[DataFrame, DataFrame]:
     """Upsert change rows -> their raw bytes -> parsed documents, plus error rows.
 
     The reference re-reads the whole message for new and flag-changed messages; here
     that is one equi-join of the upserts with the raw landing table on the message
     key, then the parse stage.  Only upsert rows cross to Python.  A message whose raw
     bytes have not landed gives an error row of kind ``missing``, which later polls
-    take up again.  ``stage`` writes the parsed rows once for both results.
+    take up again.  ``stage`` writes the upserts, and the parsed rows, once for all that read them.
     """
     from mailframe.operators.parse import parse_messages
     from mailframe.operators.store import folder_bucket
     from mailframe.operators.sync import OP_UPSERT
 
     keys = list(keys)
-    ups = changes.filter(F.col("op") == OP_UPSERT)
+    ups = stage(changes.filter(F.col("op") == OP_UPSERT))
     if "fbucket" in raw.columns:
         # A landing partitioned by folder bucket is read only where this poll has new messages
         # (at most FOLDER_BUCKETS values).
         buckets = sorted(r[0] for r in ups.select(folder_bucket().alias("b")).distinct().collect())
         raw = raw.filter(F.col("fbucket").isin(buckets))
-    joined = ups.join(raw.select(*keys, "raw"), keys, "left")
-    keep = [c for c in joined.columns if c != "raw"]
-    parsed = parse_messages(joined, keep=keep, with_text=options.with_text_content,
-                            with_html=options.with_html_content, prefer_html=options.prefer_html_content,
-                            with_attachments=options.with_attachments, missing=MISSING_RAW)
-    if stage is not None:
-        parsed = stage(parsed)
+    found = fetch_raw(ups, raw, keys)
+    keep = ups.columns
+    parsed = stage(parse_messages(found, keep=keep, with_text=options.with_text_content,
+                                  with_html=options.with_html_content, prefer_html=options.prefer_html_content,
+                                  with_attachments=options.with_attachments))
     carry = [c for c in ("op", "version", "seq", "account", "index_name", "type_name", "pop_id") if c in keep]
     docs = to_documents(parsed, options, carry=carry).withColumnRenamed("folderUri", "folder_uri")
     pop = "pop_id" in keys
     key = F.col("pop_id") if pop else F.col("uid").cast("string")
-    errors = parsed.filter(F.col("error").isNotNull()).select(
-        F.concat(key, F.lit("::"), F.col("folder_uri")).alias("message_id"),
-        "folder_uri",
-        F.col("error").alias("error_msg"),
-        (F.lit(None) if pop else F.col("uid")).cast("bigint").alias("uid"),
-        (F.col("pop_id") if pop else F.lit(None)).cast("string").alias("pop_id"),
-        F.when(F.col("error") == MISSING_RAW, "missing").otherwise("parse").alias("kind"))
+
+    def error(rows: DataFrame, message, kind: str) -> DataFrame:
+        return rows.select(
+            F.concat(key, F.lit("::"), F.col("folder_uri")).alias("message_id"),
+            "folder_uri",
+            message.alias("error_msg"),
+            (F.lit(None) if pop else F.col("uid")).cast("bigint").alias("uid"),
+            (F.col("pop_id") if pop else F.lit(None)).cast("string").alias("pop_id"),
+            F.lit(kind).alias("kind"))
+
+    missing = ups.join(parsed.select(*keys), keys, "left_anti")
+    errors = error(parsed.filter(F.col("error").isNotNull()), F.col("error"), "parse").unionByName(error(missing, F.lit(MISSING_RAW), "missing"))
     return docs, errors
 
 

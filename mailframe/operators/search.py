@@ -26,13 +26,8 @@ def bool_must(df: DataFrame, *preds: Column, table_terms: list[tuple[DataFrame,
     return out
 
 
-def match_all(df: DataFrame) -> DataFrame:
-    """F8."""
-    return df
-
-
 def restrict(df: DataFrame, index_name: str | None = None, type_name: str | None = None) -> DataFrame:
-    """index / type restriction (columns that polls write; on a view the filter reaches the scan of the whole rows)."""
+    """index / type restriction; on the store's log both are partitions, so other tables' files are not opened."""
     if index_name is not None:
         df = df.filter(F.col("index_name") == index_name)
     if type_name is not None:
@@ -63,3 +58,16 @@ def count_where(df: DataFrame, pred: Column, name: str = "n") -> DataFrame:
 def distinct_values(df: DataFrame, *cols: str) -> DataFrame:
     """A3 / S7."""
     return df.select(*cols).distinct()
+
+
+def nested(array_col: str, *conditions) -> Column:
+    """some one element of an array of structs (``headers``, ``to``, ``cc``, ``bcc``, ``attachments``) meets all conditions.
+
+    A condition is a function of the element, e.g. ``lambda a: a["email"] == "x@y"``.  All are
+    tested on the same element, which a conjunction of flat filters does not do; a
+    null array and a null element meet nothing.
+    """
+    def meets(element: Column) -> Column:
+        return F.coalesce(reduce(lambda a, b: a & b, [c(element) for c in conditions], element.isNotNull()), F.lit(False))
+
+    return F.coalesce(F.exists(F.col(array_col), meets), F.lit(False))

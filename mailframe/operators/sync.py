@@ -134,6 +134,18 @@ MODE_RESYNC = "resync"
 MODE_INCREMENTAL = "incremental"
 
 
+def poll_mode(on_server: Column, in_state: Column, there: Column, old_validity: Column, new_validity: Column) -> tuple[Column, Column]:
+    """(mode, clear_first) of a folder known on either side (rules: ``resync_plan``)."""
+    changed = ~old_validity.eqNullSafe(new_validity) | old_validity.isNull()
+    mode = (
+        F.when(~on_server, F.lit(MODE_VANISHED))
+        .when(~in_state | ~there, F.lit(MODE_INITIAL))
+        .when(changed, F.lit(MODE_RESYNC))
+        .otherwise(F.lit(MODE_INCREMENTAL))
+    )
+    return mode, (~on_server & there) | (in_state & old_validity.isNotNull() & (mode == MODE_RESYNC))
+
+
 def resync_plan(server_folders: DataFrame, state: DataFrame) -> DataFrame:
     """One row per folder known on either side, with the poll mode.
 
@@ -152,13 +164,7 @@ def resync_plan(server_folders: DataFrame, state: DataFrame) -> DataFrame:
     j = srv.join(st, "folder_uri", "full")
     on_server = F.coalesce(F.col("_on_server"), F.lit(False))
     in_state = F.coalesce(F.col("_in_state"), F.lit(False))
-    mode = (
-        F.when(~on_server, F.lit(MODE_VANISHED))
-        .when(~in_state | ~F.col("_there"), F.lit(MODE_INITIAL))
-        .when(~F.col("old_validity").eqNullSafe(F.col("new_validity")) | F.col("old_validity").isNull(), F.lit(MODE_RESYNC))
-        .otherwise(F.lit(MODE_INCREMENTAL))
-    )
-    clear_first = (~on_server & F.col("_there")) | (in_state & F.col("old_validity").isNotNull() & (mode == MODE_RESYNC))
+    mode, clear_first = poll_mode(on_server, in_state, F.col("_there"), F.col("old_validity"), F.col("new_validity"))
     return j.select(
         "folder_uri",
         mode.alias("mode"),
@@ -235,60 +241,85 @@ def folder_plan(folders: DataFrame, state: DataFrame) -> DataFrame:
     return resync_plan(folders, state).join(marks, "folder_uri", "left").select("folder_uri", "mode", "clear_first", "_mark")
 
 
+KIND_IMAP, KIND_POP = "IMAP", "POP"
+
+
+def poll_changes(stored: DataFrame, listing: DataFrame, plan: DataFrame, version: int,
+                 switches: PollSwitches = PollSwitches(), by_number: bool = False) -> DataFrame:
+    """What one poll does to the store, as typed change rows, by one full outer join on the message key.
+
+    ``stored`` and ``listing`` hold rows of IMAP folders (``uid``) and POP folders (``pop_id``)
+    side by side; ``plan`` has one small row per folder: ``folder_uri``, ``kind`` (IMAP or POP
+    rules), ``mode``, ``clear_first``, ``_mark`` (old high-water mark) and optionally ``account``.  Every
+    message of either side meets its partner once, the folder's row names the rules, and
+    the row's ``op`` follows from both:
+
+    * IMAP: listed and above the mark (or in a folder that is loaded in full) -> upsert;
+      listed and stored with another flag hash -> flags (content cannot change, so the message
+      is not read again); stored but not listed, in an incremental folder -> delete;
+    * POP: listed but not stored -> upsert (``by_number``: numbered above the highest stored
+      and listed one); stored but not listed -> delete.
+
+    Folders to clear give one row each.  Output: listing columns + ``doc_id``, ``op``, ``version``, ``seq``.
+    """
+    from mailframe.operators.store import with_doc_id
+
+    listed = with_doc_id(listing).filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])  # Y12
+    cols = listed.columns
+    old = with_doc_id(stored).filter(F.col("doc_id").isNotNull())
+    old = old.select(*[F.col(c).alias("_s_" + c) for c in ("doc_id", "folder_uri", "uid", "pop_id", "flaghashcode") if c in old.columns])
+    both = listed.join(old, F.col("doc_id") == F.col("_s_doc_id"), "full")
+    here, there = F.col("doc_id").isNotNull(), F.col("_s_doc_id").isNotNull()
+    for c in ("doc_id", "folder_uri", "uid", "pop_id"):
+        if c in cols and "_s_" + c in both.columns:
+            both = both.withColumn(c, F.coalesce(c, "_s_" + c)) if c != "doc_id" else both.withColumns({"_here": here, "_there": there})
+    both = both.withColumn("doc_id", F.coalesce("doc_id", "_s_doc_id"))
+    here, there = F.col("_here"), F.col("_there")
+
+    folder = plan.select(F.col("folder_uri").alias("_folder"), *[F.col(c) if c != "account" else F.col(c).alias("_account") for c in plan.columns if c != "folder_uri"])
+    rows = both.join(folder, F.col("folder_uri") == F.col("_folder"))
+    if by_number:
+        top = rows.filter(here & there).groupBy(F.col("folder_uri").alias("_of")).agg(F.max("msg_num").alias("_top"))
+        rows = rows.join(top, F.col("folder_uri") == F.col("_of"), "left")
+    imap, mode = F.col("kind") == KIND_IMAP, F.col("mode")
+    incremental = mode == MODE_INCREMENTAL
+    above = (F.col("uid") > F.coalesce(F.col("_mark"), F.lit(0))) if "uid" in cols else F.lit(False)
+    new_pop = (F.col("msg_num") > F.coalesce(F.col("_top"), F.lit(0))) if by_number else ~there
+    new = here & F.when(imap, mode.isin(MODE_INITIAL, MODE_RESYNC) | (incremental & above)).otherwise(new_pop)
+    op = F.when(new, F.lit(OP_UPSERT))
+    if switches.with_flag_sync and "flaghashcode" in cols and "_s_flaghashcode" in both.columns:
+        op = op.when(here & there & imap & incremental & (F.col("flaghashcode") != F.col("_s_flaghashcode")), F.lit(OP_FLAGS))
+    if switches.delete_expunged:
+        op = op.when(there & ~here & F.when(imap, incremental).otherwise(mode != MODE_VANISHED), F.lit(OP_DELETE))
+    out = rows.withColumn("op", op).filter(F.col("op").isNotNull())
+    seq = F.when(F.col("op") == OP_FLAGS, SEQ_FLAGS).when(F.col("op") == OP_DELETE, SEQ_DELETE).otherwise(SEQ_NEW)
+    if "account" in cols and "_account" in rows.columns:
+        out = out.withColumn("account", F.coalesce("account", "_account"))
+
+    clears = plan.filter("clear_first")
+    if not switches.delete_expunged:  # Y5 runs only when deletes are on
+        clears = clears.filter(F.col("mode") != MODE_VANISHED)
+    known = [c for c in ("folder_uri", "account") if c in plan.columns]
+    clears = clears.select(*[F.col(c) if c in known else F.lit(None).cast(listed.schema[c].dataType).alias(c) for c in cols])
+    at = F.lit(version).cast("bigint").alias("version")
+    return clears.select(*cols, F.lit(OP_CLEAR).alias("op"), at, F.lit(SEQ_CLEAR).alias("seq")).unionByName(
+        out.select(*cols, "op", at, seq.cast("int").alias("seq")))
+
+
 def imap_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, state: DataFrame,
               version: int, switches: PollSwitches = PollSwitches(), plan: DataFrame | None = None) -> DataFrame:
-    """The whole IMAP poll as one union of typed change rows.
+    """The whole IMAP poll as typed change rows (``poll_changes``).
 
     ``stored`` is the current view (keys + flag hash are enough), ``listing`` the
     server rows (with payload columns), ``folders`` the completely listed folders
     with their UID validity, ``state`` the folder state.  Output: listing columns +
     ``op``, ``version``, ``seq``; clears carry only ``folder_uri``.
-
-    The folder-level plan (mode, clear flag, old mark) is one small row per folder;
-    the listing and the store each join it once, then every branch is a filter on
-    ``mode``, and the two message-level joins run on (``folder_uri``, ``uid``).
     """
-    listing = distinct_listing(listing)
-    # one small row per folder; every consumer below uses this same subtree, so its
-    # exchanges (broadcast or shuffle) are built once and reused
     plan = folder_plan(folders, state) if plan is None else plan
-    cols = listing.columns
-
-    def tag(df: DataFrame, op: str, seq: int) -> DataFrame:
-        return df.select(*cols).withColumn("op", F.lit(op)).withColumn("version", F.lit(version).cast("bigint")) \
-            .withColumn("seq", F.lit(seq))
-
-    clears = plan.filter(F.col("clear_first"))
-    if not switches.delete_expunged:  # Y5 runs only when deletes are on
-        clears = clears.filter(F.col("mode") != MODE_VANISHED)
-    clear_rows = clears.select(
-        *[F.col("folder_uri") if c == "folder_uri" else F.lit(None).cast(listing.schema[c].dataType).alias(c) for c in cols]
-    )
-    parts = [tag(clear_rows, OP_CLEAR, SEQ_CLEAR)]
-
-    lst = listing.join(plan, "folder_uri", "inner")
-    inc_l = lst.filter(F.col("mode") == MODE_INCREMENTAL)
-    if switches.with_flag_sync or switches.delete_expunged:
-        sto = _non_null(stored, IMAP_KEY).join(plan, "folder_uri", "inner") \
-            .filter(F.col("mode") == MODE_INCREMENTAL).drop("mode", "clear_first", "_mark")
-    if switches.with_flag_sync:
-        # the reference re-reads the whole message; its content cannot change, so a
-        # flags row (merged by the current view) gives the same document without a re-parse
-        parts.append(tag(flag_changes(inc_l, sto), OP_FLAGS, SEQ_FLAGS))
-    new_rows = lst.filter(
-        F.col("mode").isin(MODE_INITIAL, MODE_RESYNC)
-        | ((F.col("mode") == MODE_INCREMENTAL) & (F.col("uid") > F.coalesce(F.col("_mark"), F.lit(0))))
-    )
-    parts.append(tag(new_rows, OP_UPSERT, SEQ_NEW))
-    if switches.delete_expunged:
-        gone = sto.join(listing.select(*IMAP_KEY), IMAP_KEY, "left_anti")
-        gone = gone.select(*[F.col(c) if c in gone.columns else F.lit(None).cast(listing.schema[c].dataType).alias(c)
-                             for c in cols])
-        parts.append(tag(gone, OP_DELETE, SEQ_DELETE))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
-    return out
+    if "kind" not in plan.columns:
+        plan = plan.withColumn("kind", F.lit(KIND_IMAP))
+    keyed = listing.filter(F.col("uid").isNotNull() & F.col("folder_uri").isNotNull())
+    return poll_changes(stored, keyed, plan, version, switches).select(*listing.columns, "op", "version", "seq")
 
 
 def pop_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, version: int,
@@ -299,18 +330,7 @@ def pop_poll(stored: DataFrame, listing: DataFrame, folders: DataFrame, version:
     ``folders`` holds the folders whose listing is complete; deletes run even when
     the mailbox is empty (reference rule).
     """
-    listing = distinct_listing(listing, POP_KEY)
-    cols = listing.columns
-
-    def tag(df: DataFrame, op: str, seq: int) -> DataFrame:
-        return df.select(*cols).withColumn("op", F.lit(op)).withColumn("version", F.lit(version).cast("bigint")) \
-            .withColumn("seq", F.lit(seq))
-
-    new = pop_new_by_number(listing, stored) if by_number else pop_new(listing, stored)
-    out = tag(new, OP_UPSERT, SEQ_NEW)
-    if switches.delete_expunged:
-        gone = pop_expunged(stored, listing, folders)
-        gone = gone.select(*[F.col(c) if c in gone.columns else F.lit(None).cast(listing.schema[c].dataType).alias(c)
-                             for c in cols])
-        out = out.unionByName(tag(gone, OP_DELETE, SEQ_DELETE))
-    return out
+    plan = folders.select("folder_uri", F.lit(KIND_POP).alias("kind"), F.lit(MODE_INCREMENTAL).alias("mode"),
+                          F.lit(False).alias("clear_first"), F.lit(None).cast("bigint").alias("_mark"))
+    changes = poll_changes(stored, _non_null(listing, POP_KEY), plan, version, switches, by_number)
+    return changes.select(*listing.columns, "op", "version", "seq")

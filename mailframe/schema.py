@@ -73,6 +73,29 @@ FOLDER_STATE = T.StructType([
     T.StructField("last_schedule", T.TimestampType()),
 ])
 
+#: Numbered listing snapshots: per account the one applied last, and those above it that are still due.
+SNAPSHOT_STATE = T.StructType([
+    T.StructField("account", T.StringType()),
+    T.StructField("snapshot_id", T.LongType()),
+    T.StructField("applied", T.BooleanType()),
+    T.StructField("want", T.LongType()),  # rows that the writer announced; null until the row that says so has landed
+    T.StructField("have", T.LongType()),  # rows landed so far (landed copies count each)
+    T.StructField("since", T.LongType()),  # version of the batch that brought its first row
+])
+
+POLL_METRICS = T.StructType([
+    T.StructField("version", T.LongType()),
+    T.StructField("index_name", T.StringType()),
+    T.StructField("account", T.StringType()),
+    T.StructField("folder_uri", T.StringType()),
+    T.StructField("mode", T.StringType()),
+    T.StructField("n_listed", T.LongType()),
+    T.StructField("n_new", T.LongType()),
+    T.StructField("n_flags", T.LongType()),
+    T.StructField("n_deleted", T.LongType()),
+    T.StructField("cleared", T.BooleanType()),
+])
+
 MAIL_ERRORS = T.StructType([
     T.StructField("message_id", T.StringType()),
     T.StructField("folder_uri", T.StringType()),
