@@ -34,7 +34,7 @@ import os
 import time
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -58,39 +58,37 @@ STATE_COLUMNS = FOLDER_STATE.fieldNames()
 def admit_snapshots(rows: DataFrame, before: DataFrame, store: st.MailStore, version: int) -> tuple[DataFrame | None, DataFrame | None, DataFrame, int]:
     """Which numbered snapshots a batch completes: (listing rows, accounts, next snapshot state, oldest batch still needed).
 
-    ``rows`` are the batch's numbered rows, ``before`` the snapshot state: per account the
-    snapshot applied last, and the rows landed of later ones.  Rows of the applied
-    snapshot and older ones change nothing, whenever they land.  Rows of later ones are kept in
+    ``rows`` are the batch's numbered rows, which ``store`` holds as landed, ``before`` the snapshot state: per
+    account the snapshot applied last, and the rows landed of later ones.  Rows of the applied
+    snapshot and older ones change nothing, whenever they land.  Rows of later ones stay in
     ``store`` until their snapshot is complete: a marker row says how many there are, and as many
     different ones are here (a writer that tried again lands copies; they count once).  Of an
     account's complete snapshots the latest is applied and those below it are forgotten.
 
     Counts are partial aggregates by (account, snapshot), so an account with most rows of a batch
-    is no hot task; the rows of a batch are written once, and a poll reads those of open
-    snapshots alone, never the whole landing folder.
+    is no hot task; a poll reads the landed rows of open snapshots alone, never the whole landing folder.
     """
     keys = ["account", "snapshot_id"]
-    done = before.filter("applied").select(F.col("account").alias("_account"), F.col("snapshot_id").alias("_done"))
     marker = F.col("snapshot_rows").isNotNull()
-    fresh = rows.join(done, F.col("account").eqNullSafe(F.col("_account")), "left").filter(F.col("_done").isNull() | (F.col("snapshot_id") > F.col("_done")))
-    store.land(fresh.drop("_account", "_done"), version)
-    here = store.landed(version, version, rows.schema)
-    new = here.groupBy(*keys).agg(F.max("snapshot_rows").alias("want"), F.sum(F.when(marker, 0).otherwise(1)).alias("have")).withColumn("since", F.lit(version).cast("bigint"))
-    due = new.unionByName(before.filter(~F.col("applied")).select(*new.columns)).groupBy(*keys).agg(
-        F.max("want").alias("want"), F.sum("have").alias("have"), F.min("since").alias("since"))
-    due = store.stage(due)
+    new = rows.groupBy(*keys).agg(F.max("snapshot_rows").alias("want"), F.sum(F.when(marker, 0).otherwise(1)).alias("have"))
+    new = new.withColumns({"since": F.lit(version).cast("bigint"), "done": F.lit(None).cast("bigint")})
+    known = before.withColumn("done", F.when(F.col("applied"), F.col("snapshot_id"))).select(*new.columns)
+    done = F.max("done").over(Window.partitionBy("account"))  # of an account the few snapshots that are open, and the one applied
+    due = new.unionByName(known).groupBy(*keys).agg(F.max("want").alias("want"), F.sum("have").alias("have"), F.min("since").alias("since"), F.max("done").alias("done"))
+    due = store.stage(due.withColumn("last", done).filter(F.col("last").isNull() | (F.col("snapshot_id") >= F.col("last"))))
+    before_last, due = due.filter("done IS NOT NULL").select(*keys), due.filter("done IS NULL")
     enough = due.filter("have >= want")
     reach = due.agg(F.min("since").alias("all"), F.min(F.when(F.col("have") >= F.col("want"), F.col("since"))).alias("enough")).first()
-    applied, listed, accounts = before.filter("applied").select(*keys), None, None
+    applied, listed, accounts = before_last, None, None
     if reach["enough"] is not None:
-        candidates = store.landed(reach["enough"], version, rows.schema).join(enough.select(*keys), keys, "left_semi")
-        # by one task's rows at a time and then by row: the copies are few, so the first aggregation leaves little
-        each = candidates.groupBy(*keys, "folder_uri", "uid", "pop_id", "snapshot_rows").agg(F.first("account").alias("_any"))
+        landed = store.landed(reach["enough"], version, rows.schema).filter(F.col("snapshot_id").isNotNull())
+        candidates = landed.join(enough.select(*keys), keys, "left_semi")
+        each = candidates.groupBy(*keys, "folder_uri", "uid", "pop_id", "snapshot_rows").agg(F.count(F.lit(1)).alias("copies"))
         sizes = each.groupBy(*keys).agg(F.max("snapshot_rows").alias("want"), F.sum(F.when(marker, 0).otherwise(1)).alias("have"))
         latest = store.stage(sizes.filter(F.col("have") >= F.col("want")).groupBy("account").agg(F.max("snapshot_id").alias("snapshot_id")))
-        listed = candidates.filter(~marker).join(latest, keys, "left_semi").dropDuplicates([*keys, "folder_uri", "uid", "pop_id"])
+        listed = candidates.filter(~marker).join(latest, keys, "left_semi")
         accounts = latest.select("account")
-        applied = latest.select(*keys).unionByName(applied.join(accounts, "account", "left_anti"))
+        applied = before_last.unionByName(latest.select(*keys)).groupBy("account").agg(F.max("snapshot_id").alias("snapshot_id"))
     ends = applied.select(F.col("account").alias("_account"), F.col("snapshot_id").alias("_done"))
     still = due.join(ends, F.col("account").eqNullSafe(F.col("_account")), "left").filter(F.col("_done").isNull() | (F.col("snapshot_id") > F.col("_done")))
     state = applied.select(*keys, F.lit(True).alias("applied"), *[F.lit(None).cast("bigint").alias(c) for c in ("want", "have", "since")]).unionByName(
@@ -203,12 +201,15 @@ class PollJob:
             if name not in batch.columns:
                 batch = batch.withColumn(name, F.lit(None).cast(SNAPSHOT_SCHEMA[name].dataType))
         batch = batch.select(*[F.col(f.name).cast(f.dataType) if f.name in batch.columns else F.lit(None).cast(f.dataType).alias(f.name) for f in SNAPSHOT_SCHEMA.fields])
+        self.store.land(batch, version)  # written once; every branch below reads this table
+        batch = self.store.landed(version, version, SNAPSHOT_SCHEMA)
         some = batch.agg(F.count("snapshot_id").alias("numbered"), F.count(F.lit(1)).alias("all")).first()
         if not some["all"]:
             return None, None, None, 0
         plain = batch.filter(F.col("snapshot_id").isNull())
         if not some["numbered"]:
-            return plain, plain.select("account").distinct(), None, 0
+            oldest = self.store.snapshots_before(version).filter(~F.col("applied")).agg(F.min("since")).first()[0]
+            return plain, plain.select("account").distinct(), None, version + 1 if oldest is None else oldest
         numbered = batch.filter(F.col("snapshot_id").isNotNull())
         listed, accounts, snapshots, oldest = admit_snapshots(numbered, self.store.snapshots_before(version), self.store, version)
         if some["numbered"] < some["all"]:
@@ -230,8 +231,7 @@ class PollJob:
                 self._poll(listed, accounts, version, snapshots)
             elif snapshots is not None:
                 self.store.write_snapshots(snapshots, version)
-            if snapshots is not None:
-                self.store.forget_landed(oldest)
+            self.store.forget_landed(oldest)
         finally:
             self.store.release()
 
@@ -246,12 +246,15 @@ class PollJob:
         listed = listed.filter((F.col("kind") == sync.KIND_IMAP) | (F.col("folder_full_name") == "INBOX"))  # S3: POP serves the inbox alone
         is_pop = F.col("kind") == sync.KIND_POP
         key = F.when(is_pop, F.col("pop_id").isNotNull()).otherwise(F.col("uid").isNotNull())
-        folders = listed.groupBy("folder_uri").agg(
+        # landed copies of a row count once: what is left after one aggregation by message is counted by folder
+        message = listed.filter(F.col("folder_uri").isNotNull()).groupBy("folder_uri", "uid", "pop_id").agg(
+            *[F.first(c, ignorenulls=True).alias(c) for c in ("account", "kind", "folder_full_name")], F.max("uid_validity").alias("uid_validity"))
+        folders = message.groupBy("folder_uri").agg(
             F.first("account", ignorenulls=True).alias("account"),
             F.max(F.when(~is_pop, F.col("uid_validity"))).alias("uid_validity"),
             F.first("kind").alias("kind"),
             F.count(F.when(key, F.lit(1))).alias("n_listed"),
-        ).filter(F.col("folder_uri").isNotNull())
+        )
         listing = listed.filter(key).withColumns({
             "uid": F.when(~is_pop, F.col("uid")), "pop_id": F.when(is_pop, F.col("pop_id")), "msg_num": F.when(is_pop, F.col("msg_num"))})
         listing = listing.drop("uid_validity", "snapshot_id", "snapshot_rows", "kind")

@@ -8,7 +8,11 @@ from tests.conftest import SF_SMALL
 PYTHON_NODES = ("MapInPandas", "ArrowEvalPython", "BatchEvalPython", "FlatMapGroupsInPandas", "PythonUDF")
 PARSE_QUERIES = {"parse_round_trip", "error_rows", "mail_documents"}
 # These run polls at call time; their result is a Parquet read of the store.
-SKIP = {"store_after_stream", "store_after_split_snapshot", "folder_vanish_return", "poll_with_bodies"}
+SKIP = {
+    "store_after_stream", "store_after_split_snapshot", "folder_vanish_return", "poll_with_bodies", "late_older_snapshot", "store_after_replay",
+    "mailbox_emptied", "store_after_renumbering", "store_after_recurring", "poll_mixed_accounts", "documents_of_index", "documents_of_accounts",
+    "document_by_id", "poll_metrics",
+}
 
 
 def physical(df) -> str:
