@@ -264,7 +264,10 @@ def without_leaks(docs: DataFrame, items: DataFrame, id_col: str = "doc_id", tex
 
 
 def _same_row(id_col: str, text_col: str, key: Column) -> Column:
-    own = _text_key(id_col, text_col)
+    return _same_key(_text_key(id_col, text_col), key)
+
+
+def _same_key(own: Column, key: Column) -> Column:
     return own["id"].eqNullSafe(key["id"]) & (own["h1"] == key["h1"]) & (own["h2"] == key["h2"])
 
 
@@ -273,9 +276,10 @@ def report(docs: DataFrame, items: DataFrame) -> DataFrame:
     found = _row_leaks(docs, items, "doc_id", "text").groupBy("leaking").agg(
         F.countDistinct("item_id").alias("n_items"), F.min("item_id").alias("item_id"), (F.max("changed_slots") > 0).alias("reparameterised")
     )
-    joined = docs.select("doc_id", "text").join(found, _same_row("doc_id", "text", found["leaking"]), "left")
+    rows = docs.select(_text_key("doc_id", "text").alias("own"))  # the key alone is shuffled, not the text
+    joined = rows.join(found, _same_key(F.col("own"), found["leaking"]), "left")
     return joined.select(
-        F.col("doc_id").cast("bigint").alias("doc_id"),
+        F.col("own.id").alias("doc_id"),
         F.col("n_items").isNotNull().alias("leaked"),
         F.coalesce("n_items", F.lit(0)).cast("bigint").alias("n_items"),
         "item_id",
