@@ -16,6 +16,7 @@ from mailframe.sources.tables import read_table
 
 
 def read_landing(spark: SparkSession, path: str) -> DataFrame:
+    """Raw messages (``folder_uri``, ``uid`` and / or ``pop_id``, ``raw``), by preference partitioned by ``fbucket``."""
     return spark.read.parquet(path)
 
 
@@ -29,11 +30,6 @@ def read_eml_tree(spark: SparkSession, path: str, glob: str = "*.eml") -> DataFr
     )
 
 
-def pop_inbox(listing: DataFrame) -> DataFrame:
-    """S3: POP serves INBOX only."""
-    return listing.filter(F.col("folder_full_name") == "INBOX")
-
-
 # Fixture rules for messages built from documents.
 UNKNOWN_CHARSET_EVERY = 7  # declares a charset no decoder knows -> null text
 TOO_DEEP_EVERY = 13  # nested 101 multiparts deep -> error row

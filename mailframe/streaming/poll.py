@@ -43,6 +43,7 @@ from mailframe.operators import sync
 from mailframe.schema import FOLDER_STATE, LISTING
 from mailframe.session import checkpoint_path
 from mailframe.sources.accounts import index_name, mailbox_kind
+from mailframe.sources.raw import read_landing
 
 LANDING_SCHEMA = T.StructType(LISTING.fields + [T.StructField("uid_validity", T.LongType())])
 SNAPSHOT_SCHEMA = T.StructType([
@@ -321,7 +322,7 @@ class PollJob:
         """Replace upsert rows by parsed documents; record failures and missing bytes, close what is settled (K8, P20)."""
         from mailframe.operators.documents import fetch_documents
 
-        raw = self.spark.read.parquet(self.raw_path)
+        raw = read_landing(self.spark, self.raw_path)
         is_pop = F.col("pop_id").isNotNull()
         out, errors = changes.filter(F.col("op") != sync.OP_UPSERT), None
         for key, mine in (("uid", ~is_pop), ("pop_id", is_pop)):  # a landing holds the keys of one kind or of both
