@@ -17,7 +17,7 @@ with names as words they match by their values, so that exact copies of numbers
 
 Window hashes are built by doubling: a window of 8 is two windows of 4, and so on.  Before
 anything is joined, a document's windows are held against a table of ``FILTER_SLOTS`` residues of the items'
-hashes, a literal of fixed size in the plan; the few that pass are joined with the items' windows on the
+hashes, a scalar of fixed size; the few that pass are joined with the items' windows on the
 hash itself, so the table decides nothing, and a large benchmark only lets more windows pass.
 
 Defined results: null or empty text never leaks; items shorter than a window are one window
@@ -158,11 +158,12 @@ def item_windows(items: DataFrame, id_col: str = "item_id", text_col: str = "tex
 
 
 def _filter(wanted: DataFrame) -> Column:
-    """Which ``FILTER_SLOTS`` residues of a hash any item's window has, as a literal of as many bytes."""
+    """Which ``FILTER_SLOTS`` residues of a hash any item's window has, as a scalar of as many bytes."""
     there = bytearray(FILTER_SLOTS)
     for r in wanted.select(F.col("hash").bitwiseAND(F.lit(FILTER_SLOTS - 1)).alias("slot")).distinct().toLocalIterator():  # FILTER_SLOTS rows at most
         there[max(0, r["slot"] - 1)] = 1  # substring() takes place 0 for 1
-    return F.lit(there)
+    # A scalar of a written table: as a literal it would stand in every plan's text that the driver keeps.
+    return scratch_table(wanted.sparkSession.createDataFrame([(there,)], "there binary"), "decontam-filter").scalar()
 
 
 def _candidates(words: Column, wanted: list[tuple], there: Column) -> Column:
@@ -223,17 +224,17 @@ def _row_leaks(docs: DataFrame, items: DataFrame, id_col: str, text_col: str) ->
     wanted = scratch_table(item_windows(items), "decontam-windows")
     kinds = wanted.select("form", "by_value", "size").distinct().collect()  # at most 3 * WINDOW rows
     sizes = lambda form, by_value: sorted({r["size"] for r in kinds if r["form"] in form and r["by_value"] == by_value})
-    there = _filter(wanted)
-
-    def found(marks: Column) -> Column:
+    def found(marks: Column, there: Column) -> Column:
         # Windows without a name are the same in both forms, so the one with names as words finds them for both.
         plain = [(_token_reader(1), sizes((0, 1), False)), (value, sizes((1,), True))]
         every = _let(F.split(marks, " "), lambda words: _candidates(words, plain, there))
         named = _let(F.split(marks, " "), lambda words: _candidates(words, [(_token_reader(0), sizes((0,), False))], there))
         return F.when(marks != "", F.concat(every, F.when(marks.contains(NAME), named).otherwise(F.array().cast(_WINDOWS))))
 
-    each = _let(marked(F.col(text_col)), found)
-    hits = docs.select(_text_key(id_col, text_col).alias("leaking"), each.alias("w")).select("leaking", F.inline_outer("w")).join(wanted, ["size", "hash"])
+    # The scalar has a projection of its own as the analyser wants it; the optimiser makes the two one, so that no row holds it.
+    rows = docs.select(_text_key(id_col, text_col).alias("leaking"), F.col(text_col).alias("text"), _filter(wanted).alias("there"))
+    each = _let(F.col("there"), lambda there: _let(marked(F.col("text")), lambda marks: found(marks, there)))
+    hits = rows.select("leaking", each.alias("w")).select("leaking", F.inline_outer("w")).join(wanted, ["size", "hash"])
     hits = hits.withColumn("pairs", F.coalesce(_pairs(F.col("item_slots"), F.col("slots")), F.array().cast(_PAIRS)))
     hit = F.struct(F.col("item_pos").alias("pos"), "pairs")
     runs = hits.groupBy("leaking", "item", "form", (F.col("pos") - F.col("item_pos")).alias("diagonal")).agg(
