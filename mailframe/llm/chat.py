@@ -11,7 +11,7 @@ the memory of one turn and of two running digests.
 
 Defined results: null text and null role are empty; a null ``conv_id`` is a conversation
 of its own; of equal turn numbers the smaller role, then text comes first; repeated rows
-are repeated turns; an empty table gives no rows.
+are repeated turns; an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ their table is broadcast; beyond that documents' tokens are joined to it.  Both
 Tokens are told apart by a 64-bit hash.
 
 Defined results: null text is empty: one end token and one end byte; without training texts
-every bit costs one bit; repeated rows get equal scores; an empty table gives no rows.
+every bit costs one bit; repeated rows get equal scores; texts may have any length; an empty
+table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

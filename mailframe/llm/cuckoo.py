@@ -8,7 +8,8 @@ filter doubles and is rebuilt from the stored keys.
 
 Defined results: null text counts as empty; a null id is smaller than any id; repeated
 rows with one id and one text count each in ``group_size`` and are all ``kept`` if the
-id is the largest; an empty table gives an empty result.
+id is the largest; texts may have any length; an empty table gives an empty result; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

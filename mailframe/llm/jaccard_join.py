@@ -18,7 +18,8 @@ With 32 bands of 5 values a pair at the threshold of 0.8 is missed with probabil
 Defined results: words are runs of letters and digits, lower-cased; a text of one to four
 words is one shingle; a text without words (null, empty) links to nothing and is its own
 class; identical sets are copies and count as links; repeated rows are copies of each other;
-ids may be null or repeated; an empty table gives no rows.
+ids may be null or repeated; texts may have any length; an empty table gives no rows; other
+columns, whatever their names, are not read (``one_of_each`` passes them on).
 """
 
 from __future__ import annotations

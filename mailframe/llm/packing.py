@@ -8,7 +8,8 @@ cutting pieces, and what is left is cut into windows of a power of two tokens, w
 need no padding.
 
 Defined results: null text is empty and holds only the end id; null or repeated ids
-are packed like any other row; an empty table gives no rows.
+are packed like any other row; repeated rows are packed each; texts may have any length; an
+empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

@@ -19,7 +19,8 @@ same text or another.
 Texts are told apart by two 64-bit hashes, contents by the anchor's and their own.
 
 Defined results: null text is empty; texts shorter than LENGTH stay; repeated rows are copies
-of each other and go whole; ids may be null or repeated; an empty table gives no rows.
+of each other and go whole; ids may be null or repeated; an empty table gives no rows; other
+columns, whatever their names, are not read.
 """
 
 from __future__ import annotations

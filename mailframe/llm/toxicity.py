@@ -10,7 +10,7 @@ holds nothing but the model.  Scoring covers every row and whole texts.
 
 Defined results: null and empty text are scored by the bias alone; without labelled rows
 every score is 0.5; null labels are not learned from; repeated rows
-get equal scores; an empty table gives no rows; other columns are not read.
+get equal scores; texts may have any length; an empty table gives no rows; other columns are not read.
 """
 
 from __future__ import annotations
