@@ -6,21 +6,24 @@ how often a 0 and a 1 followed in the training texts and a Krichevsky-Trofimov e
 them; the weighting mixes the estimates of all depths on the path: a node stops with weight
 P_kt / (2 P_w), where P_w is half its own estimate's probability of its data plus half the
 product over its child contexts.  A path ends at the deepest node that training data reached.
-The sum of the logarithms is the code length of the text.
+The sum of the logarithms is the code length of the text.  Every context that training texts
+hold is a node; none is merged or left out, whatever the input's size.
+
+Texts are dealt to blocks of about ``BLOCK_BYTES``.  A block is counted into its distinct byte
+(DEPTH + 1)-grams and tokens, packed by bucket: the grams whose last two context bytes agree
+share a bucket, so a bucket holds whole subtrees from depth two on.  Buckets are merged to
+counts and, in a second pass, answer every block's distinct grams with their code lengths and
+its tokens with their counts; a block's answers meet its texts by a join on the block.  Only
+the two upper levels (at most 255 x 256 nodes of depth one) pass through the driver.  A task holds
+one bucket's distinct grams, and there are as many buckets as the input has ``BUCKET_BYTES``, up
+to one for every two bytes; or one block and its answers.
 
-Counts cover all training texts: byte (DEPTH + 1)-grams and tokens are counted per task and
-summed in Spark, so what is gathered grows with the input.  A context is a node of its own if
-it holds at least 2^-CONTEXT_BITS of all training bytes; the rarer contexts behind a node
-share one child.  So there are at most 2^CONTEXT_BITS contexts of any depth, whatever the
-input, and that bounds what is collected and broadcast.
-
-The token base line needs the count of every token.  Up to ``MAX_TOKENS`` distinct tokens
-their table is broadcast; beyond that documents' tokens are joined to it.  Both are exact.
 Tokens are told apart by a 64-bit hash.
 
 Defined results: null text is empty: one end token and one end byte; without training texts
-every bit costs one bit; repeated rows get equal scores; texts may have any length; an empty
-table gives no rows; other columns, whatever their names, are not read.
+every bit costs one bit; repeated rows get equal scores; a text may have any length and is
+scored whole, one beyond ``BLOCK_BYTES`` in a block of its own (about 40 times its bytes in the task);
+an empty table gives no rows; other columns, whatever their names, are not read.
 """
 
 from __future__ import annotations
@@ -30,17 +33,26 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import DoubleType, LongType, StructField, StructType
 
-from mailframe.llm.common import SPACE_TOKENS, bounded_batches, mix64, scratch_table, text_chunks, word_hashes
+from mailframe.llm.common import SPACE_TOKENS, bounded_batches, mix64, scratch_table, shuffle_partitions, text_chunks, word_hashes
 
 DEPTH = 5
-CONTEXT_BITS = 20
-MAX_TOKENS = 4_000_000
+#: Context bytes that a bucket's grams share; the levels above are computed from all buckets.
+SHARED = 2
+#: Text that is counted, and answered, together.
+BLOCK_BYTES = 16 << 20
+#: Text for which there is a bucket.
+BUCKET_BYTES = 1 << 20
+#: Keys in one packed row.
+ROW_KEYS = 8192
 END = 0  # byte behind every text, and before it as context
 #: Key of the end token; words hash to anything else.
 END_TOKEN = 0
+GRAM, TOKEN, ABOVE = 0, 1, 2
 
 _LOWER = np.arange(256, dtype=np.uint8)
 _LOWER[65:91] += 32
@@ -81,43 +93,27 @@ def _grouped(key: np.ndarray, *values: np.ndarray) -> tuple[np.ndarray, ...]:
     return key[order][first], *(np.add.reduceat(v[order], first) for v in values)
 
 
-def count(texts: DataFrame, depth: int = DEPTH) -> DataFrame:
-    """(kind, key, n): byte grams ('g') and tokens ('t') of all texts, counted per task and then summed."""
-    bounded_batches(texts.sparkSession)
-    names = {"g": 0, "t": 1}
+class Counts:
+    """Sums by key, folded whenever much has been added."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        kept = {k: ([np.zeros(0, np.uint64)], [np.zeros(0, np.int64)]) for k in names}
-        ends = 0
+    def __init__(self):
+        self.parts: list[tuple[np.ndarray, np.ndarray]] = []
+        self.size = self.folded = 0
 
-        def fold(kind: str) -> None:
-            keys, counts = kept[kind]
-            if sum(map(len, keys)):
-                key, n = _grouped(np.concatenate(keys), np.concatenate(counts))
-                kept[kind] = ([key], [n])
+    def add(self, key: np.ndarray, n: np.ndarray) -> None:
+        self.parts.append((key, n))
+        self.size += len(key)
+        if self.size > 2 * self.folded + 2_000_000:
+            self.total()
 
-        for batch in batches:
-            for _, data, offs in text_chunks(batch):
-                ends += len(offs) - 1
-                for kind, values in (("g", grams(data, offs, depth)[0]), ("t", tokens(data, offs)[0])):
-                    key, n = np.unique(values, return_counts=True)
-                    kept[kind][0].append(key)
-                    kept[kind][1].append(n)
-                    if sum(map(len, kept[kind][0])) > 3 * len(kept[kind][0][0]) + 1_000_000:
-                        fold(kind)
-        if ends:
-            kept["t"][0].append(np.array([END_TOKEN], np.uint64))
-            kept["t"][1].append(np.array([ends]))
-        for kind, number in names.items():
-            fold(kind)
-            key, n = kept[kind][0][0], kept[kind][1][0]
-            for lo in range(0, len(key), 100_000):
-                part = slice(lo, lo + 100_000)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(key[part]), number, np.int8)), pa.array(key[part].view(np.int64)), pa.array(n[part])], names=["kind", "key", "n"]
-                )
-
-    return texts.select("text").mapInArrow(run, "kind tinyint, key bigint, n bigint").groupBy("kind", "key").agg(F.sum("n").alias("n"))
+    def total(self) -> tuple[np.ndarray, np.ndarray]:
+        """Sorted distinct keys and their sums."""
+        if len(self.parts) != 1:
+            key = np.concatenate([np.zeros(0, np.uint64), *(p[0] for p in self.parts)])
+            n = np.concatenate([np.zeros(0, np.int64), *(p[1] for p in self.parts)])
+            self.parts = [_grouped(key, n)]
+            self.size = self.folded = len(self.parts[0][0])
+        return self.parts[0]
 
 
 def _log_gamma(x: np.ndarray) -> np.ndarray:
@@ -142,31 +138,32 @@ class Level:
     one: np.ndarray
     stop: np.ndarray
 
+    def mix(self, key: np.ndarray, chance: np.ndarray, reached: np.ndarray) -> None:
+        """Weigh the estimates against what deeper levels say; the deepest node reached has no other say."""
+        if not len(self.keys):
+            return
+        at = np.minimum(np.searchsorted(self.keys, key), len(self.keys) - 1)
+        rows = np.flatnonzero(self.keys[at] == key)
+        at = at[rows]
+        stop = np.where(reached[rows], self.stop[at], 1.0)
+        chance[rows] = stop * self.one[at] + (1 - stop) * chance[rows]
+        reached[rows] = True
+
+
+def _level(key: np.ndarray, zero: np.ndarray, one: np.ndarray, stop: np.ndarray) -> Level:
+    return Level(key, ((one + 0.5) / (zero + one + 1.0)).astype(np.float32), stop.astype(np.float32))
 
-#: A leaf key is (length of the context, its bytes, the byte): the length stands above 6 bytes.
-LENGTH_SHIFT = 56
-
-
-def leaf_keys(gram: np.ndarray, contexts: list[np.ndarray]) -> np.ndarray:
-    """The deepest own context of each gram's byte, with the byte. contexts[d]: sorted own contexts of d + 1 bytes."""
-    depth = len(contexts)
-    out = gram & np.uint64(255)  # length 0
-    left = np.arange(len(gram))
-    for d in range(depth, 0, -1):
-        part = gram[left] & np.uint64((1 << 8 * (d + 1)) - 1)
-        own = contexts[d - 1]
-        if not len(own):
-            continue
-        context = part >> np.uint64(8)
-        here = own[np.minimum(np.searchsorted(own, context), len(own) - 1)] == context
-        out[left[here]] = part[here] | np.uint64(d << LENGTH_SHIFT)
-        left = left[~here]
-    return out
 
+def _inner(key: np.ndarray, zero: np.ndarray, one: np.ndarray, below: np.ndarray) -> tuple[Level, np.ndarray]:
+    """(level, ln of the weighted probability) of nodes with children, whose own are ``below`` together."""
+    mine = log_kt(zero, one)
+    whole = np.logaddexp(mine, below) + np.log(0.5)
+    return _level(key, zero, one, np.exp(np.log(0.5) + mine - whole)), whole
 
-def _split(leaf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(length of the context, context and byte) of leaf keys."""
-    return (leaf >> np.uint64(LENGTH_SHIFT)).astype(np.int64), leaf & np.uint64((1 << LENGTH_SHIFT) - 1)
+
+def _upto(depth: int) -> np.uint64:
+    """Mask of a node key of that depth: its newest context bytes and the bits so far."""
+    return np.uint64((1 << 8 * (depth + 1)) - 1)
 
 
 def _decision(gram: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
@@ -176,269 +173,322 @@ def _decision(gram: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray]:
     return (gram & ~np.uint64(255)) | sofar, ((byte >> np.uint64(7 - bit)) & np.uint64(1)).astype(bool)
 
 
-class ContextTree:
-    """Weighted tree over counted leaf keys. Decisions of different place in a byte share no node, so each place has its own tree."""
+class Subtrees:
+    """Weighted nodes of depth ``SHARED`` and more over counted grams. Decisions of different place in a byte share no node, so each place has its own levels."""
 
-    def __init__(self, leaf: np.ndarray, n: np.ndarray, depth: int):
-        """``leaf``: sorted distinct leaf keys."""
+    def __init__(self, gram: np.ndarray, n: np.ndarray, depth: int):
+        """``gram``: sorted, distinct, with all grams of the same last ``SHARED`` context bytes."""
         self.depth = depth
-        #: By place of the bit: nodes by depth; and by depth of the node behind which the rarer contexts share a child.
-        self.own: list[list[Level]] = []
-        self.rest: list[list[Level]] = []
-        length, gram = _split(leaf)
-        cuts = np.searchsorted(length, np.arange(depth + 2))  # sorted by length first
+        self.levels: list[list[Level]] = []  # by place of the bit, deepest first
+        above = []
         for bit in range(8):
-            own, rest = [], []
-            key, zero, one = self._counted(gram[cuts[depth] :], n[cuts[depth] :], bit)
-            whole, stop = log_kt(zero, one), np.ones(len(key))
-            own.append(self._level(key, zero, one, stop))
-            for d in range(depth - 1, -1, -1):
-                rest_key, rest_zero, rest_one = self._counted(gram[cuts[d] : cuts[d + 1]], n[cuts[d] : cuts[d + 1]], bit)
-                rest.insert(0, self._level(rest_key, rest_zero, rest_one, np.ones(len(rest_key))))
-                up = np.concatenate([key & np.uint64((1 << 8 * (d + 1)) - 1), rest_key])  # without the oldest byte
-                whole = np.concatenate([whole, log_kt(rest_zero, rest_one)])
-                key, zero, one, below = _grouped(up, np.concatenate([zero, rest_zero]), np.concatenate([one, rest_one]), whole)
-                mine = log_kt(zero, one)
-                whole = np.logaddexp(mine, below) + np.log(0.5)
-                own.insert(0, self._level(key, zero, one, np.exp(np.log(0.5) + mine - whole)))
-            self.own.append(own)
-            self.rest.append(rest)
-
-    @staticmethod
-    def _counted(gram: np.ndarray, n: np.ndarray, bit: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        """(node, zeros, ones) of the decisions at one place of the byte; nodes of sorted grams come sorted."""
-        node, is_one = _decision(gram, bit)
-        first = np.flatnonzero(np.r_[True, node[1:] != node[:-1]]) if len(node) else np.zeros(0, np.int64)
-        if not len(first):
-            return node, np.zeros(0), np.zeros(0)
-        return node[first], np.add.reduceat(np.where(is_one, 0.0, n), first), np.add.reduceat(np.where(is_one, n, 0.0), first)
-
-    @staticmethod
-    def _level(key: np.ndarray, zero: np.ndarray, one: np.ndarray, stop: np.ndarray) -> Level:
-        return Level(key, ((one + 0.5) / (zero + one + 1.0)).astype(np.float32), stop.astype(np.float32))
-
-    def code_length(self, leaf: np.ndarray) -> np.ndarray:
-        """Bits that the byte of each leaf key costs in its context."""
-        length, gram = _split(leaf)
-        total = np.zeros(len(leaf))
+            node, is_one = _decision(gram, bit)
+            key, zero, one = _grouped(node, np.where(is_one, 0.0, n), np.where(is_one, n, 0.0))
+            whole = log_kt(zero, one)
+            levels = [_level(key, zero, one, np.ones(len(key)))]
+            for d in range(depth - 1, SHARED - 1, -1):
+                key, zero, one, below = _grouped(key & _upto(d), zero, one, whole)
+                level, whole = _inner(key, zero, one, below)
+                levels.append(level)
+            self.levels.append(levels)
+            above.append(_grouped(key & _upto(SHARED - 1), zero, one, whole))
+        #: What the nodes one level up get from here: key, zeros, ones, ln of their children's probability.
+        self.above = tuple(np.concatenate(column) for column in zip(*above, strict=True))
+
+    def code_length(self, gram: np.ndarray, upper: list[Level]) -> np.ndarray:
+        """Bits that each gram's byte costs in its context."""
+        total = np.zeros(len(gram))
         for bit in range(8):
             node, is_one = _decision(gram, bit)
-            chance = np.full(len(leaf), 0.5)
-            reached = np.zeros(len(leaf), bool)
-            for d in range(self.depth, -1, -1):
-                if d < self.depth:
-                    rows = np.flatnonzero(length == d)
-                    self._mix(self.rest[bit][d], node[rows], rows, chance, reached)
-                rows = np.flatnonzero(length >= d)
-                self._mix(self.own[bit][d], node[rows] & np.uint64((1 << 8 * (d + 1)) - 1), rows, chance, reached)
+            chance = np.full(len(gram), 0.5)
+            reached = np.zeros(len(gram), bool)
+            for d, level in zip(range(self.depth, -1, -1), [*self.levels[bit], *upper], strict=True):
+                level.mix(node & _upto(d), chance, reached)
             total -= np.log2(np.where(is_one, chance, 1 - chance))
         return total
 
-    @staticmethod
-    def _mix(level: Level, key: np.ndarray, rows: np.ndarray, chance: np.ndarray, reached: np.ndarray) -> None:
-        """Weigh a level's estimates against what deeper levels say; the deepest node reached has no other say."""
-        if not len(level.keys) or not len(rows):
-            return
-        at = np.minimum(np.searchsorted(level.keys, key), len(level.keys) - 1)
-        here = level.keys[at] == key
-        at, rows = at[here], rows[here]
-        stop = np.where(reached[rows], level.stop[at], 1.0)
-        chance[rows] = stop * level.one[at] + (1 - stop) * chance[rows]
-        reached[rows] = True
+
+def upper_levels(key: np.ndarray, zero: np.ndarray, one: np.ndarray, below: np.ndarray) -> list[Level]:
+    """Levels above the subtrees, deepest first, from what all subtrees hand up."""
+    out = []
+    for d in range(SHARED - 1, -1, -1):
+        key, zero, one, below = _grouped(key & _upto(d), zero, one, below)
+        level, below = _inner(key, zero, one, below)
+        out.append(level)
+    return out
 
 
 class CodeTable:
-    """Open-addressing table leaf key -> code length, for what training saw."""
+    """Open-addressing table of distinct keys -> code length."""
 
     EMPTY = np.uint64(0xFFFFFFFFFFFFFFFF)
 
-    def __init__(self, leaf: np.ndarray, bits: np.ndarray):
-        self.shift = np.uint64(64 - max(4, int(2 * len(leaf)).bit_length()))
+    def __init__(self, keys: np.ndarray, bits: np.ndarray):
+        self.shift = np.uint64(64 - max(4, int(2 * len(keys)).bit_length()))
         size = 1 << (64 - int(self.shift))
         self.key, self.bits = np.full(size, self.EMPTY), np.zeros(size, np.float32)
-        slot, left = self._slot(leaf), np.arange(len(leaf))
+        slot, left = self._slot(keys), np.arange(len(keys))
         while len(left):
             _, first = np.unique(slot, return_index=True)
             put = first[self.key[slot[first]] == self.EMPTY]
-            self.key[slot[put]], self.bits[slot[put]] = leaf[left[put]], bits[left[put]]
+            self.key[slot[put]], self.bits[slot[put]] = keys[left[put]], bits[left[put]]
             keep = np.ones(len(left), bool)
             keep[put] = False
             left, slot = left[keep], (slot[keep] + 1) & (size - 1)
 
-    def _slot(self, leaf: np.ndarray) -> np.ndarray:
-        return (mix64(leaf) >> self.shift).astype(np.int64)
+    def _slot(self, keys: np.ndarray) -> np.ndarray:
+        return (mix64(keys) >> self.shift).astype(np.int64)
 
-    def lookup(self, leaf: np.ndarray) -> np.ndarray:
-        """Code lengths; NaN where a key is unknown."""
-        slot = self._slot(leaf)
-        found = self.key[slot]
-        out = np.where(found == leaf, self.bits[slot], np.float32(np.nan))
-        left = np.flatnonzero((found != leaf) & (found != self.EMPTY))
+    def lookup(self, keys: np.ndarray) -> np.ndarray:
+        """Code lengths of keys that the table holds."""
+        slot = self._slot(keys)
+        out = self.bits[slot]
+        left = np.flatnonzero(self.key[slot] != keys)
         slot = slot[left]
         while len(left):
             slot = (slot + 1) & (len(self.key) - 1)
-            found = self.key[slot]
-            hit = found == leaf[left]
+            hit = self.key[slot] == keys[left]
             out[left[hit]] = self.bits[slot[hit]]
-            on = ~hit & (found != self.EMPTY)
-            left, slot = left[on], slot[on]
+            left, slot = left[~hit], slot[~hit]
         return out
 
 
-@dataclass
-class Coder:
-    """What a worker needs to score bytes."""
-
-    depth: int
-    contexts: list[np.ndarray]
-    tree: ContextTree
-    table: CodeTable
-
-    def code_length(self, gram: np.ndarray) -> np.ndarray:
-        bits = self.table.lookup(gram | np.uint64(self.depth << LENGTH_SHIFT)).astype(np.float64)
-        rare = np.flatnonzero(np.isnan(bits))
-        if len(rare):
-            leaf, which = np.unique(leaf_keys(gram[rare], self.contexts), return_inverse=True)
-            known = self.table.lookup(leaf).astype(np.float64)
-            new = np.isnan(known)
-            known[new] = self.tree.code_length(leaf[new])
-            bits[rare] = known[which]
-        return bits
-
+def _runs(column: pa.Array) -> Iterator[tuple[int, int, int]]:
+    """(value, from, to) of runs of equal values."""
+    values = column.to_numpy(zero_copy_only=False)
+    edges = np.flatnonzero(np.r_[True, values[1:] != values[:-1], True]) if len(values) else np.zeros(1, int)
+    for lo, hi in zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True):
+        yield int(values[lo]), lo, hi
 
-@dataclass
-class LanguageModel:
-    coder: Coder
-    counts: DataFrame
-    n: int
-    v: int
-    words: tuple[np.ndarray, np.ndarray] | None  # sorted token keys and counts, if they fit the bound
-
-
-def _own_contexts(gram: DataFrame, depth: int, context_bits: int) -> list[np.ndarray]:
-    """Sorted contexts of 1 to ``depth`` bytes that hold their share of all bytes: 2^context_bits of a depth at most."""
-    total = gram.agg(F.coalesce(F.sum("n"), F.lit(0))).first()[0]
-    least = max(2, -(-total // (1 << context_bits)))
-    out = []
-    for d in range(1, depth + 1):
-        context = F.shiftrightunsigned(F.col("key"), 8).bitwiseAND(F.lit((1 << 8 * d) - 1))
-        own = gram.groupBy(context.alias("c")).agg(F.sum("n").alias("n")).filter(F.col("n") >= least).select("c").toArrow()
-        out.append(np.sort(own["c"].to_numpy().view(np.uint64)))
-    return out
 
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (with ``text``) as a written table with the block and size in bytes of every text."""
 
-def fit(texts: DataFrame, depth: int = DEPTH, context_bits: int = CONTEXT_BITS, max_tokens: int = MAX_TOKENS) -> LanguageModel:
-    """Count all texts and fit the tree."""
-    counts = scratch_table(count(texts, depth), "ctw-counts")
-    words = counts.filter("kind = 1").select("key", "n")
-    n, v = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count(F.lit(1))).first()
-    gram = counts.filter("kind = 0").select("key", "n")
-    contexts = _own_contexts(gram, depth, context_bits)
-    shared = texts.sparkSession.sparkContext.broadcast(contexts)
-
-    def to_leaf(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, filled = TaskContext.get().partitionId() << 32, 0
         for batch in batches:
-            leaf, m = _grouped(leaf_keys(batch["key"].to_numpy().view(np.uint64), shared.value), batch["n"].to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(leaf.view(np.int64)), pa.array(m)], names=["leaf", "n"])
-
-    table = gram.mapInArrow(to_leaf, "leaf bigint, n bigint").groupBy("leaf").agg(F.sum("n").alias("n")).toArrow()
-    leaf, m = _grouped(table["leaf"].to_numpy().view(np.uint64), table["n"].to_numpy())
-    tree = ContextTree(leaf, m, depth)
-    del table
-    seen = np.concatenate([tree.code_length(part) for part in np.array_split(leaf, len(leaf) // 100_000 + 1)])
-    coder = Coder(depth, contexts, tree, CodeTable(leaf, seen))
-    return LanguageModel(coder, words, int(n), int(v), _word_table(words) if v <= max_tokens else None)
-
-
-def _word_table(words: DataFrame) -> tuple[np.ndarray, np.ndarray]:
-    table = words.withColumn("n", F.least("n", F.lit((1 << 32) - 1))).toArrow()
-    keys = table["key"].to_numpy().view(np.uint64)
-    order = np.argsort(keys)
-    return keys[order], table["n"].to_numpy()[order].astype(np.uint32)
-
-
-_SCORE = "struct<n_tokens bigint, n_known bigint, base_score double, score double, bits_per_byte double>"
-
-
-def _base(known: np.ndarray, model_n: int, model_v: int) -> np.ndarray:
-    """log10 of the smoothed share of tokens with these training counts."""
-    return np.log10((known + 0.1) / (model_n + 0.1 * (model_v + 1)))
+            for part, _, offs in text_chunks(batch):
+                if filled and filled + offs[-1] > BLOCK_BYTES:
+                    block, filled = block + 1, 0
+                filled += int(offs[-1]) + 1
+                columns = [*part.columns, pa.array(np.diff(offs)), pa.array(np.full(part.num_rows, block))]
+                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "size", "block"])
+
+    schema = StructType([*rows.schema.fields, StructField("size", LongType()), StructField("block", LongType())])
+    return scratch_table(rows.mapInArrow(deal, schema), "ctw-texts")
+
+
+def _bucket(kind: int, key: np.ndarray, buckets: int) -> np.ndarray:
+    shared = (key >> np.uint64(8)) & np.uint64((1 << 8 * SHARED) - 1) if kind == GRAM else key
+    return (mix64(shared) % np.uint64(buckets)).astype(np.int32)
+
+
+COUNTED = "kind tinyint, bucket int, block bigint, keys binary, counts binary"
+
+
+def count(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
+    """Every block's distinct grams and tokens with their number in its training texts, packed by bucket."""
+
+    def packed(block: int, counts: dict[int, Counts]) -> Iterator[pa.RecordBatch]:
+        for kind, counted in counts.items():
+            key, n = counted.total()
+            bucket = _bucket(kind, key, buckets)
+            order = np.argsort(bucket, kind="stable")
+            key, n = key[order], n[order].astype(np.int64)
+            rows = [(b, lo + at, min(lo + at + ROW_KEYS, hi)) for b, lo, hi in _runs(pa.array(bucket[order])) for at in range(0, hi - lo, ROW_KEYS)]
+            for at in range(0, len(rows), 500):
+                some = rows[at : at + 500]
+                columns = [
+                    pa.array([kind] * len(some), pa.int8()),
+                    pa.array([b for b, _, _ in some], pa.int32()),
+                    pa.array([block] * len(some), pa.int64()),
+                    pa.array([key[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
+                    pa.array([n[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "block", "keys", "counts"])
 
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts = None, {}
+        for batch in batches:
+            for block, lo, hi in _runs(batch.column("block")):
+                if block != now:
+                    if now is not None:
+                        yield from packed(now, counts)
+                    now, counts = block, {GRAM: Counts(), TOKEN: Counts()}
+                for part, data, offs in text_chunks(batch.slice(lo, hi - lo)):
+                    learn = part["learn"].to_numpy(zero_copy_only=False).astype(np.int64)
+                    gram, first = grams(data, offs, depth)
+                    marked, n = np.unique((gram << np.uint64(1)) | np.repeat(learn, np.diff(first)).astype(np.uint64), return_counts=True)
+                    counts[GRAM].add(*_grouped(marked >> np.uint64(1), np.where(marked & np.uint64(1), n, 0)))
+                    key, first = tokens(data, offs)
+                    ends = np.zeros(len(learn), np.uint64) + np.uint64(END_TOKEN)
+                    counts[TOKEN].add(*_grouped(np.r_[key, ends], np.r_[np.repeat(learn, np.diff(first)), learn]))
+        if now is not None:
+            yield from packed(now, counts)
+
+    return scratch_table(texts.select("block", "learn", "text").mapInArrow(run, COUNTED), "ctw-counted")
+
+
+def _longs(value: pa.Scalar) -> np.ndarray:
+    """Packed keys of a row."""
+    return np.frombuffer(value.as_buffer(), np.uint64)
+
+
+def _row(kind: int, bucket: int, key: np.ndarray, zero: np.ndarray, one: np.ndarray, below: np.ndarray) -> pa.RecordBatch:
+    columns = [pa.array([kind], pa.int8()), pa.array([bucket], pa.int32()), pa.array([key.tobytes()]), pa.array([one.tobytes()]), pa.array([zero.tobytes()]), pa.array([below.tobytes()])]
+    columns += [pa.array([int(one.sum())]), pa.array([len(key)])]
+    return pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "keys", "counts", "zeros", "below", "n", "v"])
+
+
+def merge(counted: DataFrame, depth: int) -> DataFrame:
+    """Buckets with the sums over all blocks, keys without a training count left out; and what their subtrees hand up."""
+    none = np.zeros(0)
+
+    def closed(kind: int, bucket: int, counts: Counts) -> Iterator[pa.RecordBatch]:
+        key, n = counts.total()
+        key, n = key[n > 0], n[n > 0]
+        for lo in range(0, len(key), ROW_KEYS):
+            yield _row(kind, bucket, key[lo : lo + ROW_KEYS], none, n[lo : lo + ROW_KEYS], none)
+        if kind == GRAM and len(key):
+            up, zero, one, below = Subtrees(key, n, depth).above
+            yield _row(ABOVE, bucket, up, zero, one, below)
 
-def score(df: DataFrame, model: LanguageModel, text: Column) -> Column:
-    """Struct column (n_tokens, n_known, base_score, score, bits_per_byte); n_known and base_score stay null without a broadcast word table."""
-    spark = df.sparkSession
-    bounded_batches(spark)
-    shared = spark.sparkContext.broadcast((model.coder, model.words))  # bounded by CONTEXT_BITS and MAX_TOKENS
-    n_all, v_all = model.n, model.v
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, counts = None, Counts()
+        for batch in batches:
+            for i in range(batch.num_rows):
+                at = (batch["kind"][i].as_py(), batch["bucket"][i].as_py())
+                if at != now:
+                    if now is not None:
+                        yield from closed(*now, counts)
+                    now, counts = at, Counts()
+                counts.add(_longs(batch["keys"][i]), _longs(batch["counts"][i]).view(np.int64))
+        if now is not None:
+            yield from closed(*now, counts)
 
-    def run(columns: Iterator[pa.Array]) -> Iterator[pa.Array]:
-        coder, words = shared.value
-        for texts in columns:
-            parts: list[list[np.ndarray]] = [[np.zeros(0)] for _ in range(5)]
-            for _, data, offs in text_chunks(pa.RecordBatch.from_arrays([texts], names=["text"])):
-                gram, first = grams(data, offs, coder.depth)
-                total = np.add.reduceat(coder.code_length(gram), first[:-1])
-                key, start = tokens(data, offs)
-                counts = np.diff(start) + 1
-                known, base = np.zeros(len(counts)), np.zeros(len(counts))
-                if words is not None and len(words[0]):
-                    kinds, which = np.unique(key, return_inverse=True)
-                    at = np.minimum(np.searchsorted(words[0], kinds), len(words[0]) - 1)
-                    c = np.where(words[0][at] == kinds, words[1][at], 0).astype(np.float64)[which]
-                    ends = float(words[1][0]) if words[0][0] == END_TOKEN else 0.0
-                    row = np.repeat(np.arange(len(counts)), counts - 1)
-                    known = np.bincount(row, c > 0, len(counts)) + (ends > 0)
-                    base = np.bincount(row, _base(c, n_all, v_all), len(counts)) + _base(np.array(ends), n_all, v_all)
-                for column, value in zip(parts, (counts, known, base, -total * np.log10(2), total / (np.diff(offs) + 1)), strict=True):
-                    column.append(value)
-            cols = [np.concatenate(c) for c in parts]
-            blank = np.full(len(cols[0]), words is None)
-            yield pa.StructArray.from_arrays(
-                [
-                    pa.array(cols[0].astype(np.int64)),
-                    pa.array(cols[1].astype(np.int64), mask=blank),
-                    pa.array(cols[2], mask=blank),
-                    pa.array(cols[3]),
-                    pa.array(cols[4]),
-                ],
-                names=["n_tokens", "n_known", "base_score", "score", "bits_per_byte"],
-            )
+    rows = counted.select("kind", "bucket", "keys", "counts").repartition(shuffle_partitions(counted.sparkSession), "kind", "bucket").sortWithinPartitions("kind", "bucket")
+    schema = "kind tinyint, bucket int, keys binary, counts binary, zeros binary, below binary, n bigint, v bigint"
+    return scratch_table(rows.mapInArrow(run, schema), "ctw-merged")
 
-    return F.arrow_udf(run, _SCORE)(text)
 
+def _upper(merged: DataFrame) -> list[Level]:
+    """Levels above the subtrees; the sums over all buckets are 255 x 256 rows at most."""
 
-def joined_base(df: DataFrame, model: LanguageModel, id_col: str = "row") -> DataFrame:
-    """(row, n_known, base_score) by a join of documents' distinct tokens with the count table, for tables of any size."""
+    def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                key = _longs(batch["keys"][i]).view(np.int64)
+                sums = [np.frombuffer(batch[c][i].as_buffer(), np.float64) for c in ("zeros", "counts", "below")]
+                yield pa.RecordBatch.from_arrays([pa.array(key), *map(pa.array, sums)], ["key", "zero", "one", "below"])
+
+    rows = merged.filter(F.col("kind") == ABOVE).select("keys", "zeros", "counts", "below")
+    each = rows.mapInArrow(unpack, "key bigint, zero double, one double, below double")
+    table = each.groupBy("key").agg(*(F.sum(c).alias(c) for c in ("zero", "one", "below"))).toArrow()
+    return upper_levels(table["key"].to_numpy().view(np.uint64), *(table[c].to_numpy() for c in ("zero", "one", "below")))
+
+
+def answer(counted: DataFrame, merged: DataFrame, upper: list[Level], depth: int) -> DataFrame:
+    """(block, kind, keys, found): code lengths of every block's grams, training counts of its tokens."""
+    shared = counted.sparkSession.sparkContext.broadcast(upper)
+
+    class Bucket:
+        """A bucket's counts, closed when the first block asks."""
+
+        def __init__(self, kind: int):
+            self.kind, self.counts, self.key = kind, Counts(), None
+
+        def found(self, keys: np.ndarray) -> np.ndarray:
+            if self.key is None:
+                self.key, n = self.counts.total()
+                self.value = n
+                if self.kind == GRAM:
+                    self.tree = Subtrees(self.key, n, depth)
+                    self.value = self.tree.code_length(self.key, shared.value)
+            at = np.searchsorted(self.key, keys)
+            known = np.zeros(len(keys), bool) if not len(self.key) else self.key[np.minimum(at, len(self.key) - 1)] == keys
+            out = np.zeros(len(keys))
+            out[known] = self.value[at[known]]
+            if self.kind == GRAM and not known.all():
+                new, which = np.unique(keys[~known], return_inverse=True)
+                out[~known] = self.tree.code_length(new, shared.value)[which]
+            return out
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, bucket = None, None
         for batch in batches:
+            place = pa.array(batch["bucket"].to_numpy().astype(np.int64) * 4 + batch["kind"].to_numpy())
+            for at, lo, hi in _runs(place):
+                if at != now:
+                    now, bucket = at, Bucket(at & 3)
+                blocks = batch["block"].to_numpy()[lo:hi]
+                keys = [_longs(batch["keys"][i]) for i in range(lo, hi)]
+                asked = int(np.searchsorted(blocks, 0))  # the bucket's own rows come first, as block -1
+                for i in range(asked):
+                    bucket.counts.add(keys[i], _longs(batch["counts"][lo + i]).view(np.int64))
+                if asked == hi - lo:
+                    continue
+                found = bucket.found(np.concatenate(keys[asked:])).astype(np.float32 if bucket.kind == GRAM else np.float64)
+                cuts = np.cumsum([0, *map(len, keys[asked:])])
+                columns = [
+                    pa.array(blocks[asked:]),
+                    pa.array([bucket.kind] * (hi - lo - asked), pa.int8()),
+                    batch["keys"].slice(lo + asked, hi - lo - asked),
+                    pa.array([found[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "kind", "keys", "found"])
+
+    model = merged.filter(F.col("kind") != ABOVE).select("kind", "bucket", F.lit(-1).cast("bigint").alias("block"), "keys", "counts")
+    asked = counted.select("kind", "bucket", "block", "keys", F.lit(None).cast("binary").alias("counts"))
+    rows = model.unionByName(asked).repartition(shuffle_partitions(counted.sparkSession), "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
+    return rows.mapInArrow(run, "block bigint, kind tinyint, keys binary, found binary")
+
+
+SCORES = ["n_tokens", "n_known", "base_score", "score", "bits_per_byte"]
+
+
+def _found(table: pa.Table, kind: int, dtype: type) -> tuple[np.ndarray, np.ndarray]:
+    """Sorted distinct keys of that kind among a block's answers, and what was found for them."""
+    rows = [i for i, k in enumerate(table["kind"].to_pylist()) if k == kind]
+    key = np.concatenate([_longs(table["keys"][i]) for i in rows])
+    key, at = np.unique(key, return_index=True)
+    return key, np.concatenate([np.frombuffer(table["found"][i].as_buffer(), dtype) for i in rows])[at]
+
+
+def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
+    """(id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row; learns from the rows where ``training`` holds."""
+    bounded_batches(docs.sparkSession)
+    rows = docs.select(F.col(id_col).alias("doc_id"), F.coalesce(training, F.lit(False)).alias("learn"), F.col(text_col).alias("text"))
+    texts = in_blocks(rows)
+    size = texts.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
+    buckets = max(16, min(size // BUCKET_BYTES, 1 << 8 * SHARED))
+    counted = count(texts, depth, buckets)
+    merged = merge(counted, depth)
+    n_all, v_all = merged.filter(F.col("kind") == TOKEN).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
+    answers = answer(counted, merged, _upper(merged), depth)
+
+    def run(block: pa.Table, found: pa.Table) -> pa.Table:
+        table = CodeTable(*_found(found, GRAM, np.float32))
+        word, times = _found(found, TOKEN, np.float64)
+        cost = np.log10((times + 0.1) / (n_all + 0.1 * (v_all + 1)))
+        parts: list[list[np.ndarray]] = [[] for _ in range(5)]
+        ids = []
+        for batch in block.to_batches():
             for part, data, offs in text_chunks(batch):
+                gram, first = grams(data, offs, depth)
+                total = np.add.reduceat(table.lookup(gram).astype(np.float64), first[:-1])
                 key, start = tokens(data, offs)
-                ids = part["row"].to_numpy(zero_copy_only=False)
-                for k, (a, b) in enumerate(zip(start[:-1], start[1:], strict=True)):
-                    kinds, n = np.unique(key[a:b], return_counts=True)
-                    kinds, n = np.r_[np.uint64(END_TOKEN), kinds], np.r_[1, n]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.full(len(kinds), ids[k])), pa.array(kinds.view(np.int64)), pa.array(n)], names=["row", "key", "times"]
-                    )
-
-    each = df.select(F.col(id_col).alias("row"), "text").mapInArrow(run, "row bigint, key bigint, times bigint")
-    c = F.coalesce("n", F.lit(0))
-    joined = each.join(model.counts, "key", "left")
-    base = F.log10((c + 0.1) / (model.n + 0.1 * (model.v + 1)))
-    return joined.groupBy("row").agg(
-        F.sum(F.when(c > 0, F.col("times")).otherwise(0)).alias("n_known"), F.sum(base * F.col("times")).alias("base_score")
-    )
-
-
-def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", **bounds) -> DataFrame:
-    """(id, n_tokens, n_known, train_tokens, base_score, score, bits_per_byte) of every row; learns from the rows where ``training`` holds."""
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    model = fit(docs.filter(training).select(F.col(text_col).alias("text")), **bounds)
-    if model.words is not None:
-        return rows.select("doc_id", score(rows, model, F.col("text")).alias("s")).select("doc_id", "s.*", F.lit(model.n).cast("bigint").alias("train_tokens"))
-    rows = scratch_table(rows.withColumn("row", F.monotonically_increasing_id()), "ctw-rows")  # ids may be null or repeat
-    scored = rows.select("doc_id", "row", score(rows, model, F.col("text")).alias("s"))
-    scored = scored.select("doc_id", "row", "s.n_tokens", "s.score", "s.bits_per_byte")
-    return scored.join(joined_base(rows, model), "row").drop("row").withColumn("train_tokens", F.lit(model.n).cast("bigint"))
+                number = np.diff(start) + 1
+                at, end = np.searchsorted(word, key), int(np.searchsorted(word, np.uint64(END_TOKEN)))
+                row = np.repeat(np.arange(len(number)), number - 1)
+                known = np.bincount(row, times[at] > 0, len(number)) + (times[end] > 0)
+                base = np.bincount(row, cost[at], len(number)) + cost[end]
+                ids.append(part.column("doc_id"))
+                for column, value in zip(parts, (number, known.astype(np.int64), base, -total * np.log10(2), total / (np.diff(offs) + 1)), strict=True):
+                    column.append(value)
+        return pa.table([pa.chunked_array(ids, block.schema.field("doc_id").type), *(pa.array(np.concatenate(c)) for c in parts)], ["doc_id", *SCORES])
+
+    schema = StructType([rows.schema["doc_id"], *(StructField(c, LongType() if c in SCORES[:2] else DoubleType()) for c in SCORES)])
+    tasks = shuffle_partitions(docs.sparkSession)
+    asking = texts.select("block", "doc_id", "text").repartition(tasks, "block").groupBy("block")
+    met = asking.cogroup(answers.repartition(tasks, "block").groupBy("block"))
+    return met.applyInArrow(run, schema).withColumn("train_tokens", F.lit(int(n_all)).cast("bigint"))

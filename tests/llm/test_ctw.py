@@ -25,13 +25,9 @@ def kt(a, b):
 class Brute:
     """Context-tree weighting by recursion over dictionaries."""
 
-    def __init__(self, texts, depth, context_bits):
+    def __init__(self, texts, depth):
         self.depth = depth
         symbols = [(bytes(depth) + lower(t) + b"\0") for t in texts]
-        seen = Counter(s[i - d : i] for s in symbols for i in range(depth, len(s)) for d in range(1, depth + 1))
-        total = sum(len(s) - depth for s in symbols)
-        least = max(2, -(-total // 2**context_bits))
-        self.own = {c for c, n in seen.items() if n >= least}
         self.count = defaultdict(lambda: [0, 0])
         self.children = defaultdict(set)
         for s in symbols:
@@ -45,14 +41,9 @@ class Brute:
 
     def decisions(self, before, byte):
         """For every bit: its path of nodes from the root down, and the bit."""
-        contexts = [b""]
-        while len(contexts) <= self.depth and len(contexts[-1]) < self.depth and before[len(before) - len(contexts[-1]) - 1 :] in self.own:
-            contexts.append(before[len(before) - len(contexts[-1]) - 1 :])
-        nodes = [("own", c) for c in contexts]
-        if len(contexts[-1]) < self.depth:
-            nodes.append(("rest", contexts[-1]))
+        contexts = [before[len(before) - d :] for d in range(self.depth + 1)]
         for k in range(8):
-            yield [(*c, (1 << k) | (byte >> (8 - k))) for c in nodes], (byte >> (7 - k)) & 1
+            yield [(c, (1 << k) | (byte >> (8 - k))) for c in contexts], (byte >> (7 - k)) & 1
 
     def weighted(self, node):
         if node not in self.memo:
@@ -92,15 +83,17 @@ def base(texts, text):
     return len(tokens), sum(c[w] > 0 for w in tokens), n, sum(math.log10((c[w] + 0.1) / (n + 0.1 * (v + 1))) for w in tokens)
 
 
-@pytest.mark.parametrize(("depth", "bits", "max_tokens"), [(2, 20, 1000), (3, 6, 1000), (5, 9, 0)])
-def test_against_brute_force(spark, documents, depth, bits, max_tokens):
+@pytest.mark.parametrize(("depth", "block", "row"), [(2, 16 << 20, 8192), (3, 1, 7), (5, 3000, 8192)])
+def test_against_brute_force(spark, documents, depth, block, row, monkeypatch):
+    monkeypatch.setattr(ctw, "BLOCK_BYTES", block)  # read by the closures that tasks get
+    monkeypatch.setattr(ctw, "ROW_KEYS", row)
     rng = random.Random(depth)
     rows = [(i, words(rng, rng.randint(1, 30)).replace("ka", "KÄ")) for i in range(30)]
     rows += [(100, None), (101, ""), (102, "unseen: ÿ\t\x0b日本 \n"), (103, rows[3][1]), (None, "x y"), (104, " \n "), (105, "w " * 3000)]
     learn = lambda i: i is not None and i % 3 > 0
     texts = [t for i, t in rows if learn(i)]
-    brute = Brute(texts, depth, bits)
-    got = ctw.score_documents(documents(rows), F.coalesce(F.col("doc_id") % 3 > 0, F.lit(False)), depth=depth, context_bits=bits, max_tokens=max_tokens).collect()
+    brute = Brute(texts, depth)
+    got = ctw.score_documents(documents(rows), F.coalesce(F.col("doc_id") % 3 > 0, F.lit(False)), depth=depth).collect()
     assert len(got) == len(rows)
     for r in got:
         text = next(t for i, t in rows if i == r["doc_id"])
@@ -111,12 +104,30 @@ def test_against_brute_force(spark, documents, depth, bits, max_tokens):
         assert r["bits_per_byte"] == pytest.approx(brute.bits(text) / (len(lower(text)) + 1), rel=2e-5)
 
 
-def test_probabilities_sum_to_one(spark, documents):
+def test_probabilities_sum_to_one():
     rng = random.Random(4)
-    model = ctw.fit(documents([(i, words(rng, 40)) for i in range(10)]).select("text"), depth=3, context_bits=8)
+    texts = [lower(words(rng, 40)) for _ in range(10)]
+    offs = np.cumsum([0, *map(len, texts)])
+    gram, n = np.unique(ctw.grams(np.frombuffer(b"".join(texts), np.uint8), offs, 3)[0], return_counts=True)
+    tree = ctw.Subtrees(gram, n, 3)
     for context in (b"\0\0\0", b"kal", b"zzz", b"o k"):
         gram = (np.uint64(int.from_bytes(context, "big")) << np.uint64(8)) | np.arange(256, dtype=np.uint64)
-        assert (2.0 ** -model.coder.code_length(gram)).sum() == pytest.approx(1, abs=1e-4)
+        assert (2.0 ** -tree.code_length(gram, ctw.upper_levels(*tree.above))).sum() == pytest.approx(1, abs=1e-4)
+
+
+def test_other_text_takes_no_context_away(spark, documents):
+    """However much else is learned, the estimates of a context that only these texts hold stay theirs."""
+    rng = random.Random(9)
+    own = [(i, "QZ" + words(rng, 20).replace(" ", "ZQ")) for i in range(5)]
+    other = [(100 + i, words(rng, 400)) for i in range(40)]
+    nodes = []
+    for rows in (own, own + other):
+        texts = ctw.in_blocks(documents(rows).select("doc_id", F.lit(True).alias("learn"), "text"))
+        merged = ctw.merge(ctw.count(texts, 5, 16), 5).filter(F.col("kind") == ctw.GRAM).collect()
+        found = [zip(np.frombuffer(r["keys"], np.uint64).tolist(), np.frombuffer(r["counts"], np.int64).tolist(), strict=True) for r in merged]
+        nodes.append({k: n for part in found for k, n in part})
+    assert nodes[0].keys() <= nodes[1].keys() and all(nodes[1][k] >= n for k, n in nodes[0].items())
+    assert sum(nodes[1].values()) == sum(len(lower(t)) + 1 for _, t in own + other)
 
 
 def test_query_beats_the_token_model_on_held_out_rows(spark):
