@@ -278,6 +278,22 @@ def in_blocks(rows: DataFrame) -> DataFrame:
     return scratch_table(rows.mapInArrow(deal, schema), "ctw-texts")
 
 
+def _pack(values: np.ndarray) -> bytes:
+    """An array as its length and its compressed byte planes; keys as differences, which ascending keys keep small."""
+    if values.dtype == np.uint64:
+        values = np.diff(values, prepend=np.uint64(0))
+    planes = np.ascontiguousarray(values).view(np.uint8).reshape(len(values), values.itemsize).T
+    return len(values).to_bytes(4, "little") + pa.compress(planes.tobytes(), codec="zstd", asbytes=True)
+
+
+def _unpack(row: pa.Scalar, dtype: type) -> np.ndarray:
+    value, size = row.as_py(), np.dtype(dtype).itemsize
+    n = int.from_bytes(value[:4], "little")
+    planes = np.frombuffer(pa.decompress(value[4:], n * size, codec="zstd", asbytes=True), np.uint8).reshape(size, n)
+    values = np.ascontiguousarray(planes.T).view(dtype).ravel()
+    return np.cumsum(values, dtype=np.uint64) if dtype is np.uint64 else values
+
+
 def _bucket(kind: int, key: np.ndarray, buckets: int) -> np.ndarray:
     shared = (key >> np.uint64(8)) & np.uint64((1 << 8 * SHARED) - 1) if kind == GRAM else key
     return (mix64(shared) % np.uint64(buckets)).astype(np.int32)
@@ -302,8 +318,8 @@ def count(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
                     pa.array([kind] * len(some), pa.int8()),
                     pa.array([b for b, _, _ in some], pa.int32()),
                     pa.array([block] * len(some), pa.int64()),
-                    pa.array([key[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
-                    pa.array([n[lo:hi].tobytes() for _, lo, hi in some], pa.binary()),
+                    pa.array([_pack(key[lo:hi]) for _, lo, hi in some], pa.binary()),
+                    pa.array([_pack(n[lo:hi]) for _, lo, hi in some], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "block", "keys", "counts"])
 
@@ -329,13 +345,10 @@ def count(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
     return scratch_table(texts.select("block", "learn", "text").mapInArrow(run, COUNTED), "ctw-counted")
 
 
-def _longs(value: pa.Scalar) -> np.ndarray:
-    """Packed keys of a row."""
-    return np.frombuffer(value.as_buffer(), np.uint64)
 
 
 def _row(kind: int, bucket: int, key: np.ndarray, zero: np.ndarray, one: np.ndarray, below: np.ndarray) -> pa.RecordBatch:
-    columns = [pa.array([kind], pa.int8()), pa.array([bucket], pa.int32()), pa.array([key.tobytes()]), pa.array([one.tobytes()]), pa.array([zero.tobytes()]), pa.array([below.tobytes()])]
+    columns = [pa.array([kind], pa.int8()), pa.array([bucket], pa.int32()), *(pa.array([_pack(x)], pa.binary()) for x in (key, one, zero, below))]
     columns += [pa.array([int(one.sum())]), pa.array([len(key)])]
     return pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "keys", "counts", "zeros", "below", "n", "v"])
 
@@ -362,7 +375,7 @@ def merge(counted: DataFrame, depth: int) -> DataFrame:
                     if now is not None:
                         yield from closed(*now, counts)
                     now, counts = at, Counts()
-                counts.add(_longs(batch["keys"][i]), _longs(batch["counts"][i]).view(np.int64))
+                counts.add(_unpack(batch["keys"][i], np.uint64), _unpack(batch["counts"][i], np.int64))
         if now is not None:
             yield from closed(*now, counts)
 
@@ -377,8 +390,8 @@ def _upper(merged: DataFrame) -> list[Level]:
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
-                key = _longs(batch["keys"][i]).view(np.int64)
-                sums = [np.frombuffer(batch[c][i].as_buffer(), np.float64) for c in ("zeros", "counts", "below")]
+                key = _unpack(batch["keys"][i], np.uint64).view(np.int64)
+                sums = [_unpack(batch[c][i], np.float64) for c in ("zeros", "counts", "below")]
                 yield pa.RecordBatch.from_arrays([pa.array(key), *map(pa.array, sums)], ["key", "zero", "one", "below"])
 
     rows = merged.filter(F.col("kind") == ABOVE).select("keys", "zeros", "counts", "below")
@@ -421,10 +434,10 @@ def answer(counted: DataFrame, merged: DataFrame, upper: list[Level], depth: int
                 if at != now:
                     now, bucket = at, Bucket(at & 3)
                 blocks = batch["block"].to_numpy()[lo:hi]
-                keys = [_longs(batch["keys"][i]) for i in range(lo, hi)]
+                keys = [_unpack(batch["keys"][i], np.uint64) for i in range(lo, hi)]
                 asked = int(np.searchsorted(blocks, 0))  # the bucket's own rows come first, as block -1
                 for i in range(asked):
-                    bucket.counts.add(keys[i], _longs(batch["counts"][lo + i]).view(np.int64))
+                    bucket.counts.add(keys[i], _unpack(batch["counts"][lo + i], np.int64))
                 if asked == hi - lo:
                     continue
                 found = bucket.found(np.concatenate(keys[asked:])).astype(np.float32 if bucket.kind == GRAM else np.float64)
@@ -433,7 +446,7 @@ def answer(counted: DataFrame, merged: DataFrame, upper: list[Level], depth: int
                     pa.array(blocks[asked:]),
                     pa.array([bucket.kind] * (hi - lo - asked), pa.int8()),
                     batch["keys"].slice(lo + asked, hi - lo - asked),
-                    pa.array([found[a:b].tobytes() for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
+                    pa.array([_pack(found[a:b]) for a, b in zip(cuts[:-1], cuts[1:], strict=True)], pa.binary()),
                 ]
                 yield pa.RecordBatch.from_arrays(columns, ["block", "kind", "keys", "found"])
 
@@ -449,9 +462,9 @@ SCORES = ["n_tokens", "n_known", "base_score", "score", "bits_per_byte"]
 def _found(table: pa.Table, kind: int, dtype: type) -> tuple[np.ndarray, np.ndarray]:
     """Sorted distinct keys of that kind among a block's answers, and what was found for them."""
     rows = [i for i, k in enumerate(table["kind"].to_pylist()) if k == kind]
-    key = np.concatenate([_longs(table["keys"][i]) for i in rows])
+    key = np.concatenate([_unpack(table["keys"][i], np.uint64) for i in rows])
     key, at = np.unique(key, return_index=True)
-    return key, np.concatenate([np.frombuffer(table["found"][i].as_buffer(), dtype) for i in rows])[at]
+    return key, np.concatenate([_unpack(table["found"][i], dtype) for i in rows])[at]
 
 
 def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", text_col: str = "text", depth: int = DEPTH) -> DataFrame:
