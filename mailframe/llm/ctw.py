@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.types import DoubleType, LongType, StructField, StructType
+from pyspark.sql.types import ArrayType, BinaryType, BooleanType, DoubleType, LongType, StructField, StructType
 
 from mailframe.llm.common import SPACE_TOKENS, bounded_batches, mix64, scratch_table, shuffle_partitions, text_chunks, word_hashes
 
@@ -47,6 +47,8 @@ SHARED = 2
 BLOCK_BYTES = 16 << 20
 #: Text for which there is a bucket.
 BUCKET_BYTES = 1 << 20
+#: Text for which there is a shuffle partition, where the session has fewer.
+TASK_BYTES = 32 << 20
 #: Keys in one packed row.
 ROW_KEYS = 8192
 END = 0  # byte behind every text, and before it as context
@@ -261,23 +263,6 @@ def _runs(column: pa.Array) -> Iterator[tuple[int, int, int]]:
         yield int(values[lo]), lo, hi
 
 
-def in_blocks(rows: DataFrame) -> DataFrame:
-    """``rows`` (with ``text``) as a written table with the block and size in bytes of every text."""
-
-    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        block, filled = TaskContext.get().partitionId() << 32, 0
-        for batch in batches:
-            for part, _, offs in text_chunks(batch):
-                if filled and filled + offs[-1] > BLOCK_BYTES:
-                    block, filled = block + 1, 0
-                filled += int(offs[-1]) + 1
-                columns = [*part.columns, pa.array(np.diff(offs)), pa.array(np.full(part.num_rows, block))]
-                yield pa.RecordBatch.from_arrays(columns, [*part.schema.names, "size", "block"])
-
-    schema = StructType([*rows.schema.fields, StructField("size", LongType()), StructField("block", LongType())])
-    return scratch_table(rows.mapInArrow(deal, schema), "ctw-texts")
-
-
 def _pack(values: np.ndarray) -> bytes:
     """An array as its length and its compressed byte planes; keys as differences, which ascending keys keep small."""
     if values.dtype == np.uint64:
@@ -294,6 +279,38 @@ def _unpack(row: pa.Scalar, dtype: type) -> np.ndarray:
     return np.cumsum(values, dtype=np.uint64) if dtype is np.uint64 else values
 
 
+def in_blocks(rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, learn, text) as a written table of chunks: the ids, marks and lengths of a run of texts, their bytes, and the chunk's block."""
+
+    def deal(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        block, filled = TaskContext.get().partitionId() << 32, 0
+        for batch in batches:
+            for part, data, offs in text_chunks(batch):
+                if filled and filled + offs[-1] > BLOCK_BYTES:
+                    block, filled = block + 1, 0
+                filled += int(offs[-1]) + 1
+                whole = pa.array([0, part.num_rows], pa.int32())
+                columns = [
+                    pa.array([block]),
+                    pa.array([int(offs[-1])]),
+                    pa.ListArray.from_arrays(whole, part.column("doc_id")),
+                    pa.ListArray.from_arrays(whole, part.column("learn")),
+                    pa.array([_pack(np.diff(offs))], pa.binary()),
+                    pa.array([_pack(data)], pa.binary()),
+                ]
+                yield pa.RecordBatch.from_arrays(columns, ["block", "size", "ids", "learn", "lengths", "data"])
+
+    ids = StructField("ids", ArrayType(rows.schema["doc_id"].dataType))
+    rest = [StructField("learn", ArrayType(BooleanType())), StructField("lengths", BinaryType()), StructField("data", BinaryType())]
+    schema = StructType([StructField("block", LongType()), StructField("size", LongType()), ids, *rest])
+    return scratch_table(rows.mapInArrow(deal, schema), "ctw-texts")
+
+
+def _text_bytes(lengths: pa.Scalar, data: pa.Scalar) -> tuple[np.ndarray, np.ndarray]:
+    """(bytes, offsets) of a chunk's texts."""
+    return _unpack(data, np.uint8), np.concatenate([[0], np.cumsum(_unpack(lengths, np.int64))])
+
+
 def _bucket(kind: int, key: np.ndarray, buckets: int) -> np.ndarray:
     shared = (key >> np.uint64(8)) & np.uint64((1 << 8 * SHARED) - 1) if kind == GRAM else key
     return (mix64(shared) % np.uint64(buckets)).astype(np.int32)
@@ -326,23 +343,23 @@ def count(texts: DataFrame, depth: int, buckets: int) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         now, counts = None, {}
         for batch in batches:
-            for block, lo, hi in _runs(batch.column("block")):
+            for i, block in enumerate(batch["block"].to_pylist()):
                 if block != now:
                     if now is not None:
                         yield from packed(now, counts)
                     now, counts = block, {GRAM: Counts(), TOKEN: Counts()}
-                for part, data, offs in text_chunks(batch.slice(lo, hi - lo)):
-                    learn = part["learn"].to_numpy(zero_copy_only=False).astype(np.int64)
-                    gram, first = grams(data, offs, depth)
-                    marked, n = np.unique((gram << np.uint64(1)) | np.repeat(learn, np.diff(first)).astype(np.uint64), return_counts=True)
-                    counts[GRAM].add(*_grouped(marked >> np.uint64(1), np.where(marked & np.uint64(1), n, 0)))
-                    key, first = tokens(data, offs)
-                    ends = np.zeros(len(learn), np.uint64) + np.uint64(END_TOKEN)
-                    counts[TOKEN].add(*_grouped(np.r_[key, ends], np.r_[np.repeat(learn, np.diff(first)), learn]))
+                data, offs = _text_bytes(batch["lengths"][i], batch["data"][i])
+                learn = batch["learn"][i].values.to_numpy(zero_copy_only=False).astype(np.int64)
+                gram, first = grams(data, offs, depth)
+                marked, n = np.unique((gram << np.uint64(1)) | np.repeat(learn, np.diff(first)).astype(np.uint64), return_counts=True)
+                counts[GRAM].add(*_grouped(marked >> np.uint64(1), np.where(marked & np.uint64(1), n, 0)))
+                key, first = tokens(data, offs)
+                ends = np.full(len(learn), END_TOKEN, np.uint64)
+                counts[TOKEN].add(*_grouped(np.r_[key, ends], np.r_[np.repeat(learn, np.diff(first)), learn]))
         if now is not None:
             yield from packed(now, counts)
 
-    return scratch_table(texts.select("block", "learn", "text").mapInArrow(run, COUNTED), "ctw-counted")
+    return scratch_table(texts.select("block", "learn", "lengths", "data").mapInArrow(run, COUNTED), "ctw-counted")
 
 
 
@@ -353,7 +370,7 @@ def _row(kind: int, bucket: int, key: np.ndarray, zero: np.ndarray, one: np.ndar
     return pa.RecordBatch.from_arrays(columns, ["kind", "bucket", "keys", "counts", "zeros", "below", "n", "v"])
 
 
-def merge(counted: DataFrame, depth: int) -> DataFrame:
+def merge(counted: DataFrame, depth: int, tasks: int) -> DataFrame:
     """Buckets with the sums over all blocks, keys without a training count left out; and what their subtrees hand up."""
     none = np.zeros(0)
 
@@ -379,7 +396,7 @@ def merge(counted: DataFrame, depth: int) -> DataFrame:
         if now is not None:
             yield from closed(*now, counts)
 
-    rows = counted.select("kind", "bucket", "keys", "counts").repartition(shuffle_partitions(counted.sparkSession), "kind", "bucket").sortWithinPartitions("kind", "bucket")
+    rows = counted.select("kind", "bucket", "keys", "counts").repartition(tasks, "kind", "bucket").sortWithinPartitions("kind", "bucket")
     schema = "kind tinyint, bucket int, keys binary, counts binary, zeros binary, below binary, n bigint, v bigint"
     return scratch_table(rows.mapInArrow(run, schema), "ctw-merged")
 
@@ -400,7 +417,7 @@ def _upper(merged: DataFrame) -> list[Level]:
     return upper_levels(table["key"].to_numpy().view(np.uint64), *(table[c].to_numpy() for c in ("zero", "one", "below")))
 
 
-def answer(counted: DataFrame, merged: DataFrame, upper: list[Level], depth: int) -> DataFrame:
+def answer(counted: DataFrame, merged: DataFrame, upper: list[Level], depth: int, tasks: int) -> DataFrame:
     """(block, kind, keys, found): code lengths of every block's grams, training counts of its tokens."""
     shared = counted.sparkSession.sparkContext.broadcast(upper)
 
@@ -452,7 +469,7 @@ def answer(counted: DataFrame, merged: DataFrame, upper: list[Level], depth: int
 
     model = merged.filter(F.col("kind") != ABOVE).select("kind", "bucket", F.lit(-1).cast("bigint").alias("block"), "keys", "counts")
     asked = counted.select("kind", "bucket", "block", "keys", F.lit(None).cast("binary").alias("counts"))
-    rows = model.unionByName(asked).repartition(shuffle_partitions(counted.sparkSession), "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
+    rows = model.unionByName(asked).repartition(tasks, "kind", "bucket").sortWithinPartitions("kind", "bucket", "block")
     return rows.mapInArrow(run, "block bigint, kind tinyint, keys binary, found binary")
 
 
@@ -474,10 +491,11 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
     texts = in_blocks(rows)
     size = texts.agg(F.coalesce(F.sum("size"), F.lit(0))).first()[0]
     buckets = max(16, min(size // BUCKET_BYTES, 1 << 8 * SHARED))
+    tasks = max(shuffle_partitions(docs.sparkSession), size // TASK_BYTES)
     counted = count(texts, depth, buckets)
-    merged = merge(counted, depth)
+    merged = merge(counted, depth, tasks)
     n_all, v_all = merged.filter(F.col("kind") == TOKEN).agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum("v"), F.lit(0))).first()
-    answers = answer(counted, merged, _upper(merged), depth)
+    answers = answer(counted, merged, _upper(merged), depth, tasks)
 
     def run(block: pa.Table, found: pa.Table) -> pa.Table:
         table = CodeTable(*_found(found, GRAM, np.float32))
@@ -485,23 +503,22 @@ def score_documents(docs: DataFrame, training: Column, id_col: str = "doc_id", t
         cost = np.log10((times + 0.1) / (n_all + 0.1 * (v_all + 1)))
         parts: list[list[np.ndarray]] = [[] for _ in range(5)]
         ids = []
-        for batch in block.to_batches():
-            for part, data, offs in text_chunks(batch):
-                gram, first = grams(data, offs, depth)
-                total = np.add.reduceat(table.lookup(gram).astype(np.float64), first[:-1])
-                key, start = tokens(data, offs)
-                number = np.diff(start) + 1
-                at, end = np.searchsorted(word, key), int(np.searchsorted(word, np.uint64(END_TOKEN)))
-                row = np.repeat(np.arange(len(number)), number - 1)
-                known = np.bincount(row, times[at] > 0, len(number)) + (times[end] > 0)
-                base = np.bincount(row, cost[at], len(number)) + cost[end]
-                ids.append(part.column("doc_id"))
-                for column, value in zip(parts, (number, known.astype(np.int64), base, -total * np.log10(2), total / (np.diff(offs) + 1)), strict=True):
-                    column.append(value)
-        return pa.table([pa.chunked_array(ids, block.schema.field("doc_id").type), *(pa.array(np.concatenate(c)) for c in parts)], ["doc_id", *SCORES])
+        for i in range(block.num_rows):
+            data, offs = _text_bytes(block["lengths"][i], block["data"][i])
+            gram, first = grams(data, offs, depth)
+            total = np.add.reduceat(table.lookup(gram).astype(np.float64), first[:-1])
+            key, start = tokens(data, offs)
+            number = np.diff(start) + 1
+            at, end = np.searchsorted(word, key), int(np.searchsorted(word, np.uint64(END_TOKEN)))
+            row = np.repeat(np.arange(len(number)), number - 1)
+            known = np.bincount(row, times[at] > 0, len(number)) + (times[end] > 0)
+            base = np.bincount(row, cost[at], len(number)) + cost[end]
+            ids.append(block["ids"][i].values)
+            for column, value in zip(parts, (number, known.astype(np.int64), base, -total * np.log10(2), total / (np.diff(offs) + 1)), strict=True):
+                column.append(value)
+        return pa.table([pa.chunked_array(ids, block.schema.field("ids").type.value_type), *(pa.array(np.concatenate(c)) for c in parts)], ["doc_id", *SCORES])
 
     schema = StructType([rows.schema["doc_id"], *(StructField(c, LongType() if c in SCORES[:2] else DoubleType()) for c in SCORES)])
-    tasks = shuffle_partitions(docs.sparkSession)
-    asking = texts.select("block", "doc_id", "text").repartition(tasks, "block").groupBy("block")
+    asking = texts.select("block", "ids", "lengths", "data").repartition(tasks, "block").groupBy("block")
     met = asking.cogroup(answers.repartition(tasks, "block").groupBy("block"))
     return met.applyInArrow(run, schema).withColumn("train_tokens", F.lit(int(n_all)).cast("bigint"))

@@ -123,7 +123,7 @@ def test_other_text_takes_no_context_away(spark, documents):
     nodes = []
     for rows in (own, own + other):
         texts = ctw.in_blocks(documents(rows).select("doc_id", F.lit(True).alias("learn"), "text"))
-        merged = ctw.merge(ctw.count(texts, 5, 16), 5).filter(F.col("kind") == ctw.GRAM).toArrow()
+        merged = ctw.merge(ctw.count(texts, 5, 16), 5, 3).filter(F.col("kind") == ctw.GRAM).toArrow()
         found = [zip(ctw._unpack(k, np.uint64).tolist(), ctw._unpack(n, np.int64).tolist(), strict=True) for k, n in zip(merged["keys"], merged["counts"], strict=True)]
         nodes.append({k: n for part in found for k, n in part})
     assert nodes[0].keys() <= nodes[1].keys() and all(nodes[1][k] >= n for k, n in nodes[0].items())
