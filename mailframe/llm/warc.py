@@ -7,7 +7,7 @@ stored headers, updated by those headers that a 304 may update.
 
 The as-of join runs per (URL, time bucket): within a bucket by a window, and across buckets by
 the last response of each bucket, carried on.  A URL with any number of captures is spread over
-its buckets.
+its buckets; rows without URL or time, which nothing precedes, are spread within a bucket.
 
 Defined results: a null URL matches nothing; of responses with one time the largest record id is
 the latest; a response at the revisit's own time is not earlier; a null time comes before all
@@ -22,6 +22,8 @@ from pyspark.sql import functions as F
 
 #: Seconds in a time bucket.
 BUCKET = 86_400
+#: Groups of a bucket's rows that have no URL or no time.
+SPREAD = 1024
 #: Headers that a not-modified response may update (lower case).
 PERMITTED = ["cache-control", "content-location", "date", "etag", "expires", "last-modified", "vary"]
 #: Query parameters that only track.
@@ -43,7 +45,10 @@ def latest_earlier(events: DataFrame, key: str, time: str, order: str, is_source
     found = F.struct(time, order, *carried)
     rows = events.withColumn("_bucket", F.floor(F.col(time) / bucket)).withColumn("_source", F.when(is_source, found))
     # Within a bucket: the greatest source of a smaller time; a null time is smaller than any other.
-    within = Window.partitionBy(key, "_bucket").orderBy(F.col(time).asc_nulls_first()).rangeBetween(Window.unboundedPreceding, -1)
+    # Rows without key or time have no earlier source, so they need not meet: they are spread.
+    alone = F.col(key).isNull() | F.col(time).isNull()
+    rows = rows.withColumn("_spread", F.when(alone, F.pmod(F.xxhash64(order), F.lit(SPREAD))).otherwise(0))
+    within = Window.partitionBy(key, "_bucket", "_spread").orderBy(F.col(time).asc_nulls_first()).rangeBetween(Window.unboundedPreceding, -1)
     near = F.when(F.col(key).isNotNull() & F.col(time).isNotNull(), F.col("_near"))
     rows = rows.withColumn("_near", F.max("_source").over(within))
 
@@ -52,7 +57,7 @@ def latest_earlier(events: DataFrame, key: str, time: str, order: str, is_source
     earlier = Window.partitionBy(key).orderBy(F.col("_bucket").asc_nulls_first()).rowsBetween(Window.unboundedPreceding, -1)
     carry = each.select(F.col(key).alias("_key"), F.col("_bucket").alias("_at"), F.last("_last", ignorenulls=True).over(earlier).alias("_before"))
     joined = rows.join(carry, (F.col(key) == F.col("_key")) & F.col("_bucket").eqNullSafe(F.col("_at")), "left")
-    return joined.withColumn("as_of", F.coalesce(near, F.col("_before"))).drop("_bucket", "_source", "_near", "_key", "_at", "_before")
+    return joined.withColumn("as_of", F.coalesce(near, F.col("_before"))).drop("_bucket", "_source", "_spread", "_near", "_key", "_at", "_before")
 
 
 def merged_headers(stored: Column, update: Column) -> Column:

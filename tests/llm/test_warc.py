@@ -71,3 +71,12 @@ def test_outcomes_and_headers(spark, clashing):
     assert [tuple(x) for x in by[3]["resolved_headers"]] == [("Content-Type", "text/html"), ("ETag", "old"), ("date", "d1")]
     assert by[3]["resolved_digest"] == "sha-1" and by[5]["resolved_digest"] is None
     assert warc.resolve_revisits(spark.createDataFrame([], SCHEMA)).count() == 0
+
+
+def test_rows_without_url_are_spread(spark):
+    """No window gathers the rows that have no URL."""
+    rows = spark.range(2000).withColumn("url", F.col("id").cast("string")).selectExpr("id AS record_id", "IF(id < 0, url, NULL) AS k", "id % 50 AS t", "true AS src")
+    got = warc.latest_earlier(rows, "k", "t", "record_id", F.col("src"), [])
+    assert got.count() == 2000 and got.filter(F.col("as_of").isNotNull()).count() == 0 and got.columns == ["record_id", "k", "t", "src", "as_of"]
+    windows = [line for line in got._jdf.queryExecution().optimizedPlan().toString().splitlines() if "Window [" in line and "AS _near" in line]
+    assert windows and all("_spread" in line for line in windows)
