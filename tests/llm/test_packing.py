@@ -93,3 +93,37 @@ def test_edge_rows(spark, documents, clashing):
     assert sum(r["length"] for r in got if r["doc_id"] == 3) == 2 * (packing.load_encoder(packing.tokenizer_path())("a b").__len__() + 1)
     assert sum(r["length"] for r in got if r["doc_id"] == 4) == max(r["doc_tokens"] for r in got)
     assert packing.pack(rows.limit(0), packing.tokenizer_path()).count() == 0
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_whole_run_against_brute_force(seed):
+    """Every placement by trying all open windows and squaring all counts anew; ties to the fullest, then the latest window."""
+    rng, window = random.Random(seed), 32
+    packer, closed = packing.SquareSumPacker(window=window), {}
+    opened: list[list[tuple[int, int]]] = []  # windows as (document, tokens), by the time of their last change
+    full = []
+
+    def fill(pieces):
+        return sum(n for _, n in pieces)
+
+    def squares(fills):
+        return sum(fills.count(f) ** 2 for f in set(fills) if f < window)
+
+    for d in range(400):
+        size = rng.randint(1, 80)
+        for piece in packer.place(d, np.arange(size)):
+            closed.setdefault(piece[4], []).append((piece[0], len(piece[2])))
+        full += [[(d, window)]] * (size // window)
+        rest = size % window
+        if not rest:
+            continue
+        tried = []
+        for i, pieces in enumerate([[], *opened]):
+            if fill(pieces) + rest <= window:
+                others = [fill(p) for j, p in enumerate(opened) if j != i - 1]
+                tried.append((squares([*others, fill(pieces) + rest]), -fill(pieces), -i))
+        at = -min(tried)[2]
+        pieces = [*(opened.pop(at - 1) if at else []), (d, rest)]
+        (full if fill(pieces) == window else opened).append(pieces)
+    assert sorted(closed.values()) == sorted(full)
+    assert sorted(fill(p) for p in opened) == [f for f in range(window) for _ in range(packer.levels[f])]
