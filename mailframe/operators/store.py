@@ -107,6 +107,11 @@ def current_view(log: DataFrame) -> DataFrame:
     (upsert or delete) and the latest flags row came; flags newer than the row
     replace its flag columns.  Filters on the view's columns reach the scan of the
     whole rows.
+
+    Both joins are by ``doc_id`` alone and merge sorted rows, so the second one shuffles only
+    the flags rows.  Neither side may be broadcast: each grows with the store, and the planner,
+    which takes a share of the file size for the columns it reads, holds columns that are mostly
+    null (the default table's) for the larger part and guesses far too little.
     """
     flag_cols = [c for c in FLAG_COLUMNS if c in log.columns]
     rows = log.withColumn("_at", _order())
@@ -119,14 +124,15 @@ def current_view(log: DataFrame) -> DataFrame:
     )
     winners = latest.filter(F.col("_row_at").isNotNull()).withColumnRenamed("doc_id", "_doc")
     wide = rows.filter(F.col("op") == OP_UPSERT)
-    visible = wide.join(winners, (F.col("doc_id") == F.col("_doc")) & (F.col("_at") == F.col("_row_at"))).drop("_doc")
+    # no whole row is later than the winner: >= says the same as ==, but is no second key to shuffle by
+    visible = wide.join(winners.hint("merge"), (F.col("doc_id") == F.col("_doc")) & (F.col("_at") >= F.col("_row_at"))).drop("_doc")
     if flag_cols:
         flags = rows.filter(is_flags).select(
             F.col("doc_id").alias("_doc"), F.col("_at").alias("_f_at"), *[F.col(c).alias(f"_f_{c}") for c in flag_cols]
         ).dropDuplicates(["_doc", "_f_at"])
         newer = F.col("_flags_at") > F.col("_row_at")
         visible = visible.join(
-            flags, newer & (F.col("doc_id") == F.col("_doc")) & (F.col("_flags_at") == F.col("_f_at")), "left"
+            flags.hint("merge"), newer & (F.col("doc_id") == F.col("_doc")) & (F.col("_flags_at") <= F.col("_f_at")), "left"
         )
         for c in flag_cols:
             visible = visible.withColumn(c, F.when(F.col("_f_at").isNotNull(), F.col(f"_f_{c}")).otherwise(F.col(c)))
