@@ -2,7 +2,8 @@
 
 Every stage takes (spark, docs, sf_dir) and works on all rows its predecessor kept; its
 result is written as Parquet and read again as the next stage's documents.  All stages but
-the last return the columns of ``documents``.  A row is addressed by its doc_id and text, so
+the last return the columns of ``documents``; from the first stage on ``lang`` is the language
+found in the text, not the given one, and no packed sequence mixes languages.  A row is addressed by its doc_id and text, so
 rows that share an id are judged apart; a null id is an id like any other and comes after all
 others.  Repeated rows count as copies; of equal texts and ties the named id stays; texts may
 have any length; other columns of the input, whatever their names, are left out; an empty
@@ -21,9 +22,11 @@ COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
 
 
 def language_id(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Rejects documents in no learned language: null text, text without a letter, and text whose n-grams the labelled sample does not know."""
+    """Rejects documents in no learned language: null text, text without a letter, and text whose n-grams the labelled sample does not know.
+
+    The others get the predicted language as ``lang``, which decides with which documents they are packed."""
     model = langid.fit(docs.select(F.col("doc_id").alias("key"), F.col("lang").alias("label"), "text"))
-    return docs.select(COLUMNS).filter(langid.in_learned_language(docs, model, F.col("text")))
+    return langid.with_language(docs.select(COLUMNS), model, "text", "lang")
 
 
 def exact_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -49,8 +52,8 @@ def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Pieces of token sequences, with the digest of their ids."""
-    pieces = packing.pack(docs, packing.tokenizer_path())
+    """Pieces of token sequences, each of one language, with the digest of their ids."""
+    pieces = packing.pack(docs, packing.tokenizer_path(), group_col="lang")
     return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
 
 

@@ -72,3 +72,24 @@ def test_null_and_shared_ids_and_clashing_columns(spark, documents, clashing):
     assert texts[1] == {f"Well then. {item}", clean, f"{given[12][1]} end"} and texts[2] == {f"Well then. {item}", clean} and texts[3] == {clean}
     assert stages[2].filter("doc_id IS NULL").count() == 3
     assert stages[-1].filter("doc_id IS NULL").agg({"length": "sum"}).first()[0] > 0
+
+
+def test_the_language_found_is_what_follows_goes_by(spark, documents):
+    given = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("lang = 'en'").select("text").collect()]
+    german = [r["text"] for r in spark.read.parquet(f"{SF_SMALL}/documents.parquet").filter("lang = 'de'").select("text").collect()]
+    rows = [(i, t, "en") for i, t in enumerate(given)] + [(1000 + i, t, "de") for i, t in enumerate(german)]
+    long = max(given, key=len)
+    words = long.split()
+    rows += [(5000, " ".join(reversed(words)), "de"), (5001, " ".join(words[::2]), None)]  # English, wrongly labelled or not at all
+    docs = documents(rows).coalesce(1)
+    found = corpus_pipeline.language_id(spark, docs, SF_SMALL)
+    assert found.columns == corpus_pipeline.COLUMNS
+    assert found._jdf.queryExecution().executedPlan().toString().count("ArrowEvalPython") == 1  # each text is scored once
+    lang = {r["doc_id"]: r["lang"] for r in found.select("doc_id", "lang").collect()}
+    assert lang[5000] == lang[5001] == "en" and set(lang.values()) == {"en", "de"}
+    pieces = corpus_pipeline.pack(spark, scratch_table(found, "test-language").coalesce(1), SF_SMALL).collect()
+    assert {r["doc_id"] for r in pieces} == set(lang)
+    mixed = {}
+    for r in pieces:
+        mixed.setdefault(r["sequence_id"], set()).add(lang[r["doc_id"]])
+    assert all(len(x) == 1 for x in mixed.values()) and len(mixed) > 2
