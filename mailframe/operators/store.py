@@ -149,7 +149,8 @@ def narrow_view(log: DataFrame) -> DataFrame:
     rows = log.withColumn("_at", _order())
     whole = [c for c in log.columns if c not in ("doc_id", "op", "version", "seq", "fbucket")]
     is_flags = F.col("op") == OP_FLAGS
-    last = rows.filter(F.col("op") != OP_CLEAR).groupBy("doc_id").agg(
+    # dealt by document first: a document has few rows, so sorting them before the shuffle too would save nothing
+    last = rows.filter(F.col("op") != OP_CLEAR).repartition("doc_id").groupBy("doc_id").agg(
         F.max(F.when(~is_flags, F.struct("_at", "op", *whole))).alias("_row"),
         F.max(F.when(is_flags, F.struct("_at", *[c for c in FLAG_COLUMNS if c in whole]))).alias("_flags"),
     )

@@ -264,7 +264,8 @@ def poll_changes(stored: DataFrame, listing: DataFrame, plan: DataFrame, version
     """
     from mailframe.operators.store import with_doc_id
 
-    listed = with_doc_id(listing).filter(F.col("doc_id").isNotNull()).dropDuplicates(["doc_id"])  # Y12
+    # Y12; dealt by message first, so that rows are sorted once, for this and for the join
+    listed = with_doc_id(listing).filter(F.col("doc_id").isNotNull()).repartition("doc_id").dropDuplicates(["doc_id"])
     cols = listed.columns
     old = with_doc_id(stored).filter(F.col("doc_id").isNotNull())
     old = old.select(*[F.col(c).alias("_s_" + c) for c in ("doc_id", "folder_uri", "uid", "pop_id", "flaghashcode") if c in old.columns])

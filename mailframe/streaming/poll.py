@@ -247,15 +247,13 @@ class PollJob:
         listed = listed.filter((F.col("kind") == sync.KIND_IMAP) | (F.col("folder_full_name") == "INBOX"))  # S3: POP serves the inbox alone
         is_pop = F.col("kind") == sync.KIND_POP
         key = F.when(is_pop, F.col("pop_id").isNotNull()).otherwise(F.col("uid").isNotNull())
-        # landed copies of a row count once: what is left after one aggregation by message is counted by folder
-        message = listed.filter(F.col("folder_uri").isNotNull()).groupBy("folder_uri", "uid", "pop_id").agg(
-            *[F.first(c, ignorenulls=True).alias(c) for c in ("account", "kind", "folder_full_name")], F.max("uid_validity").alias("uid_validity"))
-        folders = message.groupBy("folder_uri").agg(
-            F.first("account", ignorenulls=True).alias("account"),
-            F.max(F.when(~is_pop, F.col("uid_validity"))).alias("uid_validity"),
-            F.first("kind").alias("kind"),
-            F.count(F.when(key, F.lit(1))).alias("n_listed"),
-        )
+        # What a folder is called is one row per folder in every task already; only message keys are shuffled and hashed,
+        # as landed copies of a row count once.
+        named = listed.filter(F.col("folder_uri").isNotNull())
+        folders = named.groupBy("folder_uri", "account", "kind").agg(F.max(F.when(~is_pop, F.col("uid_validity"))).alias("uid_validity")) \
+            .groupBy("folder_uri").agg(F.first("account", ignorenulls=True).alias("account"), F.max("uid_validity").alias("uid_validity"), F.first("kind").alias("kind"))
+        sizes = named.filter(key).select("folder_uri", "uid", "pop_id").distinct().groupBy("folder_uri").agg(F.count(F.lit(1)).alias("n_listed"))
+        folders = folders.join(sizes, "folder_uri", "left").withColumn("n_listed", F.coalesce("n_listed", F.lit(0).cast("bigint")))
         listing = listed.filter(key).withColumns({
             "uid": F.when(~is_pop, F.col("uid")), "pop_id": F.when(is_pop, F.col("pop_id")), "msg_num": F.when(is_pop, F.col("msg_num"))})
         listing = listing.drop("uid_validity", "snapshot_id", "snapshot_rows", "kind")
