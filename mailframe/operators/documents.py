@@ -108,7 +108,9 @@ def fetch_documents(changes: DataFrame, raw: DataFrame, options: MailOptions = M
         # (at most FOLDER_BUCKETS values).
         buckets = sorted(r[0] for r in ups.select(folder_bucket().alias("b")).distinct().collect())
         raw = raw.filter(F.col("fbucket").isin(buckets))
-    found = fetch_raw(ups, raw, keys)
+    # The raw rows of a poll may lie in few files or few parts of them, and parsing costs far more than moving
+    # them: they are dealt by key, four tasks to a core (merged by size, the last few would run alone).
+    found = fetch_raw(ups, raw, keys).repartition(4 * ups.sparkSession.sparkContext.defaultParallelism, *keys)
     keep = ups.columns
     parsed = stage(parse_messages(found, keep=keep, with_text=options.with_text_content,
                                   with_html=options.with_html_content, prefer_html=options.prefer_html_content,

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 
 from mailframe.operators import search
 from mailframe.operators import store as st
-from mailframe.operators.documents import fetch_raw
+from mailframe.operators import sync
+from mailframe.operators.documents import fetch_documents, fetch_raw
 from mailframe.operators.store import MailStore
 from mailframe.options import MailOptions
 from mailframe.streaming.poll import SNAPSHOT_SCHEMA, PollJob
@@ -267,3 +268,31 @@ def test_conditions_on_one_element(spark):
     assert [r.id for r in df.filter(one).collect()] == [2]
     assert sorted(r.id for r in df.filter(search.nested("to")).collect()) == [1, 2, 6]
     assert df.filter(~one).count() == 5  # never null
+
+
+def test_a_poll_sorts_each_side_once(spark):
+    listing = spark.createDataFrame([(uri(A), 1, 5), (uri(A), 1, 5), (uri(A), 2, 5)], "folder_uri string, uid bigint, flaghashcode int")
+    stored = spark.createDataFrame([(uri(A), 2, 4), (uri(A), 3, 4)], "folder_uri string, uid bigint, flaghashcode int")
+    rules = spark.createDataFrame([(uri(A), "IMAP", "incremental", False, 0)], "folder_uri string, kind string, mode string, clear_first boolean, _mark bigint")
+    log = st.initial_load(stored)
+    changes = sync.poll_changes(st.narrow_view(log), listing, rules, 1)
+    plan = changes._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("Sort [doc_id") == 2, plan  # nothing is sorted before its shuffle, and the join sorts nothing again
+    assert sorted((r.doc_id.split(":")[0], r.op) for r in changes.collect()) == [("1", "upsert"), ("2", "upsert"), ("3", "delete")]
+
+
+def test_raw_rows_of_one_file_are_parsed_in_many_tasks(spark, scratch):
+    path = os.path.join(scratch, "raw")
+    raw = spark.range(40).select(F.lit(uri(A)).alias("folder_uri"), F.col("id").alias("uid"), F.encode(F.lit("Subject: x\r\n\r\ny"), "UTF-8").alias("raw"))
+    raw.coalesce(1).write.parquet(path)
+    store, plans = MailStore(spark, os.path.join(scratch, "store")), []
+    ups = spark.range(40).select(F.lit(uri(A)).alias("folder_uri"), F.col("id").alias("uid"), F.lit("upsert").alias("op"))
+
+    def stage(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return store.stage(df)
+
+    docs, errors = fetch_documents(ups, spark.read.parquet(path), keys=["folder_uri", "uid"], stage=stage)
+    assert docs.filter("subject = 'x'").count() == 40 and errors.count() == 0
+    parse = plans[1][plans[1].index("MapInPandas"):]
+    assert "REPARTITION_BY_NUM" in parse.split("Join")[0]  # between the raw rows and the parser
