@@ -1,6 +1,7 @@
 """Line dedup against brute force; runs, levels and plan of the index."""
 
 import random
+import re
 
 import pytest
 from pyspark.sql import functions as F
@@ -97,6 +98,19 @@ def test_levels_fill_and_compact(spark, monkeypatch):
     assert not [t for t in spark.catalog.listTables() if t.name.startswith("line_run_")]
 
 
+def test_a_compacted_run_has_one_file_a_bucket(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "FANOUT", 3)
+    index = LineIndex(spark)
+    for b in range(9):
+        index.add(spark.createDataFrame([(b * 100 + k, k, (False, b)) for k in range(100)], "k1 bigint, k2 bigint, holder struct<none:boolean,id:bigint>"))
+    assert [len(level) for level in index.levels] == [0, 0, 1]
+    run = index.runs()[0]
+    buckets = [re.search(r"_(\d{5})\.", f)[1] for f in run.inputFiles()]
+    assert len(buckets) == len(set(buckets)) == line_dedup.shuffle_partitions(spark)
+    assert sorted(r["k1"] for r in run.collect()) == list(range(900))
+    index.close()
+
+
 def test_runs_are_merged_without_a_shuffle(spark):
     index = LineIndex(spark)
     rows = spark.createDataFrame([(k, k, (False, 1)) for k in range(50)], "k1 bigint, k2 bigint, holder struct<none:boolean,id:bigint>")
